@@ -343,6 +343,102 @@ SQL_TOP_PRODUCTS = f"""WITH d AS ({SQL_SAMPLE_DAILY})
 SELECT * FROM d ORDER BY total_revenue DESC, order_date, category LIMIT 10"""
 
 
+# ---------------------------------------------------------------- JSON hand-over and streams
+
+def _json_orders(df):
+    """Orders as the generator writes them: ids and quantity as JSON numbers."""
+    return df.select(F.col("order_id").cast("long").alias("order_id"),
+                     F.col("customer_id").cast("long").alias("customer_id"), "order_date",
+                     F.col("product_id").cast("long").alias("product_id"), "product_name", "category",
+                     "quantity", "price", "status")
+
+
+def q_json_round_trip(spark, sf_dir):
+    """SNK-1 then SRC-1 (batch): numeric ids come back as strings, missing fields as NULL."""
+    from strata.session import new_work_path
+    from strata.sinks.writers import write_json
+    from strata.sources.readers import bronze_orders
+    path = write_json(_json_orders(B.raw_orders(spark, sf_dir)), new_work_path(spark, "orders_json"), num_files=4)
+    return _public(bronze_orders(spark, QUERY_CFG, path, stream=False))
+
+
+def q_sample_bronze_inferred(spark, sf_dir):
+    """DS-15 / SRC-5: JSON orders read as a stream with the schema inferred once."""
+    from strata.session import new_work_path
+    from strata.sinks.writers import write_json
+    from strata.sources.readers import sample_bronze_orders
+    from strata.streaming.runner import StreamLayout, run_to_completion
+    from strata.sinks.writers import write_stream
+    root = new_work_path(spark, "sample_stream")
+    src = write_json(_json_orders(B.raw_orders(spark, sf_dir)), f"{root}/orders_raw", num_files=4)
+    layout = StreamLayout(root)
+    stream = sample_bronze_orders(spark, src, stream=True, options=QUERY_CFG.streaming_options())
+    run_to_completion(write_stream(stream, layout.table("bronze_orders"), layout.checkpoint("bronze_orders")))
+    return spark.read.parquet(layout.table("bronze_orders"))
+
+
+def _first_choice_split(raw, keys, order_exprs):
+    """Split raw rows into (preferred row per key, all other rows) without a window:
+    the preferred rows are a keyed aggregate, the rest is ``exceptAll``."""
+    from strata.operators.dedup import dedup_by_key
+    tmp = [f"_o{i}" for i in range(len(order_exprs))]
+    ranked = raw.select(*raw.columns, *[e.alias(t) for e, t in zip(order_exprs, tmp)])
+    first = dedup_by_key(ranked, keys, tmp).select(*raw.columns)
+    return first, raw.exceptAll(first)
+
+
+def q_stream_silver_orders(spark, sf_dir):
+    """STR-1/2/4/5/6: two triggered runs of bronze -> silver orders.
+
+    Run 1 sees one row per (order_id, product_id) — the row the batch table
+    keeps — spread over several files and micro-batches; run 2 sees the other
+    rows of the duplicated keys, which the stream's dedup state rejects. The
+    result must equal the batch silver table.
+    """
+    from strata.functions.dates import parse_date
+    from strata.session import new_work_path
+    from strata.sinks.writers import write_json
+    from strata.streaming.runner import StreamLayout, run_orders_increment
+    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2)
+    root = new_work_path(spark, "orders_stream")
+    layout = StreamLayout(root)
+    raw = _json_orders(B.raw_orders(spark, sf_dir))
+    first, rest = _first_choice_split(raw, OR.ORDER_KEYS, [
+        F.col("quantity"), F.col("price"), F.coalesce(F.col("status"), F.lit("unknown")),
+        F.col("customer_id").cast("string"), parse_date("order_date"),
+        F.coalesce(F.col("product_name"), F.lit("unknown")),
+        F.coalesce(F.col("category"), F.lit("uncategorized"))])
+    write_json(first, f"{root}/orders_raw/run1", num_files=6)
+    run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
+    write_json(rest, f"{root}/orders_raw/run2", num_files=2)
+    run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
+    return _public(spark.read.parquet(layout.table("silver_orders")).select(*OR.SILVER_ORDERS_COLUMNS))
+
+
+def q_stream_silver_activity(spark, sf_dir):
+    """Two triggered runs of bronze -> silver activity; run 2 replays 1% of the sessions."""
+    from strata.session import new_work_path
+    from strata.sinks.writers import write_json
+    from strata.streaming.runner import StreamLayout, run_activity_increment
+    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2)
+    root = new_work_path(spark, "activity_stream")
+    layout = StreamLayout(root)
+    raw = B.raw_activity(spark, sf_dir)
+    write_json(raw, f"{root}/activity_raw/run1", num_files=4)
+    run_activity_increment(spark, cfg, f"{root}/activity_raw/*", layout)
+    write_json(raw.filter(F.col("session_id").cast("long") % 100 == 0), f"{root}/activity_raw/run2", num_files=1)
+    run_activity_increment(spark, cfg, f"{root}/activity_raw/*", layout)
+    out = spark.read.parquet(layout.table("silver_customer_activity"))
+    return _public(out.select(*[c for c in _silver_activity(spark, sf_dir).columns]))
+
+
+SQL_JSON_ROUND_TRIP = B.ORACLE_RAW_ORDERS
+
+SQL_SAMPLE_BRONZE = f"""SELECT category, CAST(customer_id AS BIGINT) AS customer_id, order_date,
+  CAST(order_id AS BIGINT) AS order_id, price, CAST(product_id AS BIGINT) AS product_id, product_name,
+  CAST(quantity AS BIGINT) AS quantity, status FROM ({B.ORACLE_RAW_ORDERS})"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expect_metrics": q_expect_metrics,
     "expect_or_drop_orders": q_expect_or_drop_orders,
@@ -365,6 +461,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_customer_insights": q_sample_customer_insights,
     "sample_product_performance": q_sample_product_performance,
     "top_products": q_top_products,
+    "json_round_trip": q_json_round_trip,
+    "sample_bronze_inferred": q_sample_bronze_inferred,
+    "stream_silver_orders": q_stream_silver_orders,
+    "stream_silver_activity": q_stream_silver_activity,
 }
 
 ORACLE: dict[str, str] = {
@@ -389,4 +489,8 @@ ORACLE: dict[str, str] = {
     "sample_customer_insights": SQL_SAMPLE_INSIGHTS,
     "sample_product_performance": SQL_SAMPLE_PRODUCTS,
     "top_products": SQL_TOP_PRODUCTS,
+    "json_round_trip": SQL_JSON_ROUND_TRIP,
+    "sample_bronze_inferred": SQL_SAMPLE_BRONZE,
+    "stream_silver_orders": SQL_SILVER_ORDERS,
+    "stream_silver_activity": SQL_SILVER_ACTIVITY,
 }
