@@ -8,6 +8,7 @@ same output instead of duplicating it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Rough per-value widths used to turn a target file size into a row budget.
@@ -35,25 +36,46 @@ def cluster_columns(df: DataFrame, cluster_cols, partition_cols=()) -> list[str]
 
 
 def clustered(df: DataFrame, cluster_cols, partition_cols=(), num_partitions: int | None = None) -> DataFrame:
-    """SNK-4: range-partition on (partition cols, cluster cols) and sort within
-    tasks, so each file covers a narrow key range (Parquet min/max skipping).
-
-    Range partitioning on the partition columns *followed by* the clustering
-    columns splits a hot partition value over several tasks instead of
-    funnelling it into one, as ``repartition(partition_col)`` would.
+    """SNK-4 (and the optimized-write part of SNK-5) for a batch write.
+
+    With partition columns: ``rebalance`` on them — a shuffle whose output AQE
+    re-plans at runtime, splitting a partition value that holds a third of the
+    rows over several tasks and merging small ones — so each partition
+    directory gets few, evenly sized files instead of one file per input task.
+    Rows are then sorted within each task on the clustering columns, giving
+    narrow min/max ranges per file (Parquet row-group skipping).
+    Without partition columns: range-partition on the clustering columns.
     """
-    keys = list(partition_cols) + cluster_columns(df, cluster_cols, partition_cols)
+    keys = cluster_columns(df, cluster_cols, partition_cols)
+    if partition_cols:
+        out = df.hint("rebalance", *partition_cols)
+        return out.sortWithinPartitions(*partition_cols, *keys)
     if not keys:
         return df
     out = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
     return out.sortWithinPartitions(*keys)
 
 
+def stream_clustered(df: DataFrame, partition_cols, fanout: int = 1, salt_cols=()) -> DataFrame:
+    """Optimized write for a stream: hash-partition each micro-batch on the
+    partition columns so a partition value lands in ``fanout`` tasks (files)
+    instead of in every task. ``fanout`` > 1 adds a salt from ``salt_cols`` to
+    spread a hot partition value; a micro-batch itself is bounded by the
+    source's rate limit (files or bytes per trigger)."""
+    if not partition_cols:
+        return df
+    cols = [F.col(c) for c in partition_cols]
+    if fanout > 1:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_cols or df.columns)]), F.lit(fanout))
+        cols.append(salt)
+    return df.repartition(*cols)
+
+
 def write_table(df: DataFrame, path: str, partition_cols=(), cluster_cols=(),
                 target_file_size_bytes: int | None = None, mode: str = "overwrite",
                 fmt: str = "parquet") -> str:
     """SNK-2/3/4/5: persist a dataset."""
-    if cluster_cols:
+    if cluster_cols or partition_cols:
         df = clustered(df, cluster_cols, partition_cols)
     w = df.write.mode(mode).format(fmt)
     if partition_cols:
@@ -73,8 +95,10 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite", num_files: int
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, partition_cols=(),
-                 fmt: str = "parquet", query_name: str | None = None, available_now: bool = True):
+                 fmt: str = "parquet", query_name: str | None = None, available_now: bool = True,
+                 fanout: int = 1, salt_cols=()):
     """SNK-2/3 for a stream: checkpointed append into a file table."""
+    df = stream_clustered(df, partition_cols, fanout, salt_cols)
     w = (df.writeStream.format(fmt).outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint))
     if partition_cols:

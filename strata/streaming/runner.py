@@ -56,14 +56,15 @@ def observed_totals(progress: list[dict], name: str) -> dict[str, int]:
 
 
 def _bronze_silver(spark: SparkSession, bronze_df, silver_fn, layout: StreamLayout, entity: str,
-                   partition_cols, cfg: PipelineConfig) -> dict:
+                   partition_cols, cfg: PipelineConfig, salt_cols=()) -> dict:
     bronze_q = write_stream(bronze_df, layout.table(f"bronze_{entity}"),
                             layout.checkpoint(f"bronze_{entity}"))
     bronze_progress = run_to_completion(bronze_q)
     upstream = read_table_stream(spark, layout.table(f"bronze_{entity}"), cfg.streaming_options())
     silver_df, metrics_name = silver_fn(upstream)
     silver_q = write_stream(silver_df, layout.table(f"silver_{entity}"),
-                            layout.checkpoint(f"silver_{entity}"), partition_cols)
+                            layout.checkpoint(f"silver_{entity}"), partition_cols,
+                            fanout=cfg.stream_write_fanout, salt_cols=salt_cols)
     silver_progress = run_to_completion(silver_q)
     return {
         "bronze_rows": sum(p.get("numInputRows", 0) for p in bronze_progress),
@@ -78,7 +79,7 @@ def run_orders_increment(spark: SparkSession, cfg: PipelineConfig, source_path:
     """DS-1 -> DS-2 for every new JSON file under ``source_path`` (STR-4, STR-6)."""
     bronze = bronze_orders(spark, cfg, source_path, stream=True)
     return _bronze_silver(spark, bronze, lambda df: silver_orders(df, cfg, dedup_mode),
-                          layout, "orders", ["order_date"], cfg)
+                          layout, "orders", ["order_date"], cfg, ["order_id", "product_id"])
 
 
 def run_activity_increment(spark: SparkSession, cfg: PipelineConfig, source_path: str,
@@ -86,4 +87,4 @@ def run_activity_increment(spark: SparkSession, cfg: PipelineConfig, source_path
     """DS-8 -> DS-9 for every new JSON file under ``source_path``."""
     bronze = bronze_customer_activity(spark, cfg, source_path, stream=True)
     return _bronze_silver(spark, bronze, lambda df: silver_customer_activity(df, cfg, dedup_mode),
-                          layout, "customer_activity", ["activity_date"], cfg)
+                          layout, "customer_activity", ["activity_date"], cfg, ["customer_id", "session_id"])
