@@ -136,3 +136,97 @@ behavior AS (
       + CAST(tablet_sessions > 0 AS INTEGER)) >= 2 AS multi_device_user
   FROM device_counts)
 """
+
+
+# ---------------------------------------------------------------- generators (same integer hash)
+
+_P = 2147483647
+
+
+def _mix_sql(x: str) -> str:
+    r = f"(({x}) % {_P})"
+    return f"(({r} * {r}) % {_P} * 16807 + {r} * 48271 + 12345) % {_P}"
+
+
+def hashed_sql(seed: str, salt: int) -> str:
+    x0 = f"((({seed}) % {_P}) * 65539 + {salt * 7919 + 1}) % {_P}"
+    return f"({_mix_sql(_mix_sql(x0))})"
+
+
+def _list(values, cast: str = "") -> str:
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return f"CAST({v!r} AS {cast})" if cast else repr(v)
+    return "[" + ", ".join(lit(v) for v in values) + "]"
+
+
+def gen_orders_sql(seed_sql: str, as_of: str, num_customers: int = 100, days_back: int = 30) -> str:
+    from strata.sources.synthetic import PRODUCTS, STATUSES, STEPS
+    h = hashed_sql
+    o = "order_id"
+    line = "(order_id * 4 + _j)"
+    return f"""WITH s AS ({seed_sql}),
+b AS (SELECT {o}, 1 + {h(o, 1)} % {num_customers} AS customer_id,
+  CASE WHEN {h(o, 4)} % 100 < 5 THEN 'invalid-date'
+       ELSE strftime(DATE '{as_of}' - CAST({h(o, 2)} % {days_back + 1} AS INTEGER), '%Y-%m-%d') END AS order_date,
+  {_list(STATUSES)}[{h(o, 3)} % 4 + 1] AS status,
+  {h(o, 6)} % 8 AS _offset, {_list(STEPS)}[{h(o, 7)} % 4 + 1] AS _step,
+  unnest(generate_series(0, {h(o, 5)} % 3)) AS _j
+  FROM s),
+l AS (SELECT *, CAST((_offset + _j * _step) % 8 + 1 AS INTEGER) AS idx FROM b)
+SELECT order_id, customer_id, order_date, status,
+  CASE WHEN {h(line, 9)} % 100 < 3 THEN NULL ELSE CAST({_list([p[0] for p in PRODUCTS])}[idx] AS BIGINT) END
+    AS product_id,
+  {_list([p[1] for p in PRODUCTS])}[idx] AS product_name, {_list([p[2] for p in PRODUCTS])}[idx] AS category,
+  {_list([p[3] for p in PRODUCTS], 'DOUBLE')}[idx] AS price,
+  1 + {h(line, 8)} % 5 AS quantity
+FROM l"""
+
+
+def gen_profiles_sql(seed_sql: str, as_of: str) -> str:
+    from strata.sources.synthetic import AGE_GROUPS, GENDERS, INCOME_BRACKETS, LOYALTY_TIERS
+    h = hashed_sql
+    c = "customer_id"
+    return f"""WITH s AS ({seed_sql})
+SELECT {c}, strftime(DATE '{as_of}' - CAST(180 + {h(c, 11)} % 916 AS INTEGER), '%Y-%m-%d') AS signup_date,
+  {_list(AGE_GROUPS)}[{h(c, 12)} % 6 + 1] AS age_group, {_list(GENDERS)}[{h(c, 13)} % 3 + 1] AS gender,
+  {_list(INCOME_BRACKETS)}[{h(c, 14)} % 4 + 1] AS income_bracket,
+  {_list(LOYALTY_TIERS)}[{h(c, 15)} % 4 + 1] AS loyalty_tier
+FROM s"""
+
+
+def gen_activity_sql(seed_sql: str, as_of: str, days_back: int = 30, sessions_per_day: int = 5) -> str:
+    from strata.sources.synthetic import DEVICES, LOCATIONS
+    h = hashed_sql
+    cd = "(customer_id * 1024 + _d)"
+    k = "_k"
+    u = f"(CAST({h(k, 27)} AS DOUBLE) / CAST({_P} AS DOUBLE))"
+    pv = f"CAST(least(50, greatest(1, floor(-ln(CAST(1.0 AS DOUBLE) - {u}) / CAST(0.2 AS DOUBLE)))) AS INTEGER)"
+    return f"""WITH s AS ({seed_sql}),
+days AS (SELECT customer_id, unnest(generate_series(0, {days_back - 1})) AS _d FROM s),
+sess AS (SELECT customer_id, _d, unnest(generate_series(0, {h(cd, 22)} % {sessions_per_day})) AS _s
+  FROM days WHERE {h(cd, 21)} % 100 < 70),
+r1 AS (SELECT customer_id, _d, ({cd}) * 16 + _s AS _k FROM sess),
+r2 AS (SELECT *, {pv} AS pv,
+  concat(strftime(DATE '{as_of}' - CAST(_d AS INTEGER), '%Y-%m-%d'), 'T',
+    lpad(CAST(8 + {h(k, 23)} % 16 AS VARCHAR), 2, '0'), ':', lpad(CAST({h(k, 24)} % 60 AS VARCHAR), 2, '0'),
+    ':00') AS ts,
+  {_list(DEVICES)}[{h(k, 25)} % 3 + 1] AS device, {_list(LOCATIONS)}[{h(k, 26)} % 8 + 1] AS location,
+  sha256(CAST(_k AS VARCHAR)) AS hx,
+  CASE WHEN {h(k, 32)} % 100 < 5 THEN {h(k, 33)} % 3 END AS defect
+  FROM r1),
+r3 AS (SELECT *, CAST(CASE WHEN {h(k, 28)} % 100 < 30
+    THEN 1 + {h(k, 29)} % greatest(1, least(5, CAST(floor(pv / 2) AS BIGINT))) ELSE 0 END AS INTEGER) AS cart_adds
+  FROM r2)
+SELECT CAST(CASE WHEN defect = 0 THEN NULL ELSE customer_id END AS INTEGER) AS customer_id,
+  CASE WHEN defect = 1 THEN 'invalid-timestamp' ELSE ts END AS "timestamp",
+  CASE WHEN defect = 2 THEN -1 ELSE pv END AS page_views, cart_adds,
+  CAST(CASE WHEN cart_adds > 0 AND {h(k, 30)} % 100 < 40 THEN 1 + {h(k, 31)} % cart_adds ELSE 0 END AS INTEGER)
+    AS purchases,
+  device, location,
+  concat_ws('-', substring(hx, 1, 8), substring(hx, 9, 4), substring(hx, 13, 4), substring(hx, 17, 4),
+    substring(hx, 21, 12)) AS session_id
+FROM r3"""

@@ -18,8 +18,9 @@ from strata.operators.expectations import expectation_metrics, silver_orders_exp
 from strata.plans import features as FT
 from strata.plans import orders as OR
 from strata.plans import sample as SM
-from strata.plans.oracle_sql import (BEHAVIOR_CTE, engagement_cte, silver_activity_cte, silver_orders_cte,
-                                     silver_profile_cte, sround)
+from strata.plans.oracle_sql import (BEHAVIOR_CTE, engagement_cte, gen_activity_sql, gen_orders_sql,
+                                     gen_profiles_sql, silver_activity_cte, silver_orders_cte, silver_profile_cte,
+                                     sround)
 from strata.sources import bindings as B
 
 # Fixed run dates of the checks (the test tables' own calendars).
@@ -439,6 +440,34 @@ SQL_SAMPLE_BRONZE = f"""SELECT category, CAST(customer_id AS BIGINT) AS customer
   CAST(quantity AS BIGINT) AS quantity, status FROM ({B.ORACLE_RAW_ORDERS})"""
 
 
+# ---------------------------------------------------------------- generators (seeded by table keys)
+
+def q_gen_orders(spark, sf_dir):
+    """GEN-1, one generated order per key of ``orders``."""
+    from strata.sources.synthetic import generate_orders
+    return generate_orders(spark, B.table(spark, sf_dir, "orders").select("o_orderkey"), FEATURES_AS_OF)
+
+
+def q_gen_profiles(spark, sf_dir):
+    """GEN-2, one profile per key of ``customer``."""
+    from strata.sources.synthetic import generate_customer_profiles
+    return generate_customer_profiles(spark, B.table(spark, sf_dir, "customer").select("c_custkey"), FEATURES_AS_OF)
+
+
+def q_gen_activity(spark, sf_dir):
+    """GEN-3, 30 days x up to 8 sessions for every key of ``customer``."""
+    from strata.sources.synthetic import generate_customer_activity
+    return generate_customer_activity(spark, B.table(spark, sf_dir, "customer").select("c_custkey"),
+                                      FEATURES_AS_OF, days_back=30, sessions_per_day=8)
+
+
+SQL_GEN_ORDERS = gen_orders_sql("SELECT CAST(o_orderkey AS BIGINT) AS order_id FROM orders", FEATURES_AS_OF)
+SQL_GEN_PROFILES = gen_profiles_sql("SELECT CAST(c_custkey AS BIGINT) AS customer_id FROM customer",
+                                    FEATURES_AS_OF)
+SQL_GEN_ACTIVITY = gen_activity_sql("SELECT CAST(c_custkey AS BIGINT) AS customer_id FROM customer",
+                                    FEATURES_AS_OF, days_back=30, sessions_per_day=8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expect_metrics": q_expect_metrics,
     "expect_or_drop_orders": q_expect_or_drop_orders,
@@ -465,6 +494,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_bronze_inferred": q_sample_bronze_inferred,
     "stream_silver_orders": q_stream_silver_orders,
     "stream_silver_activity": q_stream_silver_activity,
+    "gen_orders": q_gen_orders,
+    "gen_profiles": q_gen_profiles,
+    "gen_activity": q_gen_activity,
 }
 
 ORACLE: dict[str, str] = {
@@ -493,4 +525,7 @@ ORACLE: dict[str, str] = {
     "sample_bronze_inferred": SQL_SAMPLE_BRONZE,
     "stream_silver_orders": SQL_SILVER_ORDERS,
     "stream_silver_activity": SQL_SILVER_ACTIVITY,
+    "gen_orders": SQL_GEN_ORDERS,
+    "gen_profiles": SQL_GEN_PROFILES,
+    "gen_activity": SQL_GEN_ACTIVITY,
 }
