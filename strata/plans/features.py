@@ -50,7 +50,8 @@ def silver_customer_activity(bronze: DataFrame, cfg: PipelineConfig, dedup_mode:
     df = bronze
     if watermark and df.isStreaming:
         df = df.withWatermark("ingestion_timestamp", cfg.watermark_delay)
-    df = dedup(clean_activity(df), ACTIVITY_KEYS, dedup_mode, ACTIVITY_DEDUP_ORDER)
+    # Derived columns depend on the row only, so they follow the dedup shuffle.
+    df = clean_activity(dedup(df, ACTIVITY_KEYS, dedup_mode, ACTIVITY_DEDUP_ORDER))
     return apply_expectations(df, SILVER_ACTIVITY_EXPECTATIONS, "silver_customer_activity", observe)
 
 

@@ -30,25 +30,35 @@ SILVER_ORDERS_COLUMNS = [
 ]
 
 
-def clean_orders(bronze: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Stateless row work of silver orders (FN-1, FN-4, FN-5, FN-10, FN-11, SEG-1)."""
+def normalize_orders(bronze: DataFrame) -> DataFrame:
+    """Parsed date and NULL defaults: the columns the dedup order looks at (FN-1, FN-10)."""
     if "source_file" not in bronze.columns:
         bronze = bronze.withColumn("source_file", F.lit(None).cast("string"))
+    return bronze.withColumns({
+        "order_date": D.parse_date("order_date"),
+        "status": F.coalesce(F.col("status"), F.lit("unknown")),
+        "category": F.coalesce(F.col("category"), F.lit("uncategorized")),
+        "product_name": F.coalesce(F.col("product_name"), F.lit("unknown")),
+    })
+
+
+def derive_order_columns(df: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Per-row derived columns (FN-4, FN-5, FN-11, SEG-1, audit)."""
     d = F.col("order_date")
-    return (bronze
-            .withColumn("order_date", D.parse_date("order_date"))
-            .withColumns({
-                "status": F.coalesce(F.col("status"), F.lit("unknown")),
-                "category": F.coalesce(F.col("category"), F.lit("uncategorized")),
-                "product_name": F.coalesce(F.col("product_name"), F.lit("unknown")),
-                "total_item_price": F.round(F.col("price") * F.col("quantity"), 2),
-                "processed_timestamp": F.current_timestamp(),
-                "order_year": F.year(d),
-                "order_month": F.month(d),
-                "order_quarter": F.quarter(d),
-                "order_day_of_week": F.dayofweek(d),
-                "price_tier": S.price_tier(cfg),
-            }))
+    return df.withColumns({
+        "total_item_price": F.round(F.col("price") * F.col("quantity"), 2),
+        "processed_timestamp": F.current_timestamp(),
+        "order_year": F.year(d),
+        "order_month": F.month(d),
+        "order_quarter": F.quarter(d),
+        "order_day_of_week": F.dayofweek(d),
+        "price_tier": S.price_tier(cfg),
+    })
+
+
+def clean_orders(bronze: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """Stateless row work of silver orders, without dedup."""
+    return derive_order_columns(normalize_orders(bronze), cfg)
 
 
 def silver_orders(bronze: DataFrame, cfg: PipelineConfig, dedup_mode: str = ORDERED,
@@ -57,12 +67,14 @@ def silver_orders(bronze: DataFrame, cfg: PipelineConfig, dedup_mode: str = ORDE
 
     Order of operations keeps the published semantics: row transform, dedup on
     (order_id, product_id), then the seven drop-expectations on the output.
+    The derived columns are pure functions of the row, so they are computed
+    after the dedup: the dedup shuffle carries only the raw columns.
     """
     df = bronze
     if watermark and df.isStreaming:
         df = df.withWatermark("ingestion_timestamp", cfg.watermark_delay)
-    df = clean_orders(df, cfg)
-    df = dedup(df, ORDER_KEYS, dedup_mode, ORDER_DEDUP_ORDER).select(*SILVER_ORDERS_COLUMNS)
+    df = dedup(normalize_orders(df), ORDER_KEYS, dedup_mode, ORDER_DEDUP_ORDER)
+    df = derive_order_columns(df, cfg).select(*SILVER_ORDERS_COLUMNS)
     return apply_expectations(df, silver_orders_expectations(cfg), "silver_orders", observe)
 
 
