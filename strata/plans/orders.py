@@ -155,15 +155,20 @@ def gold_product_performance(silver: DataFrame, cfg: PipelineConfig, ordered: bo
 REAL_TIME_COLUMNS = ["todays_orders", "todays_revenue", "todays_customers", "todays_avg_order_value",
                      "metric_date", "metric_type", "orders_7d", "revenue_7d", "customers_7d",
                      "avg_order_value_7d"]
+_REAL_TIME_TYPES = ["bigint", "double", "bigint", "double", "date", "string",
+                    "bigint", "double", "bigint", "double"]
 
 
 def gold_real_time_metrics(silver: DataFrame, cfg: PipelineConfig, as_of=None) -> DataFrame:
-    """DS-7: a "daily" row and a "7_day_rolling" row (SET-1 union by name).
+    """DS-7: a "daily" row and a "7_day_rolling" row, each with the other's
+    metrics NULL (SET-1: the union by name of two one-row aggregates).
 
     One scan: the 7-day filter (a superset of today, pushed to the scan and, on a
     table partitioned by order_date, pruning partitions) feeds one global
-    aggregate with conditional metrics for both windows; the two output rows are
-    cut from that single aggregate row.
+    aggregate with conditional metrics for both windows, and both output rows
+    are cut from that single aggregate row. (A ``unionByName`` of two
+    projections of the aggregate would be pruned differently per branch and
+    recompute the whole input twice.)
     """
     run_date = D.today(as_of)
     recent = silver.filter(F.col("order_date") >= D.days_before(7, as_of))
@@ -179,8 +184,19 @@ def gold_real_time_metrics(silver: DataFrame, cfg: PipelineConfig, as_of=None) -
         F.count_distinct("customer_id").alias("customers_7d"),
         F.avg(tip).alias("avg_order_value_7d"),
     )
-    daily = m.select("todays_orders", "todays_revenue", "todays_customers", "todays_avg_order_value",
-                     run_date.alias("metric_date"), F.lit("daily").alias("metric_type"))
-    rolling = m.select("orders_7d", "revenue_7d", "customers_7d", "avg_order_value_7d",
-                       run_date.alias("metric_date"), F.lit("7_day_rolling").alias("metric_type"))
-    return daily.unionByName(rolling, allowMissingColumns=True).select(*REAL_TIME_COLUMNS)
+    daily = {"todays_orders", "todays_revenue", "todays_customers", "todays_avg_order_value"}
+    rolling = {"orders_7d", "revenue_7d", "customers_7d", "avg_order_value_7d"}
+
+    def row(kind: str, own: set):
+        fields = []
+        for name, typ in zip(REAL_TIME_COLUMNS, _REAL_TIME_TYPES):
+            if name == "metric_date":
+                v = run_date
+            elif name == "metric_type":
+                v = F.lit(kind)
+            else:
+                v = F.col(name) if name in own else F.lit(None)
+            fields.append(v.cast(typ).alias(name))
+        return F.struct(*fields)
+
+    return m.select(F.inline(F.array(row("daily", daily), row("7_day_rolling", rolling))))
