@@ -21,7 +21,7 @@ def test_config(monkeypatch):
     assert get_config().environment == "staging"
     with pytest.raises(ValueError):
         get_config("qa")
-    assert ENVIRONMENTS["prod"].orders_source_path.startswith("/Volumes/prod/")
+    assert ENVIRONMENTS["prod"].orders_source_path.startswith("/data/prod/")
     assert parse_bytes("1gb") == 1 << 30 and parse_bytes("512 MB") == 512 << 20
     assert PipelineConfig().streaming_options() == {"maxFilesPerTrigger": "1000"}
     assert PipelineConfig(rate_limit="bytes").streaming_options() == {"maxBytesPerTrigger": str(1 << 30)}
