@@ -417,7 +417,7 @@ def q_stream_silver_orders(spark, sf_dir):
 
 
 def q_stream_silver_activity(spark, sf_dir):
-    """Two triggered runs of bronze -> silver activity; run 2 replays 1% of the sessions."""
+    """Two triggered runs of bronze -> silver activity; run 2 replays the whole input again."""
     from strata.session import new_work_path
     from strata.sinks.writers import write_json
     from strata.streaming.runner import StreamLayout, run_activity_increment
@@ -427,7 +427,8 @@ def q_stream_silver_activity(spark, sf_dir):
     raw = B.raw_activity(spark, sf_dir)
     write_json(raw, f"{root}/activity_raw/run1", num_files=4)
     run_activity_increment(spark, cfg, f"{root}/activity_raw/*", layout)
-    write_json(raw.filter(F.col("session_id").cast("long") % 100 == 0), f"{root}/activity_raw/run2", num_files=1)
+    # Run 2 replays every session: the dedup state must reject all of them.
+    write_json(raw, f"{root}/activity_raw/run2", num_files=2)
     run_activity_increment(spark, cfg, f"{root}/activity_raw/*", layout)
     out = spark.read.parquet(layout.table("silver_customer_activity"))
     return _public(out.select(*[c for c in _silver_activity(spark, sf_dir).columns]))
