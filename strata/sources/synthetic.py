@@ -58,18 +58,29 @@ def pick(values, seed: Column, salt: int) -> Column:
     return F.element_at(F.array(*lits), (hashed(seed, salt) % len(values) + 1).cast("int"))
 
 
-def _seeds(spark: SparkSession, seeds, column: str) -> DataFrame:
+def _seeds(spark: SparkSession, seeds, column: str, spread: bool = False,
+           partitions: int | None = None) -> DataFrame:
+    """Seed ids as one long column. With ``spread`` the (small) id column is
+    hash-distributed over an explicit number of partitions before a fan-out,
+    so the generated rows do not stay in the seed table's few input tasks
+    (an explicit count is kept by AQE instead of being coalesced away)."""
     if isinstance(seeds, int):
-        return spark.range(1, seeds + 1).select(F.col("id").alias(column))
-    return seeds.select(F.col(seeds.columns[0]).cast("long").alias(column))
+        df = spark.range(1, seeds + 1).select(F.col("id").alias(column))
+    else:
+        df = seeds.select(F.col(seeds.columns[0]).cast("long").alias(column))
+    if spread:
+        n = partitions or max(spark.sparkContext.defaultParallelism,
+                              int(spark.conf.get("spark.sql.shuffle.partitions")))
+        df = df.repartition(n, column)
+    return df
 
 
 def generate_orders(spark: SparkSession, seeds=1000, as_of=None, num_customers: int = 100,
-                    days_back: int = 30) -> DataFrame:
+                    days_back: int = 30, partitions: int | None = None) -> DataFrame:
     """GEN-1: 1-3 distinct products per order; 5% of orders carry 'invalid-date',
     3% of lines a missing product_id, a quarter of orders a NULL status."""
     o = F.col("order_id")
-    base = _seeds(spark, seeds, "order_id").select(
+    base = _seeds(spark, seeds, "order_id", True, partitions).select(
         o, (F.lit(1) + hashed(o, 1) % num_customers).alias("customer_id"),
         F.when(hashed(o, 4) % 100 < 5, F.lit("invalid-date"))
          .otherwise(F.date_format(F.date_sub(today(as_of), (hashed(o, 2) % (days_back + 1)).cast("int")),
@@ -100,7 +111,7 @@ def generate_customer_profiles(spark: SparkSession, seeds=100, as_of=None) -> Da
 
 
 def generate_customer_activity(spark: SparkSession, seeds=100, as_of=None, days_back: int = 30,
-                               sessions_per_day: int = 5) -> DataFrame:
+                               sessions_per_day: int = 5, partitions: int | None = None) -> DataFrame:
     """GEN-3: per customer and day, 70% active, 1..sessions_per_day sessions at
     08:00-23:59; page views ~ exponential(0.2) clamped to 1..50; 30% add to cart,
     40% of those buy; 5% of rows carry one defect (NULL customer — that row
@@ -108,30 +119,39 @@ def generate_customer_activity(spark: SparkSession, seeds=100, as_of=None, days_
     if days_back > 1024 or sessions_per_day > 16:
         raise ValueError("days_back <= 1024 and sessions_per_day <= 16")
     c, d, s = F.col("customer_id"), F.col("_d"), F.col("_s")
-    days = (_seeds(spark, seeds, "customer_id")
+    days = (_seeds(spark, seeds, "customer_id", True, partitions)
             .select(c, F.explode(F.sequence(F.lit(0), F.lit(days_back - 1))).alias("_d")))
     cd = c * 1024 + d
-    active = days.filter(hashed(cd, 21) % 100 < 70)
-    sess = active.select(c, d, F.explode(F.sequence(F.lit(0), (hashed(cd, 22) % sessions_per_day).cast("int")))
-                         .alias("_s"))
+    # Per-day values are computed before the sessions fan out.
+    active = days.filter(hashed(cd, 21) % 100 < 70).select(
+        c, d, F.date_format(F.date_sub(today(as_of), d), "yyyy-MM-dd").alias("_day"),
+        F.explode(F.sequence(F.lit(0), (hashed(cd, 22) % sessions_per_day).cast("int"))).alias("_s"))
     key = (c * 1024 + d) * 16 + s
-    pv = F.least(F.lit(50), F.greatest(F.lit(1), F.floor(-F.log(F.lit(1.0) - unit(key, 27)) / 0.2))).cast("int")
-    cart = F.when(hashed(key, 28) % 100 < 30,
-                  F.lit(1) + hashed(key, 29) % F.greatest(F.lit(1), F.least(F.lit(5), F.floor(pv / 2)))
+    # Every draw once per row, as a column (the optimizer does not duplicate them).
+    k = F.col("_k")
+    draws = active.select(c, F.col("_day"), key.alias("_k")).select(
+        c, F.col("_day"), k, *[hashed(k, salt).alias(f"_h{salt}") for salt in range(23, 34)])
+    h = {salt: F.col(f"_h{salt}") for salt in range(23, 34)}
+    pv_col = F.least(F.lit(50), F.greatest(F.lit(1), F.floor(-F.log(F.lit(1.0) - h[27] / F.lit(float(P))) / 0.2)))
+    with_pv = draws.withColumn("_pv", pv_col.cast("int"))
+    pv = F.col("_pv")
+    cart = F.when(h[28] % 100 < 30,
+                  F.lit(1) + h[29] % F.greatest(F.lit(1), F.least(F.lit(5), F.floor(pv / 2)))
                   ).otherwise(F.lit(0)).cast("int")
-    day = F.date_format(F.date_sub(today(as_of), d), "yyyy-MM-dd")
-    ts = F.concat(day, F.lit("T"), F.lpad((F.lit(8) + hashed(key, 23) % 16).cast("string"), 2, "0"), F.lit(":"),
-                  F.lpad((hashed(key, 24) % 60).cast("string"), 2, "0"), F.lit(":00"))
-    hexd = F.sha2(key.cast("string"), 256)
+    with_cart = with_pv.withColumn("_cart", cart)
+    ca = F.col("_cart")
+    ts = F.concat(F.col("_day"), F.lit("T"), F.lpad((F.lit(8) + h[23] % 16).cast("string"), 2, "0"), F.lit(":"),
+                  F.lpad((h[24] % 60).cast("string"), 2, "0"), F.lit(":00"))
+    hexd = F.sha2(k.cast("string"), 256)
     sid = F.concat_ws("-", *[F.substring(hexd, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-    rows = sess.select(c, key.alias("_k"), ts.alias("timestamp"), pv.alias("page_views"), cart.alias("cart_adds"),
-                       pick(DEVICES, key, 25).alias("device"), pick(LOCATIONS, key, 26).alias("location"),
-                       sid.alias("session_id"))
-    k, ca = F.col("_k"), F.col("cart_adds")
-    buys = F.when((ca > 0) & (hashed(k, 30) % 100 < 40), F.lit(1) + hashed(k, 31) % ca).otherwise(F.lit(0))
-    defect = F.when(hashed(k, 32) % 100 < 5, hashed(k, 33) % 3)
-    return rows.select(
+    buys = F.when((ca > 0) & (h[30] % 100 < 40), F.lit(1) + h[31] % ca).otherwise(F.lit(0))
+    defect = F.when(h[32] % 100 < 5, h[33] % 3)
+    return with_cart.select(
         F.when(defect == 0, F.lit(None).cast("long")).otherwise(c).cast("int").alias("customer_id"),
-        F.when(defect == 1, F.lit("invalid-timestamp")).otherwise(F.col("timestamp")).alias("timestamp"),
-        F.when(defect == 2, F.lit(-1)).otherwise(F.col("page_views")).alias("page_views"),
-        ca.alias("cart_adds"), buys.cast("int").alias("purchases"), "device", "location", "session_id")
+        F.when(defect == 1, F.lit("invalid-timestamp")).otherwise(ts).alias("timestamp"),
+        F.when(defect == 2, F.lit(-1)).otherwise(pv).alias("page_views"),
+        ca.alias("cart_adds"), buys.cast("int").alias("purchases"),
+        F.element_at(F.array(*[F.lit(v) for v in DEVICES]), (h[25] % len(DEVICES) + 1).cast("int")).alias("device"),
+        F.element_at(F.array(*[F.lit(v) for v in LOCATIONS]), (h[26] % len(LOCATIONS) + 1).cast("int"))
+         .alias("location"),
+        sid.alias("session_id"))
