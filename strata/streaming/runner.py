@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
 
 from strata.config import PipelineConfig
@@ -36,7 +37,10 @@ class StreamLayout:
 
 def run_to_completion(query) -> list[dict]:
     """Wait for an availableNow query; re-raise its failure; return its progress."""
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as e:
+        raise RuntimeError(f"Streaming query {query.name or query.id} failed: {e}") from e
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(f"Streaming query {query.name or query.id} failed: {exc}")

@@ -62,3 +62,27 @@ def test_sql_over_written_tables(spark, tmp_path):
     register_paths(spark, {"t": p})
     got = run_sql(spark, "SELECT g, count(*) AS n FROM t GROUP BY g ORDER BY n DESC, g LIMIT 1").collect()
     assert (got[0].g, got[0].n) == (0, 7)
+
+
+def test_fail_mode_stops_a_stream(spark, json_dir, tmp_path):
+    import pytest
+    from strata.operators.expectations import apply_expectations, expect_or_fail
+    from strata.sinks.writers import write_stream
+    from strata.sources.readers import bronze_orders
+    from strata.streaming.runner import run_to_completion
+    json_dir([order("a"), order("b", q=0)], name="raw/1")
+    src = bronze_orders(spark, CFG, str(tmp_path / "raw/*"), stream=True)
+    checked, _ = apply_expectations(src, [expect_or_fail("valid_quantity", "quantity > 0")], "orders")
+    q = write_stream(checked, str(tmp_path / "out"), str(tmp_path / "chk"))
+    with pytest.raises(RuntimeError, match="valid_quantity"):
+        run_to_completion(q)
+
+
+def test_bytes_rate_limit(spark, json_dir, tmp_path):
+    cfg = PipelineConfig(rate_limit="bytes", max_bytes_per_trigger="1kb")
+    for i in range(3):
+        json_dir([order(f"o{i}{j}") for j in range(5)], name=f"raw/{i}")
+    lay = StreamLayout(str(tmp_path / "p"))
+    rep = run_orders_increment(spark, cfg, str(tmp_path / "raw/*"), lay)
+    assert rep["bronze_rows"] == 15
+    assert spark.read.parquet(lay.table("silver_orders")).count() == 15
