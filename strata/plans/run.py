@@ -41,15 +41,7 @@ def run_orders_pipeline(spark: SparkSession, bronze: DataFrame, cfg: PipelineCon
     silver, metrics = OR.silver_orders(bronze, cfg)
     _write(rep, layout, "silver_orders", silver, cfg, ["order_date"], ["order_date", "order_id", "customer_id"])
     rep.expectations["silver_orders"] = metrics_dict(metrics)
-    s = spark.read.parquet(rep.tables["silver_orders"])
-    check_dataset(s, "critical_data_quality", "count(*) > 0")
-    _write(rep, layout, "silver_customers", OR.silver_customers(s, cfg), cfg, cluster_cols=["customer_id"])
-    _write(rep, layout, "gold_daily_sales", OR.gold_daily_sales(s, cfg, ordered=False), cfg,
-           ["order_year", "order_month"], ["order_date", "category"])
-    _write(rep, layout, "gold_customer_insights", OR.gold_customer_insights(s, cfg, as_of), cfg)
-    _write(rep, layout, "gold_product_performance", OR.gold_product_performance(s, cfg, ordered=False), cfg,
-           cluster_cols=["category", "total_revenue"])
-    _write(rep, layout, "gold_real_time_metrics", OR.gold_real_time_metrics(s, cfg, as_of), cfg)
+    _orders_gold_from_silver(spark, rep, layout, cfg, as_of)
     return rep
 
 
@@ -70,3 +62,51 @@ def run_features_pipeline(spark: SparkSession, bronze_activity: DataFrame, bronz
     _write(rep, layout, "gold_features_customer_behavior", FT.gold_features_customer_behavior(act), cfg)
     _write(rep, layout, "gold_ml_feature_table", FT.ml_feature_table(act, prof, as_of), cfg)
     return rep
+
+
+def _orders_gold_from_silver(spark: SparkSession, rep: RunReport, layout: StreamLayout, cfg: PipelineConfig,
+                             as_of=None) -> None:
+    s = spark.read.parquet(rep.tables["silver_orders"])
+    check_dataset(s, "critical_data_quality", "count(*) > 0")
+    _write(rep, layout, "silver_customers", OR.silver_customers(s, cfg), cfg, cluster_cols=["customer_id"])
+    _write(rep, layout, "gold_daily_sales", OR.gold_daily_sales(s, cfg, ordered=False), cfg,
+           ["order_year", "order_month"], ["order_date", "category"])
+    _write(rep, layout, "gold_customer_insights", OR.gold_customer_insights(s, cfg, as_of), cfg)
+    _write(rep, layout, "gold_product_performance", OR.gold_product_performance(s, cfg, ordered=False), cfg,
+           cluster_cols=["category", "total_revenue"])
+    _write(rep, layout, "gold_real_time_metrics", OR.gold_real_time_metrics(s, cfg, as_of), cfg)
+
+
+def update_orders(spark: SparkSession, cfg: PipelineConfig, source_path: str, layout: StreamLayout,
+                  as_of=None) -> RunReport:
+    """One triggered update (STR-4/STR-6): new JSON files -> bronze -> silver
+    (streaming, checkpointed, stateful dedup), then every gold table recomputed
+    in batch from the silver table."""
+    from strata.streaming.runner import run_orders_increment
+    rep = RunReport()
+    inc = run_orders_increment(spark, cfg, source_path, layout)
+    rep.expectations["silver_orders"] = inc["expectations"]
+    rep.tables["bronze_orders"] = layout.table("bronze_orders")
+    rep.tables["silver_orders"] = layout.table("silver_orders")
+    _orders_gold_from_silver(spark, rep, layout, cfg, as_of)
+    return rep
+
+
+def update_features(spark: SparkSession, cfg: PipelineConfig, activity_path: str, profiles_path: str,
+                    layout: StreamLayout, as_of=None) -> RunReport:
+    """Triggered update of the feature pipeline: activity streams into silver;
+    profiles (a small batch source) and the three gold tables are recomputed."""
+    from strata.sources.readers import bronze_customer_profiles
+    from strata.streaming.runner import run_activity_increment
+    rep = RunReport()
+    inc = run_activity_increment(spark, cfg, activity_path, layout)
+    rep.expectations["silver_customer_activity"] = inc["expectations"]
+    profile, m = FT.silver_customer_profile(bronze_customer_profiles(spark, cfg, profiles_path), cfg, as_of)
+    _write(rep, layout, "silver_customer_profile", profile, cfg)
+    rep.expectations["silver_customer_profile"] = metrics_dict(m)
+    act = spark.read.parquet(layout.table("silver_customer_activity"))
+    prof = spark.read.parquet(rep.tables["silver_customer_profile"])
+    _write(rep, layout, "gold_features_customer_engagement", FT.gold_features_customer_engagement(act, as_of), cfg)
+    _write(rep, layout, "gold_features_customer_behavior", FT.gold_features_customer_behavior(act), cfg)
+    _write(rep, layout, "gold_ml_feature_table", FT.ml_feature_table(act, prof, as_of), cfg)
+    return rep

@@ -58,3 +58,41 @@ def new_work_path(spark: SparkSession, label: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def sizing(input_bytes: int, total_cores: int, split_bytes_max: int = 256 << 20,
+           shuffle_partition_bytes: int = 256 << 20, shuffle_ratio: float = 0.5) -> dict[str, str]:
+    """Spark settings sized to the input and the cluster.
+
+    * Scan splits: small enough for >= 2 waves on all cores, at most
+      ``split_bytes_max`` (Parquet splits on row-group boundaries).
+    * Shuffle: an initial partition count that keeps each partition near
+      ``shuffle_partition_bytes`` for a shuffle of ``shuffle_ratio`` x input;
+      AQE then coalesces small partitions and splits skewed ones toward the
+      advisory size, and skew joins split partitions over 4x that size.
+    """
+    cores = max(1, total_cores)
+    split = int(min(split_bytes_max, max(8 << 20, input_bytes // (cores * 2) or 1)))
+    shuffle_parts = int(max(cores * 2, (input_bytes * shuffle_ratio) // shuffle_partition_bytes))
+    advisory = shuffle_partition_bytes // 2
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(advisory * 4),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
+def input_bytes(paths) -> int:
+    """Total size of local input files (used to size a local run)."""
+    total = 0
+    for p in paths:
+        p = p.replace("file:", "", 1)
+        if os.path.isdir(p):
+            for root, _, files in os.walk(p):
+                total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
+        elif os.path.exists(p):
+            total += os.path.getsize(p)
+    return total

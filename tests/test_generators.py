@@ -70,3 +70,26 @@ def test_generated_data_through_both_pipelines(spark, tmp_path):
     ml = spark.read.parquet(rep2.tables["gold_ml_feature_table"])
     assert ml.count() == 100 and len(ml.columns) == 33
     assert rep2.expectations["silver_customer_activity"]["failed_valid_customer_id"] > 0
+
+
+def test_triggered_updates_end_to_end(spark, tmp_path):
+    """Trace C: generate -> JSON -> streaming bronze/silver -> batch gold, run twice."""
+    from strata.plans.run import update_features, update_orders
+    from strata.sinks.writers import write_json
+    from strata.streaming.runner import StreamLayout
+    cfg = PipelineConfig(base_path=str(tmp_path / "data"), max_files_per_trigger=2)
+    write_json(generate_orders(spark, 300, AS_OF), cfg.orders_source_path + "/day1", num_files=3)
+    write_json(generate_customer_profiles(spark, 50, AS_OF), cfg.profiles_source_path)
+    write_json(generate_customer_activity(spark, 50, AS_OF, 10, 4), cfg.activity_source_path + "/day1")
+    lay = StreamLayout(str(tmp_path / "tables"))
+    r1 = update_orders(spark, cfg, cfg.orders_source_path + "/*", lay, AS_OF)
+    n1 = spark.read.parquet(r1.tables["silver_orders"]).count()
+    write_json(generate_orders(spark, spark.range(301, 401), AS_OF), cfg.orders_source_path + "/day2")
+    r2 = update_orders(spark, cfg, cfg.orders_source_path + "/*", lay, AS_OF)
+    n2 = spark.read.parquet(r2.tables["silver_orders"]).count()
+    assert 0 < n1 < n2
+    daily = spark.read.parquet(r2.tables["gold_daily_sales"])
+    assert daily.agg(F.sum("total_items_sold")).first()[0] == \
+        spark.read.parquet(r2.tables["silver_orders"]).agg(F.sum("quantity")).first()[0]
+    rf = update_features(spark, cfg, cfg.activity_source_path + "/*", cfg.profiles_source_path, lay, AS_OF)
+    assert spark.read.parquet(rf.tables["gold_ml_feature_table"]).count() == 50

@@ -70,3 +70,32 @@ def test_write_table_partitioned_clustered(spark, tmp_path):
     j = write_json(df.withColumn("n", F.lit(None).cast("int")), str(tmp_path / "j"))
     text = "".join(open(f).read() for f in __import__("glob").glob(j + "/*.json"))
     assert '"n"' not in text  # NULL fields are left out
+
+
+def test_sizing_scales_with_input():
+    from strata.session import sizing
+    big = sizing(100 << 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // 2 // (256 << 20)
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+    small = sizing(20 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 8 << 20
+
+
+def test_rebalanced_write_splits_a_hot_partition_value(spark, tmp_path):
+    """A partition value with a third of the rows is written by several tasks."""
+    import glob
+    df = spark.range(300000).withColumn("d", F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                         .otherwise((F.col("id") % 50).cast("string")))
+    df = df.withColumn("pad", F.sha2(F.col("id").cast("string"), 256))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(256 << 10))
+    try:
+        p = write_table(df, str(tmp_path / "t"), partition_cols=["d"], cluster_cols=["id"])
+    finally:
+        spark.conf.set(key, old)
+    hot_files = glob.glob(f"{p}/d=hot/*.parquet")
+    cold_files = glob.glob(f"{p}/d=1/*.parquet")
+    assert len(hot_files) > 1 and len(cold_files) >= 1
+    assert spark.read.parquet(p).filter("d = 'hot'").count() == 100000
