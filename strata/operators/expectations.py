@@ -51,12 +51,18 @@ def _metric_columns(expectations) -> list[Column]:
 
 
 def apply_expectations(df: DataFrame, expectations, dataset: str = "dataset",
-                       observe: bool = True):
+                       observe: bool = True, materialize: bool = False):
     """Apply expectations; returns ``(df, metrics)``.
 
     ``metrics`` is an ``Observation`` for a batch frame (filled after the first
     action), or the observation name for a stream (read it from
     ``query.lastProgress['observedMetrics']``), or None when not observed.
+
+    A fail-mode check covers the rows that reach it: a filter applied later
+    to the returned frame may be pushed below the check by the optimizer. The
+    pipelines write each checked table right away; for ad-hoc use,
+    ``materialize=True`` checkpoints the checked batch frame (reliable
+    checkpoint in the shared folder), so every row is checked once.
     """
     expectations = list(expectations)
     if not expectations:
@@ -84,6 +90,10 @@ def apply_expectations(df: DataFrame, expectations, dataset: str = "dataset",
         keep = cond if keep is None else keep & cond
     if keep is not None:
         df = df.filter(keep)
+    if materialize and not df.isStreaming:
+        from strata.session import shared_dir
+        shared_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     return df, metrics
 
 

@@ -378,6 +378,24 @@ def q_sample_bronze_inferred(spark, sf_dir):
     return spark.read.parquet(layout.table("bronze_orders"))
 
 
+def q_json_profiles_round_trip(spark, sf_dir):
+    """SNK-1 then SRC-3: profiles through JSON (customer_id read as INT)."""
+    from strata.session import new_work_path
+    from strata.sinks.writers import write_json
+    from strata.sources.readers import bronze_customer_profiles
+    path = write_json(B.raw_profiles(spark, sf_dir), new_work_path(spark, "profiles_json"), num_files=2)
+    return _public(bronze_customer_profiles(spark, QUERY_CFG, path))
+
+
+def q_json_activity_round_trip(spark, sf_dir):
+    """SNK-1 then SRC-2 (batch form of the activity source)."""
+    from strata.session import new_work_path
+    from strata.sinks.writers import write_json
+    from strata.sources.readers import bronze_customer_activity
+    path = write_json(B.raw_activity(spark, sf_dir), new_work_path(spark, "activity_json"), num_files=3)
+    return _public(bronze_customer_activity(spark, QUERY_CFG, path, stream=False))
+
+
 def _first_choice_split(raw, keys, order_exprs):
     """Split raw rows into (preferred row per key, all other rows) without a window:
     the preferred rows are a keyed aggregate, the rest is ``exceptAll``."""
@@ -492,6 +510,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_product_performance": q_sample_product_performance,
     "top_products": q_top_products,
     "json_round_trip": q_json_round_trip,
+    "json_profiles_round_trip": q_json_profiles_round_trip,
+    "json_activity_round_trip": q_json_activity_round_trip,
     "sample_bronze_inferred": q_sample_bronze_inferred,
     "stream_silver_orders": q_stream_silver_orders,
     "stream_silver_activity": q_stream_silver_activity,
@@ -523,6 +543,8 @@ ORACLE: dict[str, str] = {
     "sample_product_performance": SQL_SAMPLE_PRODUCTS,
     "top_products": SQL_TOP_PRODUCTS,
     "json_round_trip": SQL_JSON_ROUND_TRIP,
+    "json_profiles_round_trip": B.ORACLE_RAW_PROFILES,
+    "json_activity_round_trip": B.ORACLE_RAW_ACTIVITY,
     "sample_bronze_inferred": SQL_SAMPLE_BRONZE,
     "stream_silver_orders": SQL_SILVER_ORDERS,
     "stream_silver_activity": SQL_SILVER_ACTIVITY,

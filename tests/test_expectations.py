@@ -60,3 +60,11 @@ def test_catalogue_business_rules_use_config():
     assert exps[0].predicate == "quantity > 0 AND quantity <= 7"
     assert [e.name for e in catalogue_expectations(PipelineConfig(), "bronze", "format_checks")] == \
         ["valid_order_date", "valid_order_date_format"]
+
+
+def test_materialized_fail_check_runs_eagerly(spark):
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        apply_expectations(frame(spark), [expect_or_fail("pos", "x > 0")], "t", observe=False, materialize=True)
+    ok, _ = apply_expectations(frame(spark).filter("x > 0"), [expect_or_fail("pos", "x > 0")], "t",
+                               observe=False, materialize=True)
+    assert sorted(r.x for r in ok.collect()) == [1, 5]
