@@ -12,6 +12,17 @@ from pyspark.sql import functions as F
 
 from strata.config import PipelineConfig
 
+# Bounds, weights and labels of the derived columns that are not
+# configurable (configurable ones live in PipelineConfig).
+STABILITY_BOUNDS = (0.1, 0.3)                # Low Variance, Medium Variance
+POPULARITY_WEIGHTS = (0.4, 0.6, 100)         # customers, units, divisor
+ENGAGEMENT_WEIGHTS = (1, 5, 10)              # page views, cart adds, purchases
+VINTAGE_DAYS = (90, 365, 730)                # New, Growing, Established (else Veteran)
+CHURN_HIGH = (30, 3)                         # days since activity >, avg engagement <
+CHURN_MEDIUM = (14, 8)
+PURCHASE_VALUE_BOUNDS = (20, 10, 3)          # high_value, medium_value, low_value
+ENGAGEMENT_LEVEL_BOUNDS = (20, 10, 5)        # highly, moderately, lightly engaged
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -56,23 +67,27 @@ def recency_segment(cfg: PipelineConfig, days="days_since_last_order") -> Column
 
 def price_stability(lo="min_price", hi="max_price", avg="avg_price") -> Column:  # SEG-6
     spread = ratio(_c(hi) - _c(lo), avg)
+    low, medium = STABILITY_BOUNDS
     return (F.when(_c(lo) == _c(hi), "Stable")
-             .when(spread <= 0.1, "Low Variance")
-             .when(spread <= 0.3, "Medium Variance").otherwise("High Variance"))
+             .when(spread <= low, "Low Variance")
+             .when(spread <= medium, "Medium Variance").otherwise("High Variance"))
 
 
 def popularity_score(customers="unique_customers", units="total_units_sold") -> Column:  # SEG-7
-    return F.round((_c(customers) * 0.4 + _c(units) * 0.6) / 100, 2)
+    wc, wu, div = POPULARITY_WEIGHTS
+    return F.round((_c(customers) * wc + _c(units) * wu) / div, 2)
 
 
 def engagement_score(views="page_views", carts="cart_adds", buys="purchases") -> Column:  # SEG-8
-    return _c(views) * 1 + _c(carts) * 5 + _c(buys) * 10
+    wv, wc, wb = ENGAGEMENT_WEIGHTS
+    return _c(views) * wv + _c(carts) * wc + _c(buys) * wb
 
 
 def vintage_segment(days="days_since_signup") -> Column:  # SEG-9
     d = _c(days)
-    return (F.when(d <= 90, "New").when(d <= 365, "Growing")
-             .when(d <= 730, "Established").otherwise("Veteran"))
+    new, growing, established = VINTAGE_DAYS
+    return (F.when(d <= new, "New").when(d <= growing, "Growing")
+             .when(d <= established, "Established").otherwise("Veteran"))
 
 
 def guarded_rate(num, den, places: int = 3) -> Column:  # SEG-10, SEG-13
@@ -88,20 +103,22 @@ def consistency_score(active="active_days", last="last_activity_date",
 
 def churn_risk(days="days_since_last_activity", avg="avg_engagement_score") -> Column:  # SEG-15
     d, a = _c(days), _c(avg)
-    return (F.when((d > 30) | (a < 3), "high")
-             .when((d > 14) | (a < 8), "medium").otherwise("low"))
+    return (F.when((d > CHURN_HIGH[0]) | (a < CHURN_HIGH[1]), "high")
+             .when((d > CHURN_MEDIUM[0]) | (a < CHURN_MEDIUM[1]), "medium").otherwise("low"))
 
 
 def purchase_value_segment(purchases="total_purchases") -> Column:  # SEG-16
     p = _c(purchases)
-    return (F.when(p >= 20, "high_value").when(p >= 10, "medium_value")
-             .when(p >= 3, "low_value").otherwise("minimal_value"))
+    high, medium, low = PURCHASE_VALUE_BOUNDS
+    return (F.when(p >= high, "high_value").when(p >= medium, "medium_value")
+             .when(p >= low, "low_value").otherwise("minimal_value"))
 
 
 def engagement_level(avg="avg_engagement_score") -> Column:  # SEG-17
     a = _c(avg)
-    return (F.when(a >= 20, "highly_engaged").when(a >= 10, "moderately_engaged")
-             .when(a >= 5, "lightly_engaged").otherwise("disengaged"))
+    high, moderate, light = ENGAGEMENT_LEVEL_BOUNDS
+    return (F.when(a >= high, "highly_engaged").when(a >= moderate, "moderately_engaged")
+             .when(a >= light, "lightly_engaged").otherwise("disengaged"))
 
 
 def avg_days_between(tenure="customer_tenure_days", orders="total_orders") -> Column:  # SEG-18
