@@ -108,3 +108,12 @@ def test_collect_set_option(spark, json_dir):
     assert sorted(r.locations_visited) == ["A", "B"] and r.unique_locations == 2
     assert "locations_visited" not in FT.gold_features_customer_behavior(df).columns
     assert F is not None
+
+
+def test_repeated_profile_repeats_the_row(spark, json_dir):
+    df, _ = silver(spark, json_dir, [act(1, "2024-02-10T10:00:00", "s1")])
+    prof = spark.createDataFrame([(1, "2023-01-01", "a", "F", "b", "t"), (1, "2023-06-01", "a", "F", "b", "t")],
+                                 "customer_id int, signup_date string, age_group string, gender string, "
+                                 "income_bracket string, loyalty_tier string")
+    sp, _ = FT.silver_customer_profile(prof, CFG, AS_OF)
+    assert FT.ml_feature_table(df, sp, AS_OF).count() == 2

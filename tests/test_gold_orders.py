@@ -92,3 +92,9 @@ def test_sample_edition(spark):
     assert SM.sample_daily_sales(s).count() == 2
     assert {r.customer_id: r.lifetime_value for r in SM.sample_customer_insights(s).collect()} == {1: 5.0, 2: 3.75}
     assert [r.product_id for r in SM.sample_product_performance(s).collect()] == [1, 2]
+
+
+def test_single_row_group_stddev_is_null(spark):
+    rows = [("o1", "c1", D(2024, 1, 1), "p1", "n", "A", 2, 10.0, 20.0)]
+    (r,) = OR.gold_daily_sales(silver(spark, rows), CFG).collect()
+    assert r.order_value_stddev is None and r.avg_order_value == 20.0

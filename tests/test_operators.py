@@ -26,6 +26,9 @@ def test_config(monkeypatch):
     assert PipelineConfig().streaming_options() == {"maxFilesPerTrigger": "1000"}
     assert PipelineConfig(rate_limit="bytes").streaming_options() == {"maxBytesPerTrigger": str(1 << 30)}
     assert PipelineConfig(catalog="c", schema="s").table_name("gold", "daily_sales") == "c.s.gold_daily_sales"
+    props = get_config("prod").table_properties("gold", ["customer_id"])
+    assert props["quality"] == "gold" and props["target_file_size"] == str(256 << 20)
+    assert props["log_retention"] == "interval 90 days"
 
 
 def test_dedup_hot_key_and_nulls(spark):
