@@ -86,3 +86,15 @@ def test_bytes_rate_limit(spark, json_dir, tmp_path):
     rep = run_orders_increment(spark, cfg, str(tmp_path / "raw/*"), lay)
     assert rep["bronze_rows"] == 15
     assert spark.read.parquet(lay.table("silver_orders")).count() == 15
+
+
+def test_stream_write_splits_a_hot_date_and_counts_once(spark, json_dir, tmp_path):
+    import glob
+    rows = [order(f"h{i}") for i in range(60)] + [
+        order(f"c{i}").replace("2024-01-05", f"2024-01-{10 + i % 5:02d}") for i in range(30)]
+    json_dir(rows, name="raw/1")
+    lay = StreamLayout(str(tmp_path / "p"))
+    rep = run_orders_increment(spark, PipelineConfig(), str(tmp_path / "raw/*"), lay)
+    assert rep["expectations"]["total_records"] == 90  # observed once per micro-batch
+    hot = glob.glob(lay.table("silver_orders") + "/order_date=2024-01-05/*.parquet")
+    assert 1 < len(hot) <= 4
