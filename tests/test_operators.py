@@ -82,7 +82,7 @@ def test_sizing_scales_with_input():
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
     small = sizing(20 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
-    assert int(small["spark.sql.files.maxPartitionBytes"]) == 8 << 20
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 << 20
 
 
 def test_rebalanced_write_splits_a_hot_partition_value(spark, tmp_path):
