@@ -9,7 +9,6 @@ Partition pruning on ``order_date`` serves the rolling-window metrics.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,6 +117,16 @@ def update_features(spark: SparkSession, cfg: PipelineConfig, activity_path: str
     return rep
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a Parquet table can be read at ``path`` (any file system)."""
+    from pyspark.errors import AnalysisException
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
 def _changed_months(spark: SparkSession, layout: StreamLayout):
     """Months touched by bronze rows newer than the last gold refresh, and the
     new high-water mark. Old bronze files are skipped by their row-group
@@ -126,12 +135,7 @@ def _changed_months(spark: SparkSession, layout: StreamLayout):
     from strata.functions.dates import parse_date
     state_path = layout.table("_gold_refresh_state")
     bronze = spark.read.parquet(layout.table("bronze_orders"))
-    last = None
-    if os.path.isdir(state_path.replace("file:", "", 1)) or "://" in state_path:
-        try:
-            last = spark.read.parquet(state_path).first()["last_ingestion"]
-        except Exception:  # no state yet
-            last = None
+    last = spark.read.parquet(state_path).first()["last_ingestion"] if table_exists(spark, state_path) else None
     new = bronze if last is None else bronze.filter(F.col("ingestion_timestamp") > F.lit(last))
     d = parse_date("order_date")
     # Bounded by the calendar (one row per month), so it is safe to bring to the driver.
@@ -152,7 +156,7 @@ def refresh_daily_sales(spark: SparkSession, cfg: PipelineConfig, layout: Stream
     from pyspark.sql import functions as F
     months, high, last = _changed_months(spark, layout)
     gold_path = layout.table("gold_daily_sales")
-    first_run = last is None or not os.path.isdir(gold_path.replace("file:", "", 1))
+    first_run = last is None or not table_exists(spark, gold_path)
     if months or first_run:
         silver = spark.read.parquet(layout.table("silver_orders"))
         if not first_run:
