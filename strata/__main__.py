@@ -4,6 +4,7 @@
     python -m strata update-orders --env dev --base /data/dev/raw --tables /data/dev/tables
     python -m strata update-features --env dev --base /data/dev/raw --tables /data/dev/tables
     python -m strata sql --tables /data/dev/tables "SELECT * FROM gold_daily_sales ORDER BY total_revenue DESC LIMIT 10"
+    python -m strata sql --view sales=hdfs:///lake/tables/gold_daily_sales "SELECT count(*) FROM sales"
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def main(argv=None) -> int:
         u.add_argument("--tables", required=True)
         u.add_argument("--as-of", default=None)
     q = sub.add_parser("sql", help="run SQL over written tables (each sub-folder is a view)")
-    q.add_argument("--tables", required=True)
+    q.add_argument("--tables", default=None, help="local pipeline root: every table folder becomes a view")
+    q.add_argument("--view", action="append", default=[], help="name=path, any file system (repeatable)")
     q.add_argument("--limit", type=int, default=20)
     q.add_argument("text")
     args = p.parse_args(argv)
@@ -76,8 +78,12 @@ def main(argv=None) -> int:
         print(json.dumps([{"tables": r.tables, "expectations": r.expectations} for r in reports], default=str))
     else:
         from strata.plans.adhoc import register_paths, run_sql
-        root = args.tables.rstrip("/") + "/tables"
-        register_paths(spark, {os.path.basename(d): d for d in glob.glob(root + "/*") if os.path.isdir(d)})
+        views = dict(v.split("=", 1) for v in args.view)
+        if args.tables:
+            root = args.tables.rstrip("/") + "/tables"
+            views.update({os.path.basename(d): d for d in glob.glob(root + "/*")
+                          if os.path.isdir(d) and not os.path.basename(d).startswith("_")})
+        register_paths(spark, views)
         run_sql(spark, args.text).show(args.limit, truncate=False)
     spark.stop()
     return 0
