@@ -92,6 +92,18 @@ def silver_customers(silver: DataFrame, cfg: PipelineConfig, observe: bool = Fal
     return apply_expectations(df, SILVER_CUSTOMERS_EXPECTATIONS, "silver_customers", observe)[0]
 
 
+def silver_customers_from_insights(insights: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """DS-3 derived from DS-5's per-customer aggregate (same figures: the
+    line-item count is ``total_line_items``), so a pipeline run aggregates
+    silver by customer once instead of twice."""
+    df = (insights.select("customer_id", "first_order_date", "latest_order_date", "total_orders",
+                          "lifetime_value", F.col("total_line_items").alias("total_items_purchased"))
+          .withColumn("customer_tenure_days", F.datediff("latest_order_date", "first_order_date"))
+          .withColumn("customer_segment", S.customer_segment(cfg))
+          .withColumn("updated_timestamp", F.current_timestamp()))
+    return apply_expectations(df, SILVER_CUSTOMERS_EXPECTATIONS, "silver_customers", False)[0]
+
+
 def gold_daily_sales(silver: DataFrame, cfg: PipelineConfig, ordered: bool = True) -> DataFrame:
     """DS-4: per (date, category) sales; "order value" figures are per line item."""
     df = (silver.groupBy("order_date", "category", "order_year", "order_month")

@@ -58,21 +58,33 @@ def run_features_pipeline(spark: SparkSession, bronze_activity: DataFrame, bronz
     rep.expectations["silver_customer_profile"] = metrics_dict(m2)
     act = spark.read.parquet(rep.tables["silver_customer_activity"])
     prof = spark.read.parquet(rep.tables["silver_customer_profile"])
+    _features_gold(spark, rep, layout, cfg, act, prof, as_of)
+    return rep
+
+
+def _features_gold(spark: SparkSession, rep: RunReport, layout: StreamLayout, cfg: PipelineConfig,
+                   act: DataFrame, prof: DataFrame, as_of=None) -> None:
+    """Engagement and behaviour aggregate silver activity; the ML table joins
+    those written per-customer tables to the profiles (no third pass over silver)."""
     _write(rep, layout, "gold_features_customer_engagement", FT.gold_features_customer_engagement(act, as_of), cfg)
     _write(rep, layout, "gold_features_customer_behavior", FT.gold_features_customer_behavior(act), cfg)
-    _write(rep, layout, "gold_ml_feature_table", FT.ml_feature_table(act, prof, as_of), cfg)
-    return rep
+    eng = spark.read.parquet(rep.tables["gold_features_customer_engagement"])
+    beh = spark.read.parquet(rep.tables["gold_features_customer_behavior"])
+    _write(rep, layout, "gold_ml_feature_table", FT.ml_feature_table(act, prof, as_of, eng, beh), cfg)
 
 
 def _orders_gold_from_silver(spark: SparkSession, rep: RunReport, layout: StreamLayout, cfg: PipelineConfig,
                              as_of=None, daily: bool = True) -> None:
     s = spark.read.parquet(rep.tables["silver_orders"])
     check_dataset(s, "critical_data_quality", "count(*) > 0")
-    _write(rep, layout, "silver_customers", OR.silver_customers(s, cfg), cfg, cluster_cols=["customer_id"])
+    # One aggregation of silver by customer serves both customer tables.
+    _write(rep, layout, "gold_customer_insights", OR.gold_customer_insights(s, cfg, as_of), cfg,
+           cluster_cols=["customer_id"])
+    insights = spark.read.parquet(rep.tables["gold_customer_insights"])
+    _write(rep, layout, "silver_customers", OR.silver_customers_from_insights(insights, cfg), cfg)
     if daily:
         _write(rep, layout, "gold_daily_sales", OR.gold_daily_sales(s, cfg, ordered=False), cfg,
                ["order_year", "order_month"], ["order_date", "category"])
-    _write(rep, layout, "gold_customer_insights", OR.gold_customer_insights(s, cfg, as_of), cfg)
     _write(rep, layout, "gold_product_performance", OR.gold_product_performance(s, cfg, ordered=False), cfg,
            cluster_cols=["category", "total_revenue"])
     _write(rep, layout, "gold_real_time_metrics", OR.gold_real_time_metrics(s, cfg, as_of), cfg)
@@ -111,9 +123,7 @@ def update_features(spark: SparkSession, cfg: PipelineConfig, activity_path: str
     rep.expectations["silver_customer_profile"] = metrics_dict(m)
     act = spark.read.parquet(layout.table("silver_customer_activity"))
     prof = spark.read.parquet(rep.tables["silver_customer_profile"])
-    _write(rep, layout, "gold_features_customer_engagement", FT.gold_features_customer_engagement(act, as_of), cfg)
-    _write(rep, layout, "gold_features_customer_behavior", FT.gold_features_customer_behavior(act), cfg)
-    _write(rep, layout, "gold_ml_feature_table", FT.ml_feature_table(act, prof, as_of), cfg)
+    _features_gold(spark, rep, layout, cfg, act, prof, as_of)
     return rep
 
 

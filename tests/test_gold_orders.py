@@ -98,3 +98,16 @@ def test_single_row_group_stddev_is_null(spark):
     rows = [("o1", "c1", D(2024, 1, 1), "p1", "n", "A", 2, 10.0, 20.0)]
     (r,) = OR.gold_daily_sales(silver(spark, rows), CFG).collect()
     assert r.order_value_stddev is None and r.avg_order_value == 20.0
+
+
+def test_silver_customers_from_insights_equals_direct(spark):
+    rows = [("o1", "c1", D(2024, 1, 1), "p1", "n", "A", 2, 10.0, 20.0),
+            ("o1", "c1", D(2024, 1, 1), "p2", "n", "A", 1, 30.0, 30.0),
+            ("o2", "c2", D(2024, 1, 1), "p1", "n", "A", 1, 10.0, 10.0),
+            ("o3", "c1", D(2024, 1, 11), "p1", "n", "B", 3, 10.0, 30.0),
+            ("o4", None, D(2024, 1, 12), "p1", "n", "B", 3, 10.0, 30.0)]
+    s = silver(spark, rows)
+    direct = OR.silver_customers(s, CFG).drop("updated_timestamp")
+    derived = OR.silver_customers_from_insights(OR.gold_customer_insights(s, CFG, "2024-02-01"), CFG)
+    assert sorted(direct.collect()) == sorted(derived.drop("updated_timestamp").collect())
+    assert direct.columns == derived.drop("updated_timestamp").columns
