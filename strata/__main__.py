@@ -75,6 +75,8 @@ def main(argv=None) -> int:
                                                    args.as_of))
             reports.append(run.run_features_pipeline(spark, bronze_customer_activity(spark, cfg, stream=False),
                                                      bronze_customer_profiles(spark, cfg), cfg, lay, args.as_of))
+        for r in reports:
+            run.record_quality(spark, r, lay)
         print(json.dumps([{"tables": r.tables, "expectations": r.expectations} for r in reports], default=str))
     else:
         from strata.plans.adhoc import register_paths, run_sql

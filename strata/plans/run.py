@@ -180,3 +180,29 @@ def refresh_daily_sales(spark: SparkSession, cfg: PipelineConfig, layout: Stream
          .partitionBy("order_year", "order_month").parquet(gold_path))
     high.write.mode("overwrite").parquet(layout.table("_gold_refresh_state"))
     return {"months": sorted(months), "full": first_run}
+
+
+def record_quality(spark: SparkSession, rep: RunReport, layout: StreamLayout, run_label: str | None = None) -> str:
+    """Append this run's expectation metrics to a ``_dq_log`` table (one row per
+    dataset and expectation: total, failed, passed), for monitoring over runs.
+    The rows are a handful of counters per run, built on the driver."""
+    import datetime as _dt
+
+    from pyspark.sql import types as T
+    now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    label = run_label or now.strftime("%Y%m%dT%H%M%S")
+    rows = []
+    for dataset, m in rep.expectations.items():
+        if not isinstance(m, dict) or "total_records" not in m:
+            continue
+        total = int(m["total_records"])
+        for k, v in m.items():
+            if k.startswith("failed_"):
+                rows.append((label, now, dataset, k[len("failed_"):], total, int(v), total - int(v)))
+    schema = T.StructType([T.StructField("run", T.StringType()), T.StructField("recorded_at", T.TimestampNTZType()),
+                           T.StructField("dataset", T.StringType()), T.StructField("expectation", T.StringType()),
+                           T.StructField("total_records", T.LongType()), T.StructField("failed_records", T.LongType()),
+                           T.StructField("passed_records", T.LongType())])
+    path = layout.table("_dq_log")
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    return path

@@ -24,3 +24,6 @@ def test_generate_batch_run_and_sql(tmp_path):
     assert "7_day_rolling" in sql and "daily" in sql
     v = run("sql", "--view", f"p={lake}/tables/gold_features_customer_behavior", "SELECT count(*) AS n FROM p")
     assert "30" in v
+    dq = run("sql", "--view", f"dq={lake}/tables/_dq_log", "SELECT count(*) AS n FROM dq WHERE failed_records > 0")
+    import re
+    assert re.search(r"^\|\s*[1-9][0-9]*\s*\|$", dq, re.M), dq  # some expectation failed rows

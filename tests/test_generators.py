@@ -131,3 +131,17 @@ def test_incremental_daily_sales_refresh(spark, tmp_path):
     assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
     feb = got.filter("order_month = 2").first()
     assert feb.total_items_sold == 5 and feb.total_orders == 2
+
+
+def test_quality_log_over_runs(spark, tmp_path):
+    from strata.plans.run import RunReport, record_quality
+    from strata.streaming.runner import StreamLayout
+    lay = StreamLayout(str(tmp_path / "lake"))
+    rep = RunReport(expectations={"silver_orders": {"total_records": 10, "failed_valid_price": 2,
+                                                    "failed_valid_quantity": 0}})
+    record_quality(spark, rep, lay, "run1")
+    p = record_quality(spark, rep, lay, "run2")
+    log = spark.read.parquet(p)
+    assert log.count() == 4
+    r = log.filter("run = 'run2' AND expectation = 'valid_price'").first()
+    assert (r.total_records, r.failed_records, r.passed_records) == (10, 2, 8)
