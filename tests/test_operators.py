@@ -102,3 +102,28 @@ def test_rebalanced_write_splits_a_hot_partition_value(spark, tmp_path):
     cold_files = glob.glob(f"{p}/d=1/*.parquet")
     assert len(hot_files) > 1 and len(cold_files) >= 1
     assert spark.read.parquet(p).filter("d = 'hot'").count() == 100000
+
+
+def test_small_helpers(spark, tmp_path):
+    from strata.operators.topk import first_rows, sort_by
+    from strata.sinks.writers import preview, row_count
+    from strata.sources.readers import read_table, read_table_stream
+    df = spark.range(50).withColumn("v", (F.col("id") * 7) % 11)
+    assert first_rows(df, 5).count() == 5 and preview(df, 3).count() == 3 and row_count(df) == 50
+    assert [r.v for r in sort_by(df, [F.col("v").desc(), "id"]).limit(2).collect()] == [10, 10]
+    p = str(tmp_path / "t")
+    df.write.parquet(p)
+    assert read_table(spark, p).count() == 50
+    s = read_table_stream(spark, p)
+    assert s.isStreaming and s.columns == ["id", "v"]
+    with pytest.raises(ValueError):
+        parse_bytes("lots")
+
+
+def test_stream_reader_infers_schema_once(spark, tmp_path):
+    from strata.sources.readers import read_json
+    d = tmp_path / "j"
+    d.mkdir()
+    (d / "a.json").write_text('{"order_id": 1, "price": 2.5}\n')
+    s = read_json(spark, str(d), None, stream=True)
+    assert s.isStreaming and dict(s.dtypes) == {"order_id": "bigint", "price": "double"}
