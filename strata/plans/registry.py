@@ -279,6 +279,50 @@ FROM engagement e LEFT JOIN behavior b ON e.customer_id = b.customer_id
 LEFT JOIN silver_profile_seg p ON e.customer_id = p.customer_id"""
 
 
+def q_expect_metrics_activity(spark, sf_dir):
+    """DQ-4 for the activity expectations (DQ-18..22) over the raw activity."""
+    from strata.operators.expectations import SILVER_ACTIVITY_EXPECTATIONS
+    return expectation_metrics(B.raw_activity(spark, sf_dir), SILVER_ACTIVITY_EXPECTATIONS,
+                               "silver_customer_activity")
+
+
+def q_expect_metrics_profiles(spark, sf_dir):
+    """DQ-4 for the profile expectations (DQ-23, 24) over the raw profiles."""
+    from strata.operators.expectations import SILVER_PROFILE_EXPECTATIONS
+    return expectation_metrics(B.raw_profiles(spark, sf_dir), SILVER_PROFILE_EXPECTATIONS,
+                               "silver_customer_profile")
+
+
+def q_silver_customers_derived(spark, sf_dir):
+    """DS-3 as a pipeline run builds it: projected from the customer-insights aggregate."""
+    ins = OR.gold_customer_insights(_silver_orders(spark, sf_dir), QUERY_CFG, ORDERS_AS_OF)
+    return _public(OR.silver_customers_from_insights(ins, QUERY_CFG))
+
+
+SQL_EXPECT_METRICS_ACTIVITY = f"""WITH r AS ({B.ORACLE_RAW_ACTIVITY}),
+m AS (SELECT count(*) AS total_records,
+  count(*) FILTER (WHERE customer_id IS NOT NULL) AS p0,
+  count(*) FILTER (WHERE "timestamp" IS NOT NULL AND "timestamp" != 'invalid-timestamp') AS p1,
+  count(*) FILTER (WHERE page_views >= 0) AS p2,
+  count(*) FILTER (WHERE cart_adds >= 0) AS p3,
+  count(*) FILTER (WHERE purchases >= 0) AS p4
+  FROM r)
+SELECT 'silver_customer_activity' AS dataset, e.expectation, 'drop' AS mode, total_records,
+  CASE e.i WHEN 0 THEN p0 WHEN 1 THEN p1 WHEN 2 THEN p2 WHEN 3 THEN p3 ELSE p4 END AS passed_records,
+  total_records - CASE e.i WHEN 0 THEN p0 WHEN 1 THEN p1 WHEN 2 THEN p2 WHEN 3 THEN p3 ELSE p4 END
+    AS failed_records
+FROM m, (VALUES (0, 'valid_customer_id'), (1, 'valid_timestamp'), (2, 'valid_page_views'),
+  (3, 'valid_cart_adds'), (4, 'valid_purchases')) AS e(i, expectation)"""
+
+SQL_EXPECT_METRICS_PROFILES = f"""WITH r AS ({B.ORACLE_RAW_PROFILES}),
+m AS (SELECT count(*) AS total_records, count(*) FILTER (WHERE customer_id IS NOT NULL) AS p0,
+  count(*) FILTER (WHERE signup_date IS NOT NULL) AS p1 FROM r)
+SELECT 'silver_customer_profile' AS dataset, e.expectation, 'drop' AS mode, total_records,
+  CASE e.i WHEN 0 THEN p0 ELSE p1 END AS passed_records,
+  total_records - CASE e.i WHEN 0 THEN p0 ELSE p1 END AS failed_records
+FROM m, (VALUES (0, 'valid_customer_profile_id'), (1, 'valid_signup_date')) AS e(i, expectation)"""
+
+
 # ---------------------------------------------------------------- sample edition
 
 def _sample_silver(spark, sf_dir):
@@ -406,6 +450,41 @@ def _first_choice_split(raw, keys, order_exprs):
     return first, raw.exceptAll(first)
 
 
+def _orders_first_and_rest(spark, sf_dir):
+    """Raw JSON orders split into the row the batch dedup keeps per key and all others."""
+    from strata.functions.dates import parse_date
+    raw = _json_orders(B.raw_orders(spark, sf_dir))
+    return _first_choice_split(raw, OR.ORDER_KEYS, [
+        F.col("quantity"), F.col("price"), F.coalesce(F.col("status"), F.lit("unknown")),
+        F.col("customer_id").cast("string"), parse_date("order_date"),
+        F.coalesce(F.col("product_name"), F.lit("unknown")),
+        F.coalesce(F.col("category"), F.lit("uncategorized"))])
+
+
+def q_gold_daily_sales_incremental(spark, sf_dir):
+    """STR-4 + incremental gold: three triggered updates, daily sales refreshed
+    only for the months each update touches; the result must equal the table
+    computed in full. Run 1: kept rows dated before 1998; run 2: kept rows from
+    1998 on; run 3: every other duplicate (rejected by the dedup state)."""
+    from strata.plans.run import refresh_daily_sales
+    from strata.session import new_work_path
+    from strata.sinks.writers import write_json
+    from strata.streaming.runner import StreamLayout, run_orders_increment
+    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=4)
+    root = new_work_path(spark, "orders_incremental")
+    layout = StreamLayout(root)
+    first, rest = _orders_first_and_rest(spark, sf_dir)
+    early = F.coalesce(F.col("order_date") < F.lit("1998-01-01"), F.lit(False))
+    for i, part in enumerate([first.filter(early), first.filter(~early), rest], start=1):
+        write_json(part, f"{root}/orders_raw/run{i}", num_files=2)
+        run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
+        refresh_daily_sales(spark, cfg, layout)
+    gold = spark.read.parquet(layout.table("gold_daily_sales"))
+    cols = [c for c in OR.gold_daily_sales(spark.read.parquet(layout.table("silver_orders")), cfg,
+                                           ordered=False).columns]
+    return _public(gold.select(*cols), {"order_value_stddev"})
+
+
 def q_stream_silver_orders(spark, sf_dir):
     """STR-1/2/4/5/6: two triggered runs of bronze -> silver orders.
 
@@ -414,19 +493,13 @@ def q_stream_silver_orders(spark, sf_dir):
     rows of the duplicated keys, which the stream's dedup state rejects. The
     result must equal the batch silver table.
     """
-    from strata.functions.dates import parse_date
     from strata.session import new_work_path
     from strata.sinks.writers import write_json
     from strata.streaming.runner import StreamLayout, run_orders_increment
     cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2)
     root = new_work_path(spark, "orders_stream")
     layout = StreamLayout(root)
-    raw = _json_orders(B.raw_orders(spark, sf_dir))
-    first, rest = _first_choice_split(raw, OR.ORDER_KEYS, [
-        F.col("quantity"), F.col("price"), F.coalesce(F.col("status"), F.lit("unknown")),
-        F.col("customer_id").cast("string"), parse_date("order_date"),
-        F.coalesce(F.col("product_name"), F.lit("unknown")),
-        F.coalesce(F.col("category"), F.lit("uncategorized"))])
+    first, rest = _orders_first_and_rest(spark, sf_dir)
     write_json(first, f"{root}/orders_raw/run1", num_files=6)
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
     write_json(rest, f"{root}/orders_raw/run2", num_files=2)
@@ -489,9 +562,12 @@ SQL_GEN_ACTIVITY = gen_activity_sql("SELECT CAST(c_custkey AS BIGINT) AS custome
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expect_metrics": q_expect_metrics,
+    "expect_metrics_activity": q_expect_metrics_activity,
+    "expect_metrics_profiles": q_expect_metrics_profiles,
     "expect_or_drop_orders": q_expect_or_drop_orders,
     "silver_orders": q_silver_orders,
     "silver_customers": q_silver_customers,
+    "silver_customers_derived": q_silver_customers_derived,
     "gold_daily_sales": q_gold_daily_sales,
     "gold_customer_insights": q_gold_customer_insights,
     "gold_product_performance": q_gold_product_performance,
@@ -515,6 +591,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_bronze_inferred": q_sample_bronze_inferred,
     "stream_silver_orders": q_stream_silver_orders,
     "stream_silver_activity": q_stream_silver_activity,
+    "gold_daily_sales_incremental": q_gold_daily_sales_incremental,
     "gen_orders": q_gen_orders,
     "gen_profiles": q_gen_profiles,
     "gen_activity": q_gen_activity,
@@ -522,9 +599,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "expect_metrics": SQL_EXPECT_METRICS,
+    "expect_metrics_activity": SQL_EXPECT_METRICS_ACTIVITY,
+    "expect_metrics_profiles": SQL_EXPECT_METRICS_PROFILES,
     "expect_or_drop_orders": SQL_EXPECT_OR_DROP,
     "silver_orders": SQL_SILVER_ORDERS,
     "silver_customers": SQL_SILVER_CUSTOMERS,
+    "silver_customers_derived": SQL_SILVER_CUSTOMERS,
     "gold_daily_sales": SQL_GOLD_DAILY_SALES,
     "gold_customer_insights": SQL_GOLD_CUSTOMER_INSIGHTS,
     "gold_product_performance": SQL_GOLD_PRODUCT_PERFORMANCE,
@@ -548,6 +628,7 @@ ORACLE: dict[str, str] = {
     "sample_bronze_inferred": SQL_SAMPLE_BRONZE,
     "stream_silver_orders": SQL_SILVER_ORDERS,
     "stream_silver_activity": SQL_SILVER_ACTIVITY,
+    "gold_daily_sales_incremental": SQL_GOLD_DAILY_SALES,
     "gen_orders": SQL_GEN_ORDERS,
     "gen_profiles": SQL_GEN_PROFILES,
     "gen_activity": SQL_GEN_ACTIVITY,
