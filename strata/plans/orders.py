@@ -1,8 +1,9 @@
 """Orders pipeline: DS-2 silver orders, DS-3 silver customers, DS-4..7 gold.
 
-Every dataset is a plain function over DataFrames; the same ``clean_orders``
-row transform serves the batch and the streaming silver table. Audit columns
-use ``current_timestamp()``; the run date is ``as_of`` (None = today).
+Every dataset is a plain function over DataFrames; the same row transforms
+(``normalize_orders`` before the dedup, ``derive_order_columns`` after it)
+serve the batch and the streaming silver table. Audit columns use
+``current_timestamp()``; the run date is ``as_of`` (None = today).
 """
 
 from __future__ import annotations

@@ -1,4 +1,9 @@
-"""Batch runs of both pipelines: every dataset written as a table.
+"""Runs of both pipelines: every dataset written as a table.
+
+``run_*_pipeline`` run everything in batch; ``update_*`` are triggered
+updates (new files streamed into bronze and silver, then gold in batch, with
+``gold_daily_sales`` refreshed only for the months the update touched);
+``record_quality`` appends the run's expectation metrics to a log table.
 
 Silver is materialised once (partitioned Parquet under the shared folder) and
 every gold table reads it back: the gold scans share one cleaned, deduplicated
