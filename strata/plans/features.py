@@ -174,21 +174,23 @@ _PROFILE_FEATURES = ["customer_id", "age_group", "gender", "income_bracket", "lo
                      "days_since_signup", "customer_vintage_segment"]
 
 
-def ml_feature_table(silver_activity: DataFrame, silver_profile: DataFrame, as_of=None,
-                     engagement: DataFrame | None = None, behavior: DataFrame | None = None) -> DataFrame:
+def ml_feature_table(silver_activity: DataFrame | None, silver_profile: DataFrame, as_of=None,
+                     engagement: DataFrame | None = None, behavior: DataFrame | None = None,
+                     features: DataFrame | None = None) -> DataFrame:
     """DS-14: engagement ⟕ behaviour ⟕ profile, with churn/value/engagement labels.
 
-    Without precomputed inputs the engagement and behaviour sides come from
-    one aggregate (they share the key and the customer set, so the left join
+    ``features`` may be a written ``customer_activity_aggregate``. Without
+    precomputed inputs the engagement and behaviour sides come from one aggregate (they share the key and the customer set, so the left join
     between them is 1:1). The profile join (JOIN-3) is a left equi-join; Spark
     broadcasts the profile side only when its measured size is under the
     broadcast threshold and otherwise shuffles both sides on customer_id.
     Profiles are not deduplicated, so a repeated profile repeats the row.
     """
-    if engagement is None or behavior is None:
-        features = customer_activity_aggregate(silver_activity, as_of)
-    else:
-        features = engagement.join(behavior, "customer_id", "left")
+    if features is None:
+        if engagement is None or behavior is None:
+            features = customer_activity_aggregate(silver_activity, as_of)
+        else:
+            features = engagement.join(behavior, "customer_id", "left")
     profile = silver_profile.select(*_PROFILE_FEATURES)
     return (features.join(profile, "customer_id", "left")
             .withColumn("feature_timestamp", F.current_timestamp())

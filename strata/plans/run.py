@@ -69,13 +69,15 @@ def run_features_pipeline(spark: SparkSession, bronze_activity: DataFrame, bronz
 
 def _features_gold(spark: SparkSession, rep: RunReport, layout: StreamLayout, cfg: PipelineConfig,
                    act: DataFrame, prof: DataFrame, as_of=None) -> None:
-    """Engagement and behaviour aggregate silver activity; the ML table joins
-    those written per-customer tables to the profiles (no third pass over silver)."""
-    _write(rep, layout, "gold_features_customer_engagement", FT.gold_features_customer_engagement(act, as_of), cfg)
-    _write(rep, layout, "gold_features_customer_behavior", FT.gold_features_customer_behavior(act), cfg)
-    eng = spark.read.parquet(rep.tables["gold_features_customer_engagement"])
-    beh = spark.read.parquet(rep.tables["gold_features_customer_behavior"])
-    _write(rep, layout, "gold_ml_feature_table", FT.ml_feature_table(act, prof, as_of, eng, beh), cfg)
+    """One aggregation of silver activity by customer (engagement, device
+    counts, locations) is written once; the engagement and behaviour tables are
+    projections of it and the ML table joins it to the profiles."""
+    _write(rep, layout, "_customer_activity_features", FT.customer_activity_aggregate(act, as_of), cfg,
+           cluster_cols=["customer_id"])
+    feats = spark.read.parquet(rep.tables["_customer_activity_features"])
+    _write(rep, layout, "gold_features_customer_engagement", feats.select(*FT.ENGAGEMENT_COLUMNS), cfg)
+    _write(rep, layout, "gold_features_customer_behavior", feats.select(*FT.BEHAVIOR_COLUMNS), cfg)
+    _write(rep, layout, "gold_ml_feature_table", FT.ml_feature_table(None, prof, as_of, features=feats), cfg)
 
 
 def _orders_gold_from_silver(spark: SparkSession, rep: RunReport, layout: StreamLayout, cfg: PipelineConfig,

@@ -117,3 +117,14 @@ def test_repeated_profile_repeats_the_row(spark, json_dir):
                                  "income_bracket string, loyalty_tier string")
     sp, _ = FT.silver_customer_profile(prof, CFG, AS_OF)
     assert FT.ml_feature_table(df, sp, AS_OF).count() == 2
+
+
+def test_projections_of_the_fused_aggregate_equal_the_tables(spark, json_dir):
+    lines = [act(c, f"2024-02-0{d}T1{d}:00:00", f"s{c}{d}", device=dev, loc=f"L{d % 3}", pu=d % 2)
+             for c in (1, 2, 3) for d, dev in zip(range(1, 8), ["mobile", "desktop", "tablet"] * 3)]
+    df, _ = silver(spark, json_dir, lines)
+    feats = FT.customer_activity_aggregate(df, AS_OF)
+    assert sorted(feats.select(*FT.ENGAGEMENT_COLUMNS).collect()) == \
+        sorted(FT.gold_features_customer_engagement(df, AS_OF).collect())
+    assert sorted(feats.select(*FT.BEHAVIOR_COLUMNS).collect()) == \
+        sorted(FT.gold_features_customer_behavior(df).collect())
