@@ -18,9 +18,9 @@ from strata.operators.expectations import expectation_metrics, silver_orders_exp
 from strata.plans import features as FT
 from strata.plans import orders as OR
 from strata.plans import sample as SM
-from strata.plans.oracle_sql import (BEHAVIOR_CTE, engagement_cte, gen_activity_sql, gen_orders_sql,
-                                     gen_profiles_sql, silver_activity_cte, silver_orders_cte, silver_profile_cte,
-                                     sround)
+from strata.plans.oracle_sql import (BEHAVIOR_CTE, ORACLE_RAW_ACTIVITY, ORACLE_RAW_ORDERS, ORACLE_RAW_PROFILES,
+                                     engagement_cte, gen_activity_sql, gen_orders_sql, gen_profiles_sql,
+                                     silver_activity_cte, silver_orders_cte, silver_profile_cte, sround)
 from strata.sources import bindings as B
 
 # Fixed run dates of the checks (the test tables' own calendars).
@@ -91,7 +91,7 @@ _SO = silver_orders_cte(QUERY_CFG.max_quantity, QUERY_CFG.max_price)
 
 SQL_SILVER_ORDERS = f"WITH {_SO} SELECT * FROM silver_orders"
 
-SQL_EXPECT_OR_DROP = f"""WITH raw_orders AS ({B.ORACLE_RAW_ORDERS}),
+SQL_EXPECT_OR_DROP = f"""WITH raw_orders AS ({ORACLE_RAW_ORDERS}),
 c AS (SELECT *, CAST(TRY_STRPTIME(order_date, '%Y-%m-%d') AS DATE) AS d,
   CASE WHEN price <= 10.0 THEN 'Low' WHEN price <= 100.0 THEN 'Medium' ELSE 'High' END AS price_tier
   FROM raw_orders)
@@ -106,7 +106,7 @@ WHERE order_id IS NOT NULL AND length(trim(order_id)) > 0
   AND regexp_matches(CAST(d AS VARCHAR), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')
 GROUP BY 1, 2"""
 
-SQL_EXPECT_METRICS = f"""WITH raw_orders AS ({B.ORACLE_RAW_ORDERS}),
+SQL_EXPECT_METRICS = f"""WITH raw_orders AS ({ORACLE_RAW_ORDERS}),
 c AS (SELECT *, CAST(TRY_STRPTIME(order_date, '%Y-%m-%d') AS DATE) AS d FROM raw_orders),
 m AS (SELECT count(*) AS total_records,
   count(*) FILTER (WHERE order_id IS NOT NULL AND length(trim(order_id)) > 0) AS p0,
@@ -299,7 +299,7 @@ def q_silver_customers_derived(spark, sf_dir):
     return _public(OR.silver_customers_from_insights(ins, QUERY_CFG))
 
 
-SQL_EXPECT_METRICS_ACTIVITY = f"""WITH r AS ({B.ORACLE_RAW_ACTIVITY}),
+SQL_EXPECT_METRICS_ACTIVITY = f"""WITH r AS ({ORACLE_RAW_ACTIVITY}),
 m AS (SELECT count(*) AS total_records,
   count(*) FILTER (WHERE customer_id IS NOT NULL) AS p0,
   count(*) FILTER (WHERE "timestamp" IS NOT NULL AND "timestamp" != 'invalid-timestamp') AS p1,
@@ -314,7 +314,7 @@ SELECT 'silver_customer_activity' AS dataset, e.expectation, 'drop' AS mode, tot
 FROM m, (VALUES (0, 'valid_customer_id'), (1, 'valid_timestamp'), (2, 'valid_page_views'),
   (3, 'valid_cart_adds'), (4, 'valid_purchases')) AS e(i, expectation)"""
 
-SQL_EXPECT_METRICS_PROFILES = f"""WITH r AS ({B.ORACLE_RAW_PROFILES}),
+SQL_EXPECT_METRICS_PROFILES = f"""WITH r AS ({ORACLE_RAW_PROFILES}),
 m AS (SELECT count(*) AS total_records, count(*) FILTER (WHERE customer_id IS NOT NULL) AS p0,
   count(*) FILTER (WHERE signup_date IS NOT NULL) AS p1 FROM r)
 SELECT 'silver_customer_profile' AS dataset, e.expectation, 'drop' AS mode, total_records,
@@ -357,7 +357,7 @@ def q_top_products(spark, sf_dir):
                           "ORDER BY total_revenue DESC, order_date, category LIMIT 10")
 
 
-SQL_SAMPLE_SILVER = f"""WITH raw_orders AS ({B.ORACLE_RAW_ORDERS}),
+SQL_SAMPLE_SILVER = f"""WITH raw_orders AS ({ORACLE_RAW_ORDERS}),
 s AS (SELECT category, CAST(customer_id AS BIGINT) AS customer_id,
   CAST(TRY_STRPTIME(order_date, '%Y-%m-%d') AS DATE) AS order_date, CAST(order_id AS BIGINT) AS order_id,
   price, CAST(product_id AS BIGINT) AS product_id, product_name, CAST(quantity AS BIGINT) AS quantity,
@@ -525,11 +525,11 @@ def q_stream_silver_activity(spark, sf_dir):
     return _public(out.select(*[c for c in _silver_activity(spark, sf_dir).columns]))
 
 
-SQL_JSON_ROUND_TRIP = B.ORACLE_RAW_ORDERS
+SQL_JSON_ROUND_TRIP = ORACLE_RAW_ORDERS
 
 SQL_SAMPLE_BRONZE = f"""SELECT category, CAST(customer_id AS BIGINT) AS customer_id, order_date,
   CAST(order_id AS BIGINT) AS order_id, price, CAST(product_id AS BIGINT) AS product_id, product_name,
-  CAST(quantity AS BIGINT) AS quantity, status FROM ({B.ORACLE_RAW_ORDERS})"""
+  CAST(quantity AS BIGINT) AS quantity, status FROM ({ORACLE_RAW_ORDERS})"""
 
 
 # ---------------------------------------------------------------- generators (seeded by table keys)
@@ -623,8 +623,8 @@ ORACLE: dict[str, str] = {
     "sample_product_performance": SQL_SAMPLE_PRODUCTS,
     "top_products": SQL_TOP_PRODUCTS,
     "json_round_trip": SQL_JSON_ROUND_TRIP,
-    "json_profiles_round_trip": B.ORACLE_RAW_PROFILES,
-    "json_activity_round_trip": B.ORACLE_RAW_ACTIVITY,
+    "json_profiles_round_trip": ORACLE_RAW_PROFILES,
+    "json_activity_round_trip": ORACLE_RAW_ACTIVITY,
     "sample_bronze_inferred": SQL_SAMPLE_BRONZE,
     "stream_silver_orders": SQL_SILVER_ORDERS,
     "stream_silver_activity": SQL_SILVER_ACTIVITY,

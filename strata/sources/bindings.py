@@ -97,37 +97,3 @@ def as_bronze(df: DataFrame) -> DataFrame:
     return (df.withColumn("ingestion_timestamp", F.current_timestamp())
               .withColumn("source_file", F.lit(None).cast("string")))
 
-
-# SQL text of the same bindings for the DuckDB oracle (FIXTURES.md §4).
-ORACLE_RAW_ORDERS = """
-SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
-  CASE WHEN l_orderkey % 20 = 7 THEN 'invalid-date' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS order_date,
-  CASE WHEN (l_orderkey + l_partkey) % 33 = 5 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS product_id,
-  p_name AS product_name, p_type AS category, CAST(l_quantity AS INTEGER) AS quantity,
-  CAST(p_size AS DOUBLE) * CAST(2.5 AS DOUBLE) + CAST(l_linenumber % 4 AS DOUBLE) * CAST(0.5 AS DOUBLE) AS price,
-  CASE WHEN l_orderkey % 4 = 3 THEN NULL ELSE o_orderstatus END AS status
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-"""
-
-ORACLE_RAW_ACTIVITY = """
-SELECT CAST(user_id AS INTEGER) AS customer_id,
-  CASE WHEN event_id % 40 = 11 THEN 'invalid-timestamp' ELSE CAST(ts AS VARCHAR) END AS "timestamp",
-  CASE WHEN event_id % 60 = 17 THEN -1 ELSE CAST(1 + event_id % 5 AS INTEGER) END AS page_views,
-  CASE WHEN event_type IN ('click', 'purchase') THEN CAST(1 + event_id % 2 AS INTEGER) ELSE 0 END AS cart_adds,
-  CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS purchases,
-  CASE event_id % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' ELSE 'tablet' END AS device,
-  concat('city_', CAST(event_id % 8 AS VARCHAR)) AS location, CAST(event_id AS VARCHAR) AS session_id
-FROM events
-"""
-
-ORACLE_RAW_PROFILES = """
-SELECT CAST(c_custkey AS INTEGER) AS customer_id,
-  CASE WHEN c_custkey % 50 = 3 THEN NULL
-       ELSE CAST(DATE '2024-02-01' - CAST(c_custkey % 1095 AS INTEGER) AS VARCHAR) END AS signup_date,
-  concat('age_', CAST(c_nationkey % 6 AS VARCHAR)) AS age_group,
-  CASE c_custkey % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'F' ELSE 'Other' END AS gender,
-  CASE WHEN c_acctbal < 2500 THEN '25k-50k' WHEN c_acctbal < 5000 THEN '50k-75k'
-       WHEN c_acctbal < 7500 THEN '75k-100k' ELSE '100k+' END AS income_bracket,
-  c_mktsegment AS loyalty_tier
-FROM customer
-"""
