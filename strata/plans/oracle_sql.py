@@ -10,9 +10,7 @@ Conventions that make the two engines agree value for value:
 
 from __future__ import annotations
 
-
-
-# SQL text of the same bindings for the DuckDB oracle (FIXTURES.md §4, the Spark side is strata/sources/bindings.py).
+# The raw-input bindings as SQL (FIXTURES.md §4; the Spark side is strata/sources/bindings.py).
 ORACLE_RAW_ORDERS = """
 SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
   CASE WHEN l_orderkey % 20 = 7 THEN 'invalid-date' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS order_date,
