@@ -7,8 +7,11 @@ from pyspark.sql import types as T
 _TYPES = {"STRING": T.StringType, "INT": T.IntegerType, "DOUBLE": T.DoubleType}
 
 
-def build_schema(spec) -> T.StructType:
-    """Spec rows are (name, type, nullable); only STRING, INT and DOUBLE are accepted."""
+def build_schema(spec=None) -> T.StructType:
+    """Spec rows are (name, type, nullable); only STRING, INT and DOUBLE are accepted.
+    Without a spec, the raw orders schema."""
+    if spec is None:
+        spec = ORDERS_SPEC
     fields = []
     for name, type_name, nullable in spec:
         factory = _TYPES.get(str(type_name).upper())

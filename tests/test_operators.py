@@ -9,6 +9,14 @@ from strata.sinks.writers import cluster_columns, records_per_file, write_json,
 from strata.sources.schemas import ORDERS_SCHEMA, build_schema
 
 
+def test_familiar_helper_names():
+    cfg = get_config("dev")
+    assert cfg.get_table_name("silver", "orders") == cfg.table_name("silver", "orders")
+    assert cfg.get_streaming_options() == {"maxFilesPerTrigger": "100"}
+    assert cfg.get_gold_table_properties(["a", "b"])["cluster_cols"] == "a,b"
+    assert build_schema() == ORDERS_SCHEMA
+
+
 def test_schema_spec():
     with pytest.raises(ValueError, match="Unsupported column type: DATE"):
         build_schema([("d", "DATE", True)])
