@@ -26,3 +26,15 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0 and "total_revenue" in df.columns
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_query_types_match_oracle(spark, con, name):
+    spark_types = dict(queries()[name](spark, SF).dtypes)
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {oracle_sql()[name]}").fetchall()}
+    diffs = {c: (t, duck_types.get(c)) for c, t in spark_types.items() if SPARK_TO_DUCK.get(t, t) != duck_types.get(c)}
+    assert not diffs
