@@ -1,7 +1,7 @@
 """Run a registered query on Spark and its oracle SQL on DuckDB; compare results.
 
-Row count, column names and the multiset of rows (order-insensitive) must all
-be equal. Usable as a script: ``python tests/oracle_compare.py [sf_dir] [names...]``.
+Row count, column names, column types (Spark type mapped to DuckDB's) and the
+multiset of rows (order-insensitive) must all be equal. Usable as a script: ``python tests/oracle_compare.py [sf_dir] [names...]``.
 """
 
 from __future__ import annotations
@@ -53,9 +53,19 @@ def compare(spark, sf_dir: str, name: str, query, sql: str, con=None) -> tuple[b
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
+    spark_to_duck = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                     "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+    d_types = {c[0]: str(c[1]) for c in res.description}
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark-only={sorted(set(s_cols)-set(d_cols))} " \
                       f"duck-only={sorted(set(d_cols)-set(s_cols))}"
+    try:
+        typed = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    except Exception:  # DESCRIBE of a complex query may fail; fall back to the cursor types
+        typed = d_types
+    wrong = {c: (t, typed.get(c)) for c, t in df.dtypes if spark_to_duck.get(t, t) != typed.get(c)}
+    if wrong:
+        return False, f"types differ: {wrong}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} duck={len(d_rows)}"
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
