@@ -22,7 +22,7 @@ from strata.config import PipelineConfig
 from strata.operators.expectations import check_dataset, metrics_dict
 from strata.plans import features as FT
 from strata.plans import orders as OR
-from strata.sinks.writers import clustered, write_table
+from strata.sinks.writers import clustered, write_table, write_table_info
 from strata.streaming.runner import StreamLayout
 
 
@@ -32,9 +32,34 @@ class RunReport:
     expectations: dict[str, dict] = field(default_factory=dict)
 
 
+# Table descriptions stored with each written table.
+COMMENTS = {
+    "silver_orders": "Order lines after expectations, one row per (order_id, product_id)",
+    "silver_customers": "Per-customer first/latest order, lifetime value and value segment",
+    "gold_daily_sales": "Line-item sales per day and category",
+    "gold_customer_insights": "Per-customer order behaviour with frequency, value and recency segments",
+    "gold_product_performance": "Per-product sales, popularity and price stability",
+    "gold_real_time_metrics": "Today's and the trailing 7-day operational figures",
+    "silver_customer_activity": "Sessions after expectations, one row per (customer_id, session_id)",
+    "silver_customer_profile": "Customer profiles with signup age and vintage segment",
+    "gold_features_customer_engagement": "Per-customer engagement features",
+    "gold_features_customer_behavior": "Per-customer device and location features",
+    "gold_ml_feature_table": "Model-ready customer features with churn, value and engagement labels",
+}
+
+
+def _layer(name: str) -> str:
+    return name.split("_", 1)[0] if name.split("_", 1)[0] in ("bronze", "silver", "gold") else "internal"
+
+
 def _write(report: RunReport, layout: StreamLayout, name: str, df: DataFrame, cfg: PipelineConfig,
            partition_cols=(), cluster_cols=()) -> str:
-    path = write_table(df, layout.table(name), partition_cols, cluster_cols, cfg.target_file_size_bytes)
+    props = None
+    if name in COMMENTS:
+        props = cfg.table_properties(_layer(name), list(cluster_cols))
+        props["partition_cols"] = ",".join(partition_cols)
+    path = write_table(df, layout.table(name), partition_cols, cluster_cols, cfg.target_file_size_bytes,
+                       comment=COMMENTS.get(name), properties=props)
     report.tables[name] = path
     return path
 
@@ -185,6 +210,10 @@ def refresh_daily_sales(spark: SparkSession, cfg: PipelineConfig, layout: Stream
         (clustered(daily, ["order_date", "category"], ["order_year", "order_month"])
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if not first_run else "static")
          .partitionBy("order_year", "order_month").parquet(gold_path))
+        if first_run:
+            props = cfg.table_properties("gold", ["order_date", "category"])
+            props["partition_cols"] = "order_year,order_month"
+            write_table_info(spark, gold_path, COMMENTS["gold_daily_sales"], props)
     high.write.mode("overwrite").parquet(layout.table("_gold_refresh_state"))
     return {"months": sorted(months), "full": first_run}
 

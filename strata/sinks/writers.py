@@ -74,8 +74,9 @@ def stream_clustered(df: DataFrame, partition_cols, fanout: int = 4, salt_cols=(
 
 def write_table(df: DataFrame, path: str, partition_cols=(), cluster_cols=(),
                 target_file_size_bytes: int | None = None, mode: str = "overwrite",
-                fmt: str = "parquet") -> str:
-    """SNK-2/3/4/5: persist a dataset."""
+                fmt: str = "parquet", comment: str | None = None,
+                properties: dict | None = None) -> str:
+    """SNK-2/3/4/5: persist a dataset (with an optional comment and properties)."""
     if cluster_cols or partition_cols:
         df = clustered(df, cluster_cols, partition_cols)
     w = df.write.mode(mode).format(fmt)
@@ -84,9 +85,27 @@ def write_table(df: DataFrame, path: str, partition_cols=(), cluster_cols=(),
     if target_file_size_bytes:
         w = w.option("maxRecordsPerFile", records_per_file(df, target_file_size_bytes))
     w.save(path)
+    if comment is not None or properties:
+        write_table_info(df.sparkSession, path, comment, properties)
     return path
 
 
+def write_table_info(spark, path: str, comment: str | None, properties: dict | None = None) -> None:
+    """Table comment and properties as a one-row JSON sidecar in ``<path>/_table_info``
+    (readers of the table skip ``_``-prefixed folders)."""
+    import json as _json
+    row = [(comment or "", _json.dumps(properties or {}, sort_keys=True))]
+    (spark.createDataFrame(row, "comment string, properties string").coalesce(1)
+     .write.mode("overwrite").json(f"{path}/_table_info"))
+
+
+def table_info(spark, path: str) -> dict:
+    """Read a table's comment and properties written by ``write_table``."""
+    import json as _json
+    r = spark.read.schema("comment string, properties string").json(f"{path}/_table_info").first()
+    return {"comment": r["comment"], "properties": _json.loads(r["properties"])} if r else {}
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite", num_files: int | None = None) -> str:
     """SNK-1: JSON lines (NULL fields are left out of each line)."""
     if num_files:

@@ -63,6 +63,10 @@ def test_generated_data_through_both_pipelines(spark, tmp_path):
     rep = run_orders_pipeline(spark, bronze_orders(spark, cfg, stream=False), cfg, lay, AS_OF)
     m = rep.expectations["silver_orders"]
     assert m["failed_valid_order_date"] > 0 and m["failed_valid_product_id"] > 0
+    from strata.sinks.writers import table_info
+    info = table_info(spark, rep.tables["gold_daily_sales"])
+    assert info["properties"]["quality"] == "gold" and info["properties"]["partition_cols"] == "order_year,order_month"
+    assert table_info(spark, rep.tables["silver_orders"])["comment"].startswith("Order lines")
     gold = spark.read.parquet(rep.tables["gold_real_time_metrics"]).collect()
     assert {r.metric_type for r in gold} == {"daily", "7_day_rolling"}
     rep2 = run_features_pipeline(spark, bronze_customer_activity(spark, cfg, stream=False),
@@ -86,6 +90,8 @@ def test_triggered_updates_end_to_end(spark, tmp_path):
     n1 = spark.read.parquet(r1.tables["silver_orders"]).count()
     write_json(generate_orders(spark, spark.range(301, 401), AS_OF), cfg.orders_source_path + "/day2")
     r2 = update_orders(spark, cfg, cfg.orders_source_path + "/*", lay, AS_OF)
+    from strata.sinks.writers import table_info
+    assert table_info(spark, r2.tables["gold_daily_sales"])["properties"]["quality"] == "gold"
     n2 = spark.read.parquet(r2.tables["silver_orders"]).count()
     assert 0 < n1 < n2
     daily = spark.read.parquet(r2.tables["gold_daily_sales"])

@@ -135,3 +135,12 @@ def test_stream_reader_infers_schema_once(spark, tmp_path):
     (d / "a.json").write_text('{"order_id": 1, "price": 2.5}\n')
     s = read_json(spark, str(d), None, stream=True)
     assert s.isStreaming and dict(s.dtypes) == {"order_id": "bigint", "price": "double"}
+
+
+def test_table_comment_and_properties(spark, tmp_path):
+    from strata.sinks.writers import table_info
+    df = spark.range(10).withColumn("d", (F.col("id") % 2).cast("string"))
+    p = write_table(df, str(tmp_path / "t"), ["d"], comment="ten rows", properties={"quality": "gold"})
+    assert table_info(spark, p) == {"comment": "ten rows", "properties": {"quality": "gold"}}
+    back = spark.read.parquet(p)
+    assert back.count() == 10 and sorted(back.columns) == ["d", "id"]  # the sidecar is not part of the table
