@@ -35,10 +35,16 @@ class StreamLayout:
         return f"{self.root}/checkpoints/{name}"
 
 
-def run_to_completion(query) -> list[dict]:
-    """Wait for an availableNow query; re-raise its failure; return its progress."""
+def run_to_completion(query, timeout_s: float | None = None) -> list[dict]:
+    """Wait for an availableNow query; re-raise its failure; return its progress.
+    With ``timeout_s`` a query still running after that long is stopped and
+    reported as a failure (its committed batches stay committed)."""
     try:
-        query.awaitTermination()
+        if timeout_s is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout_s):
+            query.stop()
+            raise TimeoutError(f"Streaming query {query.name or query.id} still running after {timeout_s}s")
     except StreamingQueryException as e:
         raise RuntimeError(f"Streaming query {query.name or query.id} failed: {e}") from e
     exc = query.exception()

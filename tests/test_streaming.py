@@ -98,3 +98,13 @@ def test_stream_write_splits_a_hot_date_and_counts_once(spark, json_dir, tmp_pat
     assert rep["expectations"]["total_records"] == 90  # observed once per micro-batch
     hot = glob.glob(lay.table("silver_orders") + "/order_date=2024-01-05/*.parquet")
     assert 1 < len(hot) <= 4
+
+
+def test_run_to_completion_timeout(spark, tmp_path):
+    import pytest
+    from strata.streaming.runner import run_to_completion
+    q = (spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+         .writeStream.format("noop").option("checkpointLocation", str(tmp_path / "chk")).start())
+    with pytest.raises(TimeoutError):
+        run_to_completion(q, timeout_s=2)
+    assert not q.isActive
