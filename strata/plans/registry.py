@@ -440,21 +440,25 @@ def q_json_activity_round_trip(spark, sf_dir):
     return _public(bronze_customer_activity(spark, QUERY_CFG, path, stream=False))
 
 
-def _first_choice_split(raw, keys, order_exprs):
-    """Split raw rows into (preferred row per key, all other rows) without a window:
-    the preferred rows are a keyed aggregate, the rest is ``exceptAll``."""
+def _first_choice(raw, keys, order_exprs):
+    """The preferred row per key, as a keyed aggregate (no window)."""
     from strata.operators.dedup import dedup_by_key
     tmp = [f"_o{i}" for i in range(len(order_exprs))]
     ranked = raw.select(*raw.columns, *[e.alias(t) for e, t in zip(order_exprs, tmp)])
-    first = dedup_by_key(ranked, keys, tmp).select(*raw.columns)
-    return first, raw.exceptAll(first)
+    return dedup_by_key(ranked, keys, tmp).select(*raw.columns)
 
 
-def _orders_first_and_rest(spark, sf_dir):
-    """Raw JSON orders split into the row the batch dedup keeps per key and all others."""
+def _rest_after(spark, raw, first_paths):
+    """All rows except the preferred ones, against the written preferred rows
+    (``exceptAll``; reading them back avoids recomputing the dedup)."""
+    return raw.exceptAll(spark.read.schema(raw.schema).json(first_paths))
+
+
+def _orders_raw_and_first(spark, sf_dir):
+    """Raw JSON orders and the row the batch dedup keeps per key."""
     from strata.functions.dates import parse_date
     raw = _json_orders(B.raw_orders(spark, sf_dir))
-    return _first_choice_split(raw, OR.ORDER_KEYS, [
+    return raw, _first_choice(raw, OR.ORDER_KEYS, [
         F.col("quantity"), F.col("price"), F.coalesce(F.col("status"), F.lit("unknown")),
         F.col("customer_id").cast("string"), parse_date("order_date"),
         F.coalesce(F.col("product_name"), F.lit("unknown")),
@@ -473,10 +477,12 @@ def q_gold_daily_sales_incremental(spark, sf_dir):
     cfg = QUERY_CFG.with_overrides(max_files_per_trigger=4)
     root = new_work_path(spark, "orders_incremental")
     layout = StreamLayout(root)
-    first, rest = _orders_first_and_rest(spark, sf_dir)
+    raw, first = _orders_raw_and_first(spark, sf_dir)
     early = F.coalesce(F.col("order_date") < F.lit("1998-01-01"), F.lit(False))
-    for i, part in enumerate([first.filter(early), first.filter(~early), rest], start=1):
-        write_json(part, f"{root}/orders_raw/run{i}", num_files=2)
+    parts = [lambda: first.filter(early), lambda: first.filter(~early),
+             lambda: _rest_after(spark, raw, [f"{root}/orders_raw/run1", f"{root}/orders_raw/run2"])]
+    for i, part in enumerate(parts, start=1):
+        write_json(part(), f"{root}/orders_raw/run{i}", num_files=2)
         run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
         refresh_daily_sales(spark, cfg, layout)
     gold = spark.read.parquet(layout.table("gold_daily_sales"))
@@ -499,10 +505,10 @@ def q_stream_silver_orders(spark, sf_dir):
     cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2)
     root = new_work_path(spark, "orders_stream")
     layout = StreamLayout(root)
-    first, rest = _orders_first_and_rest(spark, sf_dir)
+    raw, first = _orders_raw_and_first(spark, sf_dir)
     write_json(first, f"{root}/orders_raw/run1", num_files=6)
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
-    write_json(rest, f"{root}/orders_raw/run2", num_files=2)
+    write_json(_rest_after(spark, raw, f"{root}/orders_raw/run1"), f"{root}/orders_raw/run2", num_files=2)
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
     return _public(spark.read.parquet(layout.table("silver_orders")).select(*OR.SILVER_ORDERS_COLUMNS))
 
