@@ -151,3 +151,24 @@ def test_quality_log_over_runs(spark, tmp_path):
     assert log.count() == 4
     r = log.filter("run = 'run2' AND expectation = 'valid_price'").first()
     assert (r.total_records, r.failed_records, r.passed_records) == (10, 2, 8)
+
+
+def test_feature_updates_pick_up_new_activity(spark, tmp_path):
+    from strata.plans.run import update_features
+    from strata.sinks.writers import write_json
+    from strata.streaming.runner import StreamLayout
+    cfg = PipelineConfig(base_path=str(tmp_path / "data"))
+    write_json(generate_customer_profiles(spark, 20, AS_OF), cfg.profiles_source_path)
+    act = generate_customer_activity(spark, 20, AS_OF, 10, 4).cache()
+    write_json(act.filter("customer_id <= 10 OR customer_id IS NULL"), cfg.activity_source_path + "/d1")
+    lay = StreamLayout(str(tmp_path / "lake"))
+    r1 = update_features(spark, cfg, cfg.activity_source_path + "/*", cfg.profiles_source_path, lay, AS_OF)
+    n1 = spark.read.parquet(r1.tables["gold_ml_feature_table"]).count()
+    write_json(act.filter("customer_id > 10"), cfg.activity_source_path + "/d2")
+    write_json(act.filter("customer_id <= 3"), cfg.activity_source_path + "/d3")  # replayed sessions
+    r2 = update_features(spark, cfg, cfg.activity_source_path + "/*", cfg.profiles_source_path, lay, AS_OF)
+    ml = spark.read.parquet(r2.tables["gold_ml_feature_table"])
+    assert n1 == 10 and ml.count() == 20
+    silver = spark.read.parquet(lay.table("silver_customer_activity"))
+    assert silver.groupBy("customer_id", "session_id").count().filter("count > 1").count() == 0
+    act.unpersist()
