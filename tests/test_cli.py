@@ -27,3 +27,12 @@ def test_generate_batch_run_and_sql(tmp_path):
     dq = run("sql", "--view", f"dq={lake}/tables/_dq_log", "SELECT count(*) AS n FROM dq WHERE failed_records > 0")
     import re
     assert re.search(r"^\|\s*[1-9][0-9]*\s*\|$", dq, re.M), dq  # some expectation failed rows
+
+
+def test_triggered_update_command(tmp_path):
+    base, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    run("generate", "--base", base, "--orders", "150", "--customers", "20", "--days", "5", "--as-of", "2024-02-13")
+    out = run("update-orders", "--base", base, "--tables", lake, "--as-of", "2024-02-13")
+    assert "gold_daily_sales_refresh" in out and '"full": true' in out
+    again = run("update-orders", "--base", base, "--tables", lake, "--as-of", "2024-02-13")
+    assert '"months": []' in again  # nothing new: no month recomputed
