@@ -1,7 +1,9 @@
 """Registered queries: one per dataset / operator family, each with its oracle SQL.
 
 Every query reads the driver's tables under ``sf_dir`` (through the raw-input
-bindings) and runs over them whole. Outputs leave out audit timestamps and
+bindings) and runs over them whole. Scenario queries (JSON hand-over, triggered
+streams, incremental refresh) write their intermediate data under the shared
+folder and return the batch read of the resulting table. Outputs leave out audit timestamps and
 file lineage (run-dependent) and compare sample standard deviations at 6
 decimals; everything else is the dataset as the pipeline produces it.
 """
