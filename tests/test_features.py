@@ -128,3 +128,15 @@ def test_projections_of_the_fused_aggregate_equal_the_tables(spark, json_dir):
         sorted(FT.gold_features_customer_engagement(df, AS_OF).collect())
     assert sorted(feats.select(*FT.BEHAVIOR_COLUMNS).collect()) == \
         sorted(FT.gold_features_customer_behavior(df).collect())
+
+
+def test_multi_device_bound(spark, json_dir):
+    lines = [act(1, "2024-01-06T10:00:00", "a", device="mobile"), act(1, "2024-01-06T11:00:00", "b", device="mobile"),
+             act(2, "2024-01-06T10:00:00", "c", device="mobile"), act(2, "2024-01-06T11:00:00", "d", device="tablet"),
+             act(3, "2024-01-06T10:00:00", "e", device="desktop"), act(3, "2024-01-06T11:00:00", "f", device="tablet"),
+             act(3, "2024-01-06T12:00:00", "g", device="mobile")]
+    df, _ = silver(spark, json_dir, lines)
+    rows = {r.customer_id: r for r in FT.gold_features_customer_behavior(df).collect()}
+    assert [rows[c].multi_device_user for c in (1, 2, 3)] == [False, True, True]
+    assert rows[3].device_total_sessions == 3 and rows[3].desktop_preference_score == 0.333
+    assert rows[2].mobile_preference_score == 0.5
