@@ -526,8 +526,9 @@ def q_stream_silver_activity(spark, sf_dir):
     raw = B.raw_activity(spark, sf_dir)
     write_json(raw, f"{root}/activity_raw/run1", num_files=4)
     run_activity_increment(spark, cfg, f"{root}/activity_raw/*", layout)
-    # Run 2 replays every session: the dedup state must reject all of them.
-    write_json(raw, f"{root}/activity_raw/run2", num_files=2)
+    # Run 2 replays every session (the run-1 lines copied verbatim): the dedup
+    # state must reject all of them.
+    spark.read.text(f"{root}/activity_raw/run1").write.mode("overwrite").text(f"{root}/activity_raw/run2")
     run_activity_increment(spark, cfg, f"{root}/activity_raw/*", layout)
     out = spark.read.parquet(layout.table("silver_customer_activity"))
     return _public(out.select(*[c for c in _silver_activity(spark, sf_dir).columns]))
