@@ -281,6 +281,35 @@ FROM engagement e LEFT JOIN behavior b ON e.customer_id = b.customer_id
 LEFT JOIN silver_profile_seg p ON e.customer_id = p.customer_id"""
 
 
+def q_expect_warn_orders(spark, sf_dir):
+    """DQ-1: the seven order expectations in warn mode keep every row."""
+    from strata.operators.expectations import WARN, Expectation, apply_expectations
+    clean = OR.clean_orders(B.as_bronze(B.raw_orders(spark, sf_dir)), QUERY_CFG)
+    warn = [Expectation(e.name, e.predicate, WARN) for e in silver_orders_expectations(QUERY_CFG)]
+    kept = apply_expectations(clean, warn, "orders_warn", observe=False)[0]
+    return kept.groupBy("price_tier").agg(F.count(F.lit(1)).alias("rows_kept"))
+
+
+def q_expect_or_fail_silver(spark, sf_dir):
+    """DQ-3 on silver orders: every row satisfies the fail-mode checks, so all are kept."""
+    from strata.operators.expectations import apply_expectations, expect_or_fail
+    checks = [expect_or_fail("positive_total", "total_item_price > 0"),
+              expect_or_fail("known_status", "status IS NOT NULL")]
+    checked = apply_expectations(_silver_orders(spark, sf_dir), checks, "silver_orders_fail", observe=False)[0]
+    return checked.groupBy("price_tier").agg(F.count(F.lit(1)).alias("rows_kept"),
+                                             F.sum("quantity").alias("quantity_kept"))
+
+
+SQL_EXPECT_WARN = f"""WITH raw_orders AS ({ORACLE_RAW_ORDERS})
+SELECT CASE WHEN price <= 10.0 THEN 'Low' WHEN price <= 100.0 THEN 'Medium' ELSE 'High' END AS price_tier,
+  count(*) AS rows_kept
+FROM raw_orders GROUP BY 1"""
+
+SQL_EXPECT_FAIL = f"""WITH {_SO}
+SELECT price_tier, count(*) AS rows_kept, CAST(sum(quantity) AS BIGINT) AS quantity_kept
+FROM silver_orders GROUP BY price_tier"""
+
+
 def q_expect_metrics_activity(spark, sf_dir):
     """DQ-4 for the activity expectations (DQ-18..22) over the raw activity."""
     from strata.operators.expectations import SILVER_ACTIVITY_EXPECTATIONS
@@ -574,6 +603,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expect_metrics_activity": q_expect_metrics_activity,
     "expect_metrics_profiles": q_expect_metrics_profiles,
     "expect_or_drop_orders": q_expect_or_drop_orders,
+    "expect_warn_orders": q_expect_warn_orders,
+    "expect_or_fail_silver": q_expect_or_fail_silver,
     "silver_orders": q_silver_orders,
     "silver_customers": q_silver_customers,
     "silver_customers_derived": q_silver_customers_derived,
@@ -611,6 +642,8 @@ ORACLE: dict[str, str] = {
     "expect_metrics_activity": SQL_EXPECT_METRICS_ACTIVITY,
     "expect_metrics_profiles": SQL_EXPECT_METRICS_PROFILES,
     "expect_or_drop_orders": SQL_EXPECT_OR_DROP,
+    "expect_warn_orders": SQL_EXPECT_WARN,
+    "expect_or_fail_silver": SQL_EXPECT_FAIL,
     "silver_orders": SQL_SILVER_ORDERS,
     "silver_customers": SQL_SILVER_CUSTOMERS,
     "silver_customers_derived": SQL_SILVER_CUSTOMERS,
