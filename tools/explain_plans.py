@@ -18,7 +18,8 @@ from strata.plans.registry import QUERIES  # noqa: E402
 from strata.session import build_session  # noqa: E402
 
 NAMES = ["silver_orders", "gold_daily_sales", "gold_customer_insights", "gold_real_time_metrics",
-         "ml_feature_table", "features_customer_behavior_joined", "top_products", "gen_activity"]
+         "ml_feature_table", "features_customer_behavior_joined", "top_products", "gen_activity",
+         "expect_or_fail_silver"]
 
 
 def tree(df) -> str:
