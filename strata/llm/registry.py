@@ -1,11 +1,14 @@
 """Queries of the corpus operators and their SQL."""
 
-from strata.llm import quality_rules, sharding
+from strata.llm import bpe, license_scan, quality_rules, sharding
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_sharding": sharding.query,
+    "op5_license_scan": license_scan.query,
+    "op9_bpe": bpe.query,
 }
 ORACLE = {
     "op1_quality_rules": quality_rules.SQL,
+    "op5_license_scan": license_scan.SQL,
 }
