@@ -1,17 +1,19 @@
 """Queries of the corpus operators and their SQL."""
 
-from strata.llm import bpe, decontamination, license_scan, quality_rules, sharding, warc
+from strata.llm import bpe, decontamination, license_scan, ngram_join, quality_rules, sharding, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_sharding": sharding.query,
     "op3_decontamination": decontamination.query,
     "op5_license_scan": license_scan.query,
+    "op7_ngram_join": ngram_join.query,
     "op8_warc": warc.query,
     "op9_bpe": bpe.query,
 }
 ORACLE = {
     "op1_quality_rules": quality_rules.SQL,
     "op5_license_scan": license_scan.SQL,
+    "op7_ngram_join": ngram_join.SQL,
     "op8_warc": warc.SQL,
 }
