@@ -39,3 +39,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Rows (of a few numbers each) up to which a table is broadcast.
+BROADCAST_ROWS = 400_000
+
+
+def broadcast_if_small(df: DataFrame, rows: Column | None = None) -> DataFrame:
+    """A written table to be joined: broadcast if its rows (or the sum of
+    ``rows`` over them) are few, else left to a shuffled join."""
+    size = df.agg(F.sum(rows) if rows is not None else F.count(F.lit(1))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_ROWS else df

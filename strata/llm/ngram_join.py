@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import setjoin as S
-from strata.llm.common import table, written
+from strata.llm.common import broadcast_if_small, table, written
 from strata.llm.wordhash import mix, pieces, shingles, words
 
 #: Largest set of the least band; each further band reaches four times as far.
@@ -82,13 +82,6 @@ def signatures(found: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate(out), np.concatenate(common)
 
 
-def sketch(found: np.ndarray) -> bytes:
-    bits = 64
-    while bits < 2 * len(found):
-        bits *= 2
-    return np.packbits(np.bincount((mix(found) >> np.uint64(7)) & np.uint64(bits - 1), minlength=bits).astype(np.uint8) & 1).tobytes()
-
-
 def _each(batches, column="text"):
     """(slice, sets of its rows) of all batches."""
     for batch in batches:
@@ -114,7 +107,7 @@ def document_sets(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, D
                     yield counted(block)
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), part.column("copy"), pa.array(nodes, pa.int64()), pa.array([len(x) for x in found], pa.int64()),
-                pa.array([sketch(x) for x in found], pa.binary()), pa.array(np.zeros(len(found), dtype=bool))], names)
+                pa.array([S.sketch(x) for x in found], pa.binary()), pa.array(np.zeros(len(found), dtype=bool))], names)
         yield counted(often.close())
 
     names = ["doc_id", "copy", "node", "n", "sketch", "is_count"]
@@ -144,7 +137,7 @@ def index(docs: DataFrame, doc_id: str, text: str, frequent) -> DataFrame:
                 node = S.node_of(x)
                 if len(x) and node not in seen:
                     seen.add(node)
-                    keys.append(S.cells(*signatures(x, known), node))
+                    keys.append(S.cells_of(*signatures(x, known), np.array([node])))
                     nodes.append(node)
                     sizes.append(len(x))
             counts = np.array([len(k) for k in keys[1:]], dtype=np.int64)
@@ -155,26 +148,6 @@ def index(docs: DataFrame, doc_id: str, text: str, frequent) -> DataFrame:
     return _input(docs, doc_id, text).mapInArrow(run, "cell long, node long, left int")
 
 
-def near(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs whose sketches differ in few enough bits; all linked pairs do."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for na, nb, x, y in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "sa", "sb"))):
-                x, y = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
-                while len(x) != len(y):  # the high half onto the low one: parities add
-                    if len(x) > len(y):
-                        x = x[:len(x) // 2] ^ x[len(x) // 2:]
-                    else:
-                        y = y[:len(y) // 2] ^ y[len(y) // 2:]
-                keep.append(int(np.bitwise_count(x ^ y).sum()) <= (na + nb) // 7)
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-    a = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
-    b = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
-    return pairs.join(a, "a").join(b, "b").mapInArrow(run, S.PAIR)
-
-
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, copy, node, n_shingles, component_id) of each row of ``docs``."""
     rows, counts = document_sets(docs, doc_id, text)
@@ -183,7 +156,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "copy")).alias("of")), "nodes")
 
     def sets(wanted: DataFrame) -> DataFrame:
-        of = nodes.join(wanted, "node").select("of.doc_id", "of.copy")
+        of = broadcast_if_small(written(nodes.join(wanted, "node").select("of.doc_id", "of.copy"), "wanted_texts"))
         texts = _input(docs, doc_id, text)
         texts = texts.join(of, (texts["doc_id"].eqNullSafe(of["doc_id"])) & (texts["copy"] == of["copy"]), "left_semi")
 
@@ -193,7 +166,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
         return texts.mapInArrow(run, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
-    found = S.links(index(docs, doc_id, text, frequent), nodes, sets, lambda pairs: near(pairs, nodes))
+    found = S.links(index(docs, doc_id, text, frequent), nodes, sets)
     classes = S.components(found)
     placed = rows.drop("sketch").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = placed.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))

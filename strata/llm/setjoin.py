@@ -12,8 +12,13 @@ become all pairs and no link between two classes is missed:
 
 1. In each cell every node is compared with one pivot, the node with most of its
    cells shared (in a group of edited copies that is the original).
-2. Verified links give classes. In cells that still hold several classes, all
-   pairs of different classes are compared.
+2. Verified links give classes. The nodes of all cells of a pivot that still hold
+   several classes are compared with each other, block by block: a task gets two
+   blocks of at most about ``TILE`` nodes each, compares their sketches, and only
+   pairs of different classes that may be linked leave it.
+
+Sketches are parities: each shingle flips one bit of two a shingle or more, so sets
+that differ in d shingles differ in at most d bits. Whole sets are compared last.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import written
@@ -33,6 +38,8 @@ PERCENT = 75
 FREQUENT_SHARE, BLOCK, LEAST = 2000, 1 << 22, 4
 SALT_BITS = 7
 PAIR = "a long, b long"
+#: Nodes of a block in the second step.
+TILE = 512
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -61,6 +68,15 @@ class FrequentShingles:
         if self.size >= BLOCK:
             yield self.close()
 
+    def add_all(self, nodes: list[int], tokens: np.ndarray, sets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``tokens`` of the ``sets`` sets of a batch that hadn't been seen."""
+        self.seen.update(nodes)
+        self.parts.append(tokens)
+        self.size += len(tokens)
+        self.sets += sets
+        if self.size >= BLOCK:
+            yield self.close()
+
     def close(self) -> tuple[np.ndarray, np.ndarray]:
         values, counts = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *self.parts]), return_counts=True)
         often = counts >= max(LEAST, self.sets // FREQUENT_SHARE)
@@ -81,11 +97,10 @@ def is_frequent(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles
 
 
-def cells(signatures: np.ndarray, common: np.ndarray, node: int) -> np.ndarray:
-    """Cells of signatures: low bits 0, or for a common signature a salt of the node."""
-    low = np.uint64((1 << SALT_BITS) - 1)
-    half = np.uint64(1 << (SALT_BITS - 1))
-    salt = half | (np.uint64(node & 0xFFFFFFFF) % half)
+def cells_of(signatures: np.ndarray, common: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Cells of signatures: low bits 0, or for a common signature a salt of its node."""
+    low, half = np.uint64((1 << SALT_BITS) - 1), np.uint64(1 << (SALT_BITS - 1))
+    salt = half | (nodes.view(np.uint64) % half)
     return ((signatures & ~low) | np.where(common, salt, np.uint64(0))).view(np.int64)
 
 
@@ -103,20 +118,88 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .filter(100 * F.col("both") >= PERCENT * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b"))
 
 
-def links(records: DataFrame, nodes: DataFrame, sets: Callable[[DataFrame], DataFrame],
-          sieve: Callable[[DataFrame], DataFrame] = lambda pairs: pairs) -> DataFrame:
+def sketch(shingles: np.ndarray) -> bytes:
+    bits = 64
+    while bits < 2 * len(shingles):
+        bits *= 2
+    return np.packbits(np.bincount((mix(shingles) >> np.uint64(7)) & np.uint64(bits - 1), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def fold(x: np.ndarray, width: int) -> np.ndarray:
+    """Sketches (a row each) as sketches of fewer bytes: parities add."""
+    while x.shape[1] > width:
+        half = x.shape[1] // 2
+        x = x[:, :half] ^ x[:, half:]
+    return x
+
+
+def near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b, na, nb) whose sketches differ in few enough bits."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for na, nb, x, y in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "sa", "sb"))):
+                x, y = (np.frombuffer(v, dtype=np.uint8)[None] for v in (x, y))
+                width = min(x.shape[1], y.shape[1])
+                keep.append(int(np.bitwise_count(fold(x, width) ^ fold(y, width)).sum()) <= most_different(na + nb))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    a = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
+    b = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
+    return pairs.join(a, "a").join(b, "b").mapInArrow(run, PAIR)
+
+
+def most_different(both):
+    """Most shingles in which linked sets of so many shingles in all can differ."""
+    return (100 - PERCENT) * both // (100 + PERCENT)
+
+
+def near_in_tile(rows: pa.Table) -> pa.Table:
+    """Pairs of a tile's nodes, of different classes, whose sizes and sketches allow a link."""
+    n = rows.column("n").to_numpy()
+    node, root, side = (rows.column(c).to_numpy() for c in ("node", "root", "side"))
+    found = rows.column("sketch").to_pylist()
+    width = np.array([len(x) for x in found])
+    out = [np.zeros((0, 2), dtype=np.int64)]
+    for w in np.unique(width):
+        near_w = np.flatnonzero((width == w) | (width == 2 * w))
+        own = width[near_w] == w
+        folded = np.concatenate([fold(np.frombuffer(found[i], dtype=np.uint8)[None], w) for i in near_w])
+        for k in np.flatnonzero(own):
+            i = near_w[k]
+            other = np.flatnonzero((side[near_w] != side[i]) | (side[near_w] == 2))
+            other = other[(root[near_w[other]] != root[i]) & (~own[other] | (node[near_w[other]] > node[i]))]
+            j = near_w[other]
+            other = other[100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i])]
+            j = near_w[other]
+            close = np.bitwise_count(folded[other] ^ folded[k]).sum(axis=1, dtype=np.int64) <= most_different(n[j] + n[i])
+            j = j[close]
+            out.append(np.stack([np.minimum(node[j], node[i]), np.maximum(node[j], node[i])], axis=1))
+    pairs = np.concatenate(out)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def across_classes(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes of a group (family, node, n, root, sketch) that may be linked."""
+    blocks = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "n", "root", "sketch",
+        F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") < F.col("other")).cast("int")).alias("side"))
+    return tiles.groupBy("family", "i", "j").applyInArrow(near_in_tile, PAIR).distinct()
+
+
+def links(records: DataFrame, nodes: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links (a, b) whose classes are those of all links.
 
     ``records``: (cell, node, left), ``left`` an upper bound of what the node can
-    still share, this cell's shingle included. ``nodes``: (node, n), one row a
-    node. ``sets``: the sets of given nodes. ``sieve``: a cheap test of pairs
-    (a, b, na, nb) that keeps all linked ones.
+    still share, this cell's shingle included. ``nodes``: (node, n, sketch), one
+    row a node. ``sets``: the sets of given nodes.
     """
     low = (1 << SALT_BITS) - 1
     common = F.col("cell").bitwiseAND(F.lit(low)) != 0
-    shared = records.select(
-        "cell", "node", "left",
-        (F.min("node").over(_by("cell")) != F.max("node").over(_by("cell"))).alias("several"))
+    here = Window.partitionBy("cell")
+    shared = records.select("cell", "node", "left", (F.min("node").over(here) != F.max("node").over(here)).alias("several"))
     shared = (shared.filter(F.col("several") | common)
               .select(F.col("cell").bitwiseAND(F.lit(~low)).alias("cell"), "node", "left").distinct())
     shared = written(shared.join(nodes.select("node", "n"), "node"), "shared_cells")
@@ -128,25 +211,19 @@ def links(records: DataFrame, nodes: DataFrame, sets: Callable[[DataFrame], Data
     stars = shared.join(pivots, "cell").select(
         F.col("node").alias("x"), F.col("n").alias("nx"), F.col("left").alias("lx"),
         F.col("p.node").alias("y"), F.col("p.n").alias("ny"), F.col("p.left").alias("ly"))
-    tried = written(_candidates(stars), "pivot_pairs")
-    first = written(verified_pairs(tried, sets, sieve), "pivot_links")
+    first = written(_linked(near(_candidates(stars), nodes), sets), "pivot_links")
 
-    classes = components(first)
-    placed = shared.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = shared.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = (placed.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .filter("lo <> hi").select("cell"))
-    open_cells = written(placed.join(mixed, "cell"), "open_cells")
-    x = open_cells.select("cell", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("left").alias("lx"), F.col("root").alias("rx"))
-    y = open_cells.select("cell", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("left").alias("ly"), F.col("root").alias("ry"))
-    across = x.join(y, "cell").filter("x < y AND rx <> ry")
-    rest = written(_candidates(across).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "open_pairs")
-    second = written(verified_pairs(rest, sets, sieve), "open_links")
+             .filter("lo <> hi").join(pivots, "cell").select("cell", F.col("p.node").alias("family")))
+    members = placed.join(mixed, "cell").select("family", "node", "n", "root").distinct()
+    second = written(_linked(across_classes(members.join(nodes.select("node", "sketch"), "node")), sets), "class_links")
     return first.unionByName(second)
 
 
-def _by(column: str):
-    from pyspark.sql import Window
-    return Window.partitionBy(column)
+def _linked(pairs: DataFrame, sets) -> DataFrame:
+    pairs = written(pairs, "sieved_pairs")
+    return verified(pairs, sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
 
 
 def _candidates(pairs: DataFrame) -> DataFrame:
@@ -160,12 +237,6 @@ def _candidates(pairs: DataFrame) -> DataFrame:
                     F.when(flip, F.col("nx")).otherwise(F.col("ny")).alias("nb")).distinct())
 
 
-def verified_pairs(pairs: DataFrame, sets, sieve) -> DataFrame:
-    left = written(sieve(pairs).select("a", "b"), "sieved_pairs")
-    wanted = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return verified(left, sets(wanted))
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of an edge (a, b): root is the least node of its class.
 
