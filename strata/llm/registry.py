@@ -1,16 +1,18 @@
 """Queries of the corpus operators and their SQL."""
 
-from strata.llm import bpe, decontamination, license_scan, line_dedup, ngram_join, quality_rules, sharding, warc
+from strata.llm import bpe, decontamination, license_scan, line_dedup, ngram_join, pii, quality_rules, sharding, suffix_dedup, warc
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_sharding": sharding.query,
     "op3_decontamination": decontamination.query,
+    "op4_pii": pii.query,
     "op5_license_scan": license_scan.query,
     "op6_line_dedup": line_dedup.query,
     "op7_ngram_join": ngram_join.query,
     "op8_warc": warc.query,
     "op9_bpe": bpe.query,
+    "op10_suffix_dedup": suffix_dedup.query,
 }
 ORACLE = {
     "op1_quality_rules": quality_rules.SQL,
@@ -18,4 +20,5 @@ ORACLE = {
     "op6_line_dedup": line_dedup.SQL,
     "op7_ngram_join": ngram_join.SQL,
     "op8_warc": warc.SQL,
+    "op10_suffix_dedup": suffix_dedup.SQL,
 }
