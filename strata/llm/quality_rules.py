@@ -30,6 +30,9 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "kept_chars", "all_chars", "base_failed", "depleted", "kept"]
+
+
 @dataclass(frozen=True)
 class QualityRules:
     """Limits. ``max_docs``: a line in more documents of a host (and in as many
@@ -127,7 +130,11 @@ def removed_chars(docs: DataFrame, rules: QualityRules, text: str = "text", host
 
 
 def judge(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text", host: str = "source") -> DataFrame:
-    """All columns of ``docs`` but the text, with counts and verdicts of each row."""
+    """All columns of ``docs`` but the text, with counts and verdicts of each row.
+
+    Columns of ``docs`` that are named like those give way.
+    """
+    docs = docs.drop(*RESULT)
     stats = base_stats(keyed(docs, text, host), text).drop(text)
     left = removed_chars(docs, rules, text, host)
     failed = ((F.col("n_words") < rules.min_words)
