@@ -76,7 +76,8 @@ def apply_expectations(df: DataFrame, expectations, dataset: str = "dataset",
             metrics = Observation(f"dq_{dataset}")
             df = df.observe(metrics, *_metric_columns(expectations))
     keep = None
-    for e in expectations:
+    # Fail conditions come first: a row that a drop expectation removes still fails.
+    for e in sorted(expectations, key=lambda e: e.mode != FAIL):
         if e.mode == WARN:
             continue
         if e.mode == DROP:

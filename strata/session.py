@@ -41,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         key = spark.sparkContext.applicationId
         if key not in _LOCAL_FALLBACK:
             _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="strata-shared-")

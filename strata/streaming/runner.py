@@ -10,12 +10,13 @@ table and checkpoint locations (``StreamLayout`` with a new root).
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
 
-from strata.config import PipelineConfig
+from strata.config import PipelineConfig, parse_bytes
 from strata.operators.dedup import FIRST_ARRIVAL
 from strata.plans.features import silver_customer_activity
 from strata.plans.orders import silver_orders
@@ -35,22 +36,36 @@ class StreamLayout:
         return f"{self.root}/checkpoints/{name}"
 
 
+#: Less than Spark needs for the 100 micro-batches whose progress it keeps.
+POLL_SECONDS = 0.5
+
+
 def run_to_completion(query, timeout_s: float | None = None) -> list[dict]:
-    """Wait for an availableNow query; re-raise its failure; return its progress.
+    """Wait for an availableNow query; re-raise its failure; return its progress,
+    one entry per micro-batch. Spark keeps the last 100 entries only, so they are
+    gathered while the query runs.
     With ``timeout_s`` a query still running after that long is stopped and
     reported as a failure (its committed batches stay committed)."""
+    batches: dict[int, dict] = {}
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+
+    def gather():
+        for p in query.recentProgress:
+            if p["numInputRows"] or p["batchId"] not in batches:
+                batches[p["batchId"]] = p
     try:
-        if timeout_s is None:
-            query.awaitTermination()
-        elif not query.awaitTermination(timeout_s):
-            query.stop()
-            raise TimeoutError(f"Streaming query {query.name or query.id} still running after {timeout_s}s")
+        while not query.awaitTermination(POLL_SECONDS):
+            gather()
+            if deadline is not None and time.monotonic() > deadline:
+                query.stop()
+                raise TimeoutError(f"Streaming query {query.name or query.id} still running after {timeout_s}s")
+        gather()
     except StreamingQueryException as e:
         raise RuntimeError(f"Streaming query {query.name or query.id} failed: {e}") from e
     exc = query.exception()
     if exc is not None:
         raise RuntimeError(f"Streaming query {query.name or query.id} failed: {exc}")
-    return list(query.recentProgress)
+    return [batches[k] for k in sorted(batches)]
 
 
 def observed_totals(progress: list[dict], name: str) -> dict[str, int]:
@@ -70,9 +85,9 @@ def _bronze_silver(spark: SparkSession, bronze_df, silver_fn, layout: StreamLayo
     bronze_q = write_stream(bronze_df, layout.table(f"bronze_{entity}"),
                             layout.checkpoint(f"bronze_{entity}"))
     bronze_progress = run_to_completion(bronze_q)
-    # The rate limit belongs to the raw-file source; silver takes every
-    # committed bronze file that is new since its own last run.
-    upstream = read_table_stream(spark, layout.table(f"bronze_{entity}"))
+    # Silver is limited by bytes: bronze files differ in size and may be small.
+    upstream = read_table_stream(spark, layout.table(f"bronze_{entity}"),
+                                 {"maxBytesPerTrigger": str(parse_bytes(cfg.max_bytes_per_trigger))})
     silver_df, metrics_name = silver_fn(upstream)
     silver_q = write_stream(silver_df, layout.table(f"silver_{entity}"),
                             layout.checkpoint(f"silver_{entity}"), partition_cols,

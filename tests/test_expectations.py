@@ -68,3 +68,12 @@ def test_materialized_fail_check_runs_eagerly(spark):
     ok, _ = apply_expectations(frame(spark).filter("x > 0"), [expect_or_fail("pos", "x > 0")], "t",
                                observe=False, materialize=True)
     assert sorted(r.x for r in ok.collect()) == [1, 5]
+
+
+@pytest.mark.parametrize("flip", [False, True])
+def test_fail_holds_for_rows_that_a_drop_removes(spark, flip):
+    df = spark.createDataFrame([(0, -1)], "a int, b int")
+    both = [expect_or_drop("drop_a", "a > 0"), expect_or_fail("fail_b", "b > 0")]
+    kept, _ = apply_expectations(df, both[::-1] if flip else both, "d", observe=False)
+    with pytest.raises(Exception, match="fail_b"):
+        kept.collect()

@@ -108,3 +108,12 @@ def test_run_to_completion_timeout(spark, tmp_path):
     with pytest.raises(TimeoutError):
         run_to_completion(q, timeout_s=2)
     assert not q.isActive
+
+
+def test_progress_is_whole_over_more_than_100_batches(spark, tmp_path):
+    from strata.streaming.runner import run_to_completion
+    spark.range(104).repartition(104).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = (stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+         .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+    assert sum(p["numInputRows"] for p in run_to_completion(q)) == 104
