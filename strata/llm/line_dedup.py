@@ -163,7 +163,7 @@ def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
         return texts.mapInArrow(run, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
-    classes = S.components(S.links(index(docs, doc_id, text, frequent), nodes, sets))
+    classes = S.components(S.links(index(docs, doc_id, text, frequent), nodes, sets, small_sets=True))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy", "line")
     placed = rows.select("doc_id", "copy", "line", "node").join(classes, "node", "left").select(
         F.coalesce("root", "node").alias("root"), place.alias("at"))

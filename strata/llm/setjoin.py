@@ -155,10 +155,15 @@ def most_different(both):
 
 
 def near_in_tile(rows: pa.Table) -> pa.Table:
-    """Pairs of a tile's nodes, of different classes, whose sizes and sketches allow a link."""
+    """Pairs of a tile's nodes, of different classes, whose sizes and sketches allow a link.
+
+    Where the rows have the sets, pairs are verified here, and classes that a
+    link of the tile joins already aren't compared again.
+    """
     n = rows.column("n").to_numpy()
     node, root, side = (rows.column(c).to_numpy() for c in ("node", "root", "side"))
     found = rows.column("sketch").to_pylist()
+    sets = [x.values.to_numpy() for x in rows.column("shingles")] if "shingles" in rows.column_names else None
     width = np.array([len(x) for x in found])
     out = [np.zeros((0, 2), dtype=np.int64)]
     for w in np.unique(width):
@@ -174,6 +179,16 @@ def near_in_tile(rows: pa.Table) -> pa.Table:
             j = near_w[other]
             close = np.bitwise_count(folded[other] ^ folded[k]).sum(axis=1, dtype=np.int64) <= most_different(n[j] + n[i])
             j = j[close]
+            if sets is not None:
+                linked = []
+                for x in j.tolist():
+                    if root[x] == root[i]:
+                        continue
+                    both = len(np.intersect1d(sets[i], sets[x], assume_unique=True))
+                    if 100 * both >= PERCENT * (int(n[i]) + int(n[x]) - both):
+                        linked.append(x)
+                        root = np.where(root == root[x], root[i], root)
+                j = np.array(linked, dtype=np.int64)
             out.append(np.stack([np.minimum(node[j], node[i]), np.maximum(node[j], node[i])], axis=1))
     pairs = np.concatenate(out)
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
@@ -184,17 +199,17 @@ def across_classes(members: DataFrame) -> DataFrame:
     blocks = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
     dealt = members.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "n", "root", "sketch",
+        "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *[c for c in members.columns if c != "family"],
         F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") < F.col("other")).cast("int")).alias("side"))
     return tiles.groupBy("family", "i", "j").applyInArrow(near_in_tile, PAIR).distinct()
 
 
-def links(records: DataFrame, nodes: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def links(records: DataFrame, nodes: DataFrame, sets: Callable[[DataFrame], DataFrame], small_sets: bool = False) -> DataFrame:
     """Links (a, b) whose classes are those of all links.
 
     ``records``: (cell, node, left), ``left`` an upper bound of what the node can
     still share, this cell's shingle included. ``nodes``: (node, n, sketch), one
-    row a node. ``sets``: the sets of given nodes.
+    row a node. ``sets``: the sets of given nodes; ``small_sets``: they are small.
     """
     low = (1 << SALT_BITS) - 1
     common = F.col("cell").bitwiseAND(F.lit(low)) != 0
@@ -217,8 +232,13 @@ def links(records: DataFrame, nodes: DataFrame, sets: Callable[[DataFrame], Data
     mixed = (placed.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .filter("lo <> hi").join(pivots, "cell").select("cell", F.col("p.node").alias("family")))
     members = placed.join(mixed, "cell").select("family", "node", "n", "root").distinct()
-    second = written(_linked(across_classes(members.join(nodes.select("node", "sketch"), "node")), sets), "class_links")
-    return first.unionByName(second)
+    members = members.join(nodes.select("node", "sketch"), "node")
+    if small_sets:  # they go with the nodes, and blocks verify their pairs themselves
+        members = written(members, "open_members")
+        second = across_classes(members.join(sets(members.select("node").distinct()), "node"))
+    else:
+        second = _linked(across_classes(members), sets)
+    return first.unionByName(written(second, "class_links"))
 
 
 def _linked(pairs: DataFrame, sets) -> DataFrame:
