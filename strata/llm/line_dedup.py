@@ -32,12 +32,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import setjoin as S
-from strata.llm.common import NOT_SPACE, broadcast_if_small, table, written
+from strata.llm.common import NOT_SPACE, broadcast_if_small, let, table, written
 from strata.llm.wordhash import _buffers, line_rows, mix, pieces, windows, words
 
 SIZE = 5
 
 
+def rarest_first(which: np.ndarray, common: np.ndarray, tokens: np.ndarray, lines: int) -> np.ndarray:
+    """The order of tokens by line, then rarity, then hash.
+
+    One sort of packed keys; should different tokens of a line have the same
+    key, a sort by the three columns.
+    """
+    bits = np.uint64(max(1, lines).bit_length())
+    key = (which.astype(np.uint64) << (np.uint64(64) - bits)) | (common.astype(np.uint64) << (np.uint64(63) - bits)) | (tokens >> (bits + np.uint64(1)))
+    order = np.argsort(key)
+    key, sorted_tokens = key[order], tokens[order]
+    if ((key[1:] == key[:-1]) & (sorted_tokens[1:] != sorted_tokens[:-1])).any():
+        return np.lexsort((tokens, common, which))
+    return order
+
+
 class LineSets:
     """Token sets of all comparable lines of a batch, flat.
 
@@ -57,7 +72,7 @@ class LineSets:
         begin = np.cumsum(lengths) - lengths
         tokens = grams[np.repeat(w.first[long_enough] - begin, lengths) + np.arange(int(lengths.sum()))] if len(which) else grams[:0]
         common = S.is_frequent(tokens, frequent)
-        order = np.lexsort((tokens, common, which))
+        order = rarest_first(which, common, tokens, len(long_enough))
         which, tokens, common = which[order], tokens[order], common[order]
         new = np.ones(len(which), dtype=bool)
         new[1:] = (which[1:] != which[:-1]) | (tokens[1:] != tokens[:-1])
@@ -104,8 +119,9 @@ def line_sets(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
                 new = {}
                 for k, node in enumerate(sets.node.tolist()):
                     new.setdefault(node, k)
-                fresh = [k for node, k in new.items() if node not in often.seen]
-                for block in often.add_all([*new], sets.tokens[np.isin(sets.which, fresh)], len(fresh)):
+                fresh = np.zeros(len(sets.n), dtype=bool)
+                fresh[[k for node, k in new.items() if node not in often.seen]] = True
+                for block in often.add_all([*new], sets.tokens[fresh[sets.which]], int(fresh.sum())):
                     yield counted(block)
                 rows = pa.array(sets.row)
                 yield pa.RecordBatch.from_arrays([
@@ -119,7 +135,7 @@ def line_sets(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
 
 
 def index(docs: DataFrame, doc_id: str, text: str, frequent) -> DataFrame:
-    """(cell, node, left) of the prefix tokens of each different line."""
+    """(cell, node, left, n) of the prefix tokens of each different line."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -136,40 +152,44 @@ def index(docs: DataFrame, doc_id: str, text: str, frequent) -> DataFrame:
                 node = sets.node[sets.which[chosen]]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(S.cells_of(mix(sets.tokens[chosen]), sets.common[chosen], node)), pa.array(node),
-                    pa.array((sets.n[sets.which[chosen]] - place[chosen]).astype(np.int32))], ["cell", "node", "left"])
+                    pa.array((sets.n[sets.which[chosen]] - place[chosen]).astype(np.int32)),
+                    pa.array(sets.n[sets.which[chosen]].astype(np.int32))], ["cell", "node", "left", "n"])
 
-    return _input(docs, doc_id, text).mapInArrow(run, "cell long, node long, left int")
+    return _input(docs, doc_id, text).mapInArrow(run, "cell long, node long, left int, n int")
 
 
 def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, copy, line, first_doc_id, first_line): each later line, and the one that stays."""
     rows, counts = line_sets(docs, doc_id, text)
     frequent = S.broadcast_frequent(counts)
-    nodes = written(rows.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-                                             F.min(F.struct("doc_id", "copy", "line")).alias("of")), "line_nodes")
+
+    def nodes(wanted: DataFrame) -> DataFrame:
+        return written(rows.join(wanted, "node").groupBy("node").agg(
+            F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "copy", "line")).alias("of")), "line_nodes")
 
     def sets(wanted: DataFrame) -> DataFrame:
-        of = written(nodes.join(wanted, "node").select("of.*").groupBy("doc_id", "copy").agg(F.collect_list("line").alias("lines")), "wanted_lines")
+        of = written(wanted.select("of.*").groupBy("doc_id", "copy").agg(F.collect_list("line").alias("lines")), "wanted_lines")
         texts, of = _input(docs, doc_id, text), broadcast_if_small(of, F.size("lines") + 1)
-        texts = texts.join(of, texts["doc_id"].eqNullSafe(of["doc_id"]) & (texts["copy"] == of["copy"])).select("text", "lines")
+        texts = texts.join(of, texts["doc_id"].eqNullSafe(of["doc_id"]) & (texts["copy"] == of["copy"])).select(F.explode(
+            let(F.split("text", "\n"), lambda all_lines: F.transform("lines", lambda i: F.get(all_lines, i)))).alias("text"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in pieces(batch, "text"):
                     found = LineSets(part.column("text"), np.zeros(0, dtype=np.uint64))
-                    lines = [set(x) for x in part.column("lines").to_pylist()]
-                    keep = [k for k, (r, x) in enumerate(zip(found.row.tolist(), found.line.tolist())) if x in lines[r]]
-                    yield S.set_rows(found.node[keep].tolist(), [found.tokens[found.first[k]:found.first[k + 1]] for k in keep])
+                    yield S.set_rows(found.node.tolist(), np.split(found.tokens, found.first[1:-1]) if len(found.n) else [])
 
         return texts.mapInArrow(run, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
     classes = S.components(S.links(index(docs, doc_id, text, frequent), nodes, sets, small_sets=True))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy", "line")
     placed = rows.select("doc_id", "copy", "line", "node").join(classes, "node", "left").select(
-        F.coalesce("root", "node").alias("root"), place.alias("at"))
-    firsts = placed.groupBy("root").agg(F.min("at").alias("first"), F.max("at").alias("last")).filter("first <> last").drop("last")
-    return placed.join(firsts, "root").filter("at <> first").select(
-        "at.doc_id", "at.copy", "at.line", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line").alias("first_line")).distinct()
+        F.coalesce("root", "node").alias("root"), "doc_id", "copy", "line")
+    several = placed.groupBy("root").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    placed = written(placed.join(several.drop("size"), "root"), "class_lines")
+    in_first = F.col("doc_id").eqNullSafe(F.col("first_doc_id"))  # null only where all ids of the class are
+    firsts = placed.filter(in_first).groupBy("root").agg(F.min(F.struct("copy", "line")).alias("first"))
+    return (placed.join(firsts, "root").filter(~(in_first & (F.struct("copy", "line") == F.col("first"))))
+            .select("doc_id", "copy", "line", "first_doc_id", F.col("first.line").alias("first_line")).distinct())
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:

@@ -156,7 +156,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "copy")).alias("of")), "nodes")
 
     def sets(wanted: DataFrame) -> DataFrame:
-        of = broadcast_if_small(written(nodes.join(wanted, "node").select("of.doc_id", "of.copy"), "wanted_texts"))
+        of = broadcast_if_small(written(wanted.select("of.doc_id", "of.copy"), "wanted_texts"))
         texts = _input(docs, doc_id, text)
         texts = texts.join(of, (texts["doc_id"].eqNullSafe(of["doc_id"])) & (texts["copy"] == of["copy"]), "left_semi")
 
@@ -166,7 +166,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
         return texts.mapInArrow(run, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
-    found = S.links(index(docs, doc_id, text, frequent), nodes, sets)
+    found = S.links(index(docs, doc_id, text, frequent), lambda _: nodes, sets)
     classes = S.components(found)
     placed = rows.drop("sketch").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = placed.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))

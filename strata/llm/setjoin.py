@@ -38,8 +38,8 @@ PERCENT = 75
 FREQUENT_SHARE, BLOCK, LEAST = 2000, 1 << 22, 4
 SALT_BITS = 7
 PAIR = "a long, b long"
-#: Nodes of a block in the second step.
-TILE = 512
+#: Nodes of a block in the second step, and pairs of a task's blocks that are held at once.
+TILE, PAIRS_AT_ONCE = 512, 1 << 19
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -154,90 +154,183 @@ def most_different(both):
     return (100 - PERCENT) * both // (100 + PERCENT)
 
 
-def near_in_tile(rows: pa.Table) -> pa.Table:
-    """Pairs of a tile's nodes, of different classes, whose sizes and sketches allow a link.
+def _tile_pairs(start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i < j) of rows of one tile, for rows ``i`` in runs of bounded total."""
+    later = end - np.arange(len(start)) - 1
+    total = np.cumsum(later)
+    at = 0
+    while at < len(start):
+        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS_AT_ONCE, side="right")))
+        count = later[at:stop]
+        i = np.repeat(np.arange(at, stop), count)
+        yield i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+        at = stop
+
+
+def _close(i: np.ndarray, j: np.ndarray, n: np.ndarray, sketches: list[bytes]) -> np.ndarray:
+    """Which pairs' whole sketches allow a link, width by width."""
+    width = np.array([len(x) for x in sketches], dtype=np.int64)
+    least, ok = np.minimum(width[i], width[j]), np.zeros(len(i), dtype=bool)
+    for w in np.unique(least):
+        at = np.flatnonzero(least == w)
+        rows, place = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+        folded = np.concatenate([fold(np.frombuffer(sketches[r], dtype=np.uint8)[None], w) for r in rows])
+        differ = np.bitwise_count(folded[place[:len(at)]] ^ folded[place[len(at):]]).sum(axis=1, dtype=np.int64)
+        ok[at] = differ <= most_different(n[i[at]] + n[j[at]])
+    return ok
+
+
+class Tiles:
+    """Compares the nodes of whole tiles; one for a task.
 
     Where the rows have the sets, pairs are verified here, and classes that a
-    link of the tile joins already aren't compared again.
+    link of the task has joined already aren't compared again.
     """
-    n = rows.column("n").to_numpy()
-    node, root, side = (rows.column(c).to_numpy() for c in ("node", "root", "side"))
-    found = rows.column("sketch").to_pylist()
-    sets = [x.values.to_numpy() for x in rows.column("shingles")] if "shingles" in rows.column_names else None
-    width = np.array([len(x) for x in found])
-    out = [np.zeros((0, 2), dtype=np.int64)]
-    for w in np.unique(width):
-        near_w = np.flatnonzero((width == w) | (width == 2 * w))
-        own = width[near_w] == w
-        folded = np.concatenate([fold(np.frombuffer(found[i], dtype=np.uint8)[None], w) for i in near_w])
-        for k in np.flatnonzero(own):
-            i = near_w[k]
-            other = np.flatnonzero((side[near_w] != side[i]) | (side[near_w] == 2))
-            other = other[(root[near_w[other]] != root[i]) & (~own[other] | (node[near_w[other]] > node[i]))]
-            j = near_w[other]
-            other = other[100 * np.minimum(n[j], n[i]) >= PERCENT * np.maximum(n[j], n[i])]
-            j = near_w[other]
-            close = np.bitwise_count(folded[other] ^ folded[k]).sum(axis=1, dtype=np.int64) <= most_different(n[j] + n[i])
-            j = j[close]
+
+    def __init__(self):
+        self.joined: dict[int, int] = {}
+
+    def root_of(self, x: int) -> int:
+        while x in self.joined:
+            x = self.joined[x]
+        return x
+
+    def pairs(self, rows: pa.Table) -> Iterator[np.ndarray]:
+        """Pairs (two columns) of different classes whose sizes and sketches (and sets) allow a link."""
+        n, node, root, side = (rows.column(c).to_numpy() for c in ("n", "node", "root", "side"))
+        new = tile_starts(rows)
+        tile = np.cumsum(new) - 1
+        end = np.append(np.flatnonzero(new), len(n))[1:][tile]
+        sketches = rows.column("sketch").to_pylist()
+        short = np.concatenate([fold(np.frombuffer(x, dtype=np.uint8)[None], 8) for x in sketches]).view(np.uint64)[:, 0]
+        sets = rows.column("shingles").combine_chunks() if "shingles" in rows.column_names else None
+        for i, j in _tile_pairs(np.flatnonzero(new)[tile], end):
+            fits = (root[i] != root[j]) & ((side[i] != side[j]) | (side[i] == 2))
+            i, j = i[fits], j[fits]
+            fits = ((100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j]))
+                    & (np.bitwise_count(short[i] ^ short[j]) <= most_different(n[i] + n[j])))
+            i, j = i[fits], j[fits]
+            fits = _close(i, j, n, sketches)
+            i, j = i[fits], j[fits]
             if sets is not None:
-                linked = []
-                for x in j.tolist():
-                    if root[x] == root[i]:
-                        continue
-                    both = len(np.intersect1d(sets[i], sets[x], assume_unique=True))
-                    if 100 * both >= PERCENT * (int(n[i]) + int(n[x]) - both):
-                        linked.append(x)
-                        root = np.where(root == root[x], root[i], root)
-                j = np.array(linked, dtype=np.int64)
-            out.append(np.stack([np.minimum(node[j], node[i]), np.maximum(node[j], node[i])], axis=1))
-    pairs = np.concatenate(out)
-    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
-
-
-def across_classes(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes of a group (family, node, n, root, sketch) that may be linked."""
+                linked = [self._join(x, y, root, sets) for x, y in zip(i.tolist(), j.tolist())]
+                i, j = i[linked], j[linked]
+            yield np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], axis=1)
+
+    def _join(self, x: int, y: int, root: np.ndarray, sets: pa.ListArray) -> bool:
+        rx, ry = self.root_of(int(root[x])), self.root_of(int(root[y]))
+        if rx == ry:
+            return False
+        sx, sy = sets[x].values.to_numpy(), sets[y].values.to_numpy()
+        both = len(np.intersect1d(sx, sy, assume_unique=True))
+        if 100 * both < PERCENT * (len(sx) + len(sy) - both):
+            return False
+        self.joined[max(rx, ry)] = min(rx, ry)
+        return True
+
+
+def tile_starts(rows: pa.Table) -> np.ndarray:
+    """True where a row is the first of its tile."""
+    new = np.zeros(rows.num_rows, dtype=bool)
+    new[:1] = True
+    for c in ("family", "i", "j"):
+        v = rows.column(c).to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    return new
+
+
+def _whole_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by tile as tables of whole tiles; a batch's last tile waits for the next batch."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        if rows.num_rows == 0:
+            continue
+        last = int(np.flatnonzero(tile_starts(rows))[-1])
+        held = rows.slice(last)
+        if last:
+            yield rows.slice(0, last)
+    if held is not None:
+        yield held
+
+
+def pairs_in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tiles = Tiles()
+    for rows in _whole_tiles(batches):
+        for found in tiles.pairs(rows):
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+
+def with_partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes that have a pair, each once for a table of tiles."""
+    tiles = Tiles()
+    for rows in _whole_tiles(batches):
+        met = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *(np.unique(found) for found in tiles.pairs(rows))]))
+        yield pa.RecordBatch.from_arrays([pa.array(met)], ["node"])
+
+
+def _tiles(members: DataFrame, compare, schema: str, sets: DataFrame | None = None) -> DataFrame:
     blocks = members.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
     dealt = members.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    if sets is not None:
+        dealt = dealt.join(sets, "node")
     tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *[c for c in members.columns if c != "family"],
+        "family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "n", "root", "sketch",
+        *(["shingles"] if sets is not None else []),
         F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") < F.col("other")).cast("int")).alias("side"))
-    return tiles.groupBy("family", "i", "j").applyInArrow(near_in_tile, PAIR).distinct()
+    return tiles.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(compare, schema)
+
 
+def across_classes(members: DataFrame, sets: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b) of nodes of a group (family, node, n, root, sketch) that may be
+    linked; with ``sets`` (node, shingles), that are."""
+    return _tiles(members, pairs_in_tiles, PAIR, sets).distinct()
 
-def links(records: DataFrame, nodes: DataFrame, sets: Callable[[DataFrame], DataFrame], small_sets: bool = False) -> DataFrame:
+
+def links(records: DataFrame, nodes: Callable[[DataFrame], DataFrame], sets: Callable[[DataFrame], DataFrame],
+          small_sets: bool = False) -> DataFrame:
     """Links (a, b) whose classes are those of all links.
 
-    ``records``: (cell, node, left), ``left`` an upper bound of what the node can
-    still share, this cell's shingle included. ``nodes``: (node, n, sketch), one
-    row a node. ``sets``: the sets of given nodes; ``small_sets``: they are small.
+    ``records``: (cell, node, left) and, where it isn't ``left``, n, the set's size;
+    ``left`` is an upper bound of what the node can still share, this cell's shingle
+    included. ``nodes``: a written table with (node, sketch), one row a node, of given
+    nodes at least. ``sets``: (node, shingles) of given rows of that table;
+    ``small_sets``: they are small.
     """
     low = (1 << SALT_BITS) - 1
     common = F.col("cell").bitwiseAND(F.lit(low)) != 0
     here = Window.partitionBy("cell")
-    shared = records.select("cell", "node", "left", (F.min("node").over(here) != F.max("node").over(here)).alias("several"))
-    shared = (shared.filter(F.col("several") | common)
-              .select(F.col("cell").bitwiseAND(F.lit(~low)).alias("cell"), "node", "left").distinct())
-    shared = written(shared.join(nodes.select("node", "n"), "node"), "shared_cells")
+    shared = records.withColumn("several", F.min("node").over(here) != F.max("node").over(here)).filter(F.col("several") | common)
+    if "n" not in records.columns:
+        shared = shared.withColumn("n", F.col("left"))
+    shared = written(shared.select(F.col("cell").bitwiseAND(F.lit(~low)).alias("cell"), "node", "left", "n").distinct(), "shared_cells")
+    nodes = nodes(shared.select("node").distinct())
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        return sets(nodes.join(wanted, "node"))
 
     met = shared.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("met"))
-    pivots = (shared.join(met, "node").groupBy("cell")
-              .agg(F.max_by(F.struct("node", "n", "left"), F.struct("met", "node")).alias("p"), F.count(F.lit(1)).alias("size"))
-              .filter("size > 1").select("cell", "p"))
+    pivots = written(shared.join(met, "node").groupBy("cell")
+                     .agg(F.max_by(F.struct("node", "n", "left"), F.struct("met", "node")).alias("p"), F.count(F.lit(1)).alias("size"))
+                     .filter("size > 1").select("cell", "p"), "pivots")
     stars = shared.join(pivots, "cell").select(
         F.col("node").alias("x"), F.col("n").alias("nx"), F.col("left").alias("lx"),
         F.col("p.node").alias("y"), F.col("p.n").alias("ny"), F.col("p.left").alias("ly"))
-    first = written(_linked(near(_candidates(stars), nodes), sets), "pivot_links")
+    first = written(_linked(near(_candidates(stars), nodes), sets_of), "pivot_links")
 
     placed = shared.join(components(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = (placed.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .filter("lo <> hi").join(pivots, "cell").select("cell", F.col("p.node").alias("family")))
     members = placed.join(mixed, "cell").select("family", "node", "n", "root").distinct()
     members = members.join(nodes.select("node", "sketch"), "node")
-    if small_sets:  # they go with the nodes, and blocks verify their pairs themselves
+    if small_sets:  # they go with the nodes that sketches leave open, and blocks verify their pairs themselves
         members = written(members, "open_members")
-        second = across_classes(members.join(sets(members.select("node").distinct()), "node"))
+        left_open = written(_tiles(members, with_partner, "node long").distinct(), "open_nodes")
+        members = members.join(left_open, "node")
+        second = across_classes(members, sets_of(left_open))
     else:
-        second = _linked(across_classes(members), sets)
+        second = _linked(across_classes(members), sets_of)
     return first.unionByName(written(second, "class_links"))
 
 
