@@ -36,6 +36,8 @@ from strata.llm.common import NOT_SPACE, broadcast_if_small, let, table, written
 from strata.llm.wordhash import _buffers, line_rows, mix, pieces, windows, words
 
 SIZE = 5
+#: Bytes of text whose tokens are sorted at once.
+PART = 1 << 19
 
 
 def rarest_first(which: np.ndarray, common: np.ndarray, tokens: np.ndarray, lines: int) -> np.ndarray:
@@ -114,7 +116,7 @@ def line_sets(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
                 pa.array(values.view(np.int64)), pa.array(n.astype(np.int64)), pa.nulls(len(values), pa.binary())], names)
 
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PART):
                 sets = LineSets(part.column("text"), none)
                 new = {}
                 for k, node in enumerate(sets.node.tolist()):
@@ -135,11 +137,11 @@ def line_sets(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
 
 
 def index(docs: DataFrame, doc_id: str, text: str, frequent) -> DataFrame:
-    """(cell, node, left, n) of the prefix tokens of each different line."""
+    """(cell, node, left and n as one number) of the prefix tokens of each different line."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PART):
                 sets = LineSets(part.column("text"), frequent.value)
                 fresh = np.zeros(len(sets.n), dtype=bool)
                 for k, node in enumerate(sets.node.tolist()):
@@ -152,10 +154,9 @@ def index(docs: DataFrame, doc_id: str, text: str, frequent) -> DataFrame:
                 node = sets.node[sets.which[chosen]]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(S.cells_of(mix(sets.tokens[chosen]), sets.common[chosen], node)), pa.array(node),
-                    pa.array((sets.n[sets.which[chosen]] - place[chosen]).astype(np.int32)),
-                    pa.array(sets.n[sets.which[chosen]].astype(np.int32))], ["cell", "node", "left", "n"])
+                    pa.array((sets.n[sets.which[chosen]] << 32) | (sets.n[sets.which[chosen]] - place[chosen]))], ["cell", "node", "sizes"])
 
-    return _input(docs, doc_id, text).mapInArrow(run, "cell long, node long, left int, n int")
+    return _input(docs, doc_id, text).mapInArrow(run, "cell long, node long, sizes long")
 
 
 def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -175,7 +176,7 @@ def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in pieces(batch, "text"):
+                for part in pieces(batch, "text", PART):
                     found = LineSets(part.column("text"), np.zeros(0, dtype=np.uint64))
                     yield S.set_rows(found.node.tolist(), np.split(found.tokens, found.first[1:-1]) if len(found.n) else [])
 

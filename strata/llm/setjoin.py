@@ -292,9 +292,9 @@ def links(records: DataFrame, nodes: Callable[[DataFrame], DataFrame], sets: Cal
           small_sets: bool = False) -> DataFrame:
     """Links (a, b) whose classes are those of all links.
 
-    ``records``: (cell, node, left) and, where it isn't ``left``, n, the set's size;
-    ``left`` is an upper bound of what the node can still share, this cell's shingle
-    included. ``nodes``: a written table with (node, sketch), one row a node, of given
+    ``records``: (cell, node, left), or with ``sizes`` for left: the set's size n in
+    the high half, left in the low one (else n is left). ``left`` is an upper bound of
+    what the node can still share, this cell's shingle included. ``nodes``: a written table with (node, sketch), one row a node, of given
     nodes at least. ``sets``: (node, shingles) of given rows of that table;
     ``small_sets``: they are small.
     """
@@ -302,7 +302,9 @@ def links(records: DataFrame, nodes: Callable[[DataFrame], DataFrame], sets: Cal
     common = F.col("cell").bitwiseAND(F.lit(low)) != 0
     here = Window.partitionBy("cell")
     shared = records.withColumn("several", F.min("node").over(here) != F.max("node").over(here)).filter(F.col("several") | common)
-    if "n" not in records.columns:
+    if "sizes" in records.columns:
+        shared = shared.withColumns({"left": F.col("sizes").bitwiseAND(F.lit(0xFFFFFFFF)), "n": F.shiftright("sizes", 32)})
+    else:
         shared = shared.withColumn("n", F.col("left"))
     shared = written(shared.select(F.col("cell").bitwiseAND(F.lit(~low)).alias("cell"), "node", "left", "n").distinct(), "shared_cells")
     nodes = nodes(shared.select("node").distinct())

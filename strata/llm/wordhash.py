@@ -11,7 +11,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 19
+#: Bytes hashed at once; arrays over them fit in a core's cache.
+PIECE = 1 << 15
 _random = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _random.integers(1, 1 << 63, 1 << 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -20,6 +21,7 @@ _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 #: A-Z as a-z, other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+_LOWER_BYTE = _BYTE[LOWER]
 #: Bytes of words: all but the white space 20 and 09 to 0D.
 NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -90,8 +92,8 @@ def line_rows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _piece(data, at, end, breaks, part_of_word):
-    low = LOWER[data[at:end]]
-    inside = part_of_word[data[at:end]]
+    here = data[at:end]
+    inside = part_of_word[here]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
@@ -104,8 +106,11 @@ def _piece(data, at, end, breaks, part_of_word):
     lengths = ends - starts
     first = np.cumsum(lengths) - lengths
     place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    value = _BYTE[low[inside]] * _PLACE[place & 0xFFFF]
-    if lengths.max() > 0xFFFF:
+    value = _LOWER_BYTE[here[inside]]
+    if lengths.max() <= 0xFFFF:
+        value *= _PLACE[place]
+    else:
+        value *= _PLACE[place & 0xFFFF]
         value *= (place >> 16).astype(np.uint64) * np.uint64(2) + np.uint64(1)
     return mix(np.add.reduceat(value, first) + lengths.astype(np.uint64)), starts + at, ends + at
 
