@@ -12,16 +12,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes hashed at once; arrays over them fit in a core's cache.
-PIECE = 1 << 15
+PIECE = 1 << 16
 _random = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _random.integers(1, 1 << 63, 1 << 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+#: Keeps the first 0 to 8 bytes of eight.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 #: A-Z as a-z, other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_LOWER_BYTE = _BYTE[LOWER]
 #: Bytes of words: all but the white space 20 and 09 to 0D.
 NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -68,9 +68,8 @@ def words(texts: pa.Array, part_of_word: np.ndarray = NOT_SPACE, lines: bool = F
     while at < len(data):
         end = min(at + PIECE, len(data))
         while end < len(data):  # go back to where no word is cut, else on
-            cut = np.flatnonzero(~part_of_word[data[at:end]])
             row = breaks[np.searchsorted(breaks, end, side="right") - 1]
-            place = max(at + cut[-1] + 1 if len(cut) else at, row)
+            place = max(_after_last_space(data, at, end, part_of_word), row)
             if place > at:
                 end = place
                 break
@@ -91,9 +90,22 @@ def line_rows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.append(bounds[order], len(data)), first
 
 
+def _after_last_space(data: np.ndarray, at: int, end: int, part_of_word: np.ndarray) -> int:
+    """Where the word that reaches ``end`` begins (``at`` if it is cut there)."""
+    back = 64
+    while True:
+        begin = max(at, end - back)
+        space = np.flatnonzero(~part_of_word[data[begin:end]])
+        if len(space):
+            return begin + int(space[-1]) + 1
+        if begin == at:
+            return at
+        back *= 8
+
+
 def _piece(data, at, end, breaks, part_of_word):
-    here = data[at:end]
-    inside = part_of_word[here]
+    here = data[at:end].tobytes()
+    inside = np.frombuffer(here.translate(part_of_word.tobytes()), dtype=bool)
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
@@ -101,18 +113,30 @@ def _piece(data, at, end, breaks, part_of_word):
     opens[cut] |= inside[cut]
     closes[cut - 1] |= inside[cut - 1]
     starts, ends = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64), starts, ends
+    return _hashes(here.translate(LOWER.tobytes()), starts, ends), starts + at, ends + at
+
+
+def _hashes(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of words, eight bytes at a time; bytes and length both count."""
+    eights = np.frombuffer(text + bytes(16 - len(text) % 8), dtype="<u8")
+
+    def eight(places, left):
+        shift = ((places & 7) << 3).astype(np.uint64)
+        cell = places >> 3
+        value = (eights[cell] >> shift) | ((eights[cell + 1] << (np.uint64(63) - shift)) << np.uint64(1))
+        return value & _FIRST_BYTES[np.minimum(left, 8)]
+
     lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    value = _LOWER_BYTE[here[inside]]
-    if lengths.max() <= 0xFFFF:
-        value *= _PLACE[place]
-    else:
-        value *= _PLACE[place & 0xFFFF]
-        value *= (place >> 16).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    return mix(np.add.reduceat(value, first) + lengths.astype(np.uint64)), starts + at, ends + at
+    total = eight(starts, lengths) * _M2 + lengths.astype(np.uint64) * _PLACE[0]
+    longer = np.flatnonzero(lengths > 8)
+    if len(longer):
+        more = (lengths[longer] - 1) >> 3
+        first = np.cumsum(more) - more
+        k = np.arange(1, int(more.sum()) + 1) - np.repeat(first, more)
+        salt = _PLACE[k & 0xFFFF] * ((k >> 16).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        value = mix(eight(np.repeat(starts[longer], more) + 8 * k, np.repeat(lengths[longer], more) - 8 * k) + salt)
+        total[longer] += np.add.reduceat(value, first)
+    return mix(total)
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
