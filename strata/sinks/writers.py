@@ -7,6 +7,7 @@ same output instead of duplicating it.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,7 +77,13 @@ def write_table(df: DataFrame, path: str, partition_cols=(), cluster_cols=(),
                 target_file_size_bytes: int | None = None, mode: str = "overwrite",
                 fmt: str = "parquet", comment: str | None = None,
                 properties: dict | None = None) -> str:
-    """SNK-2/3/4/5: persist a dataset (with an optional comment and properties)."""
+    """SNK-2/3/4/5: persist a dataset (with an optional comment and properties).
+
+    A table that a stream appends to is not overwritten: that would delete the
+    sink's log while the stream's checkpoint stays.
+    """
+    if mode == "overwrite" and is_stream_table(df.sparkSession, path):
+        raise ValueError(f"{path} is written by a stream; use another root for batch runs")
     if cluster_cols or partition_cols:
         df = clustered(df, cluster_cols, partition_cols)
     w = df.write.mode(mode).format(fmt)
@@ -90,6 +97,17 @@ def write_table(df: DataFrame, path: str, partition_cols=(), cluster_cols=(),
     return path
 
 
+def is_stream_table(spark, path: str) -> bool:
+    """Whether ``path`` has the log of a streaming sink (on any file system)."""
+    try:
+        spark.read.text(f"{path}/_spark_metadata").schema
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def write_table_info(spark, path: str, comment: str | None, properties: dict | None = None) -> None:
     """Table comment and properties as a one-row JSON sidecar in ``<path>/_table_info``
     (readers of the table skip ``_``-prefixed folders)."""

@@ -2,10 +2,13 @@
 
 import json
 
+import pytest
+
 from strata.config import PipelineConfig
 from strata.operators.dedup import FIRST_ARRIVAL, WITHIN_WATERMARK
 from strata.operators.setops import distinct_values, union_by_name
 from strata.plans.adhoc import register_paths, run_sql
+from strata.sinks.writers import write_table
 from strata.streaming.runner import StreamLayout, run_activity_increment, run_orders_increment
 
 CFG = PipelineConfig(max_files_per_trigger=1)
@@ -37,6 +40,21 @@ def test_incremental_runs_process_only_new_files(spark, json_dir, tmp_path):
     assert out == {"a": 1, "b": 1}  # the late copy of "a" is rejected by the dedup state
 
 
+def test_batch_write_leaves_stream_tables_alone(spark, json_dir, tmp_path):
+    lay = StreamLayout(str(tmp_path / "p"))
+    json_dir([order("a")], name="raw/1")
+    run_orders_increment(spark, CFG, str(tmp_path / "raw/*"), lay, FIRST_ARRIVAL)
+    with pytest.raises(ValueError, match="written by a stream"):
+        write_table(spark.range(1), lay.table("silver_orders"))
+    json_dir([order("b")], name="raw/2")
+    run_orders_increment(spark, CFG, str(tmp_path / "raw/*"), lay, FIRST_ARRIVAL)
+    assert spark.read.parquet(lay.table("silver_orders")).count() == 2
+    other = str(tmp_path / "batch")
+    for n in (1, 3):
+        write_table(spark.range(n), other)
+    assert spark.read.parquet(other).count() == 3
+
+
 def test_activity_stream(spark, json_dir, tmp_path):
     rows = [json.dumps({"customer_id": 1, "timestamp": "2024-01-06T10:00:00", "page_views": 1, "cart_adds": 0,
                         "purchases": 0, "device": "tablet", "location": "x", "session_id": s}) for s in "abc"]
