@@ -8,8 +8,10 @@ that fail the base rules.
 
 What counts as a document of its own: equal texts of a host count once, and so
 that versions of one text don't turn each other's lines into boilerplate, a
-line must also be held by many *families*. A document's family is its smallest
-line hash, which near copies mostly share and unrelated documents don't.
+line must also be held by many *families*. Each document is a family of its own
+but for versions: documents whose lines that few others hold are mostly edits
+of lines that many hold (the *gist*, the least hash of a line's 3-word windows,
+is the same). Versions with the same smallest common line are one family.
 
 Defined results: a null or blank text has no words, fails the base rules and is
 rejected; null hosts form one host; repeated rows get one verdict each, the
@@ -102,6 +104,38 @@ def keyed(docs: DataFrame, text: str, host: str) -> DataFrame:
                              "_text": F.struct(F.xxhash64(t).alias("hash"), F.length(t).alias("chars"))})
 
 
+def normal(line: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(line), SPACES, " "))
+
+
+def gist(line: Column) -> Column:
+    """The least hash of a normal line's 3-word windows, which an edit of a few
+    words mostly leaves; of the whole line if it has fewer words."""
+    return let(F.split(line, " "), lambda w: F.when(F.size(w) > 2, F.array_min(F.transform(
+        F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))))).otherwise(F.xxhash64(w)))
+
+
+def boilerplate(rows: DataFrame, rules: QualityRules) -> DataFrame:
+    """(_host, line): the lines above the limits.
+
+    ``rows`` has each line of each distinct text: _host, _text, line, gist.
+    """
+    common = (rows.groupBy("_host", "line").agg(F.countDistinct("_text").alias("held"), F.first("gist").alias("gist"))
+              .filter(F.col("held") > rules.max_docs))
+    marked = (rows.join(common.select("_host", "line", F.lit(True).alias("common")), ["_host", "line"], "left")
+              .join(common.select("_host", "gist", F.lit(True).alias("near")).distinct(), ["_host", "gist"], "left"))
+    is_common, near = F.col("common").isNotNull(), F.col("near").isNotNull()
+    texts = marked.groupBy("_host", "_text").agg(
+        F.collect_set(F.when(is_common, F.col("line"))).alias("lines"), F.count_if(~is_common & near).alias("edits"),
+        F.count_if(~near).alias("own")).filter(F.size("lines") > 0)
+    version = (F.col("edits") > 0) & (F.col("edits") >= F.col("own"))
+    family = F.when(version, F.struct(F.array_min("lines").alias("hash"), F.lit(-1).alias("chars"))).otherwise(F.col("_text"))
+    return (texts.select("_host", family.alias("family"), F.explode("lines").alias("line"))
+            .groupBy("_host", "line").agg(F.countDistinct("family").alias("families"), F.count(F.lit(1)).alias("held"))
+            .filter((F.col("families") > rules.max_docs) & (F.col("families") >= rules.min_family_share * F.col("held")))
+            .select("_host", "line"))
+
+
 def removed_chars(docs: DataFrame, rules: QualityRules, text: str = "text", host: str = "source") -> DataFrame:
     """(_host, _text, kept_chars, all_chars): what is left when boilerplate goes.
 
@@ -109,20 +143,12 @@ def removed_chars(docs: DataFrame, rules: QualityRules, text: str = "text", host
     are shuffled. A frequent line is counted with partial counts, so no task
     gets all its rows.
     """
-    def line(x):
-        return F.trim(F.regexp_replace(F.lower(x), SPACES, " "))
-    lines = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), line), lambda x: x != F.lit(""))
-    hashed = keyed(docs, text, host).select("_host", "_text", lines.alias("lines")).select(
-        "_host", "_text", F.transform("lines", lambda x: F.struct(
-            F.xxhash64(x).alias("line"), F.substring(F.md5(x), 1, 15).alias("draw"), F.length(x).alias("chars"))).alias("lines"))
-    rows = hashed.select(
-        "_host", "_text", F.conv(F.array_min(F.col("lines.draw")), 16, 10).cast("long").alias("family"),
-        F.posexplode(F.transform("lines", lambda x: F.struct(x["line"].alias("line"), x["chars"].alias("chars")))).alias("at", "l"),
-    ).select("_host", "_text", "family", "at", "l.line", "l.chars").distinct()
-    frequent = (rows.groupBy("_host", "line")
-                .agg(F.countDistinct("family").alias("families"), F.countDistinct("_text").alias("held"))
-                .filter((F.col("families") > rules.max_docs) & (F.col("families") >= rules.min_family_share * F.col("held")))
-                .select("_host", "line", F.lit(True).alias("boilerplate")))
+    lines = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), normal), lambda x: x != F.lit(""))
+    hashed = F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("line"), F.length(x).alias("chars"), gist(x).alias("gist")))
+    rows = (keyed(docs, text, host).select("_host", "_text", lines.alias("lines"))
+            .select("_host", "_text", F.posexplode(hashed).alias("at", "l"))
+            .select("_host", "_text", "at", "l.line", "l.chars", "l.gist").distinct())
+    frequent = boilerplate(rows, rules).withColumn("boilerplate", F.lit(True))
     return (rows.join(frequent, ["_host", "line"], "left")
             .groupBy("_host", "_text")
             .agg(F.sum(F.when(F.col("boilerplate").isNull(), F.col("chars")).otherwise(0)).alias("kept_chars"),

@@ -93,6 +93,25 @@ def test_quality_counts_and_repeats(docs, rows, empty):
     assert kept.columns == docs.columns and {r.node for r in kept.collect()} == {"n"}
 
 
+def test_quality_shared_lines_of_unrelated_documents_and_versions(spark):
+    rnd = random.Random(11)
+
+    def line():
+        return " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(12))
+    shared, base = [line() for _ in range(10)], [line() for _ in range(8)]
+    rows = [(i, "\n".join([*shared, line(), line()]), "pages") for i in range(120)]
+    for i in range(200, 260):  # versions of one text, some words edited
+        version = [x.split() for x in base]
+        for _ in range(1 + i % 2):
+            rnd.choice(version)[rnd.randrange(12)] = f"edit{i}"
+        rows.append((i, "\n".join(map(" ".join, version)), "versions"))
+    rows += [(300 + i, "\n".join(line() for _ in range(8)), "others") for i in range(30)]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+    assert {(r.source, r.depleted) for r in got} == {("pages", True), ("versions", False), ("others", False)}
+    own = {i: sum(map(len, t.split("\n")[10:])) for i, t, s in rows if s == "pages"}
+    assert {r.doc_id: r.kept_chars for r in got if r.source == "pages"} == own
+
+
 def test_sharding_moves_rows_into_the_new_shard_alone(docs, rows, empty):
     got = sharding.shard_documents(docs).collect()
     assert len(got) == len(rows)
