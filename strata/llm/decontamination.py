@@ -8,9 +8,10 @@ placeholders) go with them, so a copy in other case is found as well.
 
 A placeholder matches any value, so the values are checked: along a run of
 windows at one distance between item and document, each of the item's values
-must always stand for the same value of the document. A document is
+must always stand for the same value of the document. Template windows count in
+runs that pass, plain windows, which match word for word, in all. A document is
 contaminated by an item if at least ``MIN_SHARE`` of the item's windows are
-found in runs that pass. Values that differ mark a re-parameterised copy.
+found. Values that differ mark a re-parameterised copy.
 
 Of a document's windows only those leave the task whose hash the benchmark has.
 The benchmark's hashes are broadcast if there are at most ``MAX_BROADCAST`` (they
@@ -146,14 +147,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id
     items = items.select(F.col("key").alias("item_id"), F.col("copy").alias("item_copy"), "at", "window", "windows", "values")
     runs = (found.join(items, "window")
             .groupBy("doc_id", "copy", "item_id", "item_copy", (F.col("doc_at") - F.col("at")).alias("shift"))
-            .agg(F.collect_set("at").alias("at"), F.max("windows").alias("windows"),
+            .agg(F.collect_set(F.when(F.size("values") == 0, F.col("at"))).alias("plain"),
+                 F.collect_set(F.when(F.size("values") > 0, F.col("at"))).alias("typed"), F.max("windows").alias("windows"),
                  F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("values", "doc_values")))).alias("pairs")))
     pairs = F.filter("pairs", lambda p: p["values"] != 0)
-    runs = runs.withColumn("pairs", pairs).filter(
-        F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["values"]))))
+    none = F.array().cast("array<long>")
+    runs = runs.withColumn("pairs", pairs).withColumn(
+        "passes", F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["values"])))).withColumn(
+        "at", F.array_union("plain", F.when(F.col("passes"), F.col("typed")).otherwise(none))).filter(F.size("at") > 0)
     spans = runs.select("doc_id", "copy", "item_id", "item_copy", "windows", "at",
                         (F.array_min("at") + F.col("shift")).alias("first"), (F.array_max("at") + F.col("shift") + WINDOW - 1).alias("last"),
-                        F.exists("pairs", lambda p: p["values"] != p["doc_values"]).alias("changed"))
+                                        (F.col("passes") & F.exists("pairs", lambda p: p["values"] != p["doc_values"])).alias("changed"))
     per_item = spans.groupBy("doc_id", "copy", "item_id", "item_copy").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("found_windows"),
         F.max("windows").alias("item_windows"), F.min("first").alias("first_token"), F.max("last").alias("last_token"),

@@ -150,6 +150,16 @@ def test_decontamination_finds_other_numbers_and_checks_slots(spark, docs, empty
     assert decontamination.clean_documents(docs, bench).count() == docs.count()
 
 
+def test_decontamination_counts_exact_words_where_slots_differ(spark):
+    item = " ".join(["then the man Bob went off"] + [f"word{k}a and other{k}b things" for k in range(6)] + ["until the woman saw Bob again"])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item.replace("Bob", "Tom", 1))], "doc_id long, text string")
+    found = decontamination.leaks(docs, bench).collect()
+    total = len(item.split()) - 7
+    assert [(r.found_windows, r.item_windows, r.reparameterised) for r in found] == [(total - 4, total, False)]
+    assert decontamination.clean_documents(docs, bench).count() == 0
+
+
 def test_pii_base_spans(docs, rows, empty):
     patterns = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
                 ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
