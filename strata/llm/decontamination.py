@@ -11,14 +11,16 @@ windows at one distance between item and document, each of the item's values
 must always stand for the same value of the document. Template windows count in
 runs that pass, plain windows, which match word for word, in all. A document is
 contaminated by an item if at least ``MIN_SHARE`` of the item's windows are
-found. Values that differ mark a re-parameterised copy.
+found, or that share of its template windows of ``MIN_LITERALS`` words or more,
+the only ones indexed. Values that differ mark a re-parameterised copy. An item of
+fewer than ``WINDOW`` tokens is one window.
 
 Of a document's windows only those leave the task whose hash the benchmark has.
 The benchmark's hashes are broadcast if there are at most ``MAX_BROADCAST`` (they
 are counted first), else all windows go through a join by hash.
 
-Defined results: null and empty texts, and items of fewer than ``WINDOW`` tokens,
-match nothing; an empty benchmark matches nothing; repeated rows (same id and
+Defined results: null and empty texts match nothing; a short item matches wherever
+its words stand, even if it is one word; an empty benchmark matches nothing; repeated rows (same id and
 text) give one row per item, equal texts under other ids rows of their own;
 null ids are kept as null; other columns are ignored.
 """
@@ -87,47 +89,64 @@ def _table(hashes: np.ndarray):
     return hashes, bits
 
 
-def window_rows(texts: DataFrame, key: str, text: str, wanted=None) -> DataFrame:
-    """(key, at, window, values): windows of each text, all or those ``wanted`` has.
+def _sized(size: int) -> np.uint64:
+    """What tells hashes of shorter windows from those of ``WINDOW`` tokens."""
+    return mix(np.array([100 + size], dtype=np.uint64))[0] if size < WINDOW else np.uint64(0)
 
-    ``wanted`` is a broadcast of :func:`_table`; ``values`` of plain windows are empty.
+
+def window_rows(texts: DataFrame, key: str, text: str, wanted=None, sizes: list[int] | None = None) -> DataFrame:
+    """(key, at, size, window, windows, usable, values): windows of each text, all or those ``wanted`` has.
+
+    Windows have ``sizes`` tokens; without it, ``WINDOW`` or, where a text has
+    fewer, all of it. ``wanted`` is a broadcast of :func:`_table`. ``windows`` and
+    ``usable`` count the text's windows and those of enough literals to be
+    template windows; ``values`` of plain windows are empty.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = _units()
         for batch in batches:
             for part in pieces(batch, "text"):
                 template, values, plain, first = canonical(part.column("text"), units)
-                if len(template) < WINDOW:
-                    continue
                 literal = np.concatenate([[0], np.cumsum(values == 0)])
-                n = len(template) - WINDOW + 1
-                row = np.searchsorted(first, np.arange(n), side="right") - 1
-                whole = np.arange(n) + WINDOW <= first[row + 1]
-                enough = whole & (literal[WINDOW:WINDOW + n] - literal[:n] >= MIN_LITERALS)
-                for hashes, ok, typed in ((windows(template, WINDOW), enough, True), (windows(plain, WINDOW) ^ _PLAIN, whole, False)):
-                    if wanted is not None:
-                        known, bits = wanted.value
-                        ok = ok & bits[hashes & np.uint64(len(bits) - 1)]
-                    at = np.flatnonzero(ok)
-                    if wanted is not None and len(at):
-                        place = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
-                        at = at[known[place] == hashes[at]]
-                    if not len(at):
+                tokens = np.diff(first)
+                for size in sizes or range(1, WINDOW + 1):
+                    n = len(template) - size + 1
+                    if n < 1:
                         continue
-                    held = values[at[:, None] + np.arange(WINDOW)] if typed else np.zeros((len(at), 0), dtype=np.uint64)
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * held.shape[1], pa.int32()),
-                                                     pa.array(held.ravel().view(np.int64)))
-                    rows = pa.array(row[at])
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("key").take(rows), part.column("copy").take(rows),
-                         pa.array((at - first[row[at]]).astype(np.int64)), pa.array(hashes[at].view(np.int64)),
-                         pa.array((first[row[at] + 1] - first[row[at]] - WINDOW + 1).astype(np.int64)), lists],
-                        ["key", "copy", "at", "window", "windows", "values"])
+                    row = np.searchsorted(first, np.arange(n), side="right") - 1
+                    whole = np.arange(n) + size <= first[row + 1]
+                    if sizes is None and size < WINDOW:
+                        whole &= tokens[row] == size
+                        if not whole.any():
+                            continue
+                    enough = whole & (literal[size:size + n] - literal[:n] >= MIN_LITERALS)
+                    salt = _sized(size)
+                    usable = np.bincount(row[enough], minlength=len(tokens))
+                    for hashes, ok, typed in ((windows(template, size) ^ salt, enough, True), (windows(plain, size) ^ salt ^ _PLAIN, whole, False)):
+                        if wanted is not None:
+                            known, bits = wanted.value
+                            ok = ok & bits[hashes & np.uint64(len(bits) - 1)]
+                        at = np.flatnonzero(ok)
+                        if wanted is not None and len(at):
+                            place = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
+                            at = at[known[place] == hashes[at]]
+                        if not len(at):
+                            continue
+                        held = values[at[:, None] + np.arange(size)] if typed else np.zeros((len(at), 0), dtype=np.uint64)
+                        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * held.shape[1], pa.int32()),
+                                                         pa.array(held.ravel().view(np.int64)))
+                        rows = pa.array(row[at])
+                        yield pa.RecordBatch.from_arrays(
+                            [part.column("key").take(rows), part.column("copy").take(rows),
+                             pa.array((at - first[row[at]]).astype(np.int64)), pa.array(np.full(len(at), size, dtype=np.int64)),
+                             pa.array(hashes[at].view(np.int64)), pa.array((tokens[row[at]] - size + 1).astype(np.int64)),
+                             pa.array(usable[row[at]].astype(np.int64)), lists],
+                            ["key", "copy", "at", "size", "window", "windows", "usable", "values"])
 
     kind = texts.schema[key].dataType.simpleString()
     t = F.coalesce(F.col(text), F.lit(""))
     return texts.select(F.col(key).alias("key"), F.xxhash64(t).alias("copy"), t.alias("text")).mapInArrow(
-        run, f"key {kind}, copy long, at long, window long, windows long, values array<long>")
+        run, f"key {kind}, copy long, at long, size long, window long, windows long, usable long, values array<long>")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text",
@@ -142,27 +161,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id
         if not len(known):
             known = np.zeros(1, dtype=np.uint64)
         wanted = spark.sparkContext.broadcast(_table(known))
-    found = window_rows(docs, doc_id, text, wanted).select(
+    sizes = sorted(r[0] for r in items.select("size").distinct().collect()) or [WINDOW]
+    found = window_rows(docs, doc_id, text, wanted, sizes).select(
         F.col("key").alias("doc_id"), "copy", F.col("at").alias("doc_at"), "window", F.col("values").alias("doc_values"))
-    items = items.select(F.col("key").alias("item_id"), F.col("copy").alias("item_copy"), "at", "window", "windows", "values")
+    items = items.select(F.col("key").alias("item_id"), F.col("copy").alias("item_copy"), "at", "size", "window", "windows", "usable", "values")
     runs = (found.join(items, "window")
             .groupBy("doc_id", "copy", "item_id", "item_copy", (F.col("doc_at") - F.col("at")).alias("shift"))
             .agg(F.collect_set(F.when(F.size("values") == 0, F.col("at"))).alias("plain"),
-                 F.collect_set(F.when(F.size("values") > 0, F.col("at"))).alias("typed"), F.max("windows").alias("windows"),
+                 F.collect_set(F.when(F.size("values") > 0, F.col("at"))).alias("typed"), F.max("size").alias("size"),
+                 F.max("windows").alias("windows"), F.max("usable").alias("usable"),
                  F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("values", "doc_values")))).alias("pairs")))
     pairs = F.filter("pairs", lambda p: p["values"] != 0)
     none = F.array().cast("array<long>")
     runs = runs.withColumn("pairs", pairs).withColumn(
         "passes", F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["values"])))).withColumn(
-        "at", F.array_union("plain", F.when(F.col("passes"), F.col("typed")).otherwise(none))).filter(F.size("at") > 0)
-    spans = runs.select("doc_id", "copy", "item_id", "item_copy", "windows", "at",
-                        (F.array_min("at") + F.col("shift")).alias("first"), (F.array_max("at") + F.col("shift") + WINDOW - 1).alias("last"),
+        "at", F.array_union("plain", F.when(F.col("passes"), F.col("typed")).otherwise(none))).withColumn(
+        "typed", F.when(F.col("passes"), F.col("typed")).otherwise(none)).filter(F.size("at") > 0)
+    spans = runs.select("doc_id", "copy", "item_id", "item_copy", "windows", "usable", "at", "typed",
+                        (F.array_min("at") + F.col("shift")).alias("first"), (F.array_max("at") + F.col("shift") + F.col("size") - 1).alias("last"),
                                         (F.col("passes") & F.exists("pairs", lambda p: p["values"] != p["doc_values"])).alias("changed"))
     per_item = spans.groupBy("doc_id", "copy", "item_id", "item_copy").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("found_windows"),
-        F.max("windows").alias("item_windows"), F.min("first").alias("first_token"), F.max("last").alias("last_token"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("typed")))).cast("long").alias("typed_windows"),
+        F.max("windows").alias("item_windows"), F.max("usable").alias("usable_windows"), F.min("first").alias("first_token"), F.max("last").alias("last_token"),
         F.max("changed").alias("reparameterised"))
-    return per_item.filter(F.col("found_windows") >= min_share * F.col("item_windows"))
+    return per_item.filter((F.col("found_windows") >= min_share * F.col("item_windows"))
+                           | ((F.col("typed_windows") > 0) & (F.col("typed_windows") >= min_share * F.col("usable_windows"))))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

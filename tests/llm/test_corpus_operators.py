@@ -160,6 +160,18 @@ def test_decontamination_counts_exact_words_where_slots_differ(spark):
     assert decontamination.clean_documents(docs, bench).count() == 0
 
 
+def test_decontamination_of_short_and_dense_items(spark):
+    dense = "mix 3 kg flour 4 kg sugar 5 kg salt 6 kg rice 7 kg beans 8 kg peas so that the whole of it fills 9 bags"
+    bench = spark.createDataFrame([(1, "What is the capital of France?"), (2, dense), (3, "one")], "item_id long, text string")
+    other = dense.translate(str.maketrans("3456789", "1234567"))
+    docs = spark.createDataFrame([(1, "Asked: what is the capital of france? Nobody knew"), (2, "What is the capital of France?"),
+                                  (3, f"Now {other} or more"), (4, "what is the price of France in the end"), (5, "has one word of it")], "doc_id long, text string")
+    for options in ({}, {"max_broadcast": 0}):
+        got = {(r.doc_id, r.item_id): (r.first_token, r.last_token, r.reparameterised) for r in decontamination.leaks(docs, bench, **options).collect()}
+        assert got[1, 1] == (1, 6, False) and got[2, 1] == (0, 5, False) and got[3, 2][2] is True and got[5, 3] == (1, 1, False)
+        assert set(got) == {(1, 1), (2, 1), (3, 2), (5, 3)}
+
+
 def test_pii_base_spans(docs, rows, empty):
     patterns = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
                 ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")]
