@@ -137,7 +137,8 @@ def boilerplate(rows: DataFrame, rules: QualityRules) -> DataFrame:
 
 
 def removed_chars(docs: DataFrame, rules: QualityRules, text: str = "text", host: str = "source") -> DataFrame:
-    """(_host, _text, kept_chars, all_chars): what is left when boilerplate goes.
+    """(_host, _text, kept_chars, all_chars, _boilerplate): what is left when boilerplate
+    goes, and the hashes of the lines that do.
 
     One row for each distinct text of a host. Only hashes and lengths of lines
     are shuffled. A frequent line is counted with partial counts, so no task
@@ -152,7 +153,8 @@ def removed_chars(docs: DataFrame, rules: QualityRules, text: str = "text", host
     return (rows.join(frequent, ["_host", "line"], "left")
             .groupBy("_host", "_text")
             .agg(F.sum(F.when(F.col("boilerplate").isNull(), F.col("chars")).otherwise(0)).alias("kept_chars"),
-                 F.sum("chars").alias("all_chars")))
+                 F.sum("chars").alias("all_chars"),
+                 F.collect_set(F.when(F.col("boilerplate"), F.col("line"))).alias("_boilerplate")))
 
 
 def judge(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text", host: str = "source") -> DataFrame:
@@ -174,12 +176,22 @@ def judge(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "te
 
 
 def kept_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns.
+    """The rows of ``docs`` that pass, with all their columns, their texts without
+    boilerplate lines; ``n_chars`` of changed texts, where it exists, is counted anew.
 
-    Only the texts that fail (a hash each) meet the documents, in an anti join.
+    Only what fails (a hash each) or changes meets the documents, in a join.
     """
-    bad = judge(docs.select("text", "source"), rules).filter(~F.col("kept")).select("_host", "_text").distinct()
-    return keyed(docs, "text", "source").join(bad, ["_host", "_text"], "left_anti").select(docs.columns)
+    verdicts = judge(docs.select("text", "source"), rules)
+    touched = (verdicts.filter(~F.col("kept") | (F.size("_boilerplate") > 0))
+               .groupBy("_host", "_text").agg(F.bool_and("kept").alias("_kept"), F.first("_boilerplate").alias("_gone")))
+    rows = keyed(docs, "text", "source").join(touched, ["_host", "_text"], "left").filter(F.coalesce("_kept", F.lit(True)))
+    # A blank line has no hash in the set, and null sets leave the text as it is.
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_gone", F.xxhash64(normal(x)))), "\n")
+    rows = rows.withColumn("_new", F.when(F.size("_gone") > 0, left).otherwise(F.col("text")))
+    columns = {"text": F.col("_new")}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(F.size("_gone") > 0, F.length("_new").cast("long")).otherwise(F.col("n_chars"))
+    return rows.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
 
 
 def query(spark, sf_dir):

@@ -112,6 +112,21 @@ def test_quality_shared_lines_of_unrelated_documents_and_versions(spark):
     assert {r.doc_id: r.kept_chars for r in got if r.source == "pages"} == own
 
 
+def test_quality_removes_boilerplate_lines(spark):
+    rnd = random.Random(13)
+
+    def line(n):
+        return " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(n))
+    own = {i: [line(30), "", line(30)] for i in range(40)}
+    rows = [(i, "\n".join(["Top  of the Page", *own[i], "top of the page\t", "foot line"]), "s", 7) for i in own]
+    rows += [(99, "\n".join([line(60), "foot line"]), "other", 7), rows[3]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(3)
+    got = quality_rules.kept_documents(docs)
+    assert got.columns == docs.columns
+    want = [(i, "\n".join(own[i]), "s", len("\n".join(own[i]))) for i in [*own, 3]] + [rows[40]]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_sharding_moves_rows_into_the_new_shard_alone(docs, rows, empty):
     got = sharding.shard_documents(docs).collect()
     assert len(got) == len(rows)
