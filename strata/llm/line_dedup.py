@@ -1,7 +1,8 @@
 """Line dedup by an exact set-similarity join.
 
-A line's tokens are its different shingles of five words (lower case); lines of
-fewer words are left alone. Two lines match when the Jaccard similarity of their
+A line's tokens are its different shingles of five words (lower case); a line of
+fewer words has one token, its whole sequence, with ``short``, and is left alone
+without it. Two lines match when the Jaccard similarity of their
 tokens is 0.75 or more. The join:
 
 * tokens are ordered by rarity: frequent ones (counted over all lines) last, the
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import setjoin as S
 from strata.llm.common import NOT_SPACE, broadcast_if_small, let, table, written
-from strata.llm.wordhash import _buffers, line_rows, mix, pieces, windows, words
+from strata.llm.wordhash import _PLACE, _buffers, line_rows, mix, pieces, windows, words
 
 SIZE = 5
 #: Bytes of text whose tokens are sorted at once.
@@ -62,17 +63,22 @@ class LineSets:
     its different tokens, rarest first; ``node``, ``n``, ``common``.
     """
 
-    def __init__(self, texts: pa.Array, frequent: np.ndarray):
+    def __init__(self, texts: pa.Array, frequent: np.ndarray, short: bool = False):
         w = words(texts, lines=True)
         data, offsets = _buffers(texts)
         first_line = line_rows(data, offsets)[1]
         count = np.diff(w.first)
-        long_enough = np.flatnonzero(count >= SIZE)
+        long_enough = np.flatnonzero(count >= (1 if short else SIZE))
         grams = windows(w.hashes, SIZE)
-        lengths = count[long_enough] - SIZE + 1
+        lengths = np.maximum(count[long_enough] - SIZE + 1, 1)
         which = np.repeat(np.arange(len(long_enough)), lengths)
         begin = np.cumsum(lengths) - lengths
-        tokens = grams[np.repeat(w.first[long_enough] - begin, lengths) + np.arange(int(lengths.sum()))] if len(which) else grams[:0]
+        at = np.repeat(w.first[long_enough] - begin, lengths) + np.arange(int(lengths.sum()))
+        tokens, size = np.zeros(len(which), dtype=np.uint64), count[long_enough][which]
+        tokens[size >= SIZE] = grams[at[size >= SIZE]]
+        for k in range(1, SIZE) if short else ():
+            own = size == k
+            tokens[own] = sequences(w.hashes, at[own], k)
         common = S.is_frequent(tokens, frequent)
         order = rarest_first(which, common, tokens, len(long_enough))
         which, tokens, common = which[order], tokens[order], common[order]
@@ -97,12 +103,20 @@ class LineSets:
         return pa.Array.from_buffers(pa.large_binary(), len(self.n), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(packed)]).cast(pa.binary())
 
 
+def sequences(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """The token of whole lines of ``size`` words, as ``wordhash.shingles`` has it."""
+    total = np.full(len(at), size, dtype=np.uint64)
+    for k in range(size):
+        total += hashes[at + k] * _PLACE[100 + k]
+    return mix(total)
+
+
 def _input(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(t).alias("copy"), t.alias("text"))
 
 
-def line_sets(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+def line_sets(docs: DataFrame, doc_id: str, text: str, short: bool = False) -> tuple[DataFrame, DataFrame]:
     """(doc_id, copy, line, node, n, sketch) of comparable lines, and (shingle, n) of blocks."""
     names = ["doc_id", "copy", "line", "node", "n", "sketch"]
 
@@ -117,7 +131,7 @@ def line_sets(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
 
         for batch in batches:
             for part in pieces(batch, "text", PART):
-                sets = LineSets(part.column("text"), none)
+                sets = LineSets(part.column("text"), none, short)
                 new = {}
                 for k, node in enumerate(sets.node.tolist()):
                     new.setdefault(node, k)
@@ -136,13 +150,13 @@ def line_sets(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
     return rows.filter("line IS NOT NULL"), rows.filter("line IS NULL").select(F.col("node").alias("shingle"), "n")
 
 
-def index(docs: DataFrame, doc_id: str, text: str, frequent) -> DataFrame:
+def index(docs: DataFrame, doc_id: str, text: str, frequent, short: bool = False) -> DataFrame:
     """(cell, node, left and n as one number) of the prefix tokens of each different line."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for part in pieces(batch, "text", PART):
-                sets = LineSets(part.column("text"), frequent.value)
+                sets = LineSets(part.column("text"), frequent.value, short)
                 fresh = np.zeros(len(sets.n), dtype=bool)
                 for k, node in enumerate(sets.node.tolist()):
                     if node not in seen:
@@ -159,9 +173,12 @@ def index(docs: DataFrame, doc_id: str, text: str, frequent) -> DataFrame:
     return _input(docs, doc_id, text).mapInArrow(run, "cell long, node long, sizes long")
 
 
-def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, copy, line, first_doc_id, first_line): each later line, and the one that stays."""
-    rows, counts = line_sets(docs, doc_id, text)
+def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
+    """(doc_id, copy, line, first_doc_id, first_line): each later line, and the one that stays.
+
+    ``short``: lines of fewer than ``SIZE`` words, too.
+    """
+    rows, counts = line_sets(docs, doc_id, text, short)
     frequent = S.broadcast_frequent(counts)
 
     def nodes(wanted: DataFrame) -> DataFrame:
@@ -177,12 +194,12 @@ def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in pieces(batch, "text", PART):
-                    found = LineSets(part.column("text"), np.zeros(0, dtype=np.uint64))
+                    found = LineSets(part.column("text"), np.zeros(0, dtype=np.uint64), short)
                     yield S.set_rows(found.node.tolist(), np.split(found.tokens, found.first[1:-1]) if len(found.n) else [])
 
         return texts.mapInArrow(run, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
-    classes = S.components(S.links(index(docs, doc_id, text, frequent), nodes, sets, small_sets=True))
+    classes = S.components(S.links(index(docs, doc_id, text, frequent, short), nodes, sets, small_sets=True))
     placed = rows.select("doc_id", "copy", "line", "node").join(classes, "node", "left").select(
         F.coalesce("root", "node").alias("root"), "doc_id", "copy", "line")
     several = placed.groupBy("root").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -193,9 +210,9 @@ def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             .select("doc_id", "copy", "line", "first_doc_id", F.col("first.line").alias("first_line")).distinct())
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """``docs`` without the later lines; documents of which nothing is left are dropped."""
-    gone = written(matches(docs).groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_of")).agg(F.collect_list("line").alias("_gone")), "later_lines")
+    gone = written(matches(docs, short=short).groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_of")).agg(F.collect_list("line").alias("_gone")), "later_lines")
     gone = broadcast_if_small(gone, F.size("_gone") + 1)
     marked = docs.withColumn("_copy", F.xxhash64(F.coalesce("text", F.lit(""))))
     marked = marked.join(gone, marked["doc_id"].eqNullSafe(gone["_id"]) & (marked["_copy"] == gone["_of"]), "left")
