@@ -1,6 +1,7 @@
 """Queries of the corpus operators and their SQL."""
 
-from strata.llm import bpe, decontamination, license_scan, line_dedup, ngram_join, pii, quality_rules, sharding, suffix_dedup, warc
+from strata.llm import (bpe, conversation_repair, decontamination, exact_dedup, hard_negatives, license_scan, line_dedup, ngram_join, pii,
+                        quality_rules, sharding, suffix_dedup, warc)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -13,6 +14,9 @@ QUERIES = {
     "op8_warc": warc.query,
     "op9_bpe": bpe.query,
     "op10_suffix_dedup": suffix_dedup.query,
+    "op11_conversation_repair": conversation_repair.query,
+    "op12_hard_negatives": hard_negatives.query,
+    "op13_exact_dedup": exact_dedup.query,
 }
 ORACLE = {
     "op1_quality_rules": quality_rules.SQL,
@@ -21,4 +25,6 @@ ORACLE = {
     "op7_ngram_join": ngram_join.SQL,
     "op8_warc": warc.SQL,
     "op10_suffix_dedup": suffix_dedup.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_exact_dedup": exact_dedup.SQL,
 }
