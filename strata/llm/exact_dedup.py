@@ -1,8 +1,8 @@
 """Exact duplicates by distributed MSD radix partitioning.
 
 Texts are equal when they are the same after A-Z are lower-cased. All documents
-start in one group. Each round looks at the next bytes of the texts still open (32,
-then eight times as many, up to 1 MB) and splits every group by them. A document is
+start in one group. Each round looks at the next bytes of the texts still open (256,
+then 16 times as many, up to 1 MB) and splits every group by them. A document is
 done when it is alone in its group, or when its text has ended: then the group's
 texts are equal byte for byte. No digest decides anything; a digest is only returned.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import table, written
 
 #: Bytes of the first round; each further round looks at ``GROWTH`` times as many.
-FIRST, GROWTH, WIDEST = 32, 8, 1 << 20
+FIRST, GROWTH, WIDEST = 256, 16, 1 << 20
 #: Most bytes and rows of the pieces that are broadcast in a round.
 HOT_BYTES, HOT_ROWS = 32 << 20, 1000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -57,7 +57,8 @@ def _split(rows: DataFrame, piece: Column, width: int, total: int) -> tuple[Data
     if many:
         frequent = F.broadcast(sums.filter(hot))
         cold = keyed.join(frequent, ["group", "piece"], "left_anti")
-    split = cold.join(sums.filter(~hot), ["group", "piece"], "left")
+    # The groups grow with the documents; their join keeps one plan, in bounded memory, at every size.
+    split = cold.join(sums.filter(~hot).hint("merge"), ["group", "piece"], "left")
     if many:
         split = split.unionByName(keyed.join(frequent, ["group", "piece"]))
     return split, still_open or 0
