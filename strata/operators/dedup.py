@@ -15,27 +15,36 @@ unless the watermark column is a key) or ``dropDuplicatesWithinWatermark``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FIRST_ARRIVAL = "first"          # parity: dropDuplicates, unbounded state
 WITHIN_WATERMARK = "watermark"   # bounded: dropDuplicatesWithinWatermark
 ORDERED = "ordered"              # batch, repeatable choice
+VALID_FIRST = "valid_first"      # the first valid row of a key
 
 
-def dedup_by_key(df: DataFrame, keys, order_by=()) -> DataFrame:
+def dedup_by_key(df: DataFrame, keys, order_by=(), valid: Column | None = None) -> DataFrame:
+    """One row per key. With ``valid`` a key's first valid row is kept, however a bad
+    one is ordered, and a bad one only where the key has no other."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     ordered = [c for c in order_by if c in rest] + [c for c in rest if c not in order_by]
     if not rest:
         return df.select(*keys).distinct()
-    pick = F.min(F.struct(*[F.col(c) for c in ordered])).alias("_row")
+    first = [] if valid is None else [(~F.coalesce(valid, F.lit(False))).alias("_bad")]
+    pick = F.min(F.struct(*first, *[F.col(c) for c in ordered])).alias("_row")
     out = df.groupBy(*keys).agg(pick)
     return out.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def dedup(df: DataFrame, keys, mode: str = ORDERED, order_by=()) -> DataFrame:
+def dedup(df: DataFrame, keys, mode: str = ORDERED, order_by=(), valid: Column | None = None) -> DataFrame:
     keys = list(keys)
+    if mode == VALID_FIRST:
+        if valid is None:
+            raise ValueError(f"mode {VALID_FIRST!r} needs the condition of a valid row")
+        # A stream keeps the first arrival, so only valid rows may arrive.
+        return df.filter(F.coalesce(valid, F.lit(False))).dropDuplicates(keys) if df.isStreaming else dedup_by_key(df, keys, order_by, valid)
     if mode == ORDERED and not df.isStreaming:
         return dedup_by_key(df, keys, order_by)
     if mode == WITHIN_WATERMARK:

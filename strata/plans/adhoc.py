@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.sinks.snapshots import read_table
+
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     for name, df in tables.items():
@@ -16,8 +18,8 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
 
 
 def register_paths(spark: SparkSession, paths: dict[str, str]) -> None:
-    """Expose written parquet tables by name."""
-    register_views(spark, {n: spark.read.parquet(p) for n, p in paths.items()})
+    """Expose written tables by name."""
+    register_views(spark, {n: read_table(spark, p) for n, p in paths.items()})
 
 
 def run_sql(spark: SparkSession, text: str) -> DataFrame:

@@ -8,7 +8,9 @@ serve the batch and the streaming silver table. Audit columns use
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.config import PipelineConfig
@@ -70,11 +72,15 @@ def silver_orders(bronze: DataFrame, cfg: PipelineConfig, dedup_mode: str = ORDE
     (order_id, product_id), then the seven drop-expectations on the output.
     The derived columns are pure functions of the row, so they are computed
     after the dedup: the dedup shuffle carries only the raw columns.
+
+    ``dedup_mode="valid_first"`` lets a key's first valid row stay instead, so that a
+    bad first duplicate doesn't lose a good one.
     """
     df = bronze
     if watermark and df.isStreaming:
         df = df.withWatermark("ingestion_timestamp", cfg.watermark_delay)
-    df = dedup(normalize_orders(df), ORDER_KEYS, dedup_mode, ORDER_DEDUP_ORDER)
+    valid = reduce(Column.__and__, [e.passed() for e in silver_orders_expectations(cfg)])
+    df = dedup(normalize_orders(df), ORDER_KEYS, dedup_mode, ORDER_DEDUP_ORDER, valid)
     df = derive_order_columns(df, cfg).select(*SILVER_ORDERS_COLUMNS)
     return apply_expectations(df, silver_orders_expectations(cfg), "silver_orders", observe)
 
@@ -125,16 +131,22 @@ def gold_daily_sales(silver: DataFrame, cfg: PipelineConfig, ordered: bool = Tru
 
 def gold_customer_insights(silver: DataFrame, cfg: PipelineConfig, as_of=None) -> DataFrame:
     """DS-5: per-customer behaviour with frequency, value and recency segments."""
-    return (silver.groupBy("customer_id")
-            .agg(F.count_distinct("order_id").alias("total_orders"),
-                 F.count_distinct("product_id").alias("unique_products_purchased"),
-                 F.count_distinct("category").alias("categories_shopped"),
-                 F.sum("total_item_price").alias("lifetime_value"),
-                 F.avg("total_item_price").alias("avg_order_value"),
-                 F.sum("quantity").alias("total_items_purchased"),
-                 F.max("order_date").alias("latest_order_date"),
-                 F.min("order_date").alias("first_order_date"),
-                 F.count(F.lit(1)).alias("total_line_items"))
+    by_customer = (silver.groupBy("customer_id")
+                   .agg(F.count_distinct("order_id").alias("total_orders"),
+                        F.count_distinct("product_id").alias("unique_products_purchased"),
+                        F.count_distinct("category").alias("categories_shopped"),
+                        F.sum("total_item_price").alias("lifetime_value"),
+                        F.avg("total_item_price").alias("avg_order_value"),
+                        F.sum("quantity").alias("total_items_purchased"),
+                        F.max("order_date").alias("latest_order_date"),
+                        F.min("order_date").alias("first_order_date"),
+                        F.count(F.lit(1)).alias("total_line_items")))
+    return customer_insight_columns(by_customer, cfg, as_of)
+
+
+def customer_insight_columns(by_customer: DataFrame, cfg: PipelineConfig, as_of=None) -> DataFrame:
+    """What DS-5 derives from a customer's figures."""
+    return (by_customer
             .withColumn("customer_tenure_days", F.datediff("latest_order_date", "first_order_date"))
             .withColumn("days_since_last_order", D.days_since("latest_order_date", as_of))
             .withColumn("avg_days_between_orders", S.avg_days_between())
@@ -146,25 +158,31 @@ def gold_customer_insights(silver: DataFrame, cfg: PipelineConfig, as_of=None) -
 
 def gold_product_performance(silver: DataFrame, cfg: PipelineConfig, ordered: bool = True) -> DataFrame:
     """DS-6: per-product sales, popularity and price stability."""
-    df = (silver.groupBy("product_id", "product_name", "category")
-          .agg(F.sum("quantity").alias("total_units_sold"),
-               F.sum("total_item_price").alias("total_revenue"),
-               F.count_distinct("customer_id").alias("unique_customers"),
-               F.count_distinct("order_id").alias("unique_orders"),
-               F.avg("price").alias("avg_price"),
-               F.min("price").alias("min_price"),
-               F.max("price").alias("max_price"),
-               F.avg("quantity").alias("avg_quantity_per_order"),
-               F.max("order_date").alias("latest_order_date"),
-               F.min("order_date").alias("first_order_date"))
-          .withColumn("revenue_per_customer", S.per_unit("total_revenue", "unique_customers"))
-          .withColumn("product_popularity_score", S.popularity_score())
-          .withColumn("price_stability", S.price_stability())
-          .withColumn("product_lifecycle_days", F.datediff("latest_order_date", "first_order_date"))
-          .withColumn("calculated_timestamp", F.current_timestamp()))
+    by_product = (silver.groupBy("product_id", "product_name", "category")
+                  .agg(F.sum("quantity").alias("total_units_sold"),
+                       F.sum("total_item_price").alias("total_revenue"),
+                       F.count_distinct("customer_id").alias("unique_customers"),
+                       F.count_distinct("order_id").alias("unique_orders"),
+                       F.avg("price").alias("avg_price"),
+                       F.min("price").alias("min_price"),
+                       F.max("price").alias("max_price"),
+                       F.avg("quantity").alias("avg_quantity_per_order"),
+                       F.max("order_date").alias("latest_order_date"),
+                       F.min("order_date").alias("first_order_date")))
+    df = product_performance_columns(by_product)
     return df.orderBy(F.col("total_revenue").desc()) if ordered else df
 
 
+def product_performance_columns(by_product: DataFrame) -> DataFrame:
+    """What DS-6 derives from a product's figures."""
+    return (by_product
+            .withColumn("revenue_per_customer", S.per_unit("total_revenue", "unique_customers"))
+            .withColumn("product_popularity_score", S.popularity_score())
+            .withColumn("price_stability", S.price_stability())
+            .withColumn("product_lifecycle_days", F.datediff("latest_order_date", "first_order_date"))
+            .withColumn("calculated_timestamp", F.current_timestamp()))
+
+
 REAL_TIME_COLUMNS = ["todays_orders", "todays_revenue", "todays_customers", "todays_avg_order_value",
                      "metric_date", "metric_type", "orders_7d", "revenue_7d", "customers_7d",
                      "avg_order_value_7d"]

@@ -15,35 +15,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.config import PipelineConfig
 from strata.operators.expectations import expectation_metrics, silver_orders_expectations
 from strata.plans import features as FT
 from strata.plans import orders as OR
 from strata.plans import sample as SM
+from strata.plans import scenarios as SC
 from strata.plans.oracle_sql import (BEHAVIOR_CTE, ORACLE_RAW_ACTIVITY, ORACLE_RAW_ORDERS, ORACLE_RAW_PROFILES,
                                      engagement_cte, gen_activity_sql, gen_orders_sql, gen_profiles_sql,
                                      silver_activity_cte, silver_orders_cte, silver_profile_cte, sround)
+from strata.plans.query_inputs import FEATURES_AS_OF, ORDERS_AS_OF, QUERY_CFG, json_orders, orders_raw_and_first, public, rest_after
+from strata.sinks import snapshots
 from strata.sources import bindings as B
 
-# Fixed run dates of the checks (the test tables' own calendars).
-ORDERS_AS_OF = "2001-08-01"
-FEATURES_AS_OF = "2024-02-13"
-# Thresholds scaled to the test tables' lifetime values so every segment occurs.
-QUERY_CFG = PipelineConfig(premium_customer_threshold=70000.0, standard_customer_threshold=50000.0)
-
-AUDIT = {"processed_timestamp", "calculated_timestamp", "updated_timestamp", "feature_timestamp",
-         "ingestion_timestamp", "source_file"}
-
-
-def _public(df: DataFrame, round6=()) -> DataFrame:
-    cols = []
-    for c in df.columns:
-        if c in AUDIT:
-            continue
-        cols.append(F.round(F.col(c), 6).alias(c) if c in round6 else F.col(c))
-    return df.select(*cols)
-
-
 # ---------------------------------------------------------------- orders
 
 def _silver_orders(spark, sf_dir, cfg=QUERY_CFG):
@@ -66,23 +49,23 @@ def q_expect_metrics(spark, sf_dir):
 
 
 def q_silver_orders(spark, sf_dir):
-    return _public(_silver_orders(spark, sf_dir))
+    return public(_silver_orders(spark, sf_dir))
 
 
 def q_silver_customers(spark, sf_dir):
-    return _public(OR.silver_customers(_silver_orders(spark, sf_dir), QUERY_CFG))
+    return public(OR.silver_customers(_silver_orders(spark, sf_dir), QUERY_CFG))
 
 
 def q_gold_daily_sales(spark, sf_dir):
-    return _public(OR.gold_daily_sales(_silver_orders(spark, sf_dir), QUERY_CFG), {"order_value_stddev"})
+    return public(OR.gold_daily_sales(_silver_orders(spark, sf_dir), QUERY_CFG), {"order_value_stddev"})
 
 
 def q_gold_customer_insights(spark, sf_dir):
-    return _public(OR.gold_customer_insights(_silver_orders(spark, sf_dir), QUERY_CFG, ORDERS_AS_OF))
+    return public(OR.gold_customer_insights(_silver_orders(spark, sf_dir), QUERY_CFG, ORDERS_AS_OF))
 
 
 def q_gold_product_performance(spark, sf_dir):
-    return _public(OR.gold_product_performance(_silver_orders(spark, sf_dir), QUERY_CFG))
+    return public(OR.gold_product_performance(_silver_orders(spark, sf_dir), QUERY_CFG))
 
 
 def q_gold_real_time_metrics(spark, sf_dir):
@@ -213,15 +196,15 @@ def _silver_profile(spark, sf_dir):
 
 
 def q_silver_customer_activity(spark, sf_dir):
-    return _public(_silver_activity(spark, sf_dir))
+    return public(_silver_activity(spark, sf_dir))
 
 
 def q_silver_customer_profile(spark, sf_dir):
-    return _public(_silver_profile(spark, sf_dir))
+    return public(_silver_profile(spark, sf_dir))
 
 
 def q_features_customer_engagement(spark, sf_dir):
-    return _public(FT.gold_features_customer_engagement(_silver_activity(spark, sf_dir), FEATURES_AS_OF),
+    return public(FT.gold_features_customer_engagement(_silver_activity(spark, sf_dir), FEATURES_AS_OF),
                    {"engagement_score_stddev"})
 
 
@@ -238,7 +221,7 @@ def q_features_customer_behavior_joined(spark, sf_dir):
 
 
 def q_ml_feature_table(spark, sf_dir):
-    return _public(FT.ml_feature_table(_silver_activity(spark, sf_dir), _silver_profile(spark, sf_dir),
+    return public(FT.ml_feature_table(_silver_activity(spark, sf_dir), _silver_profile(spark, sf_dir),
                                        FEATURES_AS_OF), {"engagement_score_stddev"})
 
 
@@ -327,7 +310,7 @@ def q_expect_metrics_profiles(spark, sf_dir):
 def q_silver_customers_derived(spark, sf_dir):
     """DS-3 as a pipeline run builds it: projected from the customer-insights aggregate."""
     ins = OR.gold_customer_insights(_silver_orders(spark, sf_dir), QUERY_CFG, ORDERS_AS_OF)
-    return _public(OR.silver_customers_from_insights(ins, QUERY_CFG))
+    return public(OR.silver_customers_from_insights(ins, QUERY_CFG))
 
 
 SQL_EXPECT_METRICS_ACTIVITY = f"""WITH r AS ({ORACLE_RAW_ACTIVITY}),
@@ -361,7 +344,7 @@ def _sample_silver(spark, sf_dir):
 
 
 def q_sample_silver_orders(spark, sf_dir):
-    return _public(_sample_silver(spark, sf_dir))
+    return public(_sample_silver(spark, sf_dir))
 
 
 def q_sample_silver_customers(spark, sf_dir):
@@ -421,21 +404,13 @@ SELECT * FROM d ORDER BY total_revenue DESC, order_date, category LIMIT 10"""
 
 # ---------------------------------------------------------------- JSON hand-over and streams
 
-def _json_orders(df):
-    """Orders as the generator writes them: ids and quantity as JSON numbers."""
-    return df.select(F.col("order_id").cast("long").alias("order_id"),
-                     F.col("customer_id").cast("long").alias("customer_id"), "order_date",
-                     F.col("product_id").cast("long").alias("product_id"), "product_name", "category",
-                     "quantity", "price", "status")
-
-
 def q_json_round_trip(spark, sf_dir):
     """SNK-1 then SRC-1 (batch): numeric ids come back as strings, missing fields as NULL."""
     from strata.session import new_work_path
     from strata.sinks.writers import write_json
     from strata.sources.readers import bronze_orders
-    path = write_json(_json_orders(B.raw_orders(spark, sf_dir)), new_work_path(spark, "orders_json"), num_files=4)
-    return _public(bronze_orders(spark, QUERY_CFG, path, stream=False))
+    path = write_json(json_orders(B.raw_orders(spark, sf_dir)), new_work_path(spark, "orders_json"), num_files=4)
+    return public(bronze_orders(spark, QUERY_CFG, path, stream=False))
 
 
 def q_sample_bronze_inferred(spark, sf_dir):
@@ -446,7 +421,7 @@ def q_sample_bronze_inferred(spark, sf_dir):
     from strata.streaming.runner import StreamLayout, run_to_completion
     from strata.sinks.writers import write_stream
     root = new_work_path(spark, "sample_stream")
-    src = write_json(_json_orders(B.raw_orders(spark, sf_dir)), f"{root}/orders_raw", num_files=4)
+    src = write_json(json_orders(B.raw_orders(spark, sf_dir)), f"{root}/orders_raw", num_files=4)
     layout = StreamLayout(root)
     stream = sample_bronze_orders(spark, src, stream=True, options=QUERY_CFG.streaming_options())
     run_to_completion(write_stream(stream, layout.table("bronze_orders"), layout.checkpoint("bronze_orders")))
@@ -459,7 +434,7 @@ def q_json_profiles_round_trip(spark, sf_dir):
     from strata.sinks.writers import write_json
     from strata.sources.readers import bronze_customer_profiles
     path = write_json(B.raw_profiles(spark, sf_dir), new_work_path(spark, "profiles_json"), num_files=2)
-    return _public(bronze_customer_profiles(spark, QUERY_CFG, path))
+    return public(bronze_customer_profiles(spark, QUERY_CFG, path))
 
 
 def q_json_activity_round_trip(spark, sf_dir):
@@ -468,32 +443,7 @@ def q_json_activity_round_trip(spark, sf_dir):
     from strata.sinks.writers import write_json
     from strata.sources.readers import bronze_customer_activity
     path = write_json(B.raw_activity(spark, sf_dir), new_work_path(spark, "activity_json"), num_files=3)
-    return _public(bronze_customer_activity(spark, QUERY_CFG, path, stream=False))
-
-
-def _first_choice(raw, keys, order_exprs):
-    """The preferred row per key, as a keyed aggregate (no window)."""
-    from strata.operators.dedup import dedup_by_key
-    tmp = [f"_o{i}" for i in range(len(order_exprs))]
-    ranked = raw.select(*raw.columns, *[e.alias(t) for e, t in zip(order_exprs, tmp)])
-    return dedup_by_key(ranked, keys, tmp).select(*raw.columns)
-
-
-def _rest_after(spark, raw, first_paths):
-    """All rows except the preferred ones, against the written preferred rows
-    (``exceptAll``; reading them back avoids recomputing the dedup)."""
-    return raw.exceptAll(spark.read.schema(raw.schema).json(first_paths))
-
-
-def _orders_raw_and_first(spark, sf_dir):
-    """Raw JSON orders and the row the batch dedup keeps per key."""
-    from strata.functions.dates import parse_date
-    raw = _json_orders(B.raw_orders(spark, sf_dir))
-    return raw, _first_choice(raw, OR.ORDER_KEYS, [
-        F.col("quantity"), F.col("price"), F.coalesce(F.col("status"), F.lit("unknown")),
-        F.col("customer_id").cast("string"), parse_date("order_date"),
-        F.coalesce(F.col("product_name"), F.lit("unknown")),
-        F.coalesce(F.col("category"), F.lit("uncategorized"))])
+    return public(bronze_customer_activity(spark, QUERY_CFG, path, stream=False))
 
 
 def q_gold_daily_sales_incremental(spark, sf_dir):
@@ -508,18 +458,17 @@ def q_gold_daily_sales_incremental(spark, sf_dir):
     cfg = QUERY_CFG.with_overrides(max_files_per_trigger=4)
     root = new_work_path(spark, "orders_incremental")
     layout = StreamLayout(root)
-    raw, first = _orders_raw_and_first(spark, sf_dir)
+    raw, first = orders_raw_and_first(spark, sf_dir)
     early = F.coalesce(F.col("order_date") < F.lit("1998-01-01"), F.lit(False))
     parts = [lambda: first.filter(early), lambda: first.filter(~early),
-             lambda: _rest_after(spark, raw, [f"{root}/orders_raw/run1", f"{root}/orders_raw/run2"])]
+             lambda: rest_after(spark, raw, [f"{root}/orders_raw/run1", f"{root}/orders_raw/run2"])]
     for i, part in enumerate(parts, start=1):
         write_json(part(), f"{root}/orders_raw/run{i}", num_files=2)
         run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
         refresh_daily_sales(spark, cfg, layout)
     gold = spark.read.parquet(layout.table("gold_daily_sales"))
-    cols = [c for c in OR.gold_daily_sales(spark.read.parquet(layout.table("silver_orders")), cfg,
-                                           ordered=False).columns]
-    return _public(gold.select(*cols), {"order_value_stddev"})
+    cols = OR.gold_daily_sales(snapshots.read(spark, layout.table("silver_orders")), cfg, ordered=False).columns
+    return public(gold.select(*cols), {"order_value_stddev"})
 
 
 def q_stream_silver_orders(spark, sf_dir):
@@ -536,12 +485,12 @@ def q_stream_silver_orders(spark, sf_dir):
     cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2)
     root = new_work_path(spark, "orders_stream")
     layout = StreamLayout(root)
-    raw, first = _orders_raw_and_first(spark, sf_dir)
+    raw, first = orders_raw_and_first(spark, sf_dir)
     write_json(first, f"{root}/orders_raw/run1", num_files=6)
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
-    write_json(_rest_after(spark, raw, f"{root}/orders_raw/run1"), f"{root}/orders_raw/run2", num_files=2)
+    write_json(rest_after(spark, raw, f"{root}/orders_raw/run1"), f"{root}/orders_raw/run2", num_files=2)
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
-    return _public(spark.read.parquet(layout.table("silver_orders")).select(*OR.SILVER_ORDERS_COLUMNS))
+    return public(snapshots.read(spark, layout.table("silver_orders")).select(*OR.SILVER_ORDERS_COLUMNS))
 
 
 def q_stream_silver_activity(spark, sf_dir):
@@ -559,8 +508,8 @@ def q_stream_silver_activity(spark, sf_dir):
     # state must reject all of them.
     spark.read.text(f"{root}/activity_raw/run1").write.mode("overwrite").text(f"{root}/activity_raw/run2")
     run_activity_increment(spark, cfg, f"{root}/activity_raw/*", layout)
-    out = spark.read.parquet(layout.table("silver_customer_activity"))
-    return _public(out.select(*[c for c in _silver_activity(spark, sf_dir).columns]))
+    out = snapshots.read(spark, layout.table("silver_customer_activity"))
+    return public(out.select(*[c for c in _silver_activity(spark, sf_dir).columns]))
 
 
 SQL_JSON_ROUND_TRIP = ORACLE_RAW_ORDERS
@@ -635,6 +584,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gen_orders": q_gen_orders,
     "gen_profiles": q_gen_profiles,
     "gen_activity": q_gen_activity,
+    **SC.QUERIES,
 }
 
 ORACLE: dict[str, str] = {
@@ -674,4 +624,10 @@ ORACLE: dict[str, str] = {
     "gen_orders": SQL_GEN_ORDERS,
     "gen_profiles": SQL_GEN_PROFILES,
     "gen_activity": SQL_GEN_ACTIVITY,
+    **SC.ORACLE,
+    "stream_silver_orders_regrown": SQL_SILVER_ORDERS,
+    "stream_silver_orders_compacted": SQL_SILVER_ORDERS,
+    "gold_customer_insights_incremental": SQL_GOLD_CUSTOMER_INSIGHTS,
+    "silver_customers_incremental": SQL_SILVER_CUSTOMERS,
+    "gold_product_performance_incremental": SQL_GOLD_PRODUCT_PERFORMANCE,
 }

@@ -1,8 +1,9 @@
 """Runs of both pipelines: every dataset written as a table.
 
 ``run_*_pipeline`` run everything in batch; ``update_*`` are triggered
-updates (new files streamed into bronze and silver, then gold in batch, with
-``gold_daily_sales`` refreshed only for the months the update touched);
+updates (new files streamed into bronze and silver, then gold in batch:
+``gold_daily_sales`` for the months of the new silver batches only, customer and
+product tables from partial sums to which the new batches are added);
 ``record_quality`` appends the run's expectation metrics to a log table.
 
 Silver is materialised once (partitioned Parquet under the shared folder) and
@@ -17,11 +18,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.config import PipelineConfig
 from strata.operators.expectations import check_dataset, metrics_dict
 from strata.plans import features as FT
+from strata.plans import gold_state as GS
 from strata.plans import orders as OR
+from strata.sinks import snapshots
 from strata.sinks.writers import clustered, write_table, write_table_info
 from strata.streaming.runner import StreamLayout
 
@@ -106,19 +110,24 @@ def _features_gold(spark: SparkSession, rep: RunReport, layout: StreamLayout, cf
 
 
 def _orders_gold_from_silver(spark: SparkSession, rep: RunReport, layout: StreamLayout, cfg: PipelineConfig,
-                             as_of=None, daily: bool = True) -> None:
-    s = spark.read.parquet(rep.tables["silver_orders"])
+                             as_of=None, incremental: bool = False) -> None:
+    s = snapshots.read_table(spark, rep.tables["silver_orders"])
     check_dataset(s, "critical_data_quality", "count(*) > 0")
     # One aggregation of silver by customer serves both customer tables.
-    _write(rep, layout, "gold_customer_insights", OR.gold_customer_insights(s, cfg, as_of), cfg,
-           cluster_cols=["customer_id"])
+    root = layout.table("").rstrip("/")
+    for state in GS.STATES if incremental else ():
+        GS.update_state(spark, rep.tables["silver_orders"], root, state)
+    insights = (GS.customer_insights(spark, root, cfg, as_of) if incremental
+                else OR.gold_customer_insights(s, cfg, as_of))
+    _write(rep, layout, "gold_customer_insights", insights, cfg, cluster_cols=["customer_id"])
     insights = spark.read.parquet(rep.tables["gold_customer_insights"])
     _write(rep, layout, "silver_customers", OR.silver_customers_from_insights(insights, cfg), cfg)
-    if daily:
+    if not incremental:
         _write(rep, layout, "gold_daily_sales", OR.gold_daily_sales(s, cfg, ordered=False), cfg,
                ["order_year", "order_month"], ["order_date", "category"])
-    _write(rep, layout, "gold_product_performance", OR.gold_product_performance(s, cfg, ordered=False), cfg,
-           cluster_cols=["category", "total_revenue"])
+    products = (GS.product_performance(spark, root, cfg) if incremental
+                else OR.gold_product_performance(s, cfg, ordered=False))
+    _write(rep, layout, "gold_product_performance", products, cfg, cluster_cols=["category", "total_revenue"])
     _write(rep, layout, "gold_real_time_metrics", OR.gold_real_time_metrics(s, cfg, as_of), cfg)
 
 
@@ -126,15 +135,15 @@ def update_orders(spark: SparkSession, cfg: PipelineConfig, source_path: str, la
                   as_of=None) -> RunReport:
     """One triggered update (STR-4/STR-6): new JSON files -> bronze -> silver
     (streaming, checkpointed, stateful dedup), then the gold tables in batch
-    from the silver table: daily sales for the touched months only, the
-    customer/product tables (distinct counts over all history) in full."""
+    from the new silver batches: daily sales for the months they touch, the
+    customer and product tables by merging their partial sums."""
     from strata.streaming.runner import run_orders_increment
     rep = RunReport()
     inc = run_orders_increment(spark, cfg, source_path, layout)
     rep.expectations["silver_orders"] = inc["expectations"]
     rep.tables["bronze_orders"] = layout.table("bronze_orders")
     rep.tables["silver_orders"] = layout.table("silver_orders")
-    _orders_gold_from_silver(spark, rep, layout, cfg, as_of, daily=False)
+    _orders_gold_from_silver(spark, rep, layout, cfg, as_of, incremental=True)
     # The date-partitioned gold table is refreshed for the touched months only.
     rep.expectations["gold_daily_sales_refresh"] = refresh_daily_sales(spark, cfg, layout)
     rep.tables["gold_daily_sales"] = layout.table("gold_daily_sales")
@@ -153,7 +162,7 @@ def update_features(spark: SparkSession, cfg: PipelineConfig, activity_path: str
     profile, m = FT.silver_customer_profile(bronze_customer_profiles(spark, cfg, profiles_path), cfg, as_of)
     _write(rep, layout, "silver_customer_profile", profile, cfg)
     rep.expectations["silver_customer_profile"] = metrics_dict(m)
-    act = spark.read.parquet(layout.table("silver_customer_activity"))
+    act = snapshots.read_table(spark, layout.table("silver_customer_activity"))
     prof = spark.read.parquet(rep.tables["silver_customer_profile"])
     _features_gold(spark, rep, layout, cfg, act, prof, as_of)
     return rep
@@ -169,43 +178,22 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def _changed_months(spark: SparkSession, layout: StreamLayout):
-    """Months touched by bronze rows newer than the last gold refresh, and the
-    new high-water mark. Old bronze files are skipped by their row-group
-    min/max on ``ingestion_timestamp`` (constant within a micro-batch)."""
-    from pyspark.sql import functions as F
-    from strata.functions.dates import parse_date
-    state_path = layout.table("_gold_refresh_state")
-    bronze = spark.read.parquet(layout.table("bronze_orders"))
-    last = spark.read.parquet(state_path).first()["last_ingestion"] if table_exists(spark, state_path) else None
-    new = bronze if last is None else bronze.filter(F.col("ingestion_timestamp") > F.lit(last))
-    d = parse_date("order_date")
-    # Bounded by the calendar (one row per month), so it is safe to bring to the driver.
-    months = [(r.y, r.m) for r in new.select(F.year(d).alias("y"), F.month(d).alias("m"))
-              .where(d.isNotNull()).distinct().collect()]
-    prev = F.lit(last).cast("timestamp") if last is not None else F.lit(None).cast("timestamp")
-    high = new.agg(F.coalesce(F.max("ingestion_timestamp"), prev).alias("last_ingestion"))
-    return months, high, last
-
-
 def refresh_daily_sales(spark: SparkSession, cfg: PipelineConfig, layout: StreamLayout) -> dict:
-    """Incremental refresh of ``gold_daily_sales``: only the (year, month)
-    partitions touched by new bronze rows are recomputed — from silver, pruned
-    to those months' ``order_date`` partitions — and replaced with a dynamic
-    partition overwrite. Exact, because a month's rows all live in silver."""
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-    months, high, last = _changed_months(spark, layout)
-    gold_path = layout.table("gold_daily_sales")
-    first_run = last is None or not table_exists(spark, gold_path)
+    """Incremental refresh of ``gold_daily_sales`` (STR-6): the log of silver batches
+    tells which were added since the version of the last refresh and which months they
+    touch; those (year, month) partitions are recomputed from silver, pruned to them,
+    and replaced with a dynamic partition overwrite. Exact, because a month's rows all
+    live in silver. The version is written last, so a refresh that failed is repeated."""
+    silver_path, gold_path, state_path = (layout.table(t) for t in ("silver_orders", "gold_daily_sales", "_gold_refresh_state"))
+    first_run = not (table_exists(spark, state_path) and table_exists(spark, gold_path))
+    last = 0 if first_run else spark.read.parquet(state_path).first()["silver_version"]
+    version = snapshots.latest_version(spark, silver_path)
+    new = [p for p in snapshots.added_since(spark, silver_path, last) if p.added <= version]
+    months = sorted({m for p in new for m in p.months})
     if months or first_run:
-        silver = spark.read.parquet(layout.table("silver_orders"))
-        if not first_run:
-            def month_range(y, m):
-                start = F.lit(f"{y:04d}-{m:02d}-01").cast("date")
-                return (F.col("order_date") >= start) & (F.col("order_date") < F.add_months(start, 1))
-            silver = silver.filter(reduce(lambda a, b: a | b, [month_range(y, m) for y, m in months]))
+        silver = snapshots.read(spark, silver_path, version=version)
+        if not first_run:  # a filter on the partition column alone: other folders aren't listed
+            silver = silver.filter(F.date_format("order_date", "yyyy-MM").isin(months))
         daily = OR.gold_daily_sales(silver, cfg, ordered=False)
         (clustered(daily, ["order_date", "category"], ["order_year", "order_month"])
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if not first_run else "static")
@@ -214,8 +202,8 @@ def refresh_daily_sales(spark: SparkSession, cfg: PipelineConfig, layout: Stream
             props = cfg.table_properties("gold", ["order_date", "category"])
             props["partition_cols"] = "order_year,order_month"
             write_table_info(spark, gold_path, COMMENTS["gold_daily_sales"], props)
-    high.write.mode("overwrite").parquet(layout.table("_gold_refresh_state"))
-    return {"months": sorted(months), "full": first_run}
+    spark.createDataFrame([(version,)], "silver_version long").coalesce(1).write.mode("overwrite").parquet(state_path)
+    return {"months": [(int(m[:4]), int(m[5:])) for m in months], "full": first_run}
 
 
 def record_quality(spark: SparkSession, rep: RunReport, layout: StreamLayout, run_label: str | None = None) -> str:

@@ -98,14 +98,15 @@ def write_table(df: DataFrame, path: str, partition_cols=(), cluster_cols=(),
 
 
 def is_stream_table(spark, path: str) -> bool:
-    """Whether ``path`` has the log of a streaming sink (on any file system)."""
-    try:
-        spark.read.text(f"{path}/_spark_metadata").schema
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """Whether ``path`` has the log of a streaming sink or published batches (on any file system)."""
+    for log in ("_spark_metadata", "_snapshots"):
+        try:
+            spark.read.text(f"{path}/{log}").schema
+            return True
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return False
 
 
 def write_table_info(spark, path: str, comment: str | None, properties: dict | None = None) -> None:

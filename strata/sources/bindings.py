@@ -92,6 +92,27 @@ def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def defective_orders(raw: DataFrame) -> DataFrame:
+    """Raw orders with a defect for every predicate that the plain binding never fails."""
+    k, c, q = F.col("order_id").cast("long"), F.col("customer_id").cast("long"), F.col("quantity")
+    return raw.withColumns({
+        "order_id": F.when(k % 101 == 3, F.lit(None)).when(k % 101 == 5, "  ").otherwise(F.col("order_id")),
+        "customer_id": F.when(c % 97 == 1, F.lit(None)).when(c % 97 == 2, "").otherwise(F.col("customer_id")),
+        "quantity": F.when(q % 11 == 2, 0).when(q % 11 == 3, 20000).otherwise(q),
+        "price": F.when(k % 83 == 4, 0.0).when(k % 83 == 5, 200000.0).otherwise(F.col("price"))})
+
+
+def defective_activity(raw: DataFrame) -> DataFrame:
+    e = F.col("session_id").cast("long")
+    return raw.withColumns({"customer_id": _null_when(e % 71 == 1, F.col("customer_id")),
+                            "cart_adds": F.when(e % 73 == 2, -1).otherwise(F.col("cart_adds")),
+                            "purchases": F.when(e % 79 == 3, -1).otherwise(F.col("purchases"))})
+
+
+def defective_profiles(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("customer_id", _null_when(F.col("customer_id") % 61 == 7, F.col("customer_id")))
+
+
 def as_bronze(df: DataFrame) -> DataFrame:
     """Audit columns for a bronze frame that does not come from a file reader."""
     return (df.withColumn("ingestion_timestamp", F.current_timestamp())

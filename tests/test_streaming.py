@@ -114,7 +114,7 @@ def test_stream_write_splits_a_hot_date_and_counts_once(spark, json_dir, tmp_pat
     lay = StreamLayout(str(tmp_path / "p"))
     rep = run_orders_increment(spark, PipelineConfig(), str(tmp_path / "raw/*"), lay)
     assert rep["expectations"]["total_records"] == 90  # observed once per micro-batch
-    hot = glob.glob(lay.table("silver_orders") + "/order_date=2024-01-05/*.parquet")
+    hot = glob.glob(lay.table("silver_orders") + "/batch=*/order_date=2024-01-05/*.parquet")
     assert 1 < len(hot) <= 4
 
 
