@@ -1,9 +1,8 @@
 """Line dedup by an exact set-similarity join.
 
 A line's tokens are its different shingles of five words (lower case); a line of
-fewer words has one token, its whole sequence, with ``short``, and is left alone
-without it. Two lines match when the Jaccard similarity of their
-tokens is 0.75 or more. The join:
+fewer words has one token, its whole sequence. Two lines match when the Jaccard
+similarity of their tokens is 0.75 or more. The join:
 
 * tokens are ordered by rarity: frequent ones (counted over all lines) last, the
   others by hash, the same order for all lines;
@@ -18,9 +17,9 @@ number) stays; all later ones are removed.
 
 Defined results: null and empty texts have no lines to compare; lines with equal
 tokens match; rows with equal id and text are one document and lose the same
-lines; documents with a null id come after all others; a document whose every
-line with words is removed is dropped by :func:`dedup_lines`; other columns are
-kept as they are, but ``n_chars``, where it exists, is counted anew.
+lines; ids are numbers or strings, and null ids come after all others; a document
+whose every line with words is removed is dropped by :func:`dedup_lines`; other
+columns are kept as they are, whatever their names, but ``n_chars``, where it exists, is counted anew.
 """
 
 from __future__ import annotations
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import setjoin as S
 from strata.llm.common import NOT_SPACE, broadcast_if_small, let, table, written
-from strata.llm.wordhash import _PLACE, _buffers, line_rows, mix, pieces, windows, words
+from strata.llm.wordhash import _PLACE, _buffers, give_back, line_rows, mix, pieces, windows, words
 
 SIZE = 5
 #: Bytes of text whose tokens are sorted at once.
@@ -63,34 +62,34 @@ class LineSets:
     its different tokens, rarest first; ``node``, ``n``, ``common``.
     """
 
-    def __init__(self, texts: pa.Array, frequent: np.ndarray, short: bool = False):
+    def __init__(self, texts: pa.Array, frequent: np.ndarray):
         w = words(texts, lines=True)
         data, offsets = _buffers(texts)
         first_line = line_rows(data, offsets)[1]
         count = np.diff(w.first)
-        long_enough = np.flatnonzero(count >= (1 if short else SIZE))
+        with_words = np.flatnonzero(count)
         grams = windows(w.hashes, SIZE)
-        lengths = np.maximum(count[long_enough] - SIZE + 1, 1)
-        which = np.repeat(np.arange(len(long_enough)), lengths)
+        lengths = np.maximum(count[with_words] - SIZE + 1, 1)
+        which = np.repeat(np.arange(len(with_words)), lengths)
         begin = np.cumsum(lengths) - lengths
-        at = np.repeat(w.first[long_enough] - begin, lengths) + np.arange(int(lengths.sum()))
-        tokens, size = np.zeros(len(which), dtype=np.uint64), count[long_enough][which]
+        at = np.repeat(w.first[with_words] - begin, lengths) + np.arange(int(lengths.sum()))
+        tokens, size = np.zeros(len(which), dtype=np.uint64), count[with_words][which]
         tokens[size >= SIZE] = grams[at[size >= SIZE]]
-        for k in range(1, SIZE) if short else ():
+        for k in range(1, SIZE):
             own = size == k
             tokens[own] = sequences(w.hashes, at[own], k)
         common = S.is_frequent(tokens, frequent)
-        order = rarest_first(which, common, tokens, len(long_enough))
+        order = rarest_first(which, common, tokens, len(with_words))
         which, tokens, common = which[order], tokens[order], common[order]
         new = np.ones(len(which), dtype=bool)
         new[1:] = (which[1:] != which[:-1]) | (tokens[1:] != tokens[:-1])
         self.tokens, self.common, self.which = tokens[new], common[new], which[new]
-        self.n = np.bincount(self.which, minlength=len(long_enough))
+        self.n = np.bincount(self.which, minlength=len(with_words))
         self.first = np.concatenate([[0], np.cumsum(self.n)])
         sums = np.add.reduceat(mix(self.tokens), self.first[:-1]) if len(self.n) else np.zeros(0, dtype=np.uint64)
         self.node = mix(sums + self.n.astype(np.uint64)).view(np.int64)
-        self.row = np.searchsorted(first_line, long_enough, side="right") - 1
-        self.line = long_enough - first_line[self.row]
+        self.row = np.searchsorted(first_line, with_words, side="right") - 1
+        self.line = with_words - first_line[self.row]
 
     def sketches(self) -> pa.Array:
         """The same as ``setjoin.sketch`` of each line."""
@@ -113,12 +112,14 @@ def sequences(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
 
 def _input(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(t).alias("copy"), t.alias("text"))
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(t).alias("copy"), t.alias("text"))
 
 
-def line_sets(docs: DataFrame, doc_id: str, text: str, short: bool = False) -> tuple[DataFrame, DataFrame]:
+def line_sets(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, copy, line, node, n, sketch) of comparable lines, and (shingle, n) of blocks."""
     names = ["doc_id", "copy", "line", "node", "n", "sketch"]
+    kind = docs.schema[doc_id].dataType.simpleString()
+    id_type = pa.string() if kind == "string" else pa.int64()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, none = S.FrequentShingles(), np.zeros(0, dtype=np.uint64)
@@ -126,12 +127,12 @@ def line_sets(docs: DataFrame, doc_id: str, text: str, short: bool = False) -> t
         def counted(block):
             values, n = block
             return pa.RecordBatch.from_arrays([
-                pa.nulls(len(values), pa.int64()), pa.nulls(len(values), pa.int64()), pa.nulls(len(values), pa.int32()),
+                pa.nulls(len(values), id_type), pa.nulls(len(values), pa.int64()), pa.nulls(len(values), pa.int32()),
                 pa.array(values.view(np.int64)), pa.array(n.astype(np.int64)), pa.nulls(len(values), pa.binary())], names)
 
         for batch in batches:
             for part in pieces(batch, "text", PART):
-                sets = LineSets(part.column("text"), none, short)
+                sets = LineSets(part.column("text"), none)
                 new = {}
                 for k, node in enumerate(sets.node.tolist()):
                     new.setdefault(node, k)
@@ -141,22 +142,23 @@ def line_sets(docs: DataFrame, doc_id: str, text: str, short: bool = False) -> t
                     yield counted(block)
                 rows = pa.array(sets.row)
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id").take(rows), part.column("copy").take(rows), pa.array(sets.line.astype(np.int32)),
+                    part.column("doc_id").take(rows).cast(id_type), part.column("copy").take(rows), pa.array(sets.line.astype(np.int32)),
                     pa.array(sets.node), pa.array(sets.n.astype(np.int64)), sets.sketches()], names)
         yield counted(often.close())
+        give_back()
 
     rows = written(_input(docs, doc_id, text).mapInArrow(
-        run, "doc_id long, copy long, line int, node long, n long, sketch binary"), "line_sets")
+        run, f"doc_id {kind}, copy long, line int, node long, n long, sketch binary"), "line_sets")
     return rows.filter("line IS NOT NULL"), rows.filter("line IS NULL").select(F.col("node").alias("shingle"), "n")
 
 
-def index(docs: DataFrame, doc_id: str, text: str, frequent, short: bool = False) -> DataFrame:
+def index(docs: DataFrame, doc_id: str, text: str, frequent) -> DataFrame:
     """(cell, node, left and n as one number) of the prefix tokens of each different line."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for part in pieces(batch, "text", PART):
-                sets = LineSets(part.column("text"), frequent.value, short)
+                sets = LineSets(part.column("text"), frequent.value)
                 fresh = np.zeros(len(sets.n), dtype=bool)
                 for k, node in enumerate(sets.node.tolist()):
                     if node not in seen:
@@ -169,17 +171,15 @@ def index(docs: DataFrame, doc_id: str, text: str, frequent, short: bool = False
                 yield pa.RecordBatch.from_arrays([
                     pa.array(S.cells_of(mix(sets.tokens[chosen]), sets.common[chosen], node)), pa.array(node),
                     pa.array((sets.n[sets.which[chosen]] << 32) | (sets.n[sets.which[chosen]] - place[chosen]))], ["cell", "node", "sizes"])
+        give_back()
 
     return _input(docs, doc_id, text).mapInArrow(run, "cell long, node long, sizes long")
 
 
-def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
-    """(doc_id, copy, line, first_doc_id, first_line): each later line, and the one that stays.
-
-    ``short``: lines of fewer than ``SIZE`` words, too.
-    """
-    rows, counts = line_sets(docs, doc_id, text, short)
-    frequent = S.broadcast_frequent(counts)
+def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, copy, line, first_doc_id, first_line): each later line, and the one that stays."""
+    rows, counts = line_sets(docs, doc_id, text)
+    frequent = S.broadcast_frequent(counts, rows.count())
 
     def nodes(wanted: DataFrame) -> DataFrame:
         return written(rows.join(wanted, "node").groupBy("node").agg(
@@ -194,12 +194,12 @@ def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", short:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in pieces(batch, "text", PART):
-                    found = LineSets(part.column("text"), np.zeros(0, dtype=np.uint64), short)
+                    found = LineSets(part.column("text"), np.zeros(0, dtype=np.uint64))
                     yield S.set_rows(found.node.tolist(), np.split(found.tokens, found.first[1:-1]) if len(found.n) else [])
 
         return texts.mapInArrow(run, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
-    classes = S.components(S.links(index(docs, doc_id, text, frequent, short), nodes, sets, small_sets=True))
+    classes = S.components(S.links(index(docs, doc_id, text, frequent), nodes, sets, small_sets=True))
     placed = rows.select("doc_id", "copy", "line", "node").join(classes, "node", "left").select(
         F.coalesce("root", "node").alias("root"), "doc_id", "copy", "line")
     several = placed.groupBy("root").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -210,20 +210,18 @@ def matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", short:
             .select("doc_id", "copy", "line", "first_doc_id", F.col("first.line").alias("first_line")).distinct())
 
 
-def dedup_lines(docs: DataFrame, short: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the later lines; documents of which nothing is left are dropped."""
-    gone = written(matches(docs, short=short).groupBy(F.col("doc_id").alias("_id"), F.col("copy").alias("_of")).agg(F.collect_list("line").alias("_gone")), "later_lines")
-    gone = broadcast_if_small(gone, F.size("_gone") + 1)
-    marked = docs.withColumn("_copy", F.xxhash64(F.coalesce("text", F.lit(""))))
-    marked = marked.join(gone, marked["doc_id"].eqNullSafe(gone["_id"]) & (marked["_copy"] == gone["_of"]), "left")
-    lines = F.split("text", "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone"), lambda i: F.get("_lines", i))
-    marked = (marked.withColumn("_lines", F.when(F.col("_gone").isNotNull(), lines))
-              .withColumn("_new", F.when(F.col("_gone").isNotNull(), F.array_join(kept, "\n")).otherwise(F.col("text")))
-              .filter(F.col("_gone").isNull() | F.col("_new").rlike(NOT_SPACE)))
-    columns = {"text": F.col("_new"), "n_chars": F.when(F.col("_gone").isNotNull(), F.length("_new").cast("long")).otherwise(F.col("n_chars"))
-               if "n_chars" in docs.columns else None}
-    return marked.select(*[columns[c].alias(c) if columns.get(c) is not None else F.col(c) for c in docs.columns])
+    gone = written(matches(docs).groupBy("doc_id", "copy").agg(F.collect_list("line").alias("gone")), "later_lines")
+    gone = broadcast_if_small(gone, F.size("gone") + 1)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["doc_id"].alias("id"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("of"))
+    rows = rows.join(gone, rows["id"].eqNullSafe(gone["doc_id"]) & (rows["of"] == gone["copy"]), "left").select("doc", "gone")
+    changed, text = F.col("gone").isNotNull(), F.col("doc")["text"]
+    rows = rows.withColumn("lines", F.when(changed, F.split(text, "\n")))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"), lambda i: F.get("lines", i))
+    rows = rows.withColumn("text", F.when(changed, F.array_join(left, "\n")).otherwise(text)).filter(~changed | F.col("text").rlike(NOT_SPACE))
+    columns = {"text": F.col("text"), "n_chars": F.when(changed, F.length("text").cast("long")).otherwise(F.col("doc")["n_chars"]) if "n_chars" in docs.columns else None}
+    return rows.select(*[(columns[c] if c in columns else F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir):
@@ -234,8 +232,8 @@ SQL = r"""
 WITH RECURSIVE l AS (SELECT doc_id, unnest(range(0, len(l))) AS line, unnest(l) AS t FROM
   (SELECT doc_id, string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) AS l FROM documents)),
 w AS (SELECT doc_id, line, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM l),
-sets AS (SELECT doc_id, line, list_sort(list_distinct(list_transform(range(1, len(w) - 3),
-  lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4]))) AS s FROM w WHERE len(w) >= 5),
+sets AS (SELECT doc_id, line, CASE WHEN len(w) >= 5 THEN list_sort(list_distinct(list_transform(range(1, len(w) - 3),
+  lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4]))) ELSE [array_to_string(w, ' ')] END AS s FROM w WHERE len(w) > 0),
 node AS (SELECT s, row_number() OVER () AS k FROM (SELECT DISTINCT s FROM sets)),
 t AS (SELECT k, len(s) AS n, unnest(s) AS t FROM node),
 e AS (SELECT a.k AS a, b.k AS b FROM t a JOIN t b ON a.t = b.t AND a.k < b.k GROUP BY a.k, b.k

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import setjoin as S
 from strata.llm.common import broadcast_if_small, table, written
-from strata.llm.wordhash import mix, pieces, shingles, words
+from strata.llm.wordhash import give_back, mix, pieces, shingles, words
 
 #: Largest set of the least band; each further band reaches four times as far.
 TINY, RATIO = 5, 4
@@ -82,11 +82,16 @@ def signatures(found: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.
     return np.concatenate(out), np.concatenate(common)
 
 
+#: Bytes of text whose sets are held at once.
+PART = 1 << 19
+
+
 def _each(batches, column="text"):
     """(slice, sets of its rows) of all batches."""
     for batch in batches:
-        for part in pieces(batch, column):
+        for part in pieces(batch, column, PART):
             yield part, list(shingles(words(part.column(column))))
+    give_back()
 
 
 def document_sets(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -151,7 +156,7 @@ def index(docs: DataFrame, doc_id: str, text: str, frequent) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, copy, node, n_shingles, component_id) of each row of ``docs``."""
     rows, counts = document_sets(docs, doc_id, text)
-    frequent = S.broadcast_frequent(counts)
+    frequent = S.broadcast_frequent(counts, rows.count())
     nodes = written(rows.filter("n > 0").groupBy("node").agg(
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("doc_id", "copy")).alias("of")), "nodes")
 
@@ -185,14 +190,15 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
         F.col("doc_id").isNull().alias("none"), "doc_id", "copy")).alias("k"), F.count(F.lit(1)).alias("n"))
     gone = rows.filter("n_shingles > 0").join(first, "root").filter(
         ~(F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("copy") == F.col("k.copy")))).select("doc_id", "copy").distinct()
-    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("copy").alias("_gone_copy"))
-    docs_ = docs.withColumn("_copy", F.xxhash64(F.coalesce("text", F.lit(""))))
-    kept = docs_.join(gone, docs_["doc_id"].eqNullSafe(gone["_gone_id"]) & (docs_["_copy"] == gone["_gone_copy"]), "left_anti")
-    repeated = (rows.filter("n_shingles > 0").groupBy("doc_id", "copy").count().filter("count > 1")
-                .select(F.col("doc_id").alias("_rep_id"), F.col("copy").alias("_rep_copy")))
-    same = kept["doc_id"].eqNullSafe(repeated["_rep_id"]) & (kept["_copy"] == repeated["_rep_copy"])
-    once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_copy"])
-    return kept.join(repeated, same, "left_anti").unionByName(once).select(docs.columns)
+    repeated = rows.filter("n_shingles > 0").groupBy("doc_id", "copy").count().filter("count > 1")
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["doc_id"].alias("id"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("of"))
+
+    def met(table: DataFrame, kept: DataFrame, how: str) -> DataFrame:
+        return kept.join(table, kept["id"].eqNullSafe(table["doc_id"]) & (kept["of"] == table["copy"]), how)
+
+    kept = met(gone, whole, "left_anti")
+    once = met(repeated, kept, "left_semi").dropDuplicates(["id", "of"])
+    return met(repeated, kept, "left_anti").unionByName(once).select("doc.*")
 
 
 def query(spark, sf_dir):

@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import written
-from strata.llm.wordhash import mix
+from strata.llm.wordhash import give_back, mix
 
 PERCENT = 75
 #: A shingle in a 2,000th of a block's sets or more is frequent; blocks have about so many shingles.
-FREQUENT_SHARE, BLOCK, LEAST = 2000, 1 << 22, 4
+FREQUENT_SHARE, BLOCK, LEAST = 2000, 1 << 20, 4
 SALT_BITS = 7
 PAIR = "a long, b long"
 #: Nodes of a block in the second step, and pairs of a task's blocks that are held at once.
@@ -84,10 +84,15 @@ class FrequentShingles:
         return values[often], counts[often]
 
 
-def broadcast_frequent(counts: DataFrame):
-    """A broadcast of the sorted frequent shingles of ``(shingle, n)`` rows of blocks."""
+def broadcast_frequent(counts: DataFrame, sets: int):
+    """A broadcast of the sorted frequent shingles of ``(shingle, n)`` rows of blocks.
+
+    Those with a ``FREQUENT_SHARE``-th of all ``sets`` in their blocks' counts: a shingle
+    in twice that share of the sets is always among them, and there are at most
+    ``FREQUENT_SHARE`` times a mean set's size, whatever the number of blocks.
+    """
     spark = counts.sparkSession
-    rows = counts.groupBy("shingle").agg(F.sum("n").alias("n")).select("shingle").toPandas()
+    rows = counts.groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(LEAST, sets // FREQUENT_SHARE)).select("shingle").toPandas()
     return spark.sparkContext.broadcast(np.sort(rows["shingle"].to_numpy(dtype=np.int64).view(np.uint64)))
 
 
@@ -260,6 +265,7 @@ def pairs_in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for rows in _whole_tiles(batches):
         for found in tiles.pairs(rows):
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+    give_back()
 
 
 def with_partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,6 +274,7 @@ def with_partner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in _whole_tiles(batches):
         met = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *(np.unique(found) for found in tiles.pairs(rows))]))
         yield pa.RecordBatch.from_arrays([pa.array(met)], ["node"])
+    give_back()
 
 
 def _tiles(members: DataFrame, compare, schema: str, sets: DataFrame | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -171,3 +173,13 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
         end = max(at + 1, int(np.searchsorted(length, length[at] + limit, side="right")) - 1)
         yield batch.slice(at, end - at)
         at = end
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system at the end of a task: the worker that ran it
+    stays for later tasks, and beside others, at its peak size otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -228,7 +228,7 @@ def test_near_duplicates(docs, rows, empty):
 
 
 def test_line_dedup(docs, rows, empty):
-    placed = sorted({((i is None, i or 0), n, line) for i, t, *_ in rows for n, line in enumerate((t or "").split("\n")) if len(words(line)) >= 5})
+    placed = sorted({((i is None, i or 0), n, line) for i, t, *_ in rows for n, line in enumerate((t or "").split("\n")) if words(line)})
     root = classes([shingles(words(line)) for *_, line in placed])
     want = {(None if placed[k][0][0] else placed[k][0][1], placed[k][1]) for k, r in enumerate(root) if r != k}
     assert {(r.doc_id, r.line) for r in line_dedup.matches(docs).collect()} == want
@@ -240,14 +240,14 @@ def test_line_dedup(docs, rows, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
-def test_line_dedup_of_short_lines(spark, docs, rows, tmp_path):
-    placed = sorted({((i is None, i or 0), n, line) for i, t, *_ in rows for n, line in enumerate((t or "").split("\n")) if words(line)})
-    root = classes([shingles(words(line)) for *_, line in placed])
-    want = {(None if placed[k][0][0] else placed[k][0][1], placed[k][1]) for k, r in enumerate(root) if r != k}
-    assert (4, 0) in want and {(r.doc_id, r.line) for r in line_dedup.matches(docs, short=True).collect()} == want
+def test_line_dedup_of_short_lines(spark, tmp_path):
     pairs = [(1, "Read more\none line of five words\nhome"), (2, "read  more\nmore read\nHOME\nhome page"), (3, "home")]
     out = corpus_pipeline.lines(spark, spark.createDataFrame(pairs, "doc_id long, text string").repartition(3), str(tmp_path))
     assert sorted(map(tuple, out.collect())) == [(1, pairs[0][1]), (2, "more read\nhome page")]
+    named = spark.createDataFrame([(f"d{i}", t, "x", "y", "z") for i, t in pairs], "doc_id string, text string, gone string, lines string, doc string")
+    out = line_dedup.dedup_lines(named)
+    assert out.columns == named.columns and sorted((r.doc_id, r.text, r.gone) for r in out.collect()) == [("d1", pairs[0][1], "x"), ("d2", "more read\nhome page", "x")]
+    assert ngram_join.distinct_documents(named).columns == named.columns
 
 
 def test_repeated_passages(docs, rows, empty):
