@@ -2,6 +2,7 @@
 
     python -m strata generate --base /data/dev/raw --orders 2000 --customers 100
     python -m strata update-orders --env dev --base /data/dev/raw --tables /data/dev/tables
+    python -m strata update-sample --env dev --base /data/dev/raw --tables /data/dev/tables
     python -m strata update-features --env dev --base /data/dev/raw --tables /data/dev/tables
     python -m strata sql --tables /data/dev/tables "SELECT * FROM gold_daily_sales ORDER BY total_revenue DESC LIMIT 10"
     python -m strata sql --view sales=hdfs:///lake/tables/gold_daily_sales "SELECT count(*) FROM sales"
@@ -35,7 +36,7 @@ def main(argv=None) -> int:
     g.add_argument("--days", type=int, default=30)
     g.add_argument("--sessions", type=int, default=8)
     g.add_argument("--as-of", default=None)
-    for name in ("update-orders", "update-features", "run-batch"):
+    for name in ("update-orders", "update-features", "update-sample", "run-batch"):
         u = sub.add_parser(name)
         u.add_argument("--env", default=None)
         u.add_argument("--base", default=None)
@@ -59,13 +60,15 @@ def main(argv=None) -> int:
                    cfg.activity_source_path)
         print(json.dumps({"orders": cfg.orders_source_path, "profiles": cfg.profiles_source_path,
                           "activity": cfg.activity_source_path}))
-    elif args.cmd in ("update-orders", "update-features", "run-batch"):
+    elif args.cmd in ("update-orders", "update-features", "update-sample", "run-batch"):
         from strata.plans import run
         from strata.streaming.runner import StreamLayout
         cfg, lay = _cfg(args), StreamLayout(args.tables)
         reports = []
         if args.cmd == "update-orders":
             reports.append(run.update_orders(spark, cfg, cfg.orders_source_path, lay, args.as_of))
+        elif args.cmd == "update-sample":
+            reports.append(run.update_sample(spark, cfg, cfg.orders_source_path, lay, args.as_of))
         elif args.cmd == "update-features":
             reports.append(run.update_features(spark, cfg, cfg.activity_source_path, cfg.profiles_source_path,
                                                lay, args.as_of))

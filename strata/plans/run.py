@@ -25,6 +25,7 @@ from strata.operators.expectations import check_dataset, metrics_dict
 from strata.plans import features as FT
 from strata.plans import gold_state as GS
 from strata.plans import orders as OR
+from strata.plans import sample as SM
 from strata.sinks import snapshots
 from strata.sinks.writers import clustered, write_table, write_table_info
 from strata.streaming.runner import StreamLayout
@@ -44,6 +45,12 @@ COMMENTS = {
     "gold_customer_insights": "Per-customer order behaviour with frequency, value and recency segments",
     "gold_product_performance": "Per-product sales, popularity and price stability",
     "gold_real_time_metrics": "Today's and the trailing 7-day operational figures",
+    "bronze_customer_profiles": "Customer profiles as read, with the time of ingestion",
+    "sample_silver_orders": "Sample edition: order lines after expectations",
+    "sample_silver_customers": "Sample edition: customers",
+    "sample_daily_sales": "Sample edition: sales per day and category",
+    "sample_customer_insights": "Sample edition: orders and value per customer",
+    "sample_product_performance": "Sample edition: units and revenue per product",
     "silver_customer_activity": "Sessions after expectations, one row per (customer_id, session_id)",
     "silver_customer_profile": "Customer profiles with signup age and vintage segment",
     "gold_features_customer_engagement": "Per-customer engagement features",
@@ -87,7 +94,7 @@ def run_features_pipeline(spark: SparkSession, bronze_activity: DataFrame, bronz
     _write(rep, layout, "silver_customer_activity", silver, cfg, ["activity_date"],
            ["customer_id", "activity_date"])
     rep.expectations["silver_customer_activity"] = metrics_dict(m1)
-    profile, m2 = FT.silver_customer_profile(bronze_profiles, cfg, as_of)
+    profile, m2 = FT.silver_customer_profile(_bronze_profiles(spark, rep, layout, cfg, bronze_profiles), cfg, as_of)
     _write(rep, layout, "silver_customer_profile", profile, cfg)
     rep.expectations["silver_customer_profile"] = metrics_dict(m2)
     act = spark.read.parquet(rep.tables["silver_customer_activity"])
@@ -96,6 +103,11 @@ def run_features_pipeline(spark: SparkSession, bronze_activity: DataFrame, bronz
     return rep
 
 
+def _bronze_profiles(spark: SparkSession, rep: RunReport, layout: StreamLayout, cfg: PipelineConfig, bronze: DataFrame) -> DataFrame:
+    """DS-10: the profiles as they came, written as a table and read back."""
+    return spark.read.parquet(_write(rep, layout, "bronze_customer_profiles", bronze, cfg))
+
+
 def _features_gold(spark: SparkSession, rep: RunReport, layout: StreamLayout, cfg: PipelineConfig,
                    act: DataFrame, prof: DataFrame, as_of=None) -> None:
     """One aggregation of silver activity by customer (engagement, device
@@ -159,7 +171,8 @@ def update_features(spark: SparkSession, cfg: PipelineConfig, activity_path: str
     rep = RunReport()
     inc = run_activity_increment(spark, cfg, activity_path, layout)
     rep.expectations["silver_customer_activity"] = inc["expectations"]
-    profile, m = FT.silver_customer_profile(bronze_customer_profiles(spark, cfg, profiles_path), cfg, as_of)
+    bronze = _bronze_profiles(spark, rep, layout, cfg, bronze_customer_profiles(spark, cfg, profiles_path))
+    profile, m = FT.silver_customer_profile(bronze, cfg, as_of)
     _write(rep, layout, "silver_customer_profile", profile, cfg)
     rep.expectations["silver_customer_profile"] = metrics_dict(m)
     act = snapshots.read_table(spark, layout.table("silver_customer_activity"))
@@ -168,6 +181,25 @@ def update_features(spark: SparkSession, cfg: PipelineConfig, activity_path: str
     return rep
 
 
+def update_sample(spark: SparkSession, cfg: PipelineConfig, source_path: str, layout: StreamLayout, as_of=None) -> RunReport:
+    """The sample edition (DS-15..20): new JSON files into a bronze table whose schema is
+    inferred and grows, then its other tables in batch."""
+    from strata.sources.evolving import read_evolving, run_evolving
+    rep = RunReport()
+    bronze = (layout.table("sample_bronze_orders"), layout.checkpoint("sample_bronze_orders"))
+    run_evolving(spark, source_path, *bronze, cfg.streaming_options())
+    rep.tables["sample_bronze_orders"] = bronze[0]
+    silver, metrics = SM.sample_silver_orders(read_evolving(spark, *bronze))
+    _write(rep, layout, "sample_silver_orders", silver, cfg)
+    rep.expectations["sample_silver_orders"] = metrics_dict(metrics)
+    silver = spark.read.parquet(rep.tables["sample_silver_orders"])
+    _write(rep, layout, "sample_silver_customers", SM.sample_silver_customers(silver, as_of), cfg)
+    _write(rep, layout, "sample_daily_sales", SM.sample_daily_sales(silver, ordered=False), cfg, cluster_cols=["order_date", "category"])
+    _write(rep, layout, "sample_customer_insights", SM.sample_customer_insights(silver), cfg)
+    _write(rep, layout, "sample_product_performance", SM.sample_product_performance(silver), cfg)
+    return rep
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a Parquet table can be read at ``path`` (any file system)."""
     from pyspark.errors import AnalysisException

@@ -209,3 +209,21 @@ def test_sketches_merge_within_five_percent(spark):
             customers, orders = exact[tuple(r[k] for k in keys)]
             assert customers > 1000 and abs(r["approx_customers"] - customers) <= 0.05 * customers
             assert abs(r["approx_orders"] - orders) <= 0.05 * orders
+
+
+def test_sample_edition_runs_over_updates(spark, json_dir, tmp_path):
+    from strata.plans.run import update_sample
+    lay = R.StreamLayout(str(tmp_path / "p"))
+
+    def line(k, day, q=2, **more):
+        return json.dumps({"order_id": k, "customer_id": k % 3, "order_date": day, "product_id": 7, "product_name": "n", "category": "k",
+                           "quantity": q, "price": 5.0, **more})
+    json_dir([line(1, "2024-01-05", status="s"), line(2, "2024-01-05", q=0, status="s")], name="raw/1")
+    rep = update_sample(spark, CFG, str(tmp_path / "raw/*"), lay, "2024-02-01")
+    assert rep.expectations["sample_silver_orders"]["failed_valid_quantity"] == 1
+    json_dir([line(4, "2024-01-06", status="t", channel="web")], name="raw/2")
+    rep = update_sample(spark, CFG, str(tmp_path / "raw/*"), lay, "2024-02-01")
+    daily = {str(r["order_date"]): r["total_items_sold"] for r in spark.read.parquet(rep.tables["sample_daily_sales"]).collect()}
+    assert daily == {"2024-01-05": 2, "2024-01-06": 2}
+    assert spark.read.parquet(rep.tables["sample_customer_insights"]).count() == 1
+    assert {t for t in rep.tables} >= {"sample_silver_customers", "sample_product_performance", "sample_bronze_orders"}
