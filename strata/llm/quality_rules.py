@@ -1,22 +1,26 @@
 """Quality rules by cross-document line frequency.
 
 Lines are normalised (lower case, runs of white space as one blank) and hashed.
-For each host (``source``) the documents that hold a line are counted. A line
-above the limits is boilerplate and removed; a document that keeps less than
-``min_kept_share`` of its characters is depleted and rejected, as are documents
-that fail the base rules.
-
-What counts as a document of its own: equal texts of a host count once, and so
-that versions of one text don't turn each other's lines into boilerplate, a
-line must also be held by many *families*. Each document is a family of its own
-but for versions: documents whose lines that few others hold are mostly edits
-of lines that many hold (the *gist*, the least hash of a line's 3-word windows,
-is the same). Versions with the same smallest common line are one family.
+For each host (``source``) the distinct documents that hold a line are counted
+(equal texts of a host are one document). A line in more than ``max_docs`` of them
+is boilerplate and removed; a document that keeps less than ``min_kept_share`` of
+its characters is depleted and rejected, as are documents that fail the base rules.
+
+Option ``spare_versions``: near copies of one text turn each other's lines into
+boilerplate. With it a line is removed only if it is also held by as many
+*families*, and a depleted document that keeps enough by that count has ``version``
+true and stays, for a later search of near duplicates. Each document is a family
+of its own but for versions: documents whose lines that few others hold are mostly
+edits of lines that many hold (the *gist*, the least hash of a line's 3-word
+windows, is the same). Versions with the same smallest common line are one family.
+
+The texts are read once; counts, hashes and lengths of lines are written, and all
+else works on them.
 
 Defined results: a null or blank text has no words, fails the base rules and is
 rejected; null hosts form one host; repeated rows get one verdict each, the
-same; ties can't arise, since only counts are compared; other columns of the
-input are ignored.
+same; ties can't arise, since only counts are compared; other columns are kept
+whatever their names (those named like a result give way).
 """
 
 from __future__ import annotations
@@ -26,25 +30,27 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import NOT_SPACE, SPACES, let, table, words_of
+from strata.llm.common import NOT_SPACE, SPACES, broadcast_if_small, let, table, words_of, written
 
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "kept_chars", "all_chars", "base_failed", "depleted", "kept"]
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+RESULT = [*COUNTS, "kept_chars", "all_chars", "base_failed", "depleted", "version", "kept"]
 
 
 @dataclass(frozen=True)
 class QualityRules:
-    """Limits. ``max_docs``: a line in more documents of a host (and in as many
-    families, at least ``min_family_share`` of the documents) is boilerplate."""
+    """Limits. ``max_docs``: a line in more documents of a host is boilerplate; with
+    ``spare_versions`` if in as many families, at least ``min_family_share`` of the documents."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
     max_docs: int = 20
     min_family_share: float = 0.5
     min_kept_share: float = 0.5
+    spare_versions: bool = False
 
 
 def repeat_words(words: Column) -> Column:
@@ -97,13 +103,6 @@ def base_stats(docs: DataFrame, text: str = "text") -> DataFrame:
     }).drop("_words")
 
 
-def keyed(docs: DataFrame, text: str, host: str) -> DataFrame:
-    """``_host`` and ``_text`` (hash and length) name a distinct text of a host."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumns({"_host": F.coalesce(F.col(host), F.lit("\x00")),
-                             "_text": F.struct(F.xxhash64(t).alias("hash"), F.length(t).alias("chars"))})
-
-
 def normal(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), SPACES, " "))
 
@@ -115,83 +114,102 @@ def gist(line: Column) -> Column:
         F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))))).otherwise(F.xxhash64(w)))
 
 
-def boilerplate(rows: DataFrame, rules: QualityRules) -> DataFrame:
-    """(_host, line): the lines above the limits.
+def read_once(docs: DataFrame, rules: QualityRules, text: str, host: str) -> DataFrame:
+    """Written: ``row`` (the other columns), ``host`` and ``text`` (hash and length: a
+    distinct text of a host), the counts and ``lines`` (hash, length and gist of each)."""
+    gist_of = gist if rules.spare_versions else lambda x: F.lit(None).cast("long")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text, *RESULT)]
+    rows = docs.select(F.struct(*rest, F.lit(True).alias("_there")).alias("row"), F.coalesce(F.col(host), F.lit("\x00")).alias("host"),
+                       F.coalesce(F.col(text), F.lit("")).alias("text"))
+    lines = F.filter(F.transform(F.split("text", "\n"), normal), lambda x: x != F.lit(""))
+    hashed = let(lines, lambda each: F.transform(each, lambda x: F.struct(
+        F.xxhash64(x).alias("line"), F.length(x).alias("chars"), gist_of(x).alias("gist"))))
+    return written(base_stats(rows).select(
+        "row", "host", F.struct(F.xxhash64("text").alias("hash"), F.length("text").alias("chars")).alias("text"), *COUNTS,
+        hashed.alias("lines")), "quality_rules")
+
+
+def common_lines(texts: DataFrame, rules: QualityRules) -> DataFrame:
+    """(host, line, gist, held): lines that more than ``max_docs`` of the distinct ``texts`` hold.
 
-    ``rows`` has each line of each distinct text: _host, _text, line, gist.
+    A text counts a line once, so partial counts do, and no task gets a frequent line's rows.
     """
-    common = (rows.groupBy("_host", "line").agg(F.countDistinct("_text").alias("held"), F.first("gist").alias("gist"))
-              .filter(F.col("held") > rules.max_docs))
-    marked = (rows.join(common.select("_host", "line", F.lit(True).alias("common")), ["_host", "line"], "left")
-              .join(common.select("_host", "gist", F.lit(True).alias("near")).distinct(), ["_host", "gist"], "left"))
+    return (texts.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: F.struct(x["line"].alias("line"), x["gist"].alias("gist"))))).alias("l"))
+            .groupBy("host", "l.line").agg(F.count(F.lit(1)).alias("held"), F.first("l.gist").alias("gist"))
+            .filter(F.col("held") > rules.max_docs))
+
+
+def common_to_families(texts: DataFrame, common: DataFrame, rules: QualityRules) -> DataFrame:
+    """(host, line): the common lines that as many families hold."""
+    rows = texts.select("host", "text", F.explode(F.array_distinct("lines")).alias("l")).select("host", "text", "l.line", "l.gist")
+    marked = (rows.join(common.select("host", "line", F.lit(True).alias("common")), ["host", "line"], "left")
+              .join(common.select("host", "gist", F.lit(True).alias("near")).distinct(), ["host", "gist"], "left"))
     is_common, near = F.col("common").isNotNull(), F.col("near").isNotNull()
-    texts = marked.groupBy("_host", "_text").agg(
+    held = marked.groupBy("host", "text").agg(
         F.collect_set(F.when(is_common, F.col("line"))).alias("lines"), F.count_if(~is_common & near).alias("edits"),
         F.count_if(~near).alias("own")).filter(F.size("lines") > 0)
     version = (F.col("edits") > 0) & (F.col("edits") >= F.col("own"))
-    family = F.when(version, F.struct(F.array_min("lines").alias("hash"), F.lit(-1).alias("chars"))).otherwise(F.col("_text"))
-    return (texts.select("_host", family.alias("family"), F.explode("lines").alias("line"))
-            .groupBy("_host", "line").agg(F.countDistinct("family").alias("families"), F.count(F.lit(1)).alias("held"))
+    family = F.when(version, F.struct(F.array_min("lines").alias("hash"), F.lit(-1).alias("chars"))).otherwise(F.col("text"))
+    return (held.select("host", family.alias("family"), F.explode("lines").alias("line"))
+            .groupBy("host", "line").agg(F.countDistinct("family").alias("families"), F.count(F.lit(1)).alias("held"))
             .filter((F.col("families") > rules.max_docs) & (F.col("families") >= rules.min_family_share * F.col("held")))
-            .select("_host", "line"))
-
-
-def removed_chars(docs: DataFrame, rules: QualityRules, text: str = "text", host: str = "source") -> DataFrame:
-    """(_host, _text, kept_chars, all_chars, _boilerplate): what is left when boilerplate
-    goes, and the hashes of the lines that do.
-
-    One row for each distinct text of a host. Only hashes and lengths of lines
-    are shuffled. A frequent line is counted with partial counts, so no task
-    gets all its rows.
-    """
-    lines = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), normal), lambda x: x != F.lit(""))
-    hashed = F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("line"), F.length(x).alias("chars"), gist(x).alias("gist")))
-    rows = (keyed(docs, text, host).select("_host", "_text", lines.alias("lines"))
-            .select("_host", "_text", F.posexplode(hashed).alias("at", "l"))
-            .select("_host", "_text", "at", "l.line", "l.chars", "l.gist").distinct())
-    frequent = boilerplate(rows, rules).withColumn("boilerplate", F.lit(True))
-    return (rows.join(frequent, ["_host", "line"], "left")
-            .groupBy("_host", "_text")
-            .agg(F.sum(F.when(F.col("boilerplate").isNull(), F.col("chars")).otherwise(0)).alias("kept_chars"),
-                 F.sum("chars").alias("all_chars"),
-                 F.collect_set(F.when(F.col("boilerplate"), F.col("line"))).alias("_boilerplate")))
+            .select("host", "line"))
+
+
+def verdicts(docs: DataFrame, rules: QualityRules, text: str = "text", host: str = "source") -> DataFrame:
+    """``row``, ``host``, ``text`` (see :func:`read_once`), the results, and ``gone``: the
+    hashes of the lines to take out. Only texts with common lines are shuffled by text."""
+    stats = read_once(docs, rules, text, host)
+    texts = stats.select("host", "text", "lines").dropDuplicates(["host", "text"])
+    if rules.spare_versions:
+        texts = written(texts, "quality_texts")
+    common = written(common_lines(texts, rules), "quality_lines")
+    limits = common.select("host", "line", F.lit(True).alias("families"))
+    if rules.spare_versions:
+        many = common_to_families(texts, common, rules).withColumn("families", F.lit(True))
+        limits = written(common.select("host", "line").join(many, ["host", "line"], "left"), "quality_lines")
+    among = F.coalesce("families", F.lit(False))
+    left = (texts.select("host", "text", F.explode("lines").alias("l")).select("host", "text", "l.line", "l.chars")
+            .join(broadcast_if_small(limits), ["host", "line"])
+            .groupBy("host", "text").agg(F.sum("chars").alias("cut"), F.sum(F.when(among, F.col("chars")).otherwise(0)).alias("family_cut"),
+                                         F.collect_set(F.when(among, F.col("line"))).alias("gone")))
+    failed = ((F.col("n_words") < rules.min_words)
+              | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
+    total = F.aggregate("lines", F.lit(0).cast("long"), lambda n, x: n + x["chars"])
+    little = lambda cut: F.col("all_chars") - F.coalesce(cut, F.lit(0)) < rules.min_kept_share * F.col("all_chars")
+    return (stats.withColumn("all_chars", total).drop("lines").join(left, ["host", "text"], "left")
+            .withColumns({"base_failed": failed, "depleted": little("cut"),
+                          "kept_chars": (F.col("all_chars") - F.coalesce("cut", F.lit(0))).cast("long")})
+            .withColumn("version", F.col("depleted") & ~little("family_cut"))
+            .withColumn("kept", ~F.col("base_failed") & (~F.col("depleted") | F.col("version"))))
 
 
 def judge(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text", host: str = "source") -> DataFrame:
-    """All columns of ``docs`` but the text, with counts and verdicts of each row.
-
-    Columns of ``docs`` that are named like those give way.
-    """
-    docs = docs.drop(*RESULT)
-    stats = base_stats(keyed(docs, text, host), text).drop(text)
-    left = removed_chars(docs, rules, text, host)
-    failed = ((F.col("n_words") < rules.min_words)
-              | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
-    depleted = F.coalesce(F.col("kept_chars") < rules.min_kept_share * F.col("all_chars"), F.lit(False))
-    return (stats.join(left, ["_host", "_text"], "left")
-            .withColumns({"base_failed": failed, "depleted": depleted,
-                          "kept_chars": F.coalesce("kept_chars", F.lit(0)).cast("long"),
-                          "all_chars": F.coalesce("all_chars", F.lit(0)).cast("long")})
-            .withColumn("kept", ~F.col("base_failed") & ~F.col("depleted")))
+    """All columns of ``docs`` but the text, with counts and verdicts of each row."""
+    rest = [c for c in docs.columns if c not in (text, *RESULT)]
+    return verdicts(docs, rules, text, host).select(*[F.col("row").getField(c).alias(c) for c in rest], *RESULT)
 
 
-def kept_documents(docs: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+def kept_documents(docs: DataFrame, rules: QualityRules = QualityRules(spare_versions=True)) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns, their texts without
     boilerplate lines; ``n_chars`` of changed texts, where it exists, is counted anew.
 
     Only what fails (a hash each) or changes meets the documents, in a join.
     """
-    verdicts = judge(docs.select("text", "source"), rules)
-    touched = (verdicts.filter(~F.col("kept") | (F.size("_boilerplate") > 0))
-               .groupBy("_host", "_text").agg(F.bool_and("kept").alias("_kept"), F.first("_boilerplate").alias("_gone")))
-    rows = keyed(docs, "text", "source").join(touched, ["_host", "_text"], "left").filter(F.coalesce("_kept", F.lit(True)))
+    touched = (verdicts(docs.select("text", "source"), rules).filter(~F.col("kept") | (F.size("gone") > 0))
+               .groupBy("host", F.col("text").alias("key")).agg(F.bool_and("kept").alias("kept"), F.first("gone").alias("gone")))
+    t = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce("source", F.lit("\x00")).alias("host"),
+                       F.struct(F.xxhash64(t).alias("hash"), F.length(t).alias("chars")).alias("key"))
+    rows = rows.join(touched, ["host", "key"], "left").filter(F.coalesce("kept", F.lit(True)))
     # A blank line has no hash in the set, and null sets leave the text as it is.
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("_gone", F.xxhash64(normal(x)))), "\n")
-    rows = rows.withColumn("_new", F.when(F.size("_gone") > 0, left).otherwise(F.col("text")))
-    columns = {"text": F.col("_new")}
+    left = F.array_join(F.filter(F.split("row.text", "\n"), lambda x: ~F.array_contains("gone", F.xxhash64(normal(x)))), "\n")
+    changed = F.coalesce(F.size("gone") > 0, F.lit(False))
+    rows = rows.withColumn("new", F.when(changed, left).otherwise(F.col("row.text")))
+    columns = {"text": F.col("new")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.size("_gone") > 0, F.length("_new").cast("long")).otherwise(F.col("n_chars"))
-    return rows.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
+        columns["n_chars"] = F.when(changed, F.length("new").cast("long")).otherwise(F.col("row.n_chars"))
+    return rows.select(*[columns.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir):
@@ -212,9 +230,7 @@ dl AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_
 lines AS (SELECT doc_id, host, text, generate_subscripts(l, 1) AS at, unnest(l) AS line FROM
   (SELECT doc_id, host, text, list_filter(list_transform(string_split(text, chr(10)),
      lambda x: trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g'))), lambda x: x <> '') AS l FROM d)),
-family AS (SELECT doc_id, min(substr(md5(line), 1, 15)) AS f FROM lines GROUP BY doc_id),
-frequent AS (SELECT host, line FROM lines JOIN family USING (doc_id) GROUP BY host, line
-  HAVING count(DISTINCT f) > 20 AND count(DISTINCT f) >= 0.5 * count(DISTINCT text)),
+frequent AS (SELECT host, line FROM lines GROUP BY host, line HAVING count(DISTINCT text) > 20),
 shares AS (SELECT doc_id, sum(length(l.line)) AS all_chars,
   sum(CASE WHEN f.line IS NULL THEN length(l.line) ELSE 0 END) AS kept_chars
   FROM lines l LEFT JOIN frequent f ON l.host = f.host AND l.line = f.line GROUP BY doc_id),

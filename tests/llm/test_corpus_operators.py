@@ -106,10 +106,40 @@ def test_quality_shared_lines_of_unrelated_documents_and_versions(spark):
             rnd.choice(version)[rnd.randrange(12)] = f"edit{i}"
         rows.append((i, "\n".join(map(" ".join, version)), "versions"))
     rows += [(300 + i, "\n".join(line() for _ in range(8)), "others") for i in range(30)]
-    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
-    assert {(r.source, r.depleted) for r in got} == {("pages", True), ("versions", False), ("others", False)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = quality_rules.judge(docs, quality_rules.QualityRules(spare_versions=True)).collect()
+    assert {(r.source, r.depleted and not r.version) for r in got} == {("pages", True), ("versions", False), ("others", False)}
     own = {i: sum(map(len, t.split("\n")[10:])) for i, t, s in rows if s == "pages"}
     assert {r.doc_id: r.kept_chars for r in got if r.source == "pages"} == own
+    kept = quality_rules.kept_documents(docs)
+    assert {r.doc_id for r in kept.collect()} == {i for i, _, s in rows if s != "pages"}
+
+
+def test_quality_verdicts_by_documents_per_host(spark):
+    rnd = random.Random(5)
+    frequent = [" ".join(f"w{rnd.randrange(60)}" for _ in range(rnd.randint(3, 9))) for _ in range(12)]
+    rows = []
+    for i in range(240):
+        lines = [rnd.choice(frequent[:1 + i % 12]) for _ in range(rnd.randint(0, 6))]
+        lines += [" ".join(f"x{rnd.randrange(9000)}" for _ in range(8)) for _ in range(rnd.randint(0, 7))]
+        rnd.shuffle(lines)
+        rows.append((i, "\n".join(x.upper() if rnd.random() < 0.2 else "\t" + x + "  " for x in lines), rnd.choice(["a", "b", None]), "r", "h", True))
+    rows += [(900 + i, *rows[7][1:]) for i in range(30)] + [rows[3]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, row string, host string, version boolean").repartition(5)
+    norm = lambda t: [x for x in (SPACES.sub(" ", y.lower()).strip() for y in (t or "").split("\n")) if x]
+    held = defaultdict(set)
+    for _, t, s, *_ in rows:
+        for x in norm(t):
+            held[s, x].add(t)
+    want = []
+    for i, t, s, *_ in rows:
+        total = sum(map(len, norm(t)))
+        left = sum(len(x) for x in norm(t) if len(held[s, x]) <= 20)
+        w = [x for x in SPACES.split(t) if x]
+        want.append((i, s, "r", "h", total, left, left < 0.5 * total, len(w) < 50))
+    got = [(r.doc_id, r.source, r.row, r.host, r.all_chars, r.kept_chars, r.depleted, r.n_words < 50) for r in quality_rules.judge(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and len({w[6] for w in want}) == 2
+    assert quality_rules.kept_documents(docs).columns == docs.columns
 
 
 def test_quality_removes_boilerplate_lines(spark):
