@@ -210,11 +210,88 @@ def test_decontamination_of_short_and_dense_items(spark):
     bench = spark.createDataFrame([(1, "What is the capital of France?"), (2, dense), (3, "one")], "item_id long, text string")
     other = dense.translate(str.maketrans("3456789", "1234567"))
     docs = spark.createDataFrame([(1, "Asked: what is the capital of france? Nobody knew"), (2, "What is the capital of France?"),
-                                  (3, f"Now {other} or more"), (4, "what is the price of France in the end"), (5, "has one word of it")], "doc_id long, text string")
+                                  (3, f"Now {other} or more"), (4, "what is the price of France in the end"), (5, "has one word of it"),
+                                  (6, "He knew what is the capital of France? No"), (7, "one"), (8, "Well\nWhat is the capital of France\nof the world")], "doc_id long, text string")
     for options in ({}, {"max_broadcast": 0}):
         got = {(r.doc_id, r.item_id): (r.first_token, r.last_token, r.reparameterised) for r in decontamination.leaks(docs, bench, **options).collect()}
-        assert got[1, 1] == (1, 6, False) and got[2, 1] == (0, 5, False) and got[3, 2][2] is True and got[5, 3] == (1, 1, False)
-        assert set(got) == {(1, 1), (2, 1), (3, 2), (5, 3)}
+        assert got[1, 1] == (1, 6, False) and got[2, 1] == (0, 5, False) and got[3, 2][2] is True
+        assert set(got) == {(1, 1), (2, 1), (3, 2), (8, 1)}
+    assert {r.doc_id for r in decontamination.clean_documents(docs, bench.filter("item_id = 3")).collect()} == set(range(1, 9))
+
+
+def brute_leaks(docs, bench):
+    """Pairs (document, item) by direct comparison of all windows, token by token."""
+    def tokens(text):
+        out, opens, last = [], True, None
+        for m in re.finditer(r"[A-Za-z0-9]+", text):
+            gap = text[last[1]:m.start()] if last else ""
+            begins = last is None or bool(re.search(r"[\n!.:?]", gap))
+            w, kind = m[0], None
+            number = w[0].isdigit()
+            unit = last is not None and last[2] and w.lower() in decontamination.UNITS
+            kind = "N" if number else "U" if unit else "C" if w[0].isupper() and not begins else None
+            out.append((kind, w.lower(), begins))
+            last = (m.start(), m.end(), number)
+        return out
+    found = set()
+    for i, t in bench:
+        a = tokens(t)
+        size = min(8, len(a))
+        if size < 4:
+            continue
+        n = len(a) - size + 1
+        enough = [sum(k is None for k, *_ in a[p:p + size]) >= 4 for p in range(n)]
+        for d, text in docs:
+            b, shifts = tokens(text), defaultdict(lambda: (set(), set()))
+            for p in range(n):
+                for q in range(len(b) - size + 1):
+                    x, y = a[p:p + size], b[q:q + size]
+                    if size < 8 and not (y[0][2] and (q + size == len(b) or b[q + size][2])):
+                        continue
+                    if [w for _, w, _ in x] == [w for _, w, _ in y]:
+                        shifts[q - p][0].add(p)
+                    if enough[p] and [k or w for k, w, _ in x] == [k or w for k, w, _ in y] and any(k for k, *_ in x):
+                        shifts[q - p][1].add(p)
+                    elif enough[p] and [k or w for k, w, _ in x] == [k or w for k, w, _ in y]:
+                        shifts[q - p][1].add(p)
+            every, typed = set(), set()
+            for shift, (plain, by_type) in shifts.items():
+                pairs = {(a[p + e][:2], b[p + e + shift][:2]) for p in by_type for e in range(size) if a[p + e][0]}
+                if len(pairs) != len({x for x, _ in pairs}):
+                    by_type = set()
+                every |= plain | by_type
+                typed |= by_type
+            cover = len({p + e for p in typed for e in range(size)})
+            if n and every and (len(every) >= 0.5 * n or (len(typed) >= max(2, 0.5 * sum(enough)) and cover >= 0.25 * len(a))):
+                found.add((d, i))
+    return found
+
+
+def test_decontamination_against_brute_force(spark):
+    rnd = random.Random(17)
+    plain = [f"{c}{v}{k}" for c in "bdfgk" for v in "aou" for k in "lnrst"]
+    names, units = ["Anna", "Boris", "Clara", "Dora"], ["km", "kg", "hours"]
+    instruction = "read the text below and choose the best of the four answers given"
+
+    def sentence(n):
+        out = []
+        for _ in range(n):
+            r = rnd.random()
+            out += [rnd.choice(plain)] if r < 0.7 else [rnd.choice(names)] if r < 0.8 else [str(rnd.randint(2, 99)), rnd.choice(units)] if r < 0.9 else [str(rnd.randint(2, 9))]
+        return " ".join(["so", *out])
+    bench = [(i, (instruction + " " if i % 3 == 0 else "") + sentence(rnd.randint(1, 24))) for i in range(60)]
+    docs = []
+    for d in range(150):
+        text = rnd.choice(bench)[1]
+        if d % 3:
+            values = {v: rnd.choice(names) for v in names} | {str(k): str(rnd.randint(2, 99)) for k in range(2, 100)}
+            text = " ".join((values.get(w, w) if d % 3 == 1 or rnd.random() < 0.5 else w) if rnd.random() > 0.04 else rnd.choice(plain) for w in text.split())
+        docs.append((d, f"{sentence(20)}{rnd.choice(['. ', chr(10), ' '])}{text}{rnd.choice(['.', ' ', chr(10)])} {sentence(12)}"))
+    docs += [(500, instruction), (501, instruction + " " + sentence(30)), (502, "")]
+    want = brute_leaks(docs, bench)
+    tables = [spark.createDataFrame(x, f"{n} long, text string").repartition(3) for x, n in ((docs, "doc_id"), (bench, "item_id"))]
+    got = {(r.doc_id, r.item_id) for r in decontamination.leaks(*tables).collect()}
+    assert got == want and len(want) > 60 and len({d for d, _ in want}) < len(docs)
 
 
 def test_pii_base_spans(docs, rows, empty):
