@@ -1,17 +1,18 @@
 """License scans by an exact set-similarity join.
 
 Templates are sets of words. A text's blocks are its runs of ``block_words``
-words, each starting ``stride`` words after the last, so that any notice of up
-to ``block_words - stride`` words lies whole in one. The join finds every block
-that holds at least ``containment`` of a template's words:
+words (twice the template's words, if that is more), one from each word on. The
+join finds every text with a block that holds at least ``containment`` of a
+template's words, and its best block:
 
 * tokens are ordered by their frequency over all texts, rarest first;
 * prefix filter: such a block holds one of a template's ``size - need + 1``
-  first tokens, so only those are joined, by equality;
-* length filter: a block of fewer than ``need`` different words can't match;
-* positional filter: a pair that meets first at the template's p-th token has
+  first tokens, so texts meet templates by equality of those alone;
+* length filter: a text of fewer than ``need`` of the template's words can't match;
+* positional filter: a text that meets a template first at its p-th token has
   at most ``size - p`` tokens in common;
-* what is left is verified by the whole sets.
+* what is left is verified: of all blocks those that start with a word of the
+  template hold the most, and only they are counted.
 
 Only template tokens are counted and joined; the templates are a given list, so
 what goes to the driver and is broadcast (its tokens) doesn't grow with the texts.
@@ -48,11 +49,12 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("all-rights-reserved", "all rights reserved"),
 ]
-CONTAINMENT, BLOCK_WORDS, STRIDE = 0.9, 64, 32
+CONTAINMENT, BLOCK_WORDS = 0.9, 64
+CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def scan_words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS), lambda w: w != F.lit(""))
+    return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), CAPITALS, SMALL), SEPARATORS), lambda w: w != F.lit(""))
 
 
 def phrase_places(words: Column, phrase: str) -> Column:
@@ -84,11 +86,16 @@ def token_order(texts: DataFrame, templates) -> list[str]:
     return sorted(tokens, key=lambda w: (counts.get(w, 0), w))
 
 
-def matches(texts: DataFrame, templates=None, containment: float = CONTAINMENT,
-            block_words: int = BLOCK_WORDS, stride: int = STRIDE) -> DataFrame:
-    """(_key, start, label, containment): each matching block of each text.
+def _block(size: int, block_words: int) -> int:
+    return max(block_words, 2 * size)
 
-    ``texts`` has ``_key`` and ``_words``.
+
+def matches(texts: DataFrame, templates=None, containment: float = CONTAINMENT, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(_key, template, label, start, containment): the best block of each text and
+    template that match, the first one of equals.
+
+    ``texts`` has ``_key`` and ``_words``; ``templates`` are (label, words) pairs, the
+    words lower-cased and parted by blanks.
     """
     templates = templates or TEMPLATES
     rank = {w: k for k, w in enumerate(token_order(texts, templates))}
@@ -96,26 +103,31 @@ def matches(texts: DataFrame, templates=None, containment: float = CONTAINMENT,
     for number, (label, text) in enumerate(templates):
         tokens = sorted(set(text.split(" ")), key=rank.__getitem__)
         need = _need(len(tokens), containment)
-        for p, w in enumerate(tokens[:len(tokens) - need + 1]):
-            prefix_tokens.add(w)
-            rows.append((w, number, label, tokens, need, p))
+        prefix = tokens[:len(tokens) - need + 1]
+        prefix_tokens.update(prefix)
+        rows += [(w, number, label, tokens, prefix[:p], need, p, _block(len(text.split(" ")), block_words)) for p, w in enumerate(prefix)]
     prefix = F.broadcast(texts.sparkSession.createDataFrame(
-        rows, "token string, template int, label string, tokens array<string>, need int, place int"))
+        rows, "token string, template int, label string, tokens array<string>, rarer array<string>, need int, place int, span int"))
     first = F.array(*map(F.lit, sorted(prefix_tokens)))
     known = F.array(*map(F.lit, sorted(rank)))
-    n = F.size("_words")
-    starts = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(stride))
-    blocks = (texts.filter(F.arrays_overlap("_words", first))
-              .select("_key", "_words", F.explode(starts).alias("start"))
-              .select("_key", "start", F.slice("_words", F.col("start") + 1, F.lit(block_words)).alias("block"))
-              .select("_key", "start", F.array_intersect("block", known).alias("block"))
-              .select("_key", "start", "block", F.explode(F.array_intersect("block", first)).alias("token")))
-    both = blocks.join(prefix, "token").filter(
-        (F.size("block") >= F.col("need")) & (F.size("tokens") - F.col("place") >= F.col("need")))
-    common = F.size(F.array_intersect("block", "tokens"))
-    return (both.withColumn("common", common).filter(F.col("common") >= F.col("need"))
-            .select("_key", "start", "template", "label", (F.col("common") / F.size("tokens")).alias("containment"))
-            .distinct())
+    places = F.filter(F.transform("_words", lambda w, i: F.struct(i.alias("at"), w.alias("word"))), lambda x: F.array_contains(known, x["word"]))
+    held = (texts.filter(F.arrays_overlap("_words", first))
+            .select("_key", places.alias("places"))
+            .withColumn("words", F.array_distinct(F.col("places.word")))
+            .withColumn("token", F.explode(F.array_intersect("words", first))))
+    # A text meets a template at the rarest token that it holds, once.
+    both = held.join(prefix, "token").filter(
+        ~F.arrays_overlap("words", "rarer") & (F.size("tokens") - F.col("place") >= F.col("need"))
+        & (F.size(F.array_intersect("words", "tokens")) >= F.col("need")))
+
+    def counted(own):
+        return F.transform(own, lambda x, k: F.struct(
+            F.size(F.array_distinct(F.transform(F.filter(F.slice(own, k + 1, F.col("span")), lambda y: y["at"] < x["at"] + F.col("span")),
+                                                lambda y: y["word"]))).alias("common"), (-x["at"]).alias("back")))
+    own = F.filter("places", lambda x: F.array_contains("tokens", x["word"]))
+    best = both.withColumn("best", F.array_max(let(own, counted))).filter(F.col("best.common") >= F.col("need"))
+    return best.select("_key", "template", "label", (-F.col("best.back")).alias("start"),
+                       (F.col("best.common") / F.size("tokens")).alias("containment")).distinct()
 
 
 def scan(docs: DataFrame, keep: list[str], text: str = "text", **options) -> DataFrame:
@@ -147,17 +159,24 @@ def _sql() -> str:
     places = ", ".join(f"list_filter(range(1, len(w) + 1), lambda i: coalesce({phrase(p)}, false)) AS p{k}"
                        for k, (p, _) in enumerate(PHRASES))
     labels = ", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END" for k, (_, label) in enumerate(PHRASES))
-    rows = ", ".join(f"('{label}', {sorted(set(t.split(' ')))}, {_need(len(set(t.split(' '))), CONTAINMENT)})" for label, t in TEMPLATES)
+    rows = ", ".join(f"('{label}', {sorted(set(t.split(' ')))}, {_need(len(set(t.split(' '))), CONTAINMENT)}, {_block(len(t.split(' ')), BLOCK_WORDS)})"
+                     for label, t in TEMPLATES)
+    known = sorted({w for _, t in TEMPLATES for w in t.split(" ")})
     return rf"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{CAPITALS}', '{SMALL}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
 p AS (SELECT doc_id, len(w) AS n_words, {places} FROM d),
 base AS (SELECT doc_id, n_words, {' || '.join(f'p{k}' for k in range(len(PHRASES)))} AS every,
   list_filter([{labels}], lambda x: x IS NOT NULL) AS base FROM p),
-template(label, tokens, need) AS (VALUES {rows}),
-blocks AS (SELECT doc_id, list_distinct(w[s + 1:s + {BLOCK_WORDS}]) AS b FROM
-  (SELECT doc_id, w, unnest(range(0, greatest(len(w), 1), {STRIDE})) AS s FROM d)),
-found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(len(list_intersect(b, tokens)) / len(tokens)) AS best
-  FROM blocks, template WHERE len(list_intersect(b, tokens)) >= need GROUP BY doc_id)
+template(label, tokens, need, span) AS (VALUES {rows}),
+token AS (SELECT label, tokens, need, span, unnest(tokens) AS word FROM template),
+place AS (SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d
+  WHERE len(list_intersect(w, {known})) > 0)),
+hit AS (SELECT doc_id, i, word, label, tokens, need, span FROM place JOIN token USING (word)),
+able AS (SELECT doc_id, tokens FROM hit GROUP BY doc_id, tokens, need HAVING count(DISTINCT word) >= need),
+block AS (SELECT a.doc_id, a.i, a.label, a.tokens, a.need, count(DISTINCT b.word) AS common
+  FROM hit a JOIN able USING (doc_id, tokens) JOIN hit b ON a.doc_id = b.doc_id AND a.tokens = b.tokens AND b.i >= a.i AND b.i < a.i + a.span
+  GROUP BY a.doc_id, a.i, a.label, a.tokens, a.need),
+found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(common / len(tokens)) AS best FROM block WHERE common >= need GROUP BY doc_id)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(every) AS BIGINT) AS n_base, CAST(list_min(every) - 1 AS BIGINT) AS first_word,
   CAST(list_max(every) - 1 AS BIGINT) AS last_word, array_to_string(list_sort(list_distinct(base)), ',') AS base_labels,
   array_to_string(list_sort(list_distinct(base || coalesce(labels, []))), ',') AS labels,

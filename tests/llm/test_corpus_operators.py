@@ -320,6 +320,32 @@ def test_license_scan(docs, rows, empty):
     assert license_scan.scan(empty, ["doc_id"]).count() == 0
 
 
+def test_license_blocks_against_brute_force(spark):
+    rnd = random.Random(23)
+    filler = ["of", "and", "the", "zeta", "eta", "theta", "in"]
+    whole = " ".join(f"term{k}" for k in range(90))
+    templates = [*license_scan.TEMPLATES, ("whole", whole)]
+    texts = [whole, whole.replace("term4 ", "other "), whole.replace(" ", " x "), whole.replace(" ", " x y ", 88), "\u212aterm1 UNDER the M\u0130T license"]
+    for label, t in license_scan.TEMPLATES * 6:
+        out = [rnd.choice(filler) for _ in range(rnd.randint(0, 40))]
+        for w in t.split(" "):
+            out += [w.upper() if rnd.random() < 0.3 else w] if rnd.random() > 0.07 else []
+            out += [rnd.choice(filler) for _ in range(rnd.choice([0, 0, 0, 1, 4, 8]))]
+        texts.append(" ".join(out))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = {}
+    for i, t in enumerate(texts):
+        w = [x for x in re.split("[\x00-\x2f\x3a-\x60\x7b-\x7f]+", t.translate({c: c + 32 for c in range(65, 91)})) if x]
+        for n, (label, template) in enumerate(templates):
+            tokens, span = set(template.split(" ")), max(64, 2 * len(template.split(" ")))
+            best = max(((len(tokens & set(w[s:s + span])), -s) for s in range(len(w)) if w[s] in tokens), default=(0, 0))
+            if best[0] >= 0.9 * len(tokens) - 1e-9:
+                want[i, n] = (label, -best[1], round(best[0] / len(tokens), 9))
+    rows = docs.select(F.col("doc_id").alias("_key"), license_scan.scan_words(F.col("text")).alias("_words"))
+    got = {(r._key, r.template): (r.label, r.start, round(r.containment, 9)) for r in license_scan.matches(rows, templates).collect()}
+    assert got == want and len(want) > 40 and (0, 11) in want and (1, 11) in want and (3, 11) not in want
+
+
 def test_near_duplicates(docs, rows, empty):
     root = classes([shingles(words(t)) for _, t, *_ in rows])
     ids = defaultdict(list)
