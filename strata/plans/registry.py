@@ -225,6 +225,19 @@ def q_ml_feature_table(spark, sf_dir):
                                        FEATURES_AS_OF), {"engagement_score_stddev"})
 
 
+def q_features_customer_locations(spark, sf_dir):
+    """AGG-8: the set of locations of each customer, in order."""
+    rows = FT.gold_features_customer_behavior(_silver_activity(spark, sf_dir), keep_locations=True)
+    return rows.select("customer_id", "unique_locations", F.array_join(F.array_sort("locations_visited"), ",").alias("locations_visited"))
+
+
+def q_ml_feature_table_joined(spark, sf_dir):
+    """JOIN-2: engagement and behaviour as tables of their own, joined."""
+    silver = _silver_activity(spark, sf_dir)
+    return public(FT.ml_feature_table(None, _silver_profile(spark, sf_dir), FEATURES_AS_OF, FT.gold_features_customer_engagement(silver, FEATURES_AS_OF),
+                                      FT.gold_features_customer_behavior(silver)), {"engagement_score_stddev"})
+
+
 _SA = silver_activity_cte()
 _SP = silver_profile_cte(FEATURES_AS_OF)
 
@@ -245,6 +258,11 @@ FROM silver_activity GROUP BY customer_id"""
 
 SQL_BEHAVIOR = f"WITH {_SA}, {BEHAVIOR_CTE} SELECT * FROM behavior"
 
+SQL_LOCATIONS = f"""WITH {_SA}
+SELECT customer_id, count(DISTINCT location) AS unique_locations,
+  coalesce(array_to_string(list_sort(list_distinct(list(location))), ','), '') AS locations_visited
+FROM silver_activity GROUP BY customer_id"""
+
 SQL_ML_FEATURES = f"""WITH {_SA}, {_SP}, {engagement_cte(FEATURES_AS_OF)}, {BEHAVIOR_CTE}
 SELECT e.customer_id, total_page_views, total_cart_adds, total_purchases, avg_engagement_score,
   max_engagement_score, engagement_score_stddev, active_days, total_sessions, weekend_activity_days,
@@ -567,7 +585,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "device_pivot": q_device_pivot,
     "features_customer_behavior": q_features_customer_behavior,
     "features_customer_behavior_joined": q_features_customer_behavior_joined,
+    "features_customer_locations": q_features_customer_locations,
     "ml_feature_table": q_ml_feature_table,
+    "ml_feature_table_joined": q_ml_feature_table_joined,
     "sample_silver_orders": q_sample_silver_orders,
     "sample_silver_customers": q_sample_silver_customers,
     "sample_daily_sales": q_sample_daily_sales,
@@ -607,7 +627,9 @@ ORACLE: dict[str, str] = {
     "device_pivot": SQL_DEVICE_PIVOT,
     "features_customer_behavior": SQL_BEHAVIOR,
     "features_customer_behavior_joined": SQL_BEHAVIOR,
+    "features_customer_locations": SQL_LOCATIONS,
     "ml_feature_table": SQL_ML_FEATURES,
+    "ml_feature_table_joined": SQL_ML_FEATURES,
     "sample_silver_orders": SQL_SAMPLE_SILVER,
     "sample_silver_customers": SQL_SAMPLE_CUSTOMERS,
     "sample_daily_sales": SQL_SAMPLE_DAILY,
