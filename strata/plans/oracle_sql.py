@@ -233,7 +233,7 @@ FROM s"""
 def gen_activity_sql(seed_sql: str, as_of: str, days_back: int = 30, sessions_per_day: int = 5) -> str:
     from strata.sources.synthetic import DEVICES, LOCATIONS
     h = hashed_sql
-    cd = "(customer_id * 1024 + _d)"
+    cd = f"(customer_id * {max(1024, days_back)} + _d)"
     k = "_k"
     u = f"(CAST({h(k, 27)} AS DOUBLE) / CAST({_P} AS DOUBLE))"
     pv = f"CAST(least(50, greatest(1, floor(-ln(CAST(1.0 AS DOUBLE) - {u}) / CAST(0.2 AS DOUBLE)))) AS INTEGER)"
@@ -241,7 +241,7 @@ def gen_activity_sql(seed_sql: str, as_of: str, days_back: int = 30, sessions_pe
 days AS (SELECT customer_id, unnest(generate_series(0, {days_back - 1})) AS _d FROM s),
 sess AS (SELECT customer_id, _d, unnest(generate_series(0, {h(cd, 22)} % {sessions_per_day})) AS _s
   FROM days WHERE {h(cd, 21)} % 100 < 70),
-r1 AS (SELECT customer_id, _d, ({cd}) * 16 + _s AS _k FROM sess),
+r1 AS (SELECT customer_id, _d, ({cd}) * {max(16, sessions_per_day)} + _s AS _k FROM sess),
 r2 AS (SELECT *, {pv} AS pv,
   concat(strftime(DATE '{as_of}' - CAST(_d AS INTEGER), '%Y-%m-%d'), 'T',
     lpad(CAST(8 + {h(k, 23)} % 16 AS VARCHAR), 2, '0'), ':', lpad(CAST({h(k, 24)} % 60 AS VARCHAR), 2, '0'),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rough per-value widths used to turn a target file size into a row budget.
+# Rough per-value widths: a row budget for a table that has no earlier commit to measure.
 _WIDTH = {T.IntegerType: 4, T.LongType: 8, T.DoubleType: 8, T.FloatType: 4, T.DateType: 4,
           T.TimestampType: 8, T.TimestampNTZType: 8, T.BooleanType: 1, T.StringType: 24}
 
@@ -21,10 +21,37 @@ def estimated_row_bytes(schema: T.StructType) -> int:
     return max(1, sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields))
 
 
-def records_per_file(df: DataFrame, target_file_size_bytes: int) -> int:
-    """SNK-5: a ``maxRecordsPerFile`` budget for a target file size (on-disk
-    Parquet is compressed, so this errs toward files at or under the target)."""
-    return max(1000, target_file_size_bytes // estimated_row_bytes(df.schema))
+def records_per_file(df: DataFrame, target_file_size_bytes: int, row_bytes: float | None = None) -> int:
+    """SNK-5: a ``maxRecordsPerFile`` budget for a target file size, from the measured
+    width of a row on disk; without one from the types (Parquet is compressed, so that
+    errs toward files under the target)."""
+    return max(1000, int(target_file_size_bytes / (row_bytes or estimated_row_bytes(df.schema))))
+
+
+#: Files of the last commit whose sizes and rows are read.
+MEASURED_FILES = 64
+
+
+def measured(spark, path: str, fmt: str = "parquet") -> tuple[float, float] | None:
+    """SNK-5: (bytes a row, bytes in all) that the last commit of a table takes on disk.
+
+    Up to ``MEASURED_FILES`` of its files, evenly spaced over the listing, are
+    counted (Parquet: footers only) and stand for the others. None where there is
+    no table yet, or no rows in it.
+    """
+    try:
+        files = spark.read.format(fmt).load(path).inputFiles()
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    if not files:
+        return None
+    files = sorted(files)
+    some = files[::-(-len(files) // MEASURED_FILES)]
+    sizes = (spark.read.format(fmt).load(some).groupBy("_metadata.file_path", "_metadata.file_size").count()
+             .agg(F.sum("file_size").alias("bytes"), F.sum("count").alias("rows")).first())
+    return (sizes["bytes"] / sizes["rows"], sizes["bytes"] * len(files) / len(some)) if sizes["rows"] else None
 
 
 def cluster_columns(df: DataFrame, cluster_cols, partition_cols=()) -> list[str]:
@@ -81,16 +108,25 @@ def write_table(df: DataFrame, path: str, partition_cols=(), cluster_cols=(),
 
     A table that a stream appends to is not overwritten: that would delete the
     sink's log while the stream's checkpoint stays.
+
+    With a target size, rows a file follow the width that rows of the last commit
+    at ``path`` take on disk (:func:`measured`). An overwritten table without
+    partition columns is also cut into as many ranges as the last commit fills
+    files of that size; as ranges are never quite even, files may then exceed the
+    target by a quarter, which spares a small rest beside each.
     """
     if mode == "overwrite" and is_stream_table(df.sparkSession, path):
         raise ValueError(f"{path} is written by a stream; use another root for batch runs")
+    last = measured(df.sparkSession, path, fmt) if target_file_size_bytes else None
+    ranges = max(1, round(last[1] / target_file_size_bytes)) if last and mode == "overwrite" and not partition_cols else None
     if cluster_cols or partition_cols:
-        df = clustered(df, cluster_cols, partition_cols)
+        df = clustered(df, cluster_cols, partition_cols, ranges)
     w = df.write.mode(mode).format(fmt)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     if target_file_size_bytes:
-        w = w.option("maxRecordsPerFile", records_per_file(df, target_file_size_bytes))
+        limit = target_file_size_bytes * (1.25 if ranges else 1)
+        w = w.option("maxRecordsPerFile", records_per_file(df, limit, last and last[0]))
     w.save(path)
     if comment is not None or properties:
         write_table_info(df.sparkSession, path, comment, properties)

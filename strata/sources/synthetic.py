@@ -115,18 +115,20 @@ def generate_customer_activity(spark: SparkSession, seeds=100, as_of=None, days_
     """GEN-3: per customer and day, 70% active, 1..sessions_per_day sessions at
     08:00-23:59; page views ~ exponential(0.2) clamped to 1..50; 30% add to cart,
     40% of those buy; 5% of rows carry one defect (NULL customer — that row
-    only —, 'invalid-timestamp', or page_views = -1)."""
-    if days_back > 1024 or sessions_per_day > 16:
-        raise ValueError("days_back <= 1024 and sessions_per_day <= 16")
+    only —, 'invalid-timestamp', or page_views = -1).
+
+    Keys of the draws count days and sessions in strides of 1024 and 16, or of
+    ``days_back`` and ``sessions_per_day`` where those are more, so they never meet."""
+    per_customer, per_day = max(1024, days_back), max(16, sessions_per_day)
     c, d, s = F.col("customer_id"), F.col("_d"), F.col("_s")
     days = (_seeds(spark, seeds, "customer_id", True, partitions)
             .select(c, F.explode(F.sequence(F.lit(0), F.lit(days_back - 1))).alias("_d")))
-    cd = c * 1024 + d
+    cd = c * per_customer + d
     # Per-day values are computed before the sessions fan out.
     active = days.filter(hashed(cd, 21) % 100 < 70).select(
         c, d, F.date_format(F.date_sub(today(as_of), d), "yyyy-MM-dd").alias("_day"),
         F.explode(F.sequence(F.lit(0), (hashed(cd, 22) % sessions_per_day).cast("int"))).alias("_s"))
-    key = (c * 1024 + d) * 16 + s
+    key = cd * per_day + s
     # Every draw once per row, as a column (the optimizer does not duplicate them).
     k = F.col("_k")
     draws = active.select(c, F.col("_day"), key.alias("_k")).select(

@@ -172,3 +172,9 @@ def test_feature_updates_pick_up_new_activity(spark, tmp_path):
     silver = spark.read.parquet(lay.table("silver_customer_activity"))
     assert silver.groupBy("customer_id", "session_id").count().filter("count > 1").count() == 0
     act.unpersist()
+
+
+def test_activity_of_many_days_and_sessions(spark):
+    rows = generate_customer_activity(spark, 2, AS_OF, days_back=1500, sessions_per_day=40)
+    got = rows.agg(F.count("*"), F.count_distinct("session_id"), F.min("timestamp")).first()
+    assert got[0] == got[1] > 2 * 1500 * 0.6 * 10 and got[2] < "2021"

@@ -5,7 +5,7 @@ from strata.config import ENVIRONMENTS, PipelineConfig, get_config, parse_bytes
 from strata.operators.dedup import dedup_by_key
 from strata.operators.pivot import conditional_counts, pivot_counts
 from strata.operators.topk import top_k
-from strata.sinks.writers import cluster_columns, records_per_file, write_json, write_table
+from strata.sinks.writers import cluster_columns, measured, records_per_file, write_json, write_table
 from strata.sources.schemas import ORDERS_SCHEMA, build_schema
 
 
@@ -72,6 +72,29 @@ def test_cluster_columns_and_file_budget(spark):
     assert records_per_file(df, 64 << 20) > 1000
 
 
+def test_files_sized_from_measured_rows(spark, tmp_path):
+    target, path = 1 << 20, str(tmp_path / "t")
+    # 64 hexadecimal digits a row: far from the width that the type suggests.
+    df = spark.range(60_000).withColumn("s", F.sha2(F.col("id").cast("string"), 256))
+    assert measured(spark, path) is None
+    write_table(df, path, cluster_cols=["id"], target_file_size_bytes=target)
+    row, total = measured(spark, path)
+    assert 30 < row < 80 and abs(total / row - 60_000) < 1
+    write_table(df, path, cluster_cols=["id"], target_file_size_bytes=target)
+    sizes = [f.stat().st_size for f in (tmp_path / "t").glob("*.parquet")]
+    assert all(abs(size - target) < 0.25 * target for size in sizes) and len(sizes) == round(total / target)
+    assert spark.read.parquet(path).distinct().count() == 60_000
+    # Within a partition column's value, files are cut at the measured rows.
+    both = df.withColumn("d", F.lit("x"))
+    for _ in range(2):
+        write_table(both, str(tmp_path / "p"), ["d"], ["id"], target)
+    sizes = sorted(f.stat().st_size for f in (tmp_path / "p").glob("d=x/*.parquet"))
+    assert all(abs(size - target) < 0.25 * target for size in sizes[1:])
+    # An empty table has no width.
+    write_table(df.limit(0), str(tmp_path / "e"), target_file_size_bytes=target)
+    assert measured(spark, str(tmp_path / "e")) is None
+
+
 def test_write_table_partitioned_clustered(spark, tmp_path):
     df = spark.range(100).withColumn("d", (F.col("id") % 3).cast("string"))
     p = write_table(df, str(tmp_path / "t"), partition_cols=["d"], cluster_cols=["d", "id"],
