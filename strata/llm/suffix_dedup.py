@@ -3,17 +3,26 @@
 Of a document's word positions only minimisers are kept: in every run of
 ``LEAST - K + 1`` neighbouring K-grams that with the least hash. Equal passages of
 ``LEAST`` words keep a suffix at the same place, so none is missed, and about one
-position in thirteen is kept. Suffixes are sorted by their first K words; equal
-neighbours from different documents are seeds. From the seeds the passages are
-extended left and right: all windows of ``LEAST`` words around a seed are sorted
-and compared in the same way, and a passage reaches as far as window after window
-repeats in another document. Equal neighbours are found by grouping on the key
-with partial minima, so a passage that very many documents hold does no harm.
-
-Defined results: null, blank and short texts have no passages; copies and
-repeated passages inside one document alone don't count, rows of equal id are one
-document; rows with null id are told apart by their text; case of A-Z is ignored;
-other columns are ignored.
+position in thirteen is kept. Suffixes whose first K words no other document has
+are dropped. The others go, with the ``REACH`` words before and after those K, to
+the task of their first words and are sorted there by the words that follow.
+Neighbours in that order, and in the order by the words before (from the nearest
+back), are compared: the words that they share are how far a match extends to the
+right and to the left. Suffixes that share l words back and ``REACH - l`` words on
+hold the same window of ``LEAST`` words; a passage is a run of such windows.
+
+A group of equal first words with more than ``GROUP`` suffixes is too large for
+one task. Windows around those are hashed and met by partial aggregates instead,
+which gives the same rows; so no group is capped.
+
+Words are compared by hashes: the first K by one of 64 bits, each word around them
+by 32 bits.
+
+Defined results: null, blank and short texts have no passages; exact copies are
+passages of each other; rows of equal id are one document; rows with null id are
+told apart by their text and come before all others; case of A-Z is ignored;
+other columns are ignored, or kept by :func:`without_repeats`. Whole-number ids
+order documents, ids of other types do by a hash.
 """
 
 from __future__ import annotations
@@ -21,14 +30,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.llm.common import broadcast_if_small, table, written
-from strata.llm.wordhash import pieces, windows, words
+from strata.llm.common import NOT_SPACE, broadcast_if_small, table, written
+from strata.llm.wordhash import give_back, pieces, windows, words
 
 LEAST, K = 50, 25
+#: Words of a window beside the K that a suffix is met by.
+REACH = LEAST - K
+#: Suffixes of equal first words that one task compares.
+GROUP = 8192
+#: Suffixes with their contexts in one batch.
+CONTEXTS = 20_000
 
 
 def minimisers(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -44,19 +61,20 @@ def minimisers(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
     return kept, grams[kept]
 
 
-def _input(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    t = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(t)).alias("d"), F.col(doc_id).alias("doc_id"),
-                       F.xxhash64(t).alias("copy"), t.alias("text"))
+def _ids(docs: DataFrame, doc_id: str, text: str) -> tuple[Column, Column]:
+    """(number of the document, hash of the text); numbers of null ids are negative."""
+    copy = F.xxhash64(F.coalesce(docs[text], F.lit("")))
+    whole = isinstance(docs.schema[doc_id].dataType, T.IntegralType)
+    number = docs[doc_id].cast("long") if whole else F.xxhash64(docs[doc_id].cast("string"))
+    return F.when(docs[doc_id].isNull(), copy.bitwiseOR(F.lit(-2**63))).otherwise(number), copy
 
 
-def repeated(rows: DataFrame) -> DataFrame:
-    """Rows (key, d, ...) whose key other documents have too."""
-    keys = rows.groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo <> hi").select("key")
-    return rows.join(keys, "key", "left_semi")
+def _input(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    d, copy = _ids(docs, doc_id, text)
+    return docs.select(d.alias("d"), docs[doc_id].alias("doc_id"), copy.alias("copy"), F.coalesce(docs[text], F.lit("")).alias("text"))
 
 
-def seeds(docs: DataFrame) -> DataFrame:
+def suffixes(docs: DataFrame) -> DataFrame:
     """(key, d, copy, at): the kept suffixes of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,11 +85,147 @@ def seeds(docs: DataFrame) -> DataFrame:
                 rows = pa.array(row)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), part.column("d").take(rows), part.column("copy").take(rows),
                                                   pa.array((at - w.first[row]).astype(np.int32))], ["key", "d", "copy", "at"])
+        give_back()
     return docs.select("d", "copy", "text").mapInArrow(run, "key long, d long, copy long, at int")
 
 
-def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, d, at): the windows around the seeds of each text."""
+def seeds(found: DataFrame, within: bool) -> DataFrame:
+    """(d, copy, hot, places): suffixes whose first words stand elsewhere, too."""
+    elsewhere = "lo <> hi" + (" OR first <> last" if within else "")
+    keys = (found.groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.min("at").alias("first"), F.max("at").alias("last"),
+                                     F.count(F.lit(1)).alias("n"))
+            .filter(elsewhere).select("key", (F.col("n") > GROUP).alias("hot")))
+    return found.join(keys, "key").groupBy("d", "copy", "hot").agg(F.collect_set("at").alias("places"))
+
+
+def _places(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Texts with the places of their seeds: (d, copy, text, places)."""
+    found = found.select(F.col("d").alias("_d"), F.col("copy").alias("_copy"), "places")
+    found = broadcast_if_small(found, F.size("places") + 1)
+    return docs.join(found, (docs["d"] == found["_d"]) & (docs["copy"] == found["_copy"])).select("d", "copy", "text", "places")
+
+
+def _words_around(hashes: np.ndarray, at: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Per place the hashes of the words from ``at``, a column each; 0 beyond the text."""
+    there = (at >= begin[:, None]) & (at < end[:, None])
+    around = np.where(there, hashes[np.clip(at, 0, max(len(hashes) - 1, 0))], 0).astype(">u4")
+    offsets = np.arange(len(at) + 1, dtype=np.int32) * (4 * REACH)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(around.tobytes())])
+
+
+def contexts(texts: DataFrame) -> DataFrame:
+    """(key, d, copy, at, back, ahead): seeds with the words around them, nearest first."""
+    step = np.arange(REACH)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                w = words(part.column("text"))
+                grams, short = windows(w.hashes, K).view(np.int64), np.maximum(w.hashes >> np.uint64(32), 1)
+                places = part.column("places")
+                row = np.repeat(np.arange(part.num_rows), np.diff(places.offsets.to_numpy()))
+                every = places.flatten().to_numpy() + w.first[row]
+                for i in range(0, len(every), CONTEXTS):
+                    at, rows = every[i:i + CONTEXTS], row[i:i + CONTEXTS]
+                    begin, end = w.first[rows], w.first[rows + 1]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(grams[at]), part.column("d").take(pa.array(rows)), part.column("copy").take(pa.array(rows)),
+                        pa.array((at - begin).astype(np.int32)), _words_around(short, at[:, None] - 1 - step, begin, end),
+                        _words_around(short, at[:, None] + K + step, begin, end)], ["key", "d", "copy", "at", "back", "ahead"])
+        give_back()
+    return texts.mapInArrow(run, "key long, d long, copy long, at int, back binary, ahead binary")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]].view(">u4").reshape(-1, REACH)
+
+
+def _shared(key: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """How many words each sorted row shares with the row before it; -1 at a new key."""
+    same = (side[1:] == side[:-1]) & (side[1:] != 0)
+    shared = np.where(same.all(axis=1), REACH, same.argmin(axis=1))
+    return np.concatenate([[-1], np.where(key[1:] == key[:-1], shared, -1)])
+
+
+def _met(shared: np.ndarray) -> np.ndarray:
+    """The most words that each row shares with a neighbour."""
+    return np.maximum(shared, np.append(shared[1:], -1))
+
+
+def matches(key: np.ndarray, d: np.ndarray, at: np.ndarray, back: np.ndarray, ahead: np.ndarray,
+            within: bool) -> tuple[np.ndarray, np.ndarray]:
+    """For rows sorted by key and the words ahead: whether the window that reaches l words
+    back from a row stands elsewhere, and whether it does earlier (rows x windows)."""
+    again, later = np.zeros((2, len(key), REACH + 1), dtype=bool)
+    right = _shared(key, ahead)
+    text = np.concatenate([key.astype(">i8").view(np.uint8).reshape(-1, 8), np.ascontiguousarray(back).view(np.uint8)], axis=1)
+    order = np.argsort(text.view(f"S{text.shape[1]}").ravel(), kind="stable")
+    left = _shared(key[order], back[order])
+    right_met, left_met = _met(right), np.empty_like(left)
+    left_met[order] = _met(left)
+    left_class = np.empty(len(key), dtype=np.int64)
+    for back_words in range(REACH + 1):
+        ahead_words = REACH - back_words
+        rows = np.flatnonzero((left_met >= back_words) & (right_met >= ahead_words))
+        if not len(rows):
+            continue
+        left_class[order] = np.cumsum(left < back_words)
+        window = left_class[rows] * (len(key) + 1) + np.cumsum(right < ahead_words)[rows]
+        start = (at[rows] - back_words) if within else np.zeros(len(rows), dtype=np.int64)
+        by = np.lexsort((start, d[rows], window))
+        new = np.concatenate([[True], window[by][1:] != window[by][:-1]])
+        group = np.cumsum(new) - 1
+        first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(by)) - 1
+        place = np.stack([d[rows], start], axis=1)[by]
+        again[rows[by], back_words] = (place[first] != place[last]).any(axis=1)[group]
+        later[rows[by], back_words] = (place != place[first][group]).any(axis=1)
+    return again, later
+
+
+def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first, end) of each run of set flags in a row."""
+    edges = np.diff(np.pad(flags, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    row, first = np.nonzero(edges == 1)
+    return row, first, np.nonzero(edges == -1)[1]
+
+
+def neighbours(rows: DataFrame, within: bool) -> DataFrame:
+    """(d, copy, start, stop, later): runs of first words of repeated windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in _and_none(batches):
+            if batch is None:
+                whole = rest
+            else:
+                whole = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+                key = whole.column("key").to_numpy()
+                cut = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last group may go on
+                whole, rest = whole.slice(0, cut), whole.slice(cut)
+            if whole is None or not whole.num_rows:
+                continue
+            t = whole.combine_chunks()
+            one = {c: t.column(c).chunk(0) for c in t.column_names}
+            at = one["at"].to_numpy().astype(np.int64)
+            found = matches(one["key"].to_numpy(), one["d"].to_numpy(), at, _matrix(one["back"]), _matrix(one["ahead"]), within)
+            for later, flags in enumerate(found):
+                row, first, end = _runs(flags)  # l words back: starts at - end + 1 ... at - first
+                taken = pa.array(row)
+                yield pa.RecordBatch.from_arrays([one["d"].take(taken), one["copy"].take(taken), pa.array((at[row] - end + 1).astype(np.int32)),
+                                                  pa.array((at[row] - first + 1).astype(np.int32)), pa.array(np.full(len(row), bool(later)))],
+                                                 ["d", "copy", "start", "stop", "later"])
+        give_back()
+    return rows.repartition("key").sortWithinPartitions("key", "ahead").mapInArrow(run, "d long, copy long, start int, stop int, later boolean")
+
+
+def _and_none(items: Iterator) -> Iterator:
+    yield from items
+    yield None
+
+
+def hot_windows(texts: DataFrame, within: bool) -> DataFrame:
+    """The rows of :func:`neighbours` for suffixes of large groups: all windows around
+    them, met by their hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
@@ -80,33 +234,85 @@ def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
                 around = np.zeros(len(w.hashes) + 1, dtype=np.int32)
                 for begin, end, places in zip(w.first[:-1].tolist(), w.first[1:].tolist(), part.column("places")):
                     at = begin + np.array(places.as_py(), dtype=np.int64)
-                    lo, hi = np.maximum(at - (LEAST - K), begin), np.minimum(at, end - LEAST)
+                    lo, hi = np.maximum(at - REACH, begin), np.minimum(at, end - LEAST)
                     ok = hi >= lo
                     np.add.at(around, lo[ok], 1)
                     np.add.at(around, hi[ok] + 1, -1)
                 at = np.flatnonzero(np.cumsum(around)[:-1] > 0)
                 row = np.searchsorted(w.first, at, side="right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(grams[at].view(np.int64)), part.column("d").take(pa.array(row)),
-                                                  pa.array((at - w.first[row]).astype(np.int32))], ["key", "d", "at"])
+                rows = pa.array(row)
+                yield pa.RecordBatch.from_arrays([pa.array(grams[at].view(np.int64)), part.column("d").take(rows), part.column("copy").take(rows),
+                                                  pa.array((at - w.first[row]).astype(np.int32))], ["key", "d", "copy", "start"])
+        give_back()
+
+    rows = written(texts.mapInArrow(run, "key long, d long, copy long, start int"), "passage_windows")
+    place = F.struct("d", "start" if within else F.lit(0).alias("start"))
+    met = rows.groupBy("key").agg(F.min(place).alias("one"), F.max(place).alias("other")).filter("one <> other").select("key", "one")
+    rows = rows.join(met, "key").withColumn("place", place)
+    return rows.select("d", "copy", "start", (F.col("start") + 1).alias("stop"),
+                       F.explode(F.when(F.col("place") == F.col("one"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("later"))
+
+
+def _found(docs: DataFrame, within: bool) -> DataFrame:
+    """Runs of repeated windows (``later`` false) and of those that stand earlier (true)."""
+    found = written(seeds(written(suffixes(docs), "suffixes"), within), "seeds")
+    runs = neighbours(contexts(_places(docs, found.filter("NOT hot"))), within)
+    if not found.filter("hot").isEmpty():
+        runs = runs.unionByName(hot_windows(_places(docs, found.filter("hot")), within))
+    return runs
 
-    found = found.withColumnRenamed("d", "_d").withColumnRenamed("copy", "_copy")
-    texts = docs.join(found, (docs["d"] == found["_d"]) & (docs["copy"] == found["_copy"])).select("d", "text", "places")
-    return texts.mapInArrow(run, "key long, d long, at int")
 
+def _spans(runs: DataFrame, by: list[str]) -> DataFrame:
+    """Runs that meet, joined: columns ``by``, first_word and end_word."""
+    order = Window.partitionBy(*by).orderBy("start")
+    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.when(F.coalesce(before < F.col("start"), F.lit(True)), 1).otherwise(0)
+    return (runs.select(*by, "start", "stop").withColumn("new", new).withColumn("span", F.sum("new").over(order))
+            .groupBy(*by, "span").agg(F.min("start").alias("first_word"), (F.max("stop") - 1 + LEAST).alias("end_word")).drop("span"))
 
-def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, first_word, end_word): each passage that other documents hold."""
+
+def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", within: bool = False) -> DataFrame:
+    """(doc_id, first_word, end_word): each passage that other documents hold, or, with
+    ``within``, that stands elsewhere in the same document."""
     docs = _input(docs, doc_id, text)
-    suffixes = written(seeds(docs), "suffixes")
-    found = written(repeated(suffixes).groupBy("d", "copy").agg(F.collect_set("at").alias("places")), "seeds")
-    grams = written(extended(docs, broadcast_if_small(found, F.size("places") + 1)), "passage_windows")
-    again = repeated(grams).select("d", "at").distinct()
-    order = Window.partitionBy("d").orderBy("at")
-    spans = (again.withColumn("run", F.col("at") - F.row_number().over(order)).groupBy("d", "run")
-             .agg(F.min("at").alias("first_word"), (F.max("at") + LEAST).alias("end_word")).drop("run"))
-    ids = docs.filter("doc_id IS NULL").select("d").distinct()
-    named = spans.join(ids.withColumn("none", F.lit(True)), "d", "left")
-    return named.select(F.when(F.col("none").isNull(), F.col("d")).alias("doc_id"), "first_word", "end_word")
+    spans = _spans(_found(docs, within).filter("NOT later"), ["d"])
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        ids = docs.filter("doc_id IS NULL").select("d").distinct().withColumn("none", F.lit(True))
+        named = F.when(F.col("none").isNull(), F.col("d")).cast(docs.schema["doc_id"].dataType)
+    else:
+        ids, named = docs.select("d", F.col("doc_id").alias("own")).distinct(), F.col("own")
+    return spans.join(ids, "d", "left").select(named.alias("doc_id"), "first_word", "end_word")
+
+
+def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    """Texts without the words of the spans; other white space stays."""
+    out = []
+    for text, gone in zip(texts, spans):
+        if gone is not None and len(gone):
+            raw = text.encode()
+            w, left, at = words(pa.array([text])), [], 0
+            for first, end in sorted(map(tuple, gone)):
+                left.append(raw[at:int(w.starts[first])])
+                at = int(w.ends[end - 1])
+            text = b"".join([*left, raw[at:]]).decode()
+        out.append(text)
+    return pd.Series(out, dtype=object)
+
+
+def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", within: bool = False) -> DataFrame:
+    """``docs`` without passages that an earlier document (``within``: or an earlier place)
+    holds; documents of which no word is left are dropped. The first of equal passages stays;
+    with ``within``, a passage that overlaps its own repeats keeps one period."""
+    later = _spans(_found(_input(docs, doc_id, text), within).filter("later"), ["d", "copy"])
+    gone = written(later.groupBy("d", "copy").agg(F.collect_list(F.array("first_word", "end_word")).alias("gone")), "later_passages")
+    gone = broadcast_if_small(gone, F.size("gone") + 1)
+    d, copy = _ids(docs, doc_id, text)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), d.alias("of"), copy.alias("by"))
+    rows = rows.join(gone, (rows["of"] == gone["d"]) & (rows["by"] == gone["copy"]), "left").select("doc", "gone")
+    changed = F.col("gone").isNotNull()
+    left = F.pandas_udf(_cut, "string")(F.col("doc")[text], F.col("gone"))
+    rows = rows.withColumn("left", left).filter(~changed | F.col("left").rlike(NOT_SPACE))
+    return rows.select(*[(F.col("left") if c == text else F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir):

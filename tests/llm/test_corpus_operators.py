@@ -383,7 +383,7 @@ def test_line_dedup_of_short_lines(spark, tmp_path):
     assert ngram_join.distinct_documents(named).columns == named.columns
 
 
-def test_repeated_passages(docs, rows, empty):
+def test_repeated_passages(docs, rows, empty, monkeypatch):
     held = defaultdict(set)
     for i, t, *_ in rows:
         w = words(t)
@@ -399,6 +399,45 @@ def test_repeated_passages(docs, rows, empty):
                 want.add((i, k, end + 50))
     assert {tuple(r) for r in suffix_dedup.repeated_passages(docs).collect()} == want
     assert suffix_dedup.repeated_passages(empty).count() == 0
+    # Large groups take the other way, with the same rows.
+    monkeypatch.setattr(suffix_dedup, "GROUP", 4)
+    assert {tuple(r) for r in suffix_dedup.repeated_passages(docs).collect()} == want
+
+
+@pytest.mark.parametrize("within, group", [(False, 8192), (True, 8192), (True, 2)])
+def test_without_repeated_passages(spark, monkeypatch, within, group):
+    monkeypatch.setattr(suffix_dedup, "GROUP", group)
+    rnd = random.Random(5)
+    def sentence(n):
+        return [f"w{rnd.randrange(10 ** 6)}" for _ in range(n)]
+    a, b, c = sentence(55), sentence(90), sentence(49)
+    texts = [a + sentence(5) + b, sentence(9) + a, b[:70] + sentence(3) + b[20:], c + sentence(1), c + sentence(1), b, sentence(70) * 3,
+             sentence(7) + a[:52] + sentence(2) + a, ["again"] * 130, [], sentence(20) + b[5:60] + a[3:] + c, list(a)]
+    texts = [" ".join(t).upper() if i == 1 else "\n ".join(t) for i, t in enumerate(texts)] + [None]
+    pairs = [(i, t) for i, t in enumerate(texts)] + [(None, "x " + " ".join(a)), (5, texts[5])]
+    order = sorted({(i is not None, -1 if i is None else i, t) for i, t in pairs if t})
+    first = {}
+    for named, i, t in order:
+        w = words(t)
+        for k in range(len(w) - 49):
+            first.setdefault(tuple(w[k:k + 50]), (named, i, k if within else 0))
+    left = {}
+    for named, i, t in order:
+        w, cut = words(t), set()
+        for k in range(len(w) - 49):
+            if first[tuple(w[k:k + 50])] != (named, i, k if within else 0):
+                cut |= set(range(k, k + 50))
+        left[i] = [x for k, x in enumerate(w) if k not in cut]
+    table = spark.createDataFrame([(i, t, "p", "q", "r") for i, t in pairs], "doc_id long, text string, gone string, d string, `left` string").repartition(3)
+    out = suffix_dedup.without_repeats(table, within=within)
+    got = [(-1 if r.doc_id is None else r.doc_id, words(r.text), r.gone, r.d, r.left) for r in out.collect()]
+    want = [(-1 if i is None else i, left.get(-1 if i is None else i, []), "p", "q", "r") for i, t in pairs]
+    assert out.columns == table.columns
+    assert sorted(got) == sorted(x for x in want if x[1] or not words(texts[x[0]]))
+    if not within:  # ids that aren't numbers
+        text = F.concat(F.lit("n"), F.col("doc_id").cast("string"))
+        found = {tuple(r) for r in suffix_dedup.repeated_passages(table.withColumn("doc_id", text)).collect()}
+        assert found == {(f"n{i}" if i is not None else None, *r) for i, *r in map(tuple, suffix_dedup.repeated_passages(table).collect())}
 
 
 def test_bpe_against_the_library(docs, rows, empty):
