@@ -1,10 +1,11 @@
 """Repeated passages by a sparse suffix array.
 
-Of a document's word positions only minimisers are kept: in every run of
+Equal texts are one from the start: a text goes with the least and the greatest
+of its documents. Of a text's word positions only minimisers are kept: in every run of
 ``LEAST - K + 1`` neighbouring K-grams that with the least hash. Equal passages of
 ``LEAST`` words keep a suffix at the same place, so none is missed, and about one
-position in thirteen is kept. Suffixes whose first K words no other document has
-are dropped. The others go, with the ``REACH`` words before and after those K, to
+position in thirteen is kept. Suffixes whose first K words one document alone
+has are dropped. The others go, with the ``REACH`` words before and after those K, to
 the task of their first words and are sorted there by the words that follow.
 Neighbours in that order, and in the order by the words before (from the nearest
 back), are compared: the words that they share are how far a match extends to the
@@ -15,6 +16,9 @@ A group of equal first words with more than ``GROUP`` suffixes is too large for
 one task. Windows around those are hashed and met by partial aggregates instead,
 which gives the same rows; so no group is capped.
 
+Joins are merges at every size: with broadcasts of what happens to be small, work
+would grow by jumps.
+
 Words are compared by hashes: the first K by one of 64 bits, each word around them
 by 32 bits.
 
@@ -36,14 +40,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import NOT_SPACE, broadcast_if_small, table, written
+from strata.llm.common import NOT_SPACE, table, written
 from strata.llm.wordhash import give_back, pieces, windows, words
 
 LEAST, K = 50, 25
 #: Words of a window beside the K that a suffix is met by.
 REACH = LEAST - K
-#: Suffixes of equal first words that one task compares.
-GROUP = 8192
+#: Suffixes of equal first words that one task compares (200 bytes of context each: 7 MB).
+GROUP = 1 << 15
 #: Suffixes with their contexts in one batch.
 CONTEXTS = 20_000
 
@@ -70,12 +74,14 @@ def _ids(docs: DataFrame, doc_id: str, text: str) -> tuple[Column, Column]:
 
 
 def _input(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(d, doc_id, copy, text) of the texts that are long enough for a passage."""
     d, copy = _ids(docs, doc_id, text)
-    return docs.select(d.alias("d"), docs[doc_id].alias("doc_id"), copy.alias("copy"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    rows = docs.select(d.alias("d"), docs[doc_id].alias("doc_id"), copy.alias("copy"), docs[text].alias("text"))
+    return rows.filter(F.octet_length("text") >= 2 * LEAST - 1)
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
-    """(key, d, copy, at): the kept suffixes of each text."""
+    """(key, copy, at, lo, hi): the kept suffixes of each text, and its least and greatest document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
@@ -86,23 +92,24 @@ def suffixes(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), part.column("d").take(rows), part.column("copy").take(rows),
                                                   pa.array((at - w.first[row]).astype(np.int32))], ["key", "d", "copy", "at"])
         give_back()
-    return docs.select("d", "copy", "text").mapInArrow(run, "key long, d long, copy long, at int")
+    rows = docs.select("d", "copy", "text").mapInArrow(run, "key long, d long, copy long, at int")
+    return rows.groupBy("copy", "at", "key").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
 
 
 def seeds(found: DataFrame, within: bool) -> DataFrame:
-    """(d, copy, hot, places): suffixes whose first words stand elsewhere, too."""
+    """(copy, lo, hi, hot, places): suffixes whose first words stand elsewhere, too."""
     elsewhere = "lo <> hi" + (" OR first <> last" if within else "")
-    keys = (found.groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi"), F.min("at").alias("first"), F.max("at").alias("last"),
+    keys = (found.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("at").alias("first"), F.max("at").alias("last"),
                                      F.count(F.lit(1)).alias("n"))
             .filter(elsewhere).select("key", (F.col("n") > GROUP).alias("hot")))
-    return found.join(keys, "key").groupBy("d", "copy", "hot").agg(F.collect_set("at").alias("places"))
+    return found.join(keys.hint("merge"), "key").groupBy("copy", "hot").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_set("at").alias("places"))
 
 
 def _places(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Texts with the places of their seeds: (d, copy, text, places)."""
-    found = found.select(F.col("d").alias("_d"), F.col("copy").alias("_copy"), "places")
-    found = broadcast_if_small(found, F.size("places") + 1)
-    return docs.join(found, (docs["d"] == found["_d"]) & (docs["copy"] == found["_copy"])).select("d", "copy", "text", "places")
+    """One text for each copy, with the places of its seeds: (copy, lo, hi, text, places)."""
+    found = found.select(F.col("copy").alias("of"), "lo", "hi", "places").hint("merge")
+    texts = docs.join(found, (docs["copy"] == found["of"]) & (docs["d"] == found["lo"]))
+    return texts.select("copy", "lo", "hi", "text", "places").dropDuplicates(["copy", "lo"])
 
 
 def _words_around(hashes: np.ndarray, at: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -114,7 +121,7 @@ def _words_around(hashes: np.ndarray, at: np.ndarray, begin: np.ndarray, end: np
 
 
 def contexts(texts: DataFrame) -> DataFrame:
-    """(key, d, copy, at, back, ahead): seeds with the words around them, nearest first."""
+    """(key, copy, lo, hi, at, back, ahead): seeds with the words around them, nearest first."""
     step = np.arange(REACH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,11 +136,11 @@ def contexts(texts: DataFrame) -> DataFrame:
                     at, rows = every[i:i + CONTEXTS], row[i:i + CONTEXTS]
                     begin, end = w.first[rows], w.first[rows + 1]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(grams[at]), part.column("d").take(pa.array(rows)), part.column("copy").take(pa.array(rows)),
+                        pa.array(grams[at]), *(part.column(c).take(pa.array(rows)) for c in ("copy", "lo", "hi")),
                         pa.array((at - begin).astype(np.int32)), _words_around(short, at[:, None] - 1 - step, begin, end),
-                        _words_around(short, at[:, None] + K + step, begin, end)], ["key", "d", "copy", "at", "back", "ahead"])
+                        _words_around(short, at[:, None] + K + step, begin, end)], ["key", "copy", "lo", "hi", "at", "back", "ahead"])
         give_back()
-    return texts.mapInArrow(run, "key long, d long, copy long, at int, back binary, ahead binary")
+    return texts.mapInArrow(run, "key long, copy long, lo long, hi long, at int, back binary, ahead binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -153,10 +160,11 @@ def _met(shared: np.ndarray) -> np.ndarray:
     return np.maximum(shared, np.append(shared[1:], -1))
 
 
-def matches(key: np.ndarray, d: np.ndarray, at: np.ndarray, back: np.ndarray, ahead: np.ndarray,
+def matches(key: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray, back: np.ndarray, ahead: np.ndarray,
             within: bool) -> tuple[np.ndarray, np.ndarray]:
     """For rows sorted by key and the words ahead: whether the window that reaches l words
-    back from a row stands elsewhere, and whether it does earlier (rows x windows)."""
+    back from a row stands elsewhere, and whether it does earlier than in the row's least
+    document (rows x windows)."""
     again, later = np.zeros((2, len(key), REACH + 1), dtype=bool)
     right = _shared(key, ahead)
     text = np.concatenate([key.astype(">i8").view(np.uint8).reshape(-1, 8), np.ascontiguousarray(back).view(np.uint8)], axis=1)
@@ -173,13 +181,13 @@ def matches(key: np.ndarray, d: np.ndarray, at: np.ndarray, back: np.ndarray, ah
         left_class[order] = np.cumsum(left < back_words)
         window = left_class[rows] * (len(key) + 1) + np.cumsum(right < ahead_words)[rows]
         start = (at[rows] - back_words) if within else np.zeros(len(rows), dtype=np.int64)
-        by = np.lexsort((start, d[rows], window))
-        new = np.concatenate([[True], window[by][1:] != window[by][:-1]])
-        group = np.cumsum(new) - 1
-        first, last = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(by)) - 1
-        place = np.stack([d[rows], start], axis=1)[by]
-        again[rows[by], back_words] = (place[first] != place[last]).any(axis=1)[group]
-        later[rows[by], back_words] = (place != place[first][group]).any(axis=1)
+        by = np.lexsort((start, lo[rows], window))
+        rows, start, window = rows[by], start[by], window[by]
+        first = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
+        size = np.diff(np.append(first, len(rows)))
+        elsewhere = (np.maximum.reduceat(hi[rows], first) != lo[rows][first]) | (np.maximum.reduceat(start, first) != start[first])
+        again[rows, back_words] = np.repeat(elsewhere, size)
+        later[rows, back_words] = (lo[rows] != np.repeat(lo[rows][first], size)) | (start != np.repeat(start[first], size))
     return again, later
 
 
@@ -191,7 +199,8 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def neighbours(rows: DataFrame, within: bool) -> DataFrame:
-    """(d, copy, start, stop, later): runs of first words of repeated windows."""
+    """(copy, start, stop, later): runs of first words of repeated windows, and of those
+    that stand earlier than in the text's least document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in _and_none(batches):
@@ -207,15 +216,14 @@ def neighbours(rows: DataFrame, within: bool) -> DataFrame:
             t = whole.combine_chunks()
             one = {c: t.column(c).chunk(0) for c in t.column_names}
             at = one["at"].to_numpy().astype(np.int64)
-            found = matches(one["key"].to_numpy(), one["d"].to_numpy(), at, _matrix(one["back"]), _matrix(one["ahead"]), within)
+            found = matches(*(one[c].to_numpy() for c in ("key", "lo", "hi")), at, _matrix(one["back"]), _matrix(one["ahead"]), within)
             for later, flags in enumerate(found):
                 row, first, end = _runs(flags)  # l words back: starts at - end + 1 ... at - first
-                taken = pa.array(row)
-                yield pa.RecordBatch.from_arrays([one["d"].take(taken), one["copy"].take(taken), pa.array((at[row] - end + 1).astype(np.int32)),
+                yield pa.RecordBatch.from_arrays([one["copy"].take(pa.array(row)), pa.array((at[row] - end + 1).astype(np.int32)),
                                                   pa.array((at[row] - first + 1).astype(np.int32)), pa.array(np.full(len(row), bool(later)))],
-                                                 ["d", "copy", "start", "stop", "later"])
+                                                 ["copy", "start", "stop", "later"])
         give_back()
-    return rows.repartition("key").sortWithinPartitions("key", "ahead").mapInArrow(run, "d long, copy long, start int, stop int, later boolean")
+    return rows.repartition("key").sortWithinPartitions("key", "ahead").mapInArrow(run, "copy long, start int, stop int, later boolean")
 
 
 def _and_none(items: Iterator) -> Iterator:
@@ -240,30 +248,31 @@ def hot_windows(texts: DataFrame, within: bool) -> DataFrame:
                     np.add.at(around, hi[ok] + 1, -1)
                 at = np.flatnonzero(np.cumsum(around)[:-1] > 0)
                 row = np.searchsorted(w.first, at, side="right") - 1
-                rows = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(grams[at].view(np.int64)), part.column("d").take(rows), part.column("copy").take(rows),
-                                                  pa.array((at - w.first[row]).astype(np.int32))], ["key", "d", "copy", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(grams[at].view(np.int64)), *(part.column(c).take(pa.array(row)) for c in ("copy", "lo", "hi")),
+                                                  pa.array((at - w.first[row]).astype(np.int32))], ["key", "copy", "lo", "hi", "start"])
         give_back()
 
-    rows = written(texts.mapInArrow(run, "key long, d long, copy long, start int"), "passage_windows")
-    place = F.struct("d", "start" if within else F.lit(0).alias("start"))
-    met = rows.groupBy("key").agg(F.min(place).alias("one"), F.max(place).alias("other")).filter("one <> other").select("key", "one")
-    rows = rows.join(met, "key").withColumn("place", place)
-    return rows.select("d", "copy", "start", (F.col("start") + 1).alias("stop"),
-                       F.explode(F.when(F.col("place") == F.col("one"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("later"))
+    rows = written(texts.mapInArrow(run, "key long, copy long, lo long, hi long, start int"), "passage_windows")
+    start = F.col("start") if within else F.lit(0)
+    met = (rows.groupBy("key").agg(F.min(F.struct("lo", start.alias("start"))).alias("one"), F.max("hi").alias("last"), F.max(start).alias("end"))
+           .filter("one.lo <> last OR one.start <> end").select("key", "one"))
+    first = (F.col("lo") == F.col("one")["lo"]) & (start == F.col("one")["start"])
+    return rows.join(met, "key").select("copy", "start", (F.col("start") + 1).alias("stop"), F.explode(
+        F.when(first, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("later"))
 
 
-def _found(docs: DataFrame, within: bool) -> DataFrame:
-    """Runs of repeated windows (``later`` false) and of those that stand earlier (true)."""
+def _found(docs: DataFrame, within: bool) -> tuple[DataFrame, DataFrame]:
+    """(copy, lo) of texts with seeds, and (copy, later, first_word, end_word): their
+    repeated passages, and those that stand earlier than in the least document."""
     found = written(seeds(written(suffixes(docs), "suffixes"), within), "seeds")
     runs = neighbours(contexts(_places(docs, found.filter("NOT hot"))), within)
     if not found.filter("hot").isEmpty():
         runs = runs.unionByName(hot_windows(_places(docs, found.filter("hot")), within))
-    return runs
+    return found.groupBy("copy").agg(F.min("lo").alias("lo")), written(_spans(runs, ["copy", "later"]), "passages")
 
 
 def _spans(runs: DataFrame, by: list[str]) -> DataFrame:
-    """Runs that meet, joined: columns ``by``, first_word and end_word."""
+    """Runs of places that meet, joined: columns ``by``, first_word and end_word."""
     order = Window.partitionBy(*by).orderBy("start")
     before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(F.coalesce(before < F.col("start"), F.lit(True)), 1).otherwise(0)
@@ -275,13 +284,11 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """(doc_id, first_word, end_word): each passage that other documents hold, or, with
     ``within``, that stands elsewhere in the same document."""
     docs = _input(docs, doc_id, text)
-    spans = _spans(_found(docs, within).filter("NOT later"), ["d"])
-    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
-        ids = docs.filter("doc_id IS NULL").select("d").distinct().withColumn("none", F.lit(True))
-        named = F.when(F.col("none").isNull(), F.col("d")).cast(docs.schema["doc_id"].dataType)
-    else:
-        ids, named = docs.select("d", F.col("doc_id").alias("own")).distinct(), F.col("own")
-    return spans.join(ids, "d", "left").select(named.alias("doc_id"), "first_word", "end_word")
+    spans = _found(docs, within)[1].filter("NOT later").withColumnRenamed("copy", "of")
+    held = docs.select("d", "copy", "doc_id").distinct()
+    places = held.join(spans.hint("merge"), held["copy"] == spans["of"]).select(
+        "d", "doc_id", F.col("first_word").alias("start"), (F.col("end_word") - LEAST + 1).alias("stop"))
+    return _spans(places, ["d", "doc_id"]).select("doc_id", "first_word", "end_word")
 
 
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -303,15 +310,17 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``docs`` without passages that an earlier document (``within``: or an earlier place)
     holds; documents of which no word is left are dropped. The first of equal passages stays;
     with ``within``, a passage that overlaps its own repeats keeps one period."""
-    later = _spans(_found(_input(docs, doc_id, text), within).filter("later"), ["d", "copy"])
-    gone = written(later.groupBy("d", "copy").agg(F.collect_list(F.array("first_word", "end_word")).alias("gone")), "later_passages")
-    gone = broadcast_if_small(gone, F.size("gone") + 1)
+    texts, spans = _found(_input(docs, doc_id, text), within)
+    pair = F.array("first_word", "end_word")
+    spans = spans.groupBy("copy").agg(F.collect_list(F.when(~F.col("later"), pair)).alias("again"), F.collect_list(F.when(F.col("later"), pair)).alias("later"))
+    gone = written(texts.join(spans, "copy"), "later_passages").select(F.col("copy").alias("of"), "lo", "again", "later")
     d, copy = _ids(docs, doc_id, text)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), d.alias("of"), copy.alias("by"))
-    rows = rows.join(gone, (rows["of"] == gone["d"]) & (rows["by"] == gone["copy"]), "left").select("doc", "gone")
-    changed = F.col("gone").isNotNull()
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), d.alias("d"), copy.alias("copy"))
+    rows = rows.join(gone.hint("merge"), rows["copy"] == gone["of"], "left")
+    # The least of equal documents keeps what stands nowhere earlier; the others keep no repeated passage.
+    rows = rows.select("doc", F.when(F.col("d") == F.col("lo"), F.col("later")).otherwise(F.col("again")).alias("gone"))
     left = F.pandas_udf(_cut, "string")(F.col("doc")[text], F.col("gone"))
-    rows = rows.withColumn("left", left).filter(~changed | F.col("left").rlike(NOT_SPACE))
+    rows = rows.withColumn("left", left).filter((F.coalesce(F.size("gone"), F.lit(0)) <= 0) | F.col("left").rlike(NOT_SPACE))
     return rows.select(*[(F.col("left") if c == text else F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
