@@ -6,7 +6,8 @@
 2. Each task writes archives (gzip members, one a record, a new file after
    ``ARCHIVE_BYTES``) to the shared folder and sorts each archive's captures by
    URL key and time: a run. Files of failed attempts are never named by the index.
-3. External merge: the runs are cut into ranges of the URL key, time and id, and
+3. External merge: the runs are cut into ranges of the URL key, time and id, of about
+   ``RANGE`` captures each, so that a task's share stays the same as tables grow, and
    in each range a loser tree merges the runs' parts. The ranges' counts turn
    places within them into places in the whole order, so a URL's captures form a
    globally ordered history. A frequent URL or host is cut like any other key.
@@ -14,7 +15,7 @@
    responses come from the bytes read, and must agree with the index.
 
 Archives are written through ``pyarrow.fs``, to the store that the shared folder's
-URI names.
+URI names; without a scheme, to Spark's default file system, where they are read.
 
 Defined results: null payloads are empty; null URLs have the empty URL key; null
 page ids never come first in a group of equal payloads (a group of null ids is
@@ -37,10 +38,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strata.llm.common import table, written
+from strata.llm.common import broadcast_if_small, table, written
 from strata.session import new_work_path
 
-MIN_REVISIT, ARCHIVE_BYTES = 100, 8 << 20
+MIN_REVISIT, ARCHIVE_BYTES, RANGE = 100, 8 << 20, 20_000
 URL = re.compile(r"[a-z][a-z0-9+.-]*://([^/?#]*)([^?#]*)(?:\?([^#]*))?")
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 RUN = ("page_id long, url_key string, time string, run string, at long, length long, digest string, payload_bytes long, "
@@ -118,9 +119,16 @@ def resolve(pages: DataFrame, page_id="page_id", url="url", html="html") -> Data
         F.when(revisit, F.col("first")).alias("refers_to"))
 
 
+def store_uri(spark, folder: str) -> str:
+    """``folder`` as ``pyarrow.fs`` names it, on the file system that Spark takes it to be on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return "file://" + uri.removeprefix("file:").removeprefix("//") if uri.startswith("file:") else uri
+
+
 def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Writes the archives; the captures of each, a sorted run."""
-    uri = folder if "://" in folder else "file://" + folder.removeprefix("file:")
+    uri = store_uri(pages.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pyarrow.fs.FileSystem.from_uri(uri)
@@ -212,12 +220,13 @@ def merge_runs(runs: DataFrame) -> DataFrame:
         out = whole.take(pa.array(merged)).append_column("place", pa.array(range(len(merged)), pa.int64()))
         yield from out.combine_chunks().to_batches()
 
-    ranged = runs.repartitionByRange(*order).sortWithinPartitions("run", "url_key", "time", "page_id")
+    ranges = max(1, -(-runs.count() // RANGE))
+    ranged = runs.repartitionByRange(ranges, *order).sortWithinPartitions("run", "url_key", "time", "page_id")
     merged = written(ranged.withColumn("range", F.spark_partition_id()).mapInArrow(merge, RUN + ", range int, place long"), "capture_index")
     counts = merged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))  # a row a range
     before = counts.select("range", F.coalesce(F.sum("n").over(
         W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return merged.join(F.broadcast(before), "range").withColumn("position", F.col("before") + F.col("place")).drop("range", "place", "before")
+    return merged.join(broadcast_if_small(written(before, "ranges")), "range").withColumn("position", F.col("before") + F.col("place")).drop("range", "place", "before")
 
 
 def read_archives(spark, folder: str) -> DataFrame:

@@ -454,7 +454,9 @@ def test_bpe_against_the_library(docs, rows, empty):
     assert bpe.digest_documents(empty, bpe.default_path(), ["doc_id"]).count() == 0
 
 
-def test_warc_round_trip(spark):
+@pytest.mark.parametrize("per_range", [20_000, 2])
+def test_warc_round_trip(spark, monkeypatch, per_range):
+    monkeypatch.setattr(warc, "RANGE", per_range)
     rows = [(5, "http://www.Example.com/a?b=2&a=1#x", "é" * 80), (3, "https://example.com:80/a/", "é" * 80), (4, None, None), (9, "", "short"),
             (8, "x", "short"), (None, "http://b.org", "é" * 80), (7, "http://a.b.org/", "z" * 300000), (7, "http://a.b.org/", "z" * 300000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit(1)).repartition(3)
@@ -469,6 +471,10 @@ def test_warc_round_trip(spark):
     assert warc.archive(pages.limit(0)).count() == 0
 
 
+def test_warc_store(spark):
+    assert warc.store_uri(spark, "/a/b") == warc.store_uri(spark, "file:/a/b") == warc.store_uri(spark, "file:///a/b") == "file:///a/b"
+
+
 def test_loser_tree():
     rnd = random.Random(3)
     for k in (1, 2, 3, 7):
