@@ -97,19 +97,22 @@ def suffixes(docs: DataFrame) -> DataFrame:
 
 
 def seeds(found: DataFrame, within: bool) -> DataFrame:
-    """(copy, lo, hi, hot, places): suffixes whose first words stand elsewhere, too."""
+    """(copy, lo, hi, places, hot): suffixes whose first words stand elsewhere, too; those of
+    large groups apart."""
     elsewhere = "lo <> hi" + (" OR first <> last" if within else "")
     keys = (found.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("at").alias("first"), F.max("at").alias("last"),
                                      F.count(F.lit(1)).alias("n"))
             .filter(elsewhere).select("key", (F.col("n") > GROUP).alias("hot")))
-    return found.join(keys.hint("merge"), "key").groupBy("copy", "hot").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_set("at").alias("places"))
+    return found.join(keys.hint("merge"), "key").groupBy("copy").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_set(F.when(~F.col("hot"), F.col("at"))).alias("places"),
+        F.collect_set(F.when(F.col("hot"), F.col("at"))).alias("hot"))
 
 
 def _places(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """One text for each copy, with the places of its seeds: (copy, lo, hi, text, places)."""
-    found = found.select(F.col("copy").alias("of"), "lo", "hi", "places").hint("merge")
+    """One text for each copy, with the places of its seeds: (copy, lo, hi, text, places, hot)."""
+    found = found.withColumnRenamed("copy", "of").hint("merge")
     texts = docs.join(found, (docs["copy"] == found["of"]) & (docs["d"] == found["lo"]))
-    return texts.select("copy", "lo", "hi", "text", "places").dropDuplicates(["copy", "lo"])
+    return texts.select("copy", "lo", "hi", "text", "places", "hot").dropDuplicates(["copy", "lo"])
 
 
 def _words_around(hashes: np.ndarray, at: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -120,8 +123,21 @@ def _words_around(hashes: np.ndarray, at: np.ndarray, begin: np.ndarray, end: np
     return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(around.tobytes())])
 
 
+def _around(first: np.ndarray, places: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """(first words, rows) of the windows that hold the K words of a place."""
+    row = np.repeat(np.arange(len(places)), np.diff(places.offsets.to_numpy()))
+    at = places.flatten().to_numpy() + first[row]
+    lo, hi = np.maximum(at - REACH, first[row]), np.minimum(at, first[row + 1] - LEAST)
+    edges = np.zeros(int(first[-1]) + 1, dtype=np.int64)
+    np.add.at(edges, lo[hi >= lo], 1)
+    np.add.at(edges, hi[hi >= lo] + 1, -1)
+    at = np.flatnonzero(np.cumsum(edges) > 0)
+    return at, np.searchsorted(first, at, side="right") - 1
+
+
 def contexts(texts: DataFrame) -> DataFrame:
-    """(key, copy, lo, hi, at, back, ahead): seeds with the words around them, nearest first."""
+    """(key, copy, lo, hi, at, back, ahead): seeds with the words around them, nearest first;
+    for seeds of large groups all windows around them, with their hash and without those words."""
     step = np.arange(REACH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,6 +155,11 @@ def contexts(texts: DataFrame) -> DataFrame:
                         pa.array(grams[at]), *(part.column(c).take(pa.array(rows)) for c in ("copy", "lo", "hi")),
                         pa.array((at - begin).astype(np.int32)), _words_around(short, at[:, None] - 1 - step, begin, end),
                         _words_around(short, at[:, None] + K + step, begin, end)], ["key", "copy", "lo", "hi", "at", "back", "ahead"])
+                at, row = _around(w.first, part.column("hot"))
+                keys = windows(w.hashes, LEAST).view(np.int64)[at]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(keys), *(part.column(c).take(pa.array(row)) for c in ("copy", "lo", "hi")), pa.array((at - w.first[row]).astype(np.int32)),
+                    pa.nulls(len(at), pa.binary()), pa.nulls(len(at), pa.binary())], ["key", "copy", "lo", "hi", "at", "back", "ahead"])
         give_back()
     return texts.mapInArrow(run, "key long, copy long, lo long, hi long, at int, back binary, ahead binary")
 
@@ -231,33 +252,14 @@ def _and_none(items: Iterator) -> Iterator:
     yield None
 
 
-def hot_windows(texts: DataFrame, within: bool) -> DataFrame:
-    """The rows of :func:`neighbours` for suffixes of large groups: all windows around
-    them, met by their hashes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                w = words(part.column("text"))
-                grams = windows(w.hashes, LEAST)
-                around = np.zeros(len(w.hashes) + 1, dtype=np.int32)
-                for begin, end, places in zip(w.first[:-1].tolist(), w.first[1:].tolist(), part.column("places")):
-                    at = begin + np.array(places.as_py(), dtype=np.int64)
-                    lo, hi = np.maximum(at - REACH, begin), np.minimum(at, end - LEAST)
-                    ok = hi >= lo
-                    np.add.at(around, lo[ok], 1)
-                    np.add.at(around, hi[ok] + 1, -1)
-                at = np.flatnonzero(np.cumsum(around)[:-1] > 0)
-                row = np.searchsorted(w.first, at, side="right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(grams[at].view(np.int64)), *(part.column(c).take(pa.array(row)) for c in ("copy", "lo", "hi")),
-                                                  pa.array((at - w.first[row]).astype(np.int32))], ["key", "copy", "lo", "hi", "start"])
-        give_back()
-
-    rows = written(texts.mapInArrow(run, "key long, copy long, lo long, hi long, start int"), "passage_windows")
+def hot_windows(rows: DataFrame, within: bool) -> DataFrame:
+    """The rows of :func:`neighbours` for windows of large groups, met by their hashes."""
+    rows = rows.select("key", "copy", "lo", "hi", F.col("at").alias("start"))
     start = F.col("start") if within else F.lit(0)
     met = (rows.groupBy("key").agg(F.min(F.struct("lo", start.alias("start"))).alias("one"), F.max("hi").alias("last"), F.max(start).alias("end"))
            .filter("one.lo <> last OR one.start <> end").select("key", "one"))
     first = (F.col("lo") == F.col("one")["lo"]) & (start == F.col("one")["start"])
-    return rows.join(met, "key").select("copy", "start", (F.col("start") + 1).alias("stop"), F.explode(
+    return rows.join(met.hint("merge"), "key").select("copy", "start", (F.col("start") + 1).alias("stop"), F.explode(
         F.when(first, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("later"))
 
 
@@ -265,10 +267,9 @@ def _found(docs: DataFrame, within: bool) -> tuple[DataFrame, DataFrame]:
     """(copy, lo) of texts with seeds, and (copy, later, first_word, end_word): their
     repeated passages, and those that stand earlier than in the least document."""
     found = written(seeds(written(suffixes(docs), "suffixes"), within), "seeds")
-    runs = neighbours(contexts(_places(docs, found.filter("NOT hot"))), within)
-    if not found.filter("hot").isEmpty():
-        runs = runs.unionByName(hot_windows(_places(docs, found.filter("hot")), within))
-    return found.groupBy("copy").agg(F.min("lo").alias("lo")), written(_spans(runs, ["copy", "later"]), "passages")
+    rows = written(contexts(_places(docs, found)), "contexts")
+    runs = neighbours(rows.filter("back IS NOT NULL"), within).unionByName(hot_windows(rows.filter("back IS NULL"), within))
+    return found.select("copy", "lo"), written(_spans(runs, ["copy", "later"]), "passages")
 
 
 def _spans(runs: DataFrame, by: list[str]) -> DataFrame:
