@@ -193,6 +193,8 @@ def matches(key: np.ndarray, lo: np.ndarray, hi: np.ndarray, at: np.ndarray, bac
     left = _shared(key[order], back[order])
     right_met, left_met = _met(right), np.empty_like(left)
     left_met[order] = _met(left)
+    several = lo != hi  # a text of several documents repeats all that it has
+    right_met[several], left_met[several] = (ahead[several] != 0).sum(axis=1), (back[several] != 0).sum(axis=1)
     left_class = np.empty(len(key), dtype=np.int64)
     for back_words in range(REACH + 1):
         ahead_words = REACH - back_words

@@ -413,6 +413,7 @@ def test_without_repeated_passages(spark, monkeypatch, within, group):
     a, b, c = sentence(55), sentence(90), sentence(49)
     texts = [a + sentence(5) + b, sentence(9) + a, b[:70] + sentence(3) + b[20:], c + sentence(1), c + sentence(1), b, sentence(70) * 3,
              sentence(7) + a[:52] + sentence(2) + a, ["again"] * 130, [], sentence(20) + b[5:60] + a[3:] + c, list(a)]
+    texts += [sentence(81)] * 3 + [sentence(50)] * 2
     texts = [" ".join(t).upper() if i == 1 else "\n ".join(t) for i, t in enumerate(texts)] + [None]
     pairs = [(i, t) for i, t in enumerate(texts)] + [(None, "x " + " ".join(a)), (5, texts[5])]
     order = sorted({(i is not None, -1 if i is None else i, t) for i, t in pairs if t})
