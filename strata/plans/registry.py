@@ -425,21 +425,21 @@ SELECT * FROM d ORDER BY total_revenue DESC, order_date, category LIMIT 10"""
 def q_json_round_trip(spark, sf_dir):
     """SNK-1 then SRC-1 (batch): numeric ids come back as strings, missing fields as NULL."""
     from strata.session import new_work_path
-    from strata.sinks.writers import write_json
+    from strata.sinks.writers import json_files, write_json
     from strata.sources.readers import bronze_orders
-    path = write_json(json_orders(B.raw_orders(spark, sf_dir)), new_work_path(spark, "orders_json"), num_files=4)
+    path = write_json(json_orders(B.raw_orders(spark, sf_dir)), new_work_path(spark, "orders_json"), num_files=json_files(B.row_count(spark, sf_dir, "lineitem"), 4))
     return public(bronze_orders(spark, QUERY_CFG, path, stream=False))
 
 
 def q_sample_bronze_inferred(spark, sf_dir):
     """DS-15 / SRC-5: JSON orders read as a stream with the schema inferred once."""
     from strata.session import new_work_path
-    from strata.sinks.writers import write_json
+    from strata.sinks.writers import json_files, write_json
     from strata.sources.readers import sample_bronze_orders
     from strata.streaming.runner import StreamLayout, run_to_completion
     from strata.sinks.writers import write_stream
     root = new_work_path(spark, "sample_stream")
-    src = write_json(json_orders(B.raw_orders(spark, sf_dir)), f"{root}/orders_raw", num_files=4)
+    src = write_json(json_orders(B.raw_orders(spark, sf_dir)), f"{root}/orders_raw", num_files=json_files(B.row_count(spark, sf_dir, "lineitem"), 4))
     layout = StreamLayout(root)
     stream = sample_bronze_orders(spark, src, stream=True, options=QUERY_CFG.streaming_options())
     run_to_completion(write_stream(stream, layout.table("bronze_orders"), layout.checkpoint("bronze_orders")))
@@ -449,18 +449,18 @@ def q_sample_bronze_inferred(spark, sf_dir):
 def q_json_profiles_round_trip(spark, sf_dir):
     """SNK-1 then SRC-3: profiles through JSON (customer_id read as INT)."""
     from strata.session import new_work_path
-    from strata.sinks.writers import write_json
+    from strata.sinks.writers import json_files, write_json
     from strata.sources.readers import bronze_customer_profiles
-    path = write_json(B.raw_profiles(spark, sf_dir), new_work_path(spark, "profiles_json"), num_files=2)
+    path = write_json(B.raw_profiles(spark, sf_dir), new_work_path(spark, "profiles_json"), num_files=json_files(B.row_count(spark, sf_dir, "customer"), 2))
     return public(bronze_customer_profiles(spark, QUERY_CFG, path))
 
 
 def q_json_activity_round_trip(spark, sf_dir):
     """SNK-1 then SRC-2 (batch form of the activity source)."""
     from strata.session import new_work_path
-    from strata.sinks.writers import write_json
+    from strata.sinks.writers import json_files, write_json
     from strata.sources.readers import bronze_customer_activity
-    path = write_json(B.raw_activity(spark, sf_dir), new_work_path(spark, "activity_json"), num_files=3)
+    path = write_json(B.raw_activity(spark, sf_dir), new_work_path(spark, "activity_json"), num_files=json_files(B.row_count(spark, sf_dir, "events"), 3))
     return public(bronze_customer_activity(spark, QUERY_CFG, path, stream=False))
 
 
@@ -471,7 +471,7 @@ def q_gold_daily_sales_incremental(spark, sf_dir):
     1998 on; run 3: every other duplicate (rejected by the dedup state)."""
     from strata.plans.run import refresh_daily_sales
     from strata.session import new_work_path
-    from strata.sinks.writers import write_json
+    from strata.sinks.writers import json_files, write_json
     from strata.streaming.runner import StreamLayout, run_orders_increment
     cfg = QUERY_CFG.with_overrides(max_files_per_trigger=4)
     root = new_work_path(spark, "orders_incremental")
@@ -498,7 +498,7 @@ def q_stream_silver_orders(spark, sf_dir):
     result must equal the batch silver table.
     """
     from strata.session import new_work_path
-    from strata.sinks.writers import write_json
+    from strata.sinks.writers import json_files, write_json
     from strata.streaming.runner import StreamLayout, run_orders_increment
     cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2)
     root = new_work_path(spark, "orders_stream")
@@ -514,7 +514,7 @@ def q_stream_silver_orders(spark, sf_dir):
 def q_stream_silver_activity(spark, sf_dir):
     """Two triggered runs of bronze -> silver activity; run 2 replays the whole input again."""
     from strata.session import new_work_path
-    from strata.sinks.writers import write_json
+    from strata.sinks.writers import json_files, write_json
     from strata.streaming.runner import StreamLayout, run_activity_increment
     cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2)
     root = new_work_path(spark, "activity_stream")

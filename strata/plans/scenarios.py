@@ -18,7 +18,7 @@ from strata.plans.oracle_sql import ORACLE_RAW_ACTIVITY, ORACLE_RAW_ORDERS, ORAC
 from strata.plans.query_inputs import ORDERS_AS_OF, QUERY_CFG, json_orders, orders_raw_and_first, public, rest_after
 from strata.session import new_work_path
 from strata.sinks import snapshots
-from strata.sinks.writers import write_json
+from strata.sinks.writers import json_files, write_json
 from strata.sources import bindings as B
 from strata.sources.evolving import RESCUED, read_evolving, run_evolving
 from strata.sources.readers import bronze_customer_activity
@@ -126,9 +126,10 @@ def q_sample_bronze_evolving(spark, sf_dir):
     raw = json_orders(B.raw_orders(spark, sf_dir))
     even = F.col("order_id") % 2 == 0
     where = (f"{root}/orders_raw/*", f"{root}/bronze_orders", f"{root}/checkpoint")
-    write_json(raw.filter(even).drop("status", "category"), f"{root}/orders_raw/run1", num_files=2)
+    files = json_files(B.row_count(spark, sf_dir, "lineitem"), 2)
+    write_json(raw.filter(even).drop("status", "category"), f"{root}/orders_raw/run1", num_files=files)
     run_evolving(spark, *where)
-    write_json(raw.filter(~even), f"{root}/orders_raw/run2", num_files=2)
+    write_json(raw.filter(~even), f"{root}/orders_raw/run2", num_files=files)
     run_evolving(spark, *where)
     return read_evolving(spark, *where[1:]).drop(RESCUED)
 
@@ -146,8 +147,9 @@ def q_stream_late_activity(spark, sf_dir):
     raw = B.raw_activity(spark, sf_dir)
     third = F.col("session_id").cast("long") % 3 == 0
     tables = f"{root}/activity", f"{root}/late_activity"
+    files = json_files(B.row_count(spark, sf_dir, "events"), 2)
     for i, rows in enumerate((raw.filter(~third), raw.filter(third)), 1):
-        write_json(rows, f"{root}/activity_raw/run{i}", num_files=2)
+        write_json(rows, f"{root}/activity_raw/run{i}", num_files=files)
         stream = bronze_customer_activity(spark, QUERY_CFG, f"{root}/activity_raw/*").withColumn("event_time", F.try_to_timestamp("timestamp"))
         run_with_late_rows(spark, stream, "event_time", "10 days", *tables, f"{root}/checkpoint")
     schema = stream.schema

@@ -161,6 +161,16 @@ def table_info(spark, path: str) -> dict:
     return {"comment": r["comment"], "properties": _json.loads(r["properties"])} if r else {}
 
 
+#: Rows of a JSON file; orders of that many take about 50 MB.
+JSON_ROWS = 250_000
+
+
+def json_files(rows: int, least: int = 1) -> int:
+    """Files for about that many rows: ``least`` of small data, more as it grows, so
+    that what a task writes stays bounded."""
+    return max(least, -(-rows // JSON_ROWS))
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite", num_files: int | None = None) -> str:
     """SNK-1: JSON lines (NULL fields are left out of each line)."""
     if num_files:

@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def row_count(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Rows of a table (from the file footers), to size what is written from it."""
+    return table(spark, sf_dir, name).count()
+
+
 def _null_when(cond, value):
     return F.when(cond, F.lit(None)).otherwise(value)
 
