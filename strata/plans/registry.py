@@ -23,7 +23,7 @@ from strata.plans import scenarios as SC
 from strata.plans.oracle_sql import (BEHAVIOR_CTE, ORACLE_RAW_ACTIVITY, ORACLE_RAW_ORDERS, ORACLE_RAW_PROFILES,
                                      engagement_cte, gen_activity_sql, gen_orders_sql, gen_profiles_sql,
                                      silver_activity_cte, silver_orders_cte, silver_profile_cte, sround)
-from strata.plans.query_inputs import FEATURES_AS_OF, ORDERS_AS_OF, QUERY_CFG, json_orders, orders_raw_and_first, public, rest_after
+from strata.plans.query_inputs import FEATURES_AS_OF, ORDERS_AS_OF, QUERY_CFG, json_orders, orders_first_and_rest, public
 from strata.sinks import snapshots
 from strata.sources import bindings as B
 
@@ -473,15 +473,14 @@ def q_gold_daily_sales_incremental(spark, sf_dir):
     from strata.session import new_work_path
     from strata.sinks.writers import json_files, write_json
     from strata.streaming.runner import StreamLayout, run_orders_increment
-    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=4)
+    files = json_files(B.row_count(spark, sf_dir, "lineitem"), 2)
+    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2 * files)
     root = new_work_path(spark, "orders_incremental")
     layout = StreamLayout(root)
-    raw, first = orders_raw_and_first(spark, sf_dir)
+    first, rest = orders_first_and_rest(spark, sf_dir)
     early = F.coalesce(F.col("order_date") < F.lit("1998-01-01"), F.lit(False))
-    parts = [lambda: first.filter(early), lambda: first.filter(~early),
-             lambda: rest_after(spark, raw, [f"{root}/orders_raw/run1", f"{root}/orders_raw/run2"])]
-    for i, part in enumerate(parts, start=1):
-        write_json(part(), f"{root}/orders_raw/run{i}", num_files=2)
+    for i, part in enumerate((first.filter(early), first.filter(~early), rest), start=1):
+        write_json(part, f"{root}/orders_raw/run{i}", num_files=files)
         run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
         refresh_daily_sales(spark, cfg, layout)
     gold = spark.read.parquet(layout.table("gold_daily_sales"))
@@ -500,13 +499,14 @@ def q_stream_silver_orders(spark, sf_dir):
     from strata.session import new_work_path
     from strata.sinks.writers import json_files, write_json
     from strata.streaming.runner import StreamLayout, run_orders_increment
-    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2)
+    files = json_files(B.row_count(spark, sf_dir, "lineitem"), 6)
+    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=-(-files // 3))
     root = new_work_path(spark, "orders_stream")
     layout = StreamLayout(root)
-    raw, first = orders_raw_and_first(spark, sf_dir)
-    write_json(first, f"{root}/orders_raw/run1", num_files=6)
+    first, rest = orders_first_and_rest(spark, sf_dir)
+    write_json(first, f"{root}/orders_raw/run1", num_files=files)
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
-    write_json(rest_after(spark, raw, f"{root}/orders_raw/run1"), f"{root}/orders_raw/run2", num_files=2)
+    write_json(rest, f"{root}/orders_raw/run2", num_files=files // 3)
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
     return public(snapshots.read(spark, layout.table("silver_orders")).select(*OR.SILVER_ORDERS_COLUMNS))
 
@@ -516,11 +516,12 @@ def q_stream_silver_activity(spark, sf_dir):
     from strata.session import new_work_path
     from strata.sinks.writers import json_files, write_json
     from strata.streaming.runner import StreamLayout, run_activity_increment
-    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2)
+    files = json_files(B.row_count(spark, sf_dir, "events"), 4)
+    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=-(-files // 2))
     root = new_work_path(spark, "activity_stream")
     layout = StreamLayout(root)
     raw = B.raw_activity(spark, sf_dir)
-    write_json(raw, f"{root}/activity_raw/run1", num_files=4)
+    write_json(raw, f"{root}/activity_raw/run1", num_files=files)
     run_activity_increment(spark, cfg, f"{root}/activity_raw/*", layout)
     # Run 2 replays every session (the run-1 lines copied verbatim): the dedup
     # state must reject all of them.

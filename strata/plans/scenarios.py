@@ -15,7 +15,7 @@ from strata.plans import gold_state as GS
 from strata.plans import orders as OR
 from strata.plans import sketches as SK
 from strata.plans.oracle_sql import ORACLE_RAW_ACTIVITY, ORACLE_RAW_ORDERS, ORACLE_RAW_PROFILES, silver_orders_cte
-from strata.plans.query_inputs import ORDERS_AS_OF, QUERY_CFG, json_orders, orders_raw_and_first, public, rest_after
+from strata.plans.query_inputs import ORDERS_AS_OF, QUERY_CFG, json_orders, orders_first_and_rest, public
 from strata.session import new_work_path
 from strata.sinks import snapshots
 from strata.sinks.writers import json_files, write_json
@@ -66,15 +66,16 @@ def q_gold_product_performance_incremental(spark, sf_dir):
 
 def _two_runs(spark, sf_dir, label, between=None, after=None):
     """Run 1: the row that is kept of each key; run 2: its other rows. Returns the layout."""
-    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2)
+    files = json_files(B.row_count(spark, sf_dir, "lineitem"), 4)
+    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=-(-files // 2))
     root = new_work_path(spark, label)
     layout = StreamLayout(root)
-    raw, first = orders_raw_and_first(spark, sf_dir)
-    write_json(first, f"{root}/orders_raw/run1", num_files=4)
+    first, rest = orders_first_and_rest(spark, sf_dir)
+    write_json(first, f"{root}/orders_raw/run1", num_files=files)
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
     if between:
         between(cfg, layout)
-    write_json(rest_after(spark, raw, f"{root}/orders_raw/run1"), f"{root}/orders_raw/run2", num_files=2)
+    write_json(rest, f"{root}/orders_raw/run2", num_files=files // 2)
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
     if after:
         after(cfg, layout)
@@ -125,8 +126,8 @@ def q_sample_bronze_evolving(spark, sf_dir):
     root = new_work_path(spark, "orders_evolving")
     raw = json_orders(B.raw_orders(spark, sf_dir))
     even = F.col("order_id") % 2 == 0
-    where = (f"{root}/orders_raw/*", f"{root}/bronze_orders", f"{root}/checkpoint")
     files = json_files(B.row_count(spark, sf_dir, "lineitem"), 2)
+    where = (f"{root}/orders_raw/*", f"{root}/bronze_orders", f"{root}/checkpoint")
     write_json(raw.filter(even).drop("status", "category"), f"{root}/orders_raw/run1", num_files=files)
     run_evolving(spark, *where)
     write_json(raw.filter(~even), f"{root}/orders_raw/run2", num_files=files)
@@ -146,8 +147,8 @@ def q_stream_late_activity(spark, sf_dir):
     root = new_work_path(spark, "late_activity")
     raw = B.raw_activity(spark, sf_dir)
     third = F.col("session_id").cast("long") % 3 == 0
-    tables = f"{root}/activity", f"{root}/late_activity"
     files = json_files(B.row_count(spark, sf_dir, "events"), 2)
+    tables = f"{root}/activity", f"{root}/late_activity"
     for i, rows in enumerate((raw.filter(~third), raw.filter(third)), 1):
         write_json(rows, f"{root}/activity_raw/run{i}", num_files=files)
         stream = bronze_customer_activity(spark, QUERY_CFG, f"{root}/activity_raw/*").withColumn("event_time", F.try_to_timestamp("timestamp"))

@@ -20,7 +20,7 @@ from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,6 +86,14 @@ def _publish(spark: SparkSession, path: str, version: int, pieces: list[Piece])
     return version
 
 
+def _counted(df: DataFrame, date_col: str | None) -> tuple[DataFrame, Observation]:
+    """``df`` with an observation of the rows and months that a write of it sees, so
+    that the written folder needn't be listed and read again."""
+    seen = Observation()
+    months = [] if date_col is None else [F.collect_set(F.date_format(date_col, "yyyy-MM")).alias("months")]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *months), seen
+
+
 def _write(df: DataFrame, path: str, name: str, partition_cols=(), max_records: int | None = None) -> str:
     folder = f"{path}/batch={name}"
     w = df.write.mode("overwrite").partitionBy(*partition_cols) if partition_cols else df.write.mode("overwrite")
@@ -116,8 +124,9 @@ def append_batch(df: DataFrame, path: str, batch_id: int, writer: str = "0", par
         df.write.format("noop").mode("overwrite").save()
         return version
     name = f"{writer}-{batch_id:08d}"
-    folder = _write(df, path, name, partition_cols, max_records)
-    rows, months = _contents(spark, folder, df.schema, date_col)
+    df, seen = _counted(df, date_col)
+    _write(df, path, name, partition_cols, max_records)
+    rows, months = seen.get["rows"], tuple(sorted(seen.get.get("months") or ()))
     pieces = [p for p in pieces if p is not mark and p != mark] + [replace(mark, last_id=batch_id)]
     if rows:
         pieces.append(Piece(name, BATCH, version + 1, rows=rows, months=months))
