@@ -16,7 +16,6 @@ update that failed anywhere is repeated whole and counts nothing twice.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 from strata.config import PipelineConfig
 from strata.plans import orders as OR
 from strata.sinks import snapshots
+from strata.sinks.writers import clustered
 
 BUCKETS = 64
 
@@ -45,19 +45,35 @@ _SUMS = ("lines", "quantity", "revenue", "revenue_lines", "quantity_lines", "pri
 _MINIMA, _MAXIMA = ("first_order_date", "min_price"), ("latest_order_date", "max_price")
 
 
-def _partial(rows: DataFrame, state: State) -> DataFrame:
-    return rows.groupBy(*state.keys).agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("quantity"), F.sum("total_item_price").alias("revenue"),
-        F.count("total_item_price").alias("revenue_lines"), F.count("quantity").alias("quantity_lines"), F.sum("price").alias("price_sum"),
-        F.count("price").alias("price_lines"), F.min("price").alias("min_price"), F.max("price").alias("max_price"),
-        F.min("order_date").alias("first_order_date"), F.max("order_date").alias("latest_order_date"))
+def _bucket(state: State) -> Column:
+    return F.pmod(F.xxhash64(*state.keys), F.lit(BUCKETS)).cast("int")
 
 
 def _values(rows: DataFrame, state: State) -> DataFrame:
-    """(keys, kind, value, bucket): the different values of each group."""
+    """(keys, kind, value, bucket): the values of each group, as often as they occur."""
     pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value")) for kind, c in state.distinct.items()])
-    each = rows.select(*state.keys, F.inline(pairs)).filter("value IS NOT NULL").distinct()
-    return each.withColumn("bucket", F.pmod(F.xxhash64(*state.keys), F.lit(BUCKETS)).cast("int"))
+    return rows.select(*state.keys, F.inline(pairs)).filter("value IS NOT NULL").withColumn("bucket", _bucket(state))
+
+
+def _unseen(met: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """The different values met that aren't among the seen ones: one aggregate over both,
+    which needs neither a sort nor a null-safe join."""
+    columns = met.columns
+    if seen is None:
+        return met.distinct()
+    both = met.withColumn("old", F.lit(0)).unionByName(seen.select(*columns).withColumn("old", F.lit(1)))
+    return both.groupBy(*columns).agg(F.max("old").alias("old")).filter("old = 0").drop("old")
+
+
+def _partial(rows: DataFrame, first: DataFrame, state: State) -> DataFrame:
+    """Partial sums of the rows with the counts of their first-seen values, in one aggregate."""
+    values = rows.select(*state.keys, F.lit(True).alias("line"), "quantity", "total_item_price", "price", "order_date")
+    return values.unionByName(first.select(*state.keys, "kind"), allowMissingColumns=True).groupBy(*state.keys).agg(
+        F.count("line").alias("lines"), F.sum("quantity").alias("quantity"), F.sum("total_item_price").alias("revenue"),
+        F.count("total_item_price").alias("revenue_lines"), F.count("quantity").alias("quantity_lines"), F.sum("price").alias("price_sum"),
+        F.count("price").alias("price_lines"), *[F.count_if(F.col("kind") == kind).alias(kind) for kind in state.distinct],
+        F.min("order_date").alias("first_order_date"), F.min("price").alias("min_price"),
+        F.max("order_date").alias("latest_order_date"), F.max("price").alias("max_price"))
 
 
 def _merge(partial: DataFrame, state: State) -> DataFrame:
@@ -81,15 +97,16 @@ def update_state(spark: SparkSession, silver_path: str, root: str, state: State)
     if not new:
         return 0
     rows = snapshots.read_pieces(spark, silver_path, new)
-    met = _values(rows, state)
+    seen = None
     if done:
-        touched = [r["bucket"] for r in met.select("bucket").distinct().collect()]  # BUCKETS at most
+        touched = [r["bucket"] for r in rows.select(_bucket(state).alias("bucket")).distinct().collect()]  # BUCKETS at most
         seen = snapshots.read(spark, values).filter(F.col("bucket").isin(touched))
-        met = met.join(seen, reduce(Column.__and__, [met[c].eqNullSafe(seen[c]) for c in (*state.keys, "kind", "value")]), "left_anti")
-    first = met.groupBy(*state.keys).agg(*[F.count_if(F.col("kind") == kind).alias(kind) for kind in state.distinct])
-    both = _partial(rows, state).unionByName(first, allowMissingColumns=True)
-    snapshots.append_batch(_merge(both, state), partials, version)
-    snapshots.append_batch(met, values, version, partition_cols=["bucket"])
+    # Found once and kept by bucket (else each task would write a file to each bucket); counted and added from there.
+    found = f"{values}_found/version={version}"
+    clustered(_unseen(_values(rows, state), seen), (), ["bucket"]).write.mode("overwrite").parquet(found)
+    first = spark.read.parquet(found)
+    snapshots.append_batch(_partial(rows, first, state), partials, version)
+    snapshots.append_batch(first, values, version, partition_cols=["bucket"])
     return len(new)
 
 

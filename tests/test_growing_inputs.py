@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from strata.plans import gold_state as GS
 from strata.plans import orders as OR
 from strata.plans import query_inputs as QI
 from strata.plans import registry, scenarios
@@ -33,3 +34,46 @@ def test_evolving_sources_are_written_by_more_tasks_as_rows_grow(spark, monkeypa
     monkeypatch.setattr(scenarios, "new_work_path", lambda spark, label: str(tmp_path))
     assert scenarios.q_sample_bronze_evolving(spark, SF).count() == B.row_count(spark, SF, "lineitem")
     assert len(glob.glob(f"{tmp_path}/orders_raw/run1/part-*")) > 4
+
+
+def test_first_and_other_rows_of_a_key(spark, monkeypatch):
+    """All rows, once each: the smallest row of a key first, null products and equal rows included."""
+    raw = spark.createDataFrame([("1", "c", "2024-01-01", p, "n", "k", q, 1.0, "s") for p, q in
+                                 [("1", 1), ("2", 3), ("2", 2), ("2", 2), (None, 5), (None, 4), ("3", 7)]],
+                                "order_id string, customer_id string, order_date string, product_id string, product_name string, "
+                                "category string, quantity int, price double, status string")
+    raw = raw.withColumn("customer_id", F.lit("9"))
+    monkeypatch.setattr(B, "raw_orders", lambda spark, sf_dir: raw)
+    first, rest = QI.orders_first_and_rest(spark, SF)
+
+    def of(df):
+        return sorted((r["product_id"] or 0, r["quantity"]) for r in df.collect())
+    assert of(first) == [(0, 4), (1, 1), (2, 2), (3, 7)] and of(rest) == [(0, 5), (2, 2), (2, 3)]
+    ranked = QI.json_orders(raw).withColumn("r", F.row_number().over(Window.partitionBy(*OR.ORDER_KEYS).orderBy("quantity")))
+    assert of(first) == of(ranked.filter("r = 1")) and of(rest) == of(ranked.filter("r > 1"))
+
+
+def test_a_written_batch_is_not_read_again(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(S, "_contents", lambda *a: pytest.fail("the written folder was read"))
+    rows = spark.range(50).select("id", F.expr("date_add(DATE'2024-01-01', CAST(id AS INT))").alias("d"))
+    S.append_batch(rows, str(tmp_path), 0, partition_cols=["d"], date_col="d")
+    assert [(p.rows, p.months) for p in S.added_since(spark, str(tmp_path), 0)] == [(50, ("2024-01", "2024-02"))]
+
+
+def test_seen_values_take_few_files(spark, tmp_path):
+    """An update's values: a file or two a bucket, whatever the number of tasks."""
+    silver = registry._silver_orders(spark, SF)
+    path, root = str(tmp_path / "silver"), str(tmp_path)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as many tasks as on a large table
+    try:
+        for i in range(2):
+            S.append_batch(silver.filter(F.pmod(F.xxhash64("order_id"), F.lit(2)) == i), path, i, date_col="order_date")
+            GS.update_state(spark, path, root, GS.CUSTOMER)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = glob.glob(f"{root}/_state_customer_values/batch=*/bucket=*/*.parquet")
+    assert len(files) <= 2 * 2 * GS.BUCKETS
+    got = GS.merged(spark, root, GS.CUSTOMER).agg(F.sum("total_orders"), F.sum("lines")).first()
+    want = OR.gold_customer_insights(silver, QI.QUERY_CFG, "2024-06-01").agg(F.sum("total_orders"), F.sum("total_line_items")).first()
+    assert tuple(got) == tuple(want)
