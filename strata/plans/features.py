@@ -17,6 +17,7 @@ from strata.config import PipelineConfig
 from strata.functions import dates as D
 from strata.functions import segments as S
 from strata.operators.dedup import ORDERED, dedup
+from strata.operators.distinct import agg_with_distinct
 from strata.operators.expectations import (SILVER_ACTIVITY_EXPECTATIONS, SILVER_PROFILE_EXPECTATIONS,
                                            apply_expectations)
 from strata.operators.pivot import conditional_count_columns, pivot_counts
@@ -75,14 +76,16 @@ def _engagement_aggs():
         F.stddev_samp("engagement_score").alias("engagement_score_stddev"),
         F.max("activity_date").alias("last_activity_date"),
         F.min("activity_date").alias("first_activity_date"),
-        F.count_distinct("activity_date").alias("active_days"),
-        F.count_distinct("session_id").alias("total_sessions"),
         F.approx_count_distinct(F.when(F.col("is_weekend"), F.col("activity_date")))
          .alias("weekend_activity_days"),
         F.avg("activity_hour").alias("avg_activity_hour"),
     ]
 
 
+_ENGAGEMENT_DISTINCT = {"active_days": "activity_date", "total_sessions": "session_id"}
+_BEHAVIOR_DISTINCT = {"unique_locations": "location"}
+
+
 def _engagement_derived(df: DataFrame, as_of) -> DataFrame:
     return (df
             .withColumn("avg_page_views_per_session", S.per_unit("total_page_views", "total_sessions"))
@@ -117,17 +120,16 @@ def _behavior_derived(df: DataFrame) -> DataFrame:
 
 def customer_activity_aggregate(silver: DataFrame, as_of=None, keep_locations: bool = False) -> DataFrame:
     """All per-customer activity figures in one grouped aggregate."""
-    aggs = _engagement_aggs() + conditional_count_columns("device", DEVICES, "_sessions") + [
-        F.count_distinct("location").alias("unique_locations")]
+    aggs = _engagement_aggs() + conditional_count_columns("device", DEVICES, "_sessions")
     if keep_locations:
         aggs.append(F.collect_set("location").alias("locations_visited"))
-    df = silver.groupBy("customer_id").agg(*aggs)
+    df = agg_with_distinct(silver, ["customer_id"], aggs, _ENGAGEMENT_DISTINCT | _BEHAVIOR_DISTINCT)
     return _behavior_derived(_engagement_derived(df, as_of))
 
 
 def gold_features_customer_engagement(silver: DataFrame, as_of=None) -> DataFrame:
     """DS-12."""
-    df = silver.groupBy("customer_id").agg(*_engagement_aggs())
+    df = agg_with_distinct(silver, ["customer_id"], _engagement_aggs(), _ENGAGEMENT_DISTINCT)
     return _engagement_derived(df, as_of).select(*ENGAGEMENT_COLUMNS)
 
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from strata.operators.distinct import agg_with_distinct
 from strata.plans import gold_state as GS
 from strata.plans import orders as OR
 from strata.plans import query_inputs as QI
@@ -77,3 +78,13 @@ def test_seen_values_take_few_files(spark, tmp_path):
     got = GS.merged(spark, root, GS.CUSTOMER).agg(F.sum("total_orders"), F.sum("lines")).first()
     want = OR.gold_customer_insights(silver, QI.QUERY_CFG, "2024-06-01").agg(F.sum("total_orders"), F.sum("total_line_items")).first()
     assert tuple(got) == tuple(want)
+
+
+def test_distinct_counts_without_widened_rows(spark):
+    """No Expand, which repeated each row with the buffers of all aggregates; same figures, NULLs included."""
+    rows = spark.range(300).selectExpr("IF(id % 7 = 0, NULL, id % 5) AS g", "id % 11 AS a", "IF(id % 3 = 0, NULL, CAST(id % 4 AS STRING)) AS b", "id AS x")
+    got = agg_with_distinct(rows, ["g"], [F.sum("x").alias("s"), F.max("a").alias("m")], {"da": "a", "db": "b"})
+    want = rows.groupBy("g").agg(F.sum("x").alias("s"), F.max("a").alias("m"), F.count_distinct("a").alias("da"), F.count_distinct("b").alias("db"))
+    assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = registry.QUERIES["ml_feature_table"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
