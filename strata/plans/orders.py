@@ -17,6 +17,7 @@ from strata.config import PipelineConfig
 from strata.functions import dates as D
 from strata.functions import segments as S
 from strata.operators.dedup import ORDERED, dedup
+from strata.operators.distinct import agg_with_distinct
 from strata.operators.expectations import (SILVER_CUSTOMERS_EXPECTATIONS, apply_expectations,
                                            silver_orders_expectations)
 
@@ -158,17 +159,20 @@ def customer_insight_columns(by_customer: DataFrame, cfg: PipelineConfig, as_of=
 
 def gold_product_performance(silver: DataFrame, cfg: PipelineConfig, ordered: bool = True) -> DataFrame:
     """DS-6: per-product sales, popularity and price stability."""
-    by_product = (silver.groupBy("product_id", "product_name", "category")
-                  .agg(F.sum("quantity").alias("total_units_sold"),
-                       F.sum("total_item_price").alias("total_revenue"),
-                       F.count_distinct("customer_id").alias("unique_customers"),
-                       F.count_distinct("order_id").alias("unique_orders"),
-                       F.avg("price").alias("avg_price"),
-                       F.min("price").alias("min_price"),
-                       F.max("price").alias("max_price"),
-                       F.avg("quantity").alias("avg_quantity_per_order"),
-                       F.max("order_date").alias("latest_order_date"),
-                       F.min("order_date").alias("first_order_date")))
+    keys = ["product_id", "product_name", "category"]
+    by_product = agg_with_distinct(
+        silver.select(*keys, "customer_id", "order_id", "quantity", "total_item_price", "price", "order_date"), keys,
+        [F.sum("quantity").alias("total_units_sold"),
+         F.sum("total_item_price").alias("total_revenue"),
+         F.avg("price").alias("avg_price"),
+         F.min("price").alias("min_price"),
+         F.max("price").alias("max_price"),
+         F.avg("quantity").alias("avg_quantity_per_order"),
+         F.max("order_date").alias("latest_order_date"),
+         F.min("order_date").alias("first_order_date")],
+        {"unique_customers": "customer_id", "unique_orders": "order_id"})
+    by_product = by_product.select(*keys, "total_units_sold", "total_revenue", "unique_customers", "unique_orders", "avg_price", "min_price",
+                                   "max_price", "avg_quantity_per_order", "latest_order_date", "first_order_date")
     df = product_performance_columns(by_product)
     return df.orderBy(F.col("total_revenue").desc()) if ordered else df
 

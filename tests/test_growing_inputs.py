@@ -88,3 +88,8 @@ def test_distinct_counts_without_widened_rows(spark):
     assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     plan = registry.QUERIES["ml_feature_table"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan
+
+
+def test_product_figures_without_widened_rows(spark):
+    plan = registry.QUERIES["gold_product_performance"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
