@@ -4,9 +4,10 @@ An update reads the silver batches added since the last one and appends, per gro
 customer; a product with its name and category), partial sums, minima and maxima, and
 counts of values not seen before (a customer's orders, products and categories; a
 product's customers and orders). The values seen are a table of their own, in buckets
-of the group's hash, of which an update reads those it touches. A gold table is the
-merge of its partial rows: as many as groups times updates that met them, until
-``compact_state`` merges them.
+of the group's hash, of which an update reads those it touches. An update goes through
+the buckets in passes of about ``PASS_ROWS`` values, met and seen, so that what is
+shuffled at a time doesn't grow with history. A gold table is the merge of its partial
+rows: as many as groups times updates that met them, until ``compact_state`` merges them.
 
 Both tables are snapshot tables (``sinks/snapshots.py``) with the silver version as
 batch id. The partial rows are published before the values they counted as new, so an
@@ -22,10 +23,13 @@ from pyspark.sql import functions as F
 
 from strata.config import PipelineConfig
 from strata.plans import orders as OR
+from strata.session import shuffles_freed
 from strata.sinks import snapshots
 from strata.sinks.writers import clustered
 
 BUCKETS = 64
+#: Values, met and seen, of a pass: about 2 GB shuffled.
+PASS_ROWS = 32_000_000
 
 
 @dataclass(frozen=True)
@@ -89,6 +93,21 @@ def _applied(spark: SparkSession, path: str) -> int:
     return max((p.last_id for p in snapshots.snapshot(spark, path)[1] if p.kind == snapshots.MARK), default=0)
 
 
+def _passes(values: int) -> list[range]:
+    """The buckets in ranges, as many as that number of values takes."""
+    n = min(BUCKETS, max(1, -(-values // PASS_ROWS)))
+    ends = [BUCKETS * i // n for i in range(n + 1)]
+    return [range(a, b) for a, b in zip(ends, ends[1:])]
+
+
+def _in(buckets: range, bucket: Column) -> Column:
+    return bucket.between(buckets[0], buckets[-1]) if len(buckets) < BUCKETS else F.lit(True)
+
+
+def _rows(spark: SparkSession, path: str) -> int:
+    return sum(p.rows for p in snapshots.snapshot(spark, path)[1])
+
+
 def update_state(spark: SparkSession, silver_path: str, root: str, state: State) -> int:
     """Fold the silver batches that aren't in the state yet; returns how many there were."""
     partials, values = _paths(root, state)
@@ -97,24 +116,31 @@ def update_state(spark: SparkSession, silver_path: str, root: str, state: State)
     if not new:
         return 0
     rows = snapshots.read_pieces(spark, silver_path, new)
-    seen = None
+    seen, known = None, 0
     if done:
         touched = [r["bucket"] for r in rows.select(_bucket(state).alias("bucket")).distinct().collect()]  # BUCKETS at most
-        seen = snapshots.read(spark, values).filter(F.col("bucket").isin(touched))
-    # Found once and kept by bucket (else each task would write a file to each bucket); counted and added from there.
-    found = f"{values}_found/version={version}"
-    clustered(_unseen(_values(rows, state), seen), (), ["bucket"]).write.mode("overwrite").parquet(found)
-    first = spark.read.parquet(found)
-    snapshots.append_batch(_partial(rows, first, state), partials, version)
-    snapshots.append_batch(first, values, version, partition_cols=["bucket"])
+        seen, known = snapshots.read(spark, values).filter(F.col("bucket").isin(touched)), _rows(spark, values)
+    counted = version <= _applied(spark, partials)  # by an update that failed after them
+    with shuffles_freed(spark):
+        # Values are found once and kept by bucket (else each task would write a file to each bucket); counted from there.
+        for i, buckets in enumerate(_passes(sum(p.rows for p in new) * len(state.distinct) + known)):
+            some, met = rows.filter(_in(buckets, _bucket(state))), _in(buckets, F.col("bucket"))
+            unseen = _unseen(_values(some, state), None if seen is None else seen.filter(met))
+            first = snapshots.stage_batch(clustered(unseen, state.keys, ["bucket"]), values, version, partition_cols=["bucket"], more=i > 0)
+            if not counted:
+                sums = snapshots.stage_batch(_partial(some, first.filter(met), state), partials, version, more=i > 0)
+    if not counted:
+        snapshots.append_batch(sums, partials, version, staged=True)
+    snapshots.append_batch(first, values, version, partition_cols=["bucket"], staged=True)
     return len(new)
 
 
 def compact_state(spark: SparkSession, root: str, state: State) -> None:
     """Merge the partial rows of all updates, and the buckets' files of seen values."""
     partials, values = _paths(root, state)
-    snapshots.rewrite(_merge(snapshots.read(spark, partials), state), partials)
-    snapshots.rewrite(snapshots.read(spark, values), values, ["bucket"], state.keys)
+    with shuffles_freed(spark):
+        snapshots.rewrite(_merge(snapshots.read(spark, partials), state), partials)
+        snapshots.rewrite(snapshots.read(spark, values), values, ["bucket"], state.keys, [_in(b, F.col("bucket")) for b in _passes(_rows(spark, values))])
 
 
 def merged(spark: SparkSession, root: str, state: State) -> DataFrame:

@@ -16,7 +16,7 @@ from strata.plans import orders as OR
 from strata.plans import sketches as SK
 from strata.plans.oracle_sql import ORACLE_RAW_ACTIVITY, ORACLE_RAW_ORDERS, ORACLE_RAW_PROFILES, silver_orders_cte
 from strata.plans.query_inputs import ORDERS_AS_OF, QUERY_CFG, json_orders, orders_first_and_rest, public
-from strata.session import new_work_path
+from strata.session import new_work_path, shuffles_freed
 from strata.sinks import snapshots
 from strata.sinks.writers import json_files, write_json
 from strata.sources import bindings as B
@@ -33,12 +33,13 @@ from strata.streaming.runner import StreamLayout, run_orders_increment
 def _three_updates(spark, sf_dir, state) -> str:
     """Silver in three batches, each folded into the state; after the second the state is compacted."""
     root = new_work_path(spark, f"gold_state_{state.name}")
-    silver = public(OR.silver_orders(B.as_bronze(B.raw_orders(spark, sf_dir)), QUERY_CFG, observe=False)[0])
-    silver.write.parquet(f"{root}/silver")
-    silver = spark.read.parquet(f"{root}/silver")
-    part = F.pmod(F.xxhash64("order_id", "product_id"), F.lit(3))
+    part = F.pmod(F.xxhash64(*OR.ORDER_KEYS), F.lit(3))
     for i in range(3):
-        snapshots.append_batch(silver.filter(part == i), f"{root}/silver_orders", i, date_col="order_date")
+        # A batch has all rows of its keys, so each is made by itself: a third is shuffled at a time, and silver written once.
+        bronze = B.as_bronze(B.raw_orders(spark, sf_dir).filter(part == i))
+        silver = public(OR.silver_orders(bronze, QUERY_CFG, observe=False)[0])
+        with shuffles_freed(spark):
+            snapshots.append_batch(silver, f"{root}/silver_orders", i, date_col="order_date")
         GS.update_state(spark, f"{root}/silver_orders", root, state)
         if i == 1:
             GS.compact_state(spark, root, state)

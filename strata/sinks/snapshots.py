@@ -113,20 +113,38 @@ def _contents(spark: SparkSession, folder: str, schema: T.StructType, date_col:
     return sum(r["count"] for r in found), tuple(sorted(r["month"] for r in found if r["month"]))
 
 
+def _batch_name(writer: str, batch_id: int) -> str:
+    return f"{writer}-{batch_id:08d}"
+
+
+def stage_batch(df: DataFrame, path: str, batch_id: int, writer: str = "0", partition_cols=(), more: bool = False) -> DataFrame:
+    """Write a batch, or (``more``) a further part of it, that ``append_batch(..., staged=True)``
+    publishes when it is whole; returns what it has so far."""
+    folder = f"{path}/batch={_batch_name(writer, batch_id)}"
+    df.write.mode("append" if more else "overwrite").partitionBy(*partition_cols).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def append_batch(df: DataFrame, path: str, batch_id: int, writer: str = "0", partition_cols=(), date_col: str | None = None,
-                 max_records: int | None = None) -> int:
+                 max_records: int | None = None, staged: bool = False) -> int:
     """Add a batch; returns the version. A batch that was published before isn't added
-    again, but it is run, as the state of a stream advances with it."""
+    again, but it is run, as the state of a stream advances with it. With ``staged``
+    the rows are those that ``stage_batch`` has returned and are published as they are."""
     spark = df.sparkSession
     version, pieces = snapshot(spark, path)
     mark = next((p for p in pieces if p.kind == MARK and p.name == writer), Piece(writer, MARK))
     if batch_id <= mark.last_id:
+        if staged:
+            return version
         df.write.format("noop").mode("overwrite").save()
         return version
-    name = f"{writer}-{batch_id:08d}"
-    df, seen = _counted(df, date_col)
-    _write(df, path, name, partition_cols, max_records)
-    rows, months = seen.get["rows"], tuple(sorted(seen.get.get("months") or ()))
+    name = _batch_name(writer, batch_id)
+    if staged:
+        rows, months = _contents(spark, f"{path}/batch={name}", df.schema, date_col)
+    else:
+        df, seen = _counted(df, date_col)
+        _write(df, path, name, partition_cols, max_records)
+        rows, months = seen.get["rows"], tuple(sorted(seen.get.get("months") or ()))
     pieces = [p for p in pieces if p is not mark and p != mark] + [replace(mark, last_id=batch_id)]
     if rows:
         pieces.append(Piece(name, BATCH, version + 1, rows=rows, months=months))
@@ -226,13 +244,17 @@ def compact_dates(spark: SparkSession, path: str, through: str, date_col: str, c
     return _publish(spark, path, version + 1, kept + ([Piece(name, COMPACTED, version + 1, rows=rows, months=months)] if rows else []))
 
 
-def rewrite(df: DataFrame, path: str, partition_cols=(), cluster_cols=()) -> int:
-    """Publish ``df`` as the whole table (such as merged partial sums); marks stay."""
+def rewrite(df: DataFrame, path: str, partition_cols=(), cluster_cols=(), parts=()) -> int:
+    """Publish ``df`` as the whole table (such as merged partial sums); marks stay. With
+    ``parts``, conditions of which each row meets one, a part is written after the other."""
     spark = df.sparkSession
     version, pieces = snapshot(spark, path)
     name = f"c-{version + 1:08d}"
-    if partition_cols:
-        df = clustered(df, cluster_cols, partition_cols)
-    folder = _write(df, path, name, partition_cols)
+    folder = f"{path}/batch={name}"
+    for i, part in enumerate(parts or [F.lit(True)]):
+        some = df.filter(part)
+        if partition_cols:
+            some = clustered(some, cluster_cols, partition_cols)
+        some.write.mode("append" if i else "overwrite").partitionBy(*partition_cols).parquet(folder)
     rows, _ = _contents(spark, folder, df.schema, None)
     return _publish(spark, path, version + 1, [p for p in pieces if p.kind == MARK] + [Piece(name, COMPACTED, version + 1, rows=rows)])

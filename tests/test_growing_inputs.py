@@ -93,3 +93,39 @@ def test_distinct_counts_without_widened_rows(spark):
 def test_product_figures_without_widened_rows(spark):
     plan = registry.QUERIES["gold_product_performance"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan
+
+
+def test_state_is_updated_in_passes(spark, tmp_path, monkeypatch):
+    """However many values are known, a pass meets about PASS_ROWS of them; same figures, also of an update that is repeated."""
+    monkeypatch.setattr(GS, "PASS_ROWS", 4000)
+    silver = registry._silver_orders(spark, SF)
+    path, root, sizes = str(tmp_path / "silver"), str(tmp_path), []
+    unseen = GS._unseen
+
+    def counted(met, seen):
+        sizes.append(met.count() + (seen.count() if seen is not None else 0))
+        return unseen(met, seen)
+    monkeypatch.setattr(GS, "_unseen", counted)
+    for i in range(3):
+        S.append_batch(silver.filter(F.pmod(F.xxhash64("order_id"), F.lit(3)) == i), path, i, date_col="order_date")
+        if i == 2:
+            append = S.append_batch
+            monkeypatch.setattr(S, "append_batch", lambda df, to, *a, **kw: 1 / 0 if to.endswith("_values") else append(df, to, *a, **kw))
+            with pytest.raises(ZeroDivisionError):
+                GS.update_state(spark, path, root, GS.PRODUCT)
+            monkeypatch.setattr(S, "append_batch", append)
+        GS.update_state(spark, path, root, GS.PRODUCT)
+        if i == 1:
+            GS.compact_state(spark, root, GS.PRODUCT)
+    assert len(sizes) > 6 and max(sizes) < 6000 < sum(sizes)
+    got = GS.merged(spark, root, GS.PRODUCT).select("product_id", "unique_customers", "unique_orders", "lines")
+    want = silver.groupBy("product_id").agg(F.count_distinct("customer_id"), F.count_distinct("order_id"), F.count(F.lit(1)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_silver_of_the_updates_is_written_once(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(scenarios, "new_work_path", lambda spark, label: str(tmp_path))
+    scenarios._three_updates(spark, SF, GS.PRODUCT)
+    assert not glob.glob(f"{tmp_path}/silver/*") and len(glob.glob(f"{tmp_path}/silver_orders/batch=0-*")) == 3
+    silver, want = S.read(spark, f"{tmp_path}/silver_orders"), registry._silver_orders(spark, SF)
+    assert sorted(map(str, silver.collect())) == sorted(map(str, QI.public(want).collect()))
