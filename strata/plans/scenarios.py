@@ -18,7 +18,7 @@ from strata.plans.oracle_sql import ORACLE_RAW_ACTIVITY, ORACLE_RAW_ORDERS, ORAC
 from strata.plans.query_inputs import ORDERS_AS_OF, QUERY_CFG, json_orders, orders_first_and_rest, public
 from strata.session import new_work_path, shuffles_freed
 from strata.sinks import snapshots
-from strata.sinks.writers import json_files, write_json
+from strata.sinks.writers import json_files, write_hand_over, write_json
 from strata.sources import bindings as B
 from strata.sources.evolving import RESCUED, read_evolving, run_evolving
 from strata.sources.readers import bronze_customer_activity
@@ -67,16 +67,18 @@ def q_gold_product_performance_incremental(spark, sf_dir):
 
 def _two_runs(spark, sf_dir, label, between=None, after=None):
     """Run 1: the row that is kept of each key; run 2: its other rows. Returns the layout."""
-    files = json_files(B.row_count(spark, sf_dir, "lineitem"), 4)
-    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=-(-files // 2))
+    rows = B.row_count(spark, sf_dir, "lineitem")
     root = new_work_path(spark, label)
     layout = StreamLayout(root)
     first, rest = orders_first_and_rest(spark, sf_dir)
-    write_json(first, f"{root}/orders_raw/run1", num_files=files)
+    with shuffles_freed(spark):
+        files = write_hand_over(first, f"{root}/orders_raw/run1", rows, 4)
+    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=-(-files // 2))
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
     if between:
         between(cfg, layout)
-    write_json(rest, f"{root}/orders_raw/run2", num_files=files // 2)
+    with shuffles_freed(spark):
+        write_hand_over(rest, f"{root}/orders_raw/run2", rest.count(), 2)
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
     if after:
         after(cfg, layout)
@@ -127,12 +129,12 @@ def q_sample_bronze_evolving(spark, sf_dir):
     root = new_work_path(spark, "orders_evolving")
     raw = json_orders(B.raw_orders(spark, sf_dir))
     even = F.col("order_id") % 2 == 0
-    files = json_files(B.row_count(spark, sf_dir, "lineitem"), 2)
+    rows = B.row_count(spark, sf_dir, "lineitem")
     where = (f"{root}/orders_raw/*", f"{root}/bronze_orders", f"{root}/checkpoint")
-    write_json(raw.filter(even).drop("status", "category"), f"{root}/orders_raw/run1", num_files=files)
-    run_evolving(spark, *where)
-    write_json(raw.filter(~even), f"{root}/orders_raw/run2", num_files=files)
-    run_evolving(spark, *where)
+    for i, part in enumerate((raw.filter(even).drop("status", "category"), raw.filter(~even)), start=1):
+        with shuffles_freed(spark):
+            write_hand_over(part, f"{root}/orders_raw/run{i}", rows, 2)
+        run_evolving(spark, *where)
     return read_evolving(spark, *where[1:]).drop(RESCUED)
 
 

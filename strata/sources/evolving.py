@@ -76,7 +76,7 @@ def run_evolving(spark: SparkSession, source: str, table: str, checkpoint: str,
             lines = batch.filter(grown)
             if lines.limit(1).count():
                 sample = f"{checkpoint}.grown/version={version + 1}"
-                lines.select("value").write.mode("overwrite").text(sample)
+                lines.select("value").write.mode("overwrite").text(sample, compression="gzip")
                 known = {f.name for f in schema}
                 inferred = spark.read.json(sample).schema
                 log.add(version + 1, T.StructType([*schema.fields, *[f for f in inferred if f.name not in known]]))

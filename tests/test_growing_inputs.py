@@ -129,3 +129,19 @@ def test_silver_of_the_updates_is_written_once(spark, monkeypatch, tmp_path):
     assert not glob.glob(f"{tmp_path}/silver/*") and len(glob.glob(f"{tmp_path}/silver_orders/batch=0-*")) == 3
     silver, want = S.read(spark, f"{tmp_path}/silver_orders"), registry._silver_orders(spark, SF)
     assert sorted(map(str, silver.collect())) == sorted(map(str, QI.public(want).collect()))
+
+
+def test_hand_overs_of_streams_are_compressed_and_not_dealt_anew(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(writers, "JSON_ROWS", 500)
+    rows = spark.range(0, 3000, 1, 3)
+    assert writers.write_hand_over(rows, str(tmp_path / "few"), 900, 2) == 2
+    assert writers.write_hand_over(rows, str(tmp_path / "many"), 3000, 2) == 6  # two of each task
+    many = spark.read.json(str(tmp_path / "many")).groupBy(F.input_file_name().alias("f")).agg(F.min("id").alias("a"), F.max("id").alias("b"))
+    assert all(r["b"] - r["a"] == 499 and r["f"].endswith(".gz") for r in many.collect())
+
+
+def test_lines_of_an_evolving_source_are_compressed(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(scenarios, "new_work_path", lambda spark, label: str(tmp_path))
+    assert scenarios.q_sample_bronze_evolving(spark, SF).count() == B.row_count(spark, SF, "lineitem")
+    written = glob.glob(f"{tmp_path}/orders_raw/run*/part-*") + glob.glob(f"{tmp_path}/checkpoint.grown/*/part-*")
+    assert len(written) >= 6 and all(f.endswith(".gz") for f in written)
