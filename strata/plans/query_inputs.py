@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.config import PipelineConfig
 from strata.functions.dates import parse_date
 from strata.operators.dedup import dedup_by_key
 from strata.plans import orders as OR
-from strata.session import new_work_path
+from strata.session import new_work_path, shuffles_freed
 from strata.sources import bindings as B
 
 # Fixed run dates of the checks (the test tables' own calendars).
@@ -48,22 +46,30 @@ def first_choice(raw, keys, order_exprs):
     return dedup_by_key(ranked, keys, tmp).select(*raw.columns)
 
 
+#: Hashes of repeated keys that are broadcast; a million takes about 60 MB of a process.
+MOST_BROADCAST = 1_000_000
+
+
 def orders_first_and_rest(spark, sf_dir):
     """Raw JSON orders in two parts: the row that the batch dedup keeps of each key, and
-    the others. The raw rows are joined once and written; only rows of keys that have
-    several are compared, so rows of other keys cross the network by their keys alone,
-    unless the repeated keys are too many to broadcast."""
+    the others. The raw rows are joined once and written; only rows of keys whose hash
+    occurs several times are compared (a key that shares its hash with another one is
+    one of them, and stays), so other rows cross the network by that hash alone, unless
+    the repeated ones are more than ``MOST_BROADCAST``."""
     path = new_work_path(spark, "orders_first_and_rest")
-    json_orders(B.raw_orders(spark, sf_dir)).write.parquet(f"{path}/raw")
-    raw = spark.read.parquet(f"{path}/raw")
-    raw.groupBy(*OR.ORDER_KEYS).count().filter("count > 1").select(*[F.col(k).alias(f"_{k}") for k in OR.ORDER_KEYS]).write.parquet(f"{path}/repeated")
-    repeated = spark.read.parquet(f"{path}/repeated")
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in OR.ORDER_KEYS])
-    raw.join(repeated, same, "left_semi").write.parquet(f"{path}/several")
+    key = F.xxhash64(*OR.ORDER_KEYS)
+    with shuffles_freed(spark):
+        json_orders(B.raw_orders(spark, sf_dir)).write.parquet(f"{path}/raw")
+        raw = spark.read.parquet(f"{path}/raw")
+        raw.groupBy(key.alias("_key")).count().filter("count > 1").select("_key").write.parquet(f"{path}/repeated")
+        repeated = spark.read.parquet(f"{path}/repeated")
+        if repeated.count() <= MOST_BROADCAST:
+            repeated = F.broadcast(repeated)
+        raw.join(repeated, key == F.col("_key"), "left_semi").write.parquet(f"{path}/several")
     several = spark.read.parquet(f"{path}/several")
     kept = first_choice(several, OR.ORDER_KEYS, [
         F.col("quantity"), F.col("price"), F.coalesce(F.col("status"), F.lit("unknown")),
         F.col("customer_id").cast("string"), parse_date("order_date"),
         F.coalesce(F.col("product_name"), F.lit("unknown")),
         F.coalesce(F.col("category"), F.lit("uncategorized"))])
-    return raw.join(repeated, same, "left_anti").unionByName(kept), several.exceptAll(kept)
+    return raw.join(repeated, key == F.col("_key"), "left_anti").unionByName(kept), several.exceptAll(kept)

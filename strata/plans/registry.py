@@ -24,6 +24,7 @@ from strata.plans.oracle_sql import (BEHAVIOR_CTE, ORACLE_RAW_ACTIVITY, ORACLE_R
                                      engagement_cte, gen_activity_sql, gen_orders_sql, gen_profiles_sql,
                                      silver_activity_cte, silver_orders_cte, silver_profile_cte, sround)
 from strata.plans.query_inputs import FEATURES_AS_OF, ORDERS_AS_OF, QUERY_CFG, json_orders, orders_first_and_rest, public
+from strata.session import shuffles_freed
 from strata.sinks import snapshots
 from strata.sources import bindings as B
 
@@ -471,16 +472,17 @@ def q_gold_daily_sales_incremental(spark, sf_dir):
     1998 on; run 3: every other duplicate (rejected by the dedup state)."""
     from strata.plans.run import refresh_daily_sales
     from strata.session import new_work_path
-    from strata.sinks.writers import json_files, write_json
+    from strata.sinks.writers import json_files, write_hand_over
     from strata.streaming.runner import StreamLayout, run_orders_increment
-    files = json_files(B.row_count(spark, sf_dir, "lineitem"), 2)
-    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2 * files)
+    rows = B.row_count(spark, sf_dir, "lineitem")
+    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=2 * json_files(rows, 2))
     root = new_work_path(spark, "orders_incremental")
     layout = StreamLayout(root)
     first, rest = orders_first_and_rest(spark, sf_dir)
     early = F.coalesce(F.col("order_date") < F.lit("1998-01-01"), F.lit(False))
     for i, part in enumerate((first.filter(early), first.filter(~early), rest), start=1):
-        write_json(part, f"{root}/orders_raw/run{i}", num_files=files)
+        with shuffles_freed(spark):
+            write_hand_over(part, f"{root}/orders_raw/run{i}", rows, 2)
         run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
         refresh_daily_sales(spark, cfg, layout)
     gold = spark.read.parquet(layout.table("gold_daily_sales"))
@@ -497,16 +499,18 @@ def q_stream_silver_orders(spark, sf_dir):
     result must equal the batch silver table.
     """
     from strata.session import new_work_path
-    from strata.sinks.writers import json_files, write_json
+    from strata.sinks.writers import write_hand_over
     from strata.streaming.runner import StreamLayout, run_orders_increment
-    files = json_files(B.row_count(spark, sf_dir, "lineitem"), 6)
-    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=-(-files // 3))
+    rows = B.row_count(spark, sf_dir, "lineitem")
     root = new_work_path(spark, "orders_stream")
     layout = StreamLayout(root)
     first, rest = orders_first_and_rest(spark, sf_dir)
-    write_json(first, f"{root}/orders_raw/run1", num_files=files)
+    with shuffles_freed(spark):
+        files = write_hand_over(first, f"{root}/orders_raw/run1", rows, 6)
+    cfg = QUERY_CFG.with_overrides(max_files_per_trigger=-(-files // 3))
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
-    write_json(rest, f"{root}/orders_raw/run2", num_files=files // 3)
+    with shuffles_freed(spark):
+        write_hand_over(rest, f"{root}/orders_raw/run2", rest.count(), 2)
     run_orders_increment(spark, cfg, f"{root}/orders_raw/*", layout)
     return public(snapshots.read(spark, layout.table("silver_orders")).select(*OR.SILVER_ORDERS_COLUMNS))
 

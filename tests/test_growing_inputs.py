@@ -145,3 +145,41 @@ def test_lines_of_an_evolving_source_are_compressed(spark, monkeypatch, tmp_path
     assert scenarios.q_sample_bronze_evolving(spark, SF).count() == B.row_count(spark, SF, "lineitem")
     written = glob.glob(f"{tmp_path}/orders_raw/run*/part-*") + glob.glob(f"{tmp_path}/checkpoint.grown/*/part-*")
     assert len(written) >= 6 and all(f.endswith(".gz") for f in written)
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_other_rows_than_repeated_ones_are_not_dealt(spark, monkeypatch, collide):
+    """Not sorted and merged whatever Spark's own limit says; keys that share a hash stay apart."""
+    raw = B.raw_orders(spark, SF).cache()
+    monkeypatch.setattr(B, "raw_orders", lambda spark, sf_dir: raw)
+    if collide:
+        hashed = F.xxhash64
+        monkeypatch.setattr(QI.F, "xxhash64", lambda *c: hashed(*c) % 50)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        first, rest = QI.orders_first_and_rest(spark, SF)
+        plan = first._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert first.count() == raw.select(*OR.ORDER_KEYS).distinct().count() and first.count() + rest.count() == raw.count()
+    raw.unpersist()
+
+
+def test_dedup_state_is_on_disk_in_any_session(spark, json_dir, tmp_path):
+    """A session with Spark's own default kept it in the executors' heaps."""
+    import json
+
+    from strata.config import PipelineConfig
+    from strata.session import session_conf
+    from strata.streaming import runner as R
+    lay, name = R.StreamLayout(str(tmp_path / "p")), "spark.sql.streaming.stateStore.providerClass"
+    json_dir([json.dumps({"order_id": f"o{i % 20}", "customer_id": "c", "order_date": "2024-01-05", "product_id": "p", "product_name": "n",
+                          "category": "k", "quantity": 1, "price": 5.0, "status": "s"}) for i in range(30)], name="raw/1")
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    with session_conf(spark, {name: default}):
+        R.run_orders_increment(spark, PipelineConfig(), str(tmp_path / "raw/*"), lay)
+        assert spark.conf.get(name) == default and spark.conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", None) is None
+    assert glob.glob(f"{lay.checkpoint('silver_orders')}/state/0/*/*.zip")  # snapshots of stores on disk
+    assert S.read(spark, lay.table("silver_orders")).count() == 20
