@@ -97,7 +97,10 @@ def q_stream_silver_orders_regrown(spark, sf_dir):
 def q_stream_silver_orders_compacted(spark, sf_dir):
     """SNK-3/4: dates up to 1995 are compacted between the runs, all dates up to 1997 after them."""
     def pack(through):
-        return lambda cfg, layout: snapshots.compact_dates(spark, layout.table("silver_orders"), through, "order_date", ["order_id"])
+        def compact(cfg, layout):
+            with shuffles_freed(spark):
+                snapshots.compact_dates(spark, layout.table("silver_orders"), through, "order_date", ["order_id"])
+        return compact
     layout = _two_runs(spark, sf_dir, "orders_compacted", between=pack("1995-12-31"), after=pack("1997-06-30"))
     return public(snapshots.read(spark, layout.table("silver_orders")).select(*OR.SILVER_ORDERS_COLUMNS))
 
